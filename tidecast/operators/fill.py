@@ -46,7 +46,8 @@ def _fill(df: DataFrame, cols, order, by, value, chunk, forward: bool, backward:
     out = base.withColumns(exprs)
     if chunk is not None:
         # last / first non-null value of each chunk, then carried across chunks
-        okey = F.struct(*ords)
+        # a single order column keeps the aggregation hash-based (a struct key forces a sort aggregate)
+        okey = ords[0] if len(ords) == 1 else F.struct(*ords)
         aggs = []
         for c in cols:
             keep = F.when(F.col(c).isNotNull(), okey)

@@ -157,6 +157,26 @@ def predict_grouped_linear(coefs: DataFrame, df: DataFrame, features: Sequence[s
     return out.withColumn(name, pred).select(*df.columns, name)
 
 
+def fit_predict_linear_window(df: DataFrame, feature: str, label: str = "close", by=(),
+                              fit_on: str = "is_train", name: str = "prediction") -> DataFrame:
+    """One-feature least squares per key, fitted on ``fit_on`` rows and applied to every row, in one pass.
+
+    The moments are window aggregates over the key restricted to train rows
+    (``when(fit_on, ...)``), so when the frame is already partitioned by the
+    key (after a fill or an index) this adds no shuffle, no join, and no second
+    evaluation of the input: a groupBy + join would plan the input twice.
+    Equal to :func:`fit_grouped_linear` + :func:`predict_grouped_linear`.
+    """
+    by = as_list(by)
+    w = Window.partitionBy(*by)
+    both = F.col(fit_on) & F.col(feature).isNotNull() & F.col(label).isNotNull()
+    x = F.when(both, F.col(feature))
+    y = F.when(both, F.col(label))
+    slope = F.try_divide(F.covar_pop(x, y).over(w), F.var_pop(x).over(w))
+    icpt = F.avg(y).over(w) - slope * F.avg(x).over(w)
+    return df.withColumn(name, icpt + slope * F.col(feature))
+
+
 def linear_coefficients(model: PipelineModel, features: Sequence[str]) -> dict[str, float]:
     """Coefficients and intercept of a fitted linear pipeline (small: one value per feature)."""
     lr = model.stages[-1]

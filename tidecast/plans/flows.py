@@ -10,7 +10,9 @@ from tidecast.operators._chunks import as_list
 from tidecast.operators.fill import forward_fill
 from tidecast.operators.index import row_index
 from tidecast.operators.joins import enrich
-from tidecast.operators.models import evaluate, fit_grouped_linear, predict_grouped_linear
+from tidecast.operators.models import (
+    evaluate, fit_grouped_linear, fit_predict_linear_window, predict_grouped_linear,
+)
 from tidecast.operators.profile import drop_missing
 from tidecast.operators.split import ordered_split
 
@@ -38,12 +40,18 @@ def forecast_rmse(prepared: DataFrame, features: Sequence[str], label: str = "cl
                   flag: str = "is_train") -> DataFrame:
     """Per-key least squares on the train part, RMSE on the test part.
 
-    Coefficients come from one grouped aggregation; scoring joins the small
-    coefficient table back by key. No model object, no driver loop over keys.
+    With one feature the model is fitted and applied inside the key's window
+    (the prepared frame is already partitioned by key, so no shuffle is added);
+    otherwise coefficients come from one grouped aggregation and scoring joins
+    the small coefficient table back by key. No driver loop over keys.
     """
     by = [b for b in as_list(by) if b in prepared.columns]
-    train = prepared.where(flag)
-    test = prepared.where(f"NOT {flag}")
-    coefs = fit_grouped_linear(train, features, label, by)
-    preds = predict_grouped_linear(coefs, test, features, by)
+    if len(features) == 1 and by:
+        # fit and score in the key's window: one pass over the prepared rows
+        preds = fit_predict_linear_window(prepared, features[0], label, by, flag).where(f"NOT {flag}")
+    else:
+        train = prepared.where(flag)
+        test = prepared.where(f"NOT {flag}")
+        coefs = fit_grouped_linear(train, features, label, by)
+        preds = predict_grouped_linear(coefs, test, features, by)
     return evaluate(preds, "rmse", label, by=by)
