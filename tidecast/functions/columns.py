@@ -67,10 +67,12 @@ def sentinel_to_null_expr(df: DataFrame, c: str, value=float("nan")) -> Column:
 
     NaN sentinel: only float/double columns can hold it, others pass through
     (comparing an integer column with the string 'NaN' raises under ANSI).
-    Numeric sentinel: ``when(c != value, c)``.
+    Numeric sentinel: ``when(c != value, c)``. ``value=None``: no sentinel.
     """
     col = F.col(c)
     dt = _dtype(df, c)
+    if value is None:
+        return col
     if isinstance(value, float) and math.isnan(value):
         if isinstance(dt, _FLOAT_TYPES):
             return F.when(~F.isnan(col), col)

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.operators._chunks import CHUNK, as_list, chunk_expr
+from tidecast.operators._chunks import as_list
 from tidecast.operators.fill import forward_fill
 
-UNB = Window.unboundedPreceding
-
 
 def _value_cols(right: DataFrame, on: str, keys, cols) -> list[str]:
     if cols is not None:
@@ -26,7 +24,7 @@ def _maybe_broadcast(right: DataFrame, broadcast_right: bool | None) -> DataFram
 
 
 def enrich(left: DataFrame, right: DataFrame, on: str = "date", by=(), cols=None, fill: str | None = None,
-           chunk=None, broadcast_right: bool | None = None) -> DataFrame:
+           chunk=None, broadcast_right: bool | None = None, per_column: bool = True) -> DataFrame:
     """Bars ⟕ series on ``on`` (and the ``by`` keys the right side has).
 
     fill=None     plain left join, every left row kept (J1)
@@ -34,13 +32,14 @@ def enrich(left: DataFrame, right: DataFrame, on: str = "date", by=(), cols=None
                   a value dated on a day absent from the left is lost
     fill='before' forward fill on the right's own calendar, then join (J3):
                   a left date absent from the right gets NULL
-    fill='asof'   latest right row at or before the left date (J4)
+    fill='asof'   latest right value at or before the left date (J4), per
+                  column by default, or the whole latest row (``per_column=False``)
     """
     keys = [k for k in as_list(by) if k in right.columns]
     vals = _value_cols(right, on, keys, cols)
     r = right.select(*keys, on, *vals)
     if fill == "asof":
-        return asof_join(left, r, on=on, by=keys, cols=vals, chunk=chunk)
+        return asof_join(left, r, on=on, by=keys, cols=vals, chunk=chunk, per_column=per_column)
     if fill == "before":
         r = forward_fill(r, vals, order=on, by=keys, chunk=chunk)
     out = left.join(_maybe_broadcast(r, broadcast_right), [*keys, on], "left")
@@ -58,39 +57,37 @@ def complete_case_join(left: DataFrame, right: DataFrame, on: str = "date", by=(
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: str = "date", by=(), cols=None,
-              chunk=None) -> DataFrame:
-    """For each left row, the latest right row with ``right.on <= left.on``.
-
-    The right row is taken whole (its NULLs included), as SQL ASOF LEFT JOIN
-    does; per-column filling is :func:`forward_fill`.
-
-    Built from a union and a window, no range join: right rows carry their
-    values as a struct, left times carry NULL, and ``last(struct, ignorenulls)``
-    over (key, time; right before left at equal times) finds the match.
-    Only the distinct left (key, time) pairs enter the window, so its size is
-    bounded by the calendar, not by the left table; the match is joined back
-    on equality. ``chunk`` splits each key's timeline into buckets with the
-    carry taken from a per-bucket summary.
+              chunk=None, per_column: bool = True) -> DataFrame:
+    """For each left row, the latest right value at or before ``left.on``.
+
+    per_column=True   each value column takes its latest non-NULL value, i.e.
+                      an as-of join of every series on its own observations
+                      (the same as joining each long series separately)
+    per_column=False  the latest right row is taken whole, NULLs included, as
+                      SQL ASOF LEFT JOIN on the wide table does
+
+    Built from a union and a window, never a range join: right rows carry
+    their values, left times carry NULL, and a forward fill over
+    (key, time; right before left at equal times) finds the match. Only the
+    distinct left (key, time) pairs enter the union, so its size is bounded by
+    the calendar and the right side, not by the left table; the matches are
+    joined back on equality. ``chunk`` splits each key's timeline into buckets
+    with the carry taken from a per-bucket summary.
     """
     keys = [k for k in as_list(by) if k in right.columns]
     vals = _value_cols(right, on, keys, cols)
+    lt = left.select(*keys, F.col(on).alias("_t")).distinct()
+    if per_column:
+        r = right.select(*keys, F.col(on).alias("_t"), F.lit(0).alias("_side"), *vals)
+        lt = lt.select(*keys, "_t", F.lit(1).alias("_side"),
+                       *[F.lit(None).cast(r.schema[v].dataType).alias(v) for v in vals])
+        filled = forward_fill(r.unionByName(lt), vals, order=["_t", "_side"], by=keys, value=None, chunk=chunk)
+        matches = filled.where(F.col("_side") == 1).select(*keys, F.col("_t").alias(on), *vals)
+        return left.join(matches, [*keys, on], "left").select(*left.columns, *vals)
     rstruct = F.struct(*[F.col(v) for v in vals])
     r = right.select(*keys, F.col(on).alias("_t"), F.lit(0).alias("_side"), rstruct.alias("_r"))
-    lt = left.select(*keys, F.col(on).alias("_t")).distinct()
     lt = lt.select(*keys, "_t", F.lit(1).alias("_side"), F.lit(None).cast(r.schema["_r"].dataType).alias("_r"))
-    u = r.unionByName(lt)
-    part = keys
-    if chunk is not None:
-        u = u.withColumn(CHUNK, chunk_expr(chunk, "_t"))
-        part = [*keys, CHUNK]
-    w = Window.partitionBy(*part).orderBy("_t", "_side").rowsBetween(UNB, 0)
-    m = u.withColumn("_m", F.last("_r", True).over(w))
-    if chunk is not None:
-        summ = (u.where(F.col("_side") == 0).groupBy(*keys, CHUNK)
-                .agg(F.max_by("_r", "_t").alias("_last")))
-        wp = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(UNB, -1)
-        carry = summ.select(*keys, CHUNK, F.last("_last", True).over(wp).alias("_carry"))
-        m = m.join(carry, [*keys, CHUNK], "left").withColumn("_m", F.coalesce("_m", "_carry"))
-    matches = m.where(F.col("_side") == 1).select(*keys, F.col("_t").alias(on), "_m")
+    filled = forward_fill(r.unionByName(lt), ["_r"], order=["_t", "_side"], by=keys, value=None, chunk=chunk)
+    matches = filled.where(F.col("_side") == 1).select(*keys, F.col("_t").alias(on), F.col("_r").alias("_m"))
     out = left.join(matches, [*keys, on], "left")
     return out.select(*left.columns, *[F.col(f"_m.{v}").alias(v) for v in vals])

@@ -287,12 +287,23 @@ def q_ffill_then_join(spark, d):
 
 
 @register("asof_join", with_views(
-    "SELECT b.*, s.m_monthly, s.m_weekly, s.m_daily FROM bars b ASOF LEFT JOIN series_wide s "
-    "ON b.date >= s.date", "bars", "series_wide"))
+    "SELECT b.*, m.value AS m_monthly, w.value AS m_weekly, y.value AS m_daily FROM bars b "
+    "ASOF LEFT JOIN (SELECT date, value FROM series WHERE series = 'M_MONTHLY') m ON b.date >= m.date "
+    "ASOF LEFT JOIN (SELECT date, value FROM series WHERE series = 'M_WEEKLY') w ON b.date >= w.date "
+    "ASOF LEFT JOIN (SELECT date, value FROM series WHERE series = 'M_DAILY') y ON b.date >= y.date",
+    "bars", "series"))
 def q_asof_join(spark, d):
     return joins.enrich(fx.bars(spark, d), fx.series_wide(spark, d), on="date", fill="asof", chunk="year")
 
 
+@register("asof_join_rows", with_views(
+    "SELECT b.*, s.m_monthly, s.m_weekly, s.m_daily FROM bars b ASOF LEFT JOIN series_wide s "
+    "ON b.date >= s.date", "bars", "series_wide"))
+def q_asof_join_rows(spark, d):
+    return joins.enrich(fx.bars(spark, d), fx.series_wide(spark, d), on="date", fill="asof", chunk="year",
+                        per_column=False)
+
+
 @register("complete_case_join", with_views(
     f"SELECT * FROM joined WHERE {_NOT_MISSING}", "joined"))
 def q_complete_case_join(spark, d):
