@@ -26,4 +26,8 @@ def spark():
 def rows(df, order=None):
     """Collect as a sorted list of tuples (None for NULL)."""
     cols = order or df.columns
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+    def norm(v):
+        return "NaN" if isinstance(v, float) and v != v else v
+    return sorted((tuple(norm(v) for v in r) for r in df.select(*cols).collect()),
+                  key=lambda t: tuple((x is None, str(x)) for x in t))

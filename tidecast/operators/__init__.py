@@ -2,7 +2,7 @@
 
 from tidecast.operators.fill import (  # noqa: F401
     backward_fill, ffill_bfill, ffill_pandas_api, forward_fill, lag_diff, lag_fill, lag_value,
-    last_non_null, lead_fill, lead_value, sentinel_to_null,
+    last_non_null, lead_fill, lead_value, sentinel_to_null, shift,
 )
 from tidecast.operators.index import partition_count, row_index  # noqa: F401
 from tidecast.operators.joins import asof_join, complete_case_join, enrich  # noqa: F401

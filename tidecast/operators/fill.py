@@ -107,22 +107,53 @@ def ffill_bfill(df: DataFrame, cols, order, by=(), value=NAN, chunk=None) -> Dat
     return _fill(df, cols, order, by, value, chunk, forward=True, backward=True)
 
 
-def _step_fill(df: DataFrame, cols, order, by, value, offset: int) -> DataFrame:
+def shift(df: DataFrame, cols, order, by=(), offset: int = 1, chunk=None, prefix: str = "_sh_") -> DataFrame:
+    """Add ``<prefix><c>`` = the value of ``c`` ``offset`` rows before (>0) or after (<0).
+
+    ``chunk`` (one-step shifts only) numbers within (key, bucket); the first
+    (last) row of a bucket takes the last (first) row of the neighbouring
+    non-empty bucket from a per-bucket summary table.
+    """
     cols = as_list(cols)
-    base = sentinel_to_null(df, cols, value)
-    w = Window.partitionBy(*as_list(by)).orderBy(*_order_cols(order))
+    by = as_list(by)
+    ords = _order_cols(order)
     nb = F.lag if offset > 0 else F.lead
-    return base.withColumns({c: F.when(F.col(c).isNull(), nb(c, 1).over(w)).otherwise(F.col(c)) for c in cols})
+    if chunk is None:
+        w = Window.partitionBy(*by).orderBy(*ords)
+        return df.withColumns({f"{prefix}{c}": nb(c, abs(offset)).over(w) for c in cols})
+    if abs(offset) != 1:
+        raise ValueError("chunked shift supports one step only")
+    base = df.withColumn(CHUNK, chunk_expr(chunk, as_list(order)[0]))
+    w = Window.partitionBy(*by, CHUNK).orderBy(*ords)
+    out = base.withColumns({**{f"{prefix}{c}": nb(c, 1).over(w) for c in cols},
+                            "_edge": nb(F.lit(1), 1).over(w).isNull()})
+    okey = ords[0] if len(ords) == 1 else F.struct(*ords)
+    row = F.struct(*[F.col(c) for c in cols])
+    pick = F.max_by if offset > 0 else F.min_by
+    summ = base.groupBy(*by, CHUNK).agg(pick(row, okey).alias("_row"))
+    wk = Window.partitionBy(*by).orderBy(CHUNK)
+    carry = summ.select(*by, CHUNK, nb("_row", 1).over(wk).alias("_nbr"))
+    out = out.join(carry, [*by, CHUNK], "left")
+    out = out.withColumns({f"{prefix}{c}": F.when(F.col("_edge"), F.col(f"_nbr.{c}")).otherwise(F.col(f"{prefix}{c}"))
+                           for c in cols})
+    return out.select(*df.columns, *[f"{prefix}{c}" for c in cols])
+
+
+def _step_fill(df: DataFrame, cols, order, by, value, offset: int, chunk=None) -> DataFrame:
+    cols = as_list(cols)
+    base = shift(sentinel_to_null(df, cols, value), cols, order, by, offset, chunk)
+    out = base.withColumns({c: F.when(F.col(c).isNull(), F.col(f"_sh_{c}")).otherwise(F.col(c)) for c in cols})
+    return out.select(*df.columns)
 
 
-def lag_fill(df: DataFrame, cols, order, by=(), value=NAN) -> DataFrame:
+def lag_fill(df: DataFrame, cols, order, by=(), value=NAN, chunk=None) -> DataFrame:
     """Fill a gap from the row immediately before only (I4); the second gap of a run stays NULL."""
-    return _step_fill(df, cols, order, by, value, 1)
+    return _step_fill(df, cols, order, by, value, 1, chunk)
 
 
-def lead_fill(df: DataFrame, cols, order, by=(), value=NAN) -> DataFrame:
+def lead_fill(df: DataFrame, cols, order, by=(), value=NAN, chunk=None) -> DataFrame:
     """Fill a gap from the row immediately after only."""
-    return _step_fill(df, cols, order, by, value, -1)
+    return _step_fill(df, cols, order, by, value, -1, chunk)
 
 
 def ffill_pandas_api(df: DataFrame, cols, order, by=()) -> DataFrame:
@@ -154,9 +185,10 @@ def lead_value(c: str, order, by=(), n: int = 1):
     return F.lead(c, n).over(Window.partitionBy(*as_list(by)).orderBy(*_order_cols(order)))
 
 
-def lag_diff(df: DataFrame, c: str, order, by=(), name: str | None = None) -> DataFrame:
+def lag_diff(df: DataFrame, c: str, order, by=(), name: str | None = None, chunk=None) -> DataFrame:
     """Previous value minus current value (note the sign)."""
-    return df.withColumn(name or f"{c}_lag_diff", lag_value(c, order, by) - F.col(c))
+    out = shift(df, [c], order, by, 1, chunk)
+    return out.withColumn(name or f"{c}_lag_diff", F.col(f"_sh_{c}") - F.col(c)).drop(f"_sh_{c}")
 
 
 def last_non_null(c: str, order, by=()):

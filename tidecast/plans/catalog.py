@@ -241,13 +241,14 @@ def _step_sql(src: str, fn: str) -> str:
 
 @register("lag_fill", with_views(_step_sql("joined_multi", "lag"), "joined_multi"))
 def q_lag_fill(spark, d):
-    return fill.lag_fill(fx.joined_multi(spark, d), S, "date", by="symbol")
+    return fill.lag_fill(fx.joined_multi(spark, d), S, "date", by="symbol", chunk="year")
 
 
 @register("lead_fill", with_views(_step_sql("lagged", "lead"), "joined_multi",
                                   extra=[("lagged", _step_sql("joined_multi", "lag"))]))
 def q_lead_fill(spark, d):
-    return fill.lead_fill(fill.lag_fill(fx.joined_multi(spark, d), S, "date", by="symbol"), S, "date", by="symbol")
+    lagged = fill.lag_fill(fx.joined_multi(spark, d), S, "date", by="symbol")
+    return fill.lead_fill(lagged, S, "date", by="symbol", chunk="year")
 
 
 @register("ffill_pandas_api", with_views(_ffill_select("joined_multi", "symbol"), "joined_multi"))
@@ -524,7 +525,7 @@ def q_lead_value(spark, d):
     "SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY date) - close AS close_lag_diff FROM bars_multi",
     "bars_multi"))
 def q_lag_difference(spark, d):
-    return fill.lag_diff(fx.bars_multi(spark, d), "close", "date", "symbol")
+    return fill.lag_diff(fx.bars_multi(spark, d), "close", "date", "symbol", chunk="year")
 
 
 # ---------------------------------------------------------------------------
