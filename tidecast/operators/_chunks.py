@@ -46,3 +46,12 @@ def as_list(x) -> list:
     if isinstance(x, (str, Column)):
         return [x]
     return list(x)
+
+
+def one_row(df) -> Column:
+    """A one-row DataFrame as a single struct-valued scalar subquery.
+
+    Reading several fields of it (``row["a"]``, ``row["b"]``) evaluates the
+    subquery once, where one ``.scalar()`` per column would plan it per column.
+    """
+    return df.select(F.struct(*[F.col(c) for c in df.columns]).alias("_row")).scalar()

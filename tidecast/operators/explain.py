@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidecast.operators._chunks import as_list
+from tidecast.operators._chunks import as_list, one_row
 from tidecast.operators.index import row_index
 
 _TWO31 = float(1 << 31)
@@ -54,12 +54,13 @@ def shap_linear(coefs: DataFrame | Mapping[str, float], background: DataFrame, r
         out = rows.select(*by, row_id, *feats).join(means, by, "left")
         mu = lambda f: F.col(f"_mu_{f}")
     else:
-        means = background.agg(*means_aggs)
+        means = one_row(background.agg(*means_aggs))
         out = rows.select(row_id, *feats)
-        mu = lambda f: means.select(f"_mu_{f}").scalar()
+        mu = lambda f: means[f"_mu_{f}"]
     if isinstance(coefs, DataFrame):
         out = out.join(coefs.select(*by, *[f"coef_{f}" for f in feats]), by, "left") if by else \
-            out.withColumns({f"coef_{f}": coefs.select(f"coef_{f}").scalar() for f in feats})
+            out.withColumns({f"coef_{f}": one_row(coefs.select(*[f"coef_{f}" for f in feats]))[f"coef_{f}"]
+                             for f in feats})
         cf = lambda f: F.col(f"coef_{f}")
     else:
         cf = lambda f: F.lit(float(coefs[f"coef_{f}"]))
@@ -105,8 +106,8 @@ def lime(model, train: DataFrame, rows: DataFrame, features: Sequence[str], row_
         raise ValueError("row_id must not be one of the features")
     k = len(feats)
     width = kernel_width or 0.75 * math.sqrt(k)
-    std = train.agg(*[F.stddev_samp(f).alias(f) for f in feats])
-    sd = {f: F.coalesce(std.select(f).scalar(), F.lit(0.0)) for f in feats}
+    std = one_row(train.agg(*[F.stddev_samp(f).alias(f) for f in feats]))
+    sd = {f: F.coalesce(std[f], F.lit(0.0)) for f in feats}
     base = rows.select(row_id, *feats).withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))))
     z = {f: F.when(F.col("_s") == 0, F.lit(0.0)).otherwise(
         _normal(F.col(row_id), F.col("_s"), F.lit(j), F.lit(seed))) for j, f in enumerate(feats)}

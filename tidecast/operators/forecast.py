@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.functions import calendar as cal
-from tidecast.operators._chunks import as_list
+from tidecast.operators._chunks import as_list, one_row
 from tidecast.operators.split import latest
 
 CALENDAR = ("year", "month", "day", "fulldate")
@@ -43,7 +43,8 @@ def carry_forward(df: DataFrame, n: int = 10, by=(), date_col: str = "date", idx
     if by:
         out = fut.join(carried, by, "left")
     else:
-        out = fut.withColumns({c: carried.select(c).scalar() for c in carried.columns})
+        row = one_row(carried)
+        out = fut.withColumns({c: row[c] for c in carried.columns})
     if has_idx:
         out = out.withColumn(idx, F.col("_last_idx") + F.col("step")).drop("_last_idx")
     cal_cols = [c for c in calendar if c in df.columns]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidecast.operators._chunks import as_list
+from tidecast.operators._chunks import as_list, one_row
 
 # name -> estimator factory (M9). Unknown names raise instead of falling through.
 MODELS: dict[str, Callable[..., object]] = {
@@ -24,6 +24,12 @@ MODELS: dict[str, Callable[..., object]] = {
 }
 
 
+# The grid search the reference runs (random forest, 30 random folds,
+# 9 settings = 270 fits plus the refit). The registered query uses a small grid.
+REFERENCE_RF_GRID = {"numTrees": [50, 100, 150], "maxDepth": [5, 10, 15]}
+REFERENCE_FOLDS = 30
+
+
 def model_choice(name: str, **params):
     """The estimator registered under ``name`` (M9)."""
     try:
@@ -149,8 +155,9 @@ def predict_grouped_linear(coefs: DataFrame, df: DataFrame, features: Sequence[s
         icpt = F.col("intercept")
     else:
         out = df
-        coef = lambda f: c.select(f"coef_{f}").scalar()
-        icpt = c.select("intercept").scalar()
+        row = one_row(c)
+        coef = lambda f: row[f"coef_{f}"]
+        icpt = row["intercept"]
     pred = icpt
     for f in features:
         pred = pred + coef(f) * F.col(f)

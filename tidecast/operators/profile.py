@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.functions.columns import is_missing
-from tidecast.operators._chunks import as_list
+from tidecast.operators._chunks import as_list, one_row
 
 
 def drop_missing(df: DataFrame, subset=None) -> DataFrame:
@@ -73,8 +73,8 @@ def histogram(df: DataFrame, col: str = "close", bins: int = 20, by=(), clamp_la
         mn, mx = F.col("_min"), F.col("_max")
     else:
         base = df.select(col)
-        mn = df.agg(F.min(col)).scalar()
-        mx = df.agg(F.max(col)).scalar()
+        stats = one_row(df.agg(F.min(col).alias("mn"), F.max(col).alias("mx")))
+        mn, mx = stats["mn"], stats["mx"]
     width = (mx - mn) / F.lit(float(bins))
     b = F.coalesce(F.try_divide(x - mn, width).cast("int"), F.lit(0))
     if clamp_last:

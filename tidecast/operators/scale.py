@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.operators._chunks import as_list
+from tidecast.operators._chunks import as_list, one_row
 
 
 def _fit_apply(df: DataFrame, cols, fit_on, by, stat_aggs, transform) -> DataFrame:
@@ -19,9 +19,9 @@ def _fit_apply(df: DataFrame, cols, fit_on, by, stat_aggs, transform) -> DataFra
         ref = lambda name: F.col(name)
     else:
         # a single row of statistics: scalar subqueries, no join at all
-        stats = fit.agg(*aggs)
+        stats = one_row(fit.agg(*aggs))
         out = df
-        ref = lambda name: stats.select(name).scalar()
+        ref = lambda name: stats[name]
     out = out.withColumns({c: transform(c, ref) for c in cols})
     return out.select(*df.columns)
 

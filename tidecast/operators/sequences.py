@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecast.operators._chunks import as_list
+from tidecast.operators._chunks import as_list, one_row
 from tidecast.operators.index import row_index
 
 
@@ -52,8 +52,11 @@ def build_sequences(df: DataFrame, cols: Sequence[str], order="date", by=(), win
         "_kmax", F.greatest(F.ceil((F.col("_n") + F.col("_pad") - F.lit(span)) / F.lit(stride)), F.lit(0)) - 1)
     keys = counts.select(*by, "_pad", "_kmax")
     real = df.select(*by, F.col(idx).alias("_i"), _values(cols).alias("_v"))
-    real = (real.join(keys, by, "inner") if by else real.withColumns(
-        {"_pad": keys.select("_pad").scalar(), "_kmax": keys.select("_kmax").scalar()}))
+    if by:
+        real = real.join(keys, by, "inner")
+    else:
+        k = one_row(keys)
+        real = real.withColumns({"_pad": k["_pad"], "_kmax": k["_kmax"]})
     real = real.select(*by, (F.col("_i") + F.col("_pad")).alias("_p"), "_v", "_kmax")
     zeros = F.array(*[F.lit(0.0) for _ in cols])
     pad_rows = keys.where(F.col("_pad") > 0).select(

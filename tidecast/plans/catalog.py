@@ -581,6 +581,24 @@ def q_is_nan_is_null(spark, d):
                     F.isnan(F.coalesce("m_monthly", F.lit(float("nan")))).alias("monthly_is_nan"))
 
 
+@register("is_null", with_views(
+    "SELECT date, m_monthly IS NULL AS monthly_is_null, m_weekly IS NULL AS weekly_is_null FROM joined", "joined"))
+def q_is_null(spark, d):
+    j = fx.joined(spark, d)
+    return j.select("date", F.col("m_monthly").isNull().alias("monthly_is_null"),
+                    F.col("m_weekly").isNull().alias("weekly_is_null"))
+
+
+@register("is_nan", with_views(
+    "SELECT date, isnan(coalesce(m_monthly, 'NaN'::DOUBLE)) AS monthly_is_nan, isnan(close) AS close_is_nan "
+    "FROM joined", "joined"))
+def q_is_nan(spark, d):
+    # gaps arrive as NaN from a pandas-style source; isnan is only defined on float/double columns
+    j = fx.joined(spark, d)
+    return j.select("date", F.isnan(F.coalesce("m_monthly", F.lit(float("nan")))).alias("monthly_is_nan"),
+                    F.isnan("close").alias("close_is_nan"))
+
+
 @register("literal", with_views(
     "SELECT date, 1.0 AS one, CAST(NULL AS DOUBLE) AS missing FROM bars", "bars"))
 def q_literal(spark, d):
