@@ -51,3 +51,15 @@ def test_rolling_frames_and_single_step(spark):
         (2, [0.0, 1.0, 2.0], [3.0, 4.0]), (3, [1.0, 2.0, 3.0], [4.0, 5.0])]
     s = sequences.single_step_sequences(df, ["v", "t"]).orderBy("t").first()
     assert s.seq == [[0.0, 0.0]]
+
+
+def test_rolling_frames_bucketed_equal_plain(spark):
+    b = fx.bars_multi(spark, SF01).select("symbol", "date", "close", F.col("volume").cast("double").alias("volume"))
+    for w, t, rows_per in [(5, 2, 50), (20, 3, 64), (3, 0, 2)]:
+        a = sequences.rolling_frame_sequences(b, ["close", "volume"], "date", by="symbol", window=w, telescope=t)
+        c = sequences.rolling_frame_sequences(b, ["close", "volume"], "date", by="symbol", window=w, telescope=t,
+                                              bucket_rows=rows_per, chunk="year")
+        key = lambda r: (r.symbol, r.date)
+        ra = sorted(((key(r), r.inputs, r.labels) for r in a.collect()))
+        rc = sorted(((key(r), r.inputs, r.labels) for r in c.collect()))
+        assert ra == rc

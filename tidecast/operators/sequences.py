@@ -94,20 +94,50 @@ def single_step_sequences(df: DataFrame, cols: Sequence[str], name: str = "seq")
 
 
 def rolling_frame_sequences(df: DataFrame, cols: Sequence[str], order="date", by=(), window: int = 20,
-                            telescope: int = 1, complete: bool = True) -> DataFrame:
+                            telescope: int = 1, complete: bool = True, bucket_rows: int | None = None,
+                            chunk=None) -> DataFrame:
     """Input = this row and the ``window - 1`` before it, label = the next ``telescope`` rows.
 
     Row frames of ``collect_list``: bounded per row by the frame width, and
     ordered, because a window frame is evaluated over sorted rows.
     ``complete`` keeps only rows whose frames are full.
+
+    ``bucket_rows`` splits each key into buckets of that many consecutive rows
+    (by a dense index, itself computed with ``chunk`` if given). Each bucket
+    also receives copies of the ``window - 1`` rows before it and the
+    ``telescope`` rows after it as context, so frames that cross a bucket
+    border are exact while no task holds more than
+    ``bucket_rows + window + telescope`` rows of a key.
     """
     by = as_list(by)
-    w = Window.partitionBy(*by).orderBy(*[F.col(o) for o in as_list(order)])
-    out = df.withColumns({
-        "inputs": F.collect_list(_values(cols)).over(w.rowsBetween(-(window - 1), 0)),
-        "labels": F.collect_list(_values(cols)).over(w.rowsBetween(1, telescope)) if telescope > 0
-        else F.array().cast("array<array<double>>"),
-    })
+    vals = _values(cols)
+    if bucket_rows is None:
+        w = Window.partitionBy(*by).orderBy(*[F.col(o) for o in as_list(order)])
+        out = df.withColumns({
+            "inputs": F.collect_list(vals).over(w.rowsBetween(-(window - 1), 0)),
+            "labels": F.collect_list(vals).over(w.rowsBetween(1, telescope)) if telescope > 0
+            else F.array().cast("array<array<double>>"),
+        })
+    else:
+        if bucket_rows < max(window - 1, telescope):
+            raise ValueError("bucket_rows must be at least max(window - 1, telescope)")
+        idx = row_index(df, order, by, name="_ri", chunk=chunk)
+        b = F.floor(F.col("_ri") / F.lit(bucket_rows))
+        pos = F.col("_ri") - b * bucket_rows
+        own = idx.withColumns({"_b": b, "_own": F.lit(True)})
+        # the last window - 1 rows of a bucket are context for the next bucket
+        after = idx.where(pos >= bucket_rows - (window - 1)).withColumns({"_b": b + 1, "_own": F.lit(False)})
+        parts = own.unionByName(after)
+        if telescope > 0:
+            # the first telescope rows of a bucket are look-ahead for the previous one
+            before = idx.where((pos < telescope) & (b > 0)).withColumns({"_b": b - 1, "_own": F.lit(False)})
+            parts = parts.unionByName(before)
+        w = Window.partitionBy(*by, "_b").orderBy("_ri")
+        out = parts.withColumns({
+            "inputs": F.collect_list(vals).over(w.rowsBetween(-(window - 1), 0)),
+            "labels": F.collect_list(vals).over(w.rowsBetween(1, telescope)) if telescope > 0
+            else F.array().cast("array<array<double>>"),
+        }).where("_own").select(*df.columns, "inputs", "labels")
     if complete:
         out = out.where((F.size("inputs") == window) & (F.size("labels") == telescope))
     return out

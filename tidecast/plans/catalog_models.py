@@ -155,7 +155,7 @@ WHERE a.idx >= {_RW - 1} AND a.idx + {_RT} < a.n""", "bars_multi", extra=[
           "count(*) OVER (PARTITION BY symbol) AS n FROM bars_multi")]))
 def q_rolling_frame_sequences(spark, d):
     s = sequences.rolling_frame_sequences(_seq_input(spark, d), SEQ_COLS, "date", by="symbol",
-                                          window=_RW, telescope=_RT)
+                                          window=_RW, telescope=_RT, bucket_rows=256, chunk="year")
     return sequences.sequences_long(s.select("symbol", "date", "inputs", "labels"), SEQ_COLS,
                                     by="symbol", anchor="date")
 
