@@ -178,26 +178,27 @@ def shap_sampled(model, background: DataFrame, rows: DataFrame, features: Sequen
     pairs = pairs.withColumn("_bi", F.pmod(F.xxhash64(F.col(row_id), F.col("_perm"), F.lit(seed)), n_bg))
     bgx = bg.select("_bi", *[F.col(f).alias(f"_b{j}") for j, f in enumerate(feats)])
     pairs = pairs.join(bgx, "_bi", "inner")
-    # rank of each feature in the permutation
-    hs = [F.xxhash64(F.col(row_id), F.col("_perm"), F.lit(j), F.lit(seed + 1)) for j in range(k)]
-    ranks = {}
-    for j in range(k):
-        r = F.lit(0)
-        for i in range(k):
-            if i != j:
-                r = r + F.when((hs[i] < hs[j]) | ((hs[i] == hs[j]) & F.lit(i < j)), 1).otherwise(0)
-        ranks[j] = r
-    pairs = pairs.withColumns({f"_r{j}": ranks[j] for j in range(k)})
+    # the permutation: feature indices sorted by a hash of (row, permutation, feature)
+    keyed = F.array(*[F.struct(F.xxhash64(F.col(row_id), F.col("_perm"), F.lit(j), F.lit(seed + 1)).alias("h"),
+                               F.lit(j).alias("j")) for j in range(k)])
+    pairs = pairs.withColumn("_order", F.transform(F.array_sort(keyed), lambda e: e["j"]))
+    # step t switches the features at positions < t of the permutation from background to row values
     pts = pairs.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(k))))
-    pts = pts.select(row_id, "_perm", "_t", *[f"_r{j}" for j in range(k)], *[
-        F.when(F.col(f"_r{j}") < F.col("_t"), F.col(f"_x{j}")).otherwise(F.col(f"_b{j}")).alias(f)
+    switched = F.slice(F.col("_order"), 1, F.col("_t"))
+    pts = pts.select(row_id, "_perm", "_t", "_order", *[
+        F.when(F.array_contains(switched, j), F.col(f"_x{j}")).otherwise(F.col(f"_b{j}")).alias(f)
         for j, f in enumerate(feats)])
-    scored = model.transform(pts).select(row_id, "_perm", "_t", *[f"_r{j}" for j in range(k)], "prediction")
-    w = Window.partitionBy(row_id, "_perm").orderBy("_t")
-    scored = scored.withColumn("_d", F.col("prediction") - F.lag("prediction").over(w)).where(F.col("_t") > 0)
-    # the feature switched at step t is the one with rank t - 1
-    fname = F.lit(None).cast("string")
-    for j, f in enumerate(feats):
-        fname = F.when(F.col(f"_r{j}") == F.col("_t") - 1, F.lit(f)).otherwise(fname)
-    scored = scored.withColumn("feature", fname)
+    scored = model.transform(pts).select(row_id, "_perm", "_t", "_order", "prediction")
+    # per (row, permutation): the k + 1 predictions in step order (a bounded group), then the
+    # change at step t goes to the feature at position t of the permutation. Array functions
+    # instead of a lag window + filter: a filter above the wide projection makes Catalyst's
+    # constraint inference explode on this plan.
+    g = scored.groupBy(row_id, "_perm", "_order").agg(
+        F.array_sort(F.collect_list(F.struct("_t", "prediction"))).alias("_ps"))
+    names = F.array(*[F.lit(f) for f in feats])
+    steps = F.sequence(F.lit(1), F.lit(k))
+    contrib = F.transform(steps, lambda t: F.struct(
+        F.element_at(names, F.element_at(F.col("_order"), t) + 1).alias("feature"),
+        (F.element_at(F.col("_ps"), t + 1)["prediction"] - F.element_at(F.col("_ps"), t)["prediction"]).alias("_d")))
+    scored = g.select(row_id, F.inline(contrib))
     return scored.groupBy(row_id, "feature").agg(F.avg("_d").alias("phi"))
