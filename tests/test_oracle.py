@@ -4,6 +4,7 @@ import pytest
 
 from conftest import SF01, SF001
 from oracle_compare import canon, duck
+from schema_compare import DUCK_TO_SPARK
 
 from tidecast.plans.registry import all_queries
 
@@ -18,7 +19,11 @@ def con():
 @pytest.mark.parametrize("name", sorted(n for n, (_f, sql) in REG.items() if sql))
 def test_query_matches_oracle(spark, con, name):
     fn, sql = REG[name]
-    got = canon(fn(spark, SF01).toPandas())
+    df = fn(spark, SF01)
+    types = {f.name.lower(): f.dataType.simpleString() for f in df.schema.fields}
+    duck_types = {r[0].lower(): DUCK_TO_SPARK.get(r[1], r[1]) for r in con.sql(f"DESCRIBE ({sql})").fetchall()}
+    assert types == duck_types
+    got = canon(df.toPandas())
     want = canon(con.sql(sql).df())
     assert got[0] == want[0]
     assert got[1] == want[1]

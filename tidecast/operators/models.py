@@ -52,7 +52,13 @@ def make_pipeline(kind: str, features: Sequence[str], label: str = "close", **pa
 
 
 def fit(df: DataFrame, kind: str, features: Sequence[str], label: str = "close", **params) -> PipelineModel:
-    """Fit a pipeline of assembler + ``kind`` on ``df`` (M1-M4)."""
+    """Fit a pipeline of assembler + ``kind`` on ``df`` (M1-M4).
+
+    The shared checkpoint folder is registered first, so iterative learners
+    (boosting, deep trees) cut their lineage there instead of keeping it whole.
+    """
+    from tidecast.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     return make_pipeline(kind, features, label, **params).fit(df)
 
 

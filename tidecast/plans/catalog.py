@@ -600,7 +600,7 @@ def q_is_nan(spark, d):
 
 
 @register("literal", with_views(
-    "SELECT date, 1.0 AS one, CAST(NULL AS DOUBLE) AS missing FROM bars", "bars"))
+    "SELECT date, CAST(1.0 AS DOUBLE) AS one, CAST(NULL AS DOUBLE) AS missing FROM bars", "bars"))
 def q_literal(spark, d):
     return fx.bars(spark, d).select("date", F.lit(1.0).alias("one"), F.lit(None).cast("double").alias("missing"))
 

@@ -65,7 +65,11 @@ def make_bars(df: DataFrame, ts: str, price: str, tie: str | Sequence[str], symb
     pre-aggregates its share of a hot symbol before the shuffle; a symbol that
     holds a third of the trades costs no more than its number of buckets.
     """
-    bucket = F.col(ts).cast("date") if unit == "day" else F.date_trunc(unit, F.col(ts))
+    if unit == "day":
+        bucket = F.col(ts).cast("date")
+    else:
+        # date_trunc returns a session-zone timestamp; keep the input's type (e.g. timestamp_ntz)
+        bucket = F.date_trunc(unit, F.col(ts)).cast(df.schema[ts].dataType)
     talias = time_alias or ("date" if unit == "day" else "ts")
     if weekdays_only:
         df = df.where(F.weekday(F.col(ts)) < 5)
