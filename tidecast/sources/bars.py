@@ -86,3 +86,20 @@ def make_bars(df: DataFrame, ts: str, price: str, tie: str | Sequence[str], symb
         F.max_by(p, order_key).alias("close"),
         vol.alias("volume"),
     )
+
+
+def from_pandas(spark: SparkSession, pdf, schema: T.StructType | str | None = None, index_name: str = "date",
+                reset_index: bool = True) -> DataFrame:
+    """Local pandas frame to a Spark frame with its index as a column.
+
+    A utility for tests and small inputs only: the data passes through the
+    driver. Give ``schema`` to avoid inference (timestamps, missing values).
+    A pandas NaN arrives as NULL when Arrow transfer is on and as NaN when it
+    is off; every operator here treats both as missing.
+    """
+    if reset_index:
+        pdf = pdf.reset_index()
+        first = pdf.columns[0]
+        if first in ("index", None) or first != index_name:
+            pdf = pdf.rename(columns={first: index_name})
+    return spark.createDataFrame(pdf, schema=schema)
