@@ -77,7 +77,11 @@ def main(argv):
     sys.path.insert(0, ".")
     from tidecast.session import get_spark
     from tidecast.plans.registry import all_queries
-    spark = get_spark("oracle-check", {"spark.sql.shuffle.partitions": "8"}, master="local[8]")
+    import os
+    conf = {"spark.sql.shuffle.partitions": "8"}
+    if os.environ.get("SPARK_TZ"):
+        conf["spark.sql.session.timeZone"] = os.environ["SPARK_TZ"]
+    spark = get_spark("oracle-check", conf, master="local[8]")
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     reg = all_queries()
