@@ -61,3 +61,5 @@ def test_write_predictions_layout(spark, tmp_path):
     path = write_predictions(df, str(tmp_path / "p"))
     back = spark.read.parquet(path)
     assert rows(back.select("symbol", "date", "prediction")) == rows(df)
+    plan = back.where("symbol = '2-HIGH'")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(symbol), EqualTo(symbol,2-HIGH)]" in plan
