@@ -132,3 +132,12 @@ def test_stream_equals_batch(spark):
     q = cm.q_score_new_bars(spark, SF01)
     b = cm.q_predict(spark, SF01)
     assert sorted(q.collect()) == sorted(b.collect())
+
+
+def test_prepare_materialized_equals_lazy(spark):
+    from tidecast.plans.flows import prepare
+    from tidecast.sources import fixtures as fx
+    bars = fx.bars_multi(spark, SF01).select("symbol", "date", "open", "close")
+    a = prepare(bars, fx.series_wide(spark, SF01), ["m_monthly"], by="symbol")
+    b = prepare(bars, fx.series_wide(spark, SF01), ["m_monthly"], by="symbol", materialize=True)
+    assert sorted(a.collect()) == sorted(b.collect())

@@ -18,11 +18,14 @@ from tidecast.operators.split import ordered_split
 
 
 def prepare(bars: DataFrame, series_wide: DataFrame, cols: Sequence[str], by=("symbol",), on: str = "date",
-            fill: str | None = "after", ratio: float = 0.8, chunk=None) -> DataFrame:
+            fill: str | None = "after", ratio: float = 0.8, chunk=None, materialize: bool = False) -> DataFrame:
     """Join + fill + drop missing + dense index + ordered split flag.
 
     The index is assigned after the drop, so it has no holes; the split uses
-    the per-key count.
+    the per-key count. ``materialize`` writes the result once to the shared
+    checkpoint folder (``checkpoint()``): later consumers (fit, score,
+    explain) read it instead of re-planning the whole preparation each, and
+    the lineage is cut, so a lost executor costs a re-read, not a recompute.
     """
     by = [b for b in as_list(by) if b in bars.columns]
     right = series_wide.select(on, *cols)
@@ -33,7 +36,12 @@ def prepare(bars: DataFrame, series_wide: DataFrame, cols: Sequence[str], by=("s
         df = enrich(bars, right, on=on, by=by, fill=fill, chunk=chunk)
     df = drop_missing(df)
     df = row_index(df, on, by=by, chunk=chunk)
-    return ordered_split(df, ratio, order=on, by=by, chunk=chunk)
+    out = ordered_split(df, ratio, order=on, by=by, chunk=chunk)
+    if materialize:
+        from tidecast.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(out.sparkSession)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 def forecast_rmse(prepared: DataFrame, features: Sequence[str], label: str = "close", by=("symbol",),
