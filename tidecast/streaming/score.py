@@ -21,11 +21,16 @@ from tidecast.session import shared_path
 
 def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType, features: Sequence[str],
                  coefs: DataFrame | None = None, model=None, by=("symbol",), sink_dir: str | None = None,
-                 keep: Sequence[str] | None = None, available_now: bool = True) -> tuple[str, object]:
+                 keep: Sequence[str] | None = None, available_now: bool = True,
+                 checkpoint_dir: str | None = None) -> tuple[str, object]:
     """Start a stream from ``source_dir`` to ``sink_dir`` (parquet); returns (sink_dir, query).
 
-    With ``available_now`` the query processes what has arrived and stops,
-    which suits scheduled runs; otherwise it keeps running.
+    The checkpoint is stable per sink (``<sink_dir>/_checkpoint`` unless
+    given; readers skip ``_``-prefixed folders), so running the query again
+    after a failure or on a schedule processes only files that arrived since,
+    exactly once. Without ``sink_dir`` a fresh folder in the shared checkpoint
+    folder is used. With ``available_now`` the query processes what has
+    arrived and stops; otherwise it keeps running.
     """
     by = as_list(by)
     stream = spark.readStream.schema(schema).parquet(source_dir)
@@ -37,12 +42,15 @@ def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType, fea
         raise ValueError("give coefs or model")
     if keep is not None:
         scored = scored.select(*keep, "prediction")
-    base = sink_dir or shared_path(spark, "scored")
-    out_dir = os.path.join(base, "data") if sink_dir is None else sink_dir
-    ckpt = os.path.join(base if sink_dir is None else shared_path(spark, "scored-ckpt"), "_checkpoint")
-    writer = scored.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", ckpt)
+    if sink_dir is None:
+        base = shared_path(spark, "scored")
+        sink_dir = os.path.join(base, "data")
+        checkpoint_dir = checkpoint_dir or os.path.join(base, "_checkpoint")
+    checkpoint_dir = checkpoint_dir or os.path.join(sink_dir, "_checkpoint")
+    writer = scored.writeStream.format("parquet").option("path", sink_dir) \
+        .option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     q = writer.start()
     if available_now:
         q.awaitTermination()
-    return out_dir, q
+    return sink_dir, q
