@@ -129,20 +129,25 @@ def lime(model, train: DataFrame, rows: DataFrame, features: Sequence[str], row_
                            T.StructField("weight", T.DoubleType())])
 
     def solve(batches):
+        # batched weighted least squares: one pseudo-inverse per Arrow batch of rows
         for pdf in batches:
-            out = []
-            for _, r in pdf.iterrows():
-                g = np.empty((k + 1, k + 1))
-                for a in range(k + 1):
-                    for b in range(a, k + 1):
-                        g[a, b] = g[b, a] = r[f"_g{a}_{b}"]
-                h = np.array([r[f"_h{a}"] for a in range(k + 1)], dtype=float)
-                beta = np.linalg.lstsq(g, h, rcond=None)[0]
-                out.append((r[row_id], "(intercept)", float(beta[0])))
-                for j, f in enumerate(feats):
-                    s = float(r[f"_sd{j}"])
-                    out.append((r[row_id], f, float(beta[j + 1] / s) if s > 0 else 0.0))
-            yield pd.DataFrame(out, columns=[row_id, "feature", "weight"])
+            n = len(pdf)
+            g = np.empty((n, k + 1, k + 1))
+            for a in range(k + 1):
+                for b in range(a, k + 1):
+                    g[:, a, b] = g[:, b, a] = pdf[f"_g{a}_{b}"].to_numpy(dtype=float)
+            h = np.stack([pdf[f"_h{a}"].to_numpy(dtype=float) for a in range(k + 1)], axis=1)
+            beta = (np.linalg.pinv(g) @ h[:, :, None])[:, :, 0]
+            sdv = np.stack([pdf[f"_sd{j}"].to_numpy(dtype=float) for j in range(k)], axis=1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                per_unit = np.where(sdv > 0, beta[:, 1:] / sdv, 0.0)
+            ids = pdf[row_id].to_numpy()
+            feats_col = np.array(["(intercept)", *feats], dtype=object)
+            yield pd.DataFrame({
+                row_id: np.repeat(ids, k + 1),
+                "feature": np.tile(feats_col, n),
+                "weight": np.concatenate([beta[:, :1], per_unit], axis=1).reshape(-1),
+            })
 
     res = mom.mapInPandas(solve, schema)
     if top_k:

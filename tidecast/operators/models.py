@@ -134,18 +134,22 @@ def fit_grouped_linear(df: DataFrame, features: Sequence[str], label: str = "clo
                            *[T.StructField(c, T.DoubleType()) for c in coef_names]])
 
     def solve(batches):
+        # one batched pseudo-inverse per Arrow batch of keys (singular systems get the
+        # minimum-norm solution, as lstsq would)
         for pdf in batches:
-            rows = []
-            for _, r in pdf.iterrows():
-                cxx = np.empty((k, k))
-                for i in range(k):
-                    for j in range(i, k):
-                        cxx[i, j] = cxx[j, i] = r[f"_c{i}_{j}"]
-                cxy = np.array([r[f"_cy{i}"] for i in range(k)], dtype=float)
-                beta = np.linalg.lstsq(cxx, cxy, rcond=None)[0]
-                mx = np.array([r[f"_m{i}"] for i in range(k)], dtype=float)
-                rows.append([*[r[b] for b in by], int(r["n"]), float(r["_my"] - beta @ mx), *map(float, beta)])
-            yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
+            cxx = np.empty((len(pdf), k, k))
+            for i in range(k):
+                for j in range(i, k):
+                    cxx[:, i, j] = cxx[:, j, i] = pdf[f"_c{i}_{j}"].to_numpy(dtype=float)
+            cxy = np.stack([pdf[f"_cy{i}"].to_numpy(dtype=float) for i in range(k)], axis=1)
+            beta = (np.linalg.pinv(cxx) @ cxy[:, :, None])[:, :, 0]
+            mx = np.stack([pdf[f"_m{i}"].to_numpy(dtype=float) for i in range(k)], axis=1)
+            out = pdf[by].copy() if by else pd.DataFrame(index=pdf.index)
+            out["n"] = pdf["n"].astype("int64")
+            out["intercept"] = pdf["_my"].to_numpy(dtype=float) - (beta * mx).sum(axis=1)
+            for i, c in enumerate(coef_names):
+                out[c] = beta[:, i]
+            yield out[[f.name for f in schema.fields]]
 
     return mom.mapInPandas(solve, schema)
 
