@@ -25,7 +25,7 @@ def sentinel_to_null(df: DataFrame, cols: Sequence[str], value=NAN) -> DataFrame
 
 
 def _fill(df: DataFrame, cols, order, by, value, chunk, forward: bool, backward: bool,
-          default=None) -> DataFrame:
+          default=None, peers: bool = False) -> DataFrame:
     cols = as_list(cols)
     by = as_list(by)
     ords = _order_cols(order)
@@ -35,8 +35,10 @@ def _fill(df: DataFrame, cols, order, by, value, chunk, forward: bool, backward:
     else:
         base = base.withColumn(CHUNK, chunk_expr(chunk, as_list(order)[0]))
         part = [*by, CHUNK]
-    wf = Window.partitionBy(*part).orderBy(*ords).rowsBetween(UNB, 0)
-    wb = Window.partitionBy(*part).orderBy(*ords).rowsBetween(0, UNF)
+    base_w = Window.partitionBy(*part).orderBy(*ords)
+    # peers: a RANGE frame, so rows that share the order value (duplicate dates) see the same frame
+    wf = base_w.rangeBetween(UNB, 0) if peers else base_w.rowsBetween(UNB, 0)
+    wb = base_w.rangeBetween(0, UNF) if peers else base_w.rowsBetween(0, UNF)
     exprs = {}
     for c in cols:
         if forward:
@@ -87,14 +89,17 @@ def _fill(df: DataFrame, cols, order, by, value, chunk, forward: bool, backward:
     return out.select(*df.columns)
 
 
-def forward_fill(df: DataFrame, cols, order, by=(), value=NAN, default=None, chunk=None) -> DataFrame:
+def forward_fill(df: DataFrame, cols, order, by=(), value=NAN, default=None, chunk=None,
+                 peers: bool = False) -> DataFrame:
     """Per column: sentinel to NULL, then the last non-null value up to this row.
 
     ``by`` partitions the series; leading gaps stay NULL unless ``default`` is
     given (I7). ``chunk`` (for example ``"year"``) spreads a long series over
     many tasks and gives the same result (I2). All columns share one window.
+    ``peers=True`` uses a RANGE frame (the SQL default), so rows with the same
+    order value, such as duplicate dates, all receive the same fill.
     """
-    return _fill(df, cols, order, by, value, chunk, forward=True, backward=False, default=default)
+    return _fill(df, cols, order, by, value, chunk, forward=True, backward=False, default=default, peers=peers)
 
 
 def backward_fill(df: DataFrame, cols, order, by=(), value=NAN, chunk=None) -> DataFrame:
