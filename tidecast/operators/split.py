@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidecast.operators._chunks import as_list
 from tidecast.operators.index import row_index
@@ -81,17 +82,31 @@ def test_dates(df: DataFrame, flag: str = "is_train", cols=("date",), by=()) ->
     return df.where(~F.col(flag)).select(*as_list(by), *cols)
 
 
+_FIXED = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+          T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def _pick(df: DataFrame, by, order, largest: bool) -> DataFrame:
     by = as_list(by)
     rest = [c for c in df.columns if c not in by]
-    okey = F.struct(*[F.col(o) for o in as_list(order)])
-    agg = (F.max_by if largest else F.min_by)(F.struct(*rest), okey).alias("_row")
+    orders = as_list(order)
+    okey = F.col(orders[0]) if len(orders) == 1 else F.struct(*[F.col(o) for o in orders])
+    pick = F.max_by if largest else F.min_by
+    if len(orders) == 1 and all(isinstance(df.schema[c].dataType, _FIXED) for c in rest):
+        # fixed-width values and order key: one max_by per column keeps the aggregation
+        # hash-based (a struct value forces a sort aggregate); the order key must be unique per key
+        aggs = [pick(F.col(c), okey).alias(c) for c in rest]
+        return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    agg = pick(F.struct(*rest), okey).alias("_row")
     out = df.groupBy(*by).agg(agg) if by else df.agg(agg)
     return out.select(*by, "_row.*")
 
 
 def latest(df: DataFrame, by=(), order="date") -> DataFrame:
-    """The latest row of each key (O11); an aggregate, so a hot key is pre-reduced per task."""
+    """The latest row of each key (O11); an aggregate, so a hot key is pre-reduced per task.
+
+    The order value must be unique within a key (one row per date).
+    """
     return _pick(df, by, order, largest=True)
 
 

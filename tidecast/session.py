@@ -44,7 +44,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="tidecast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # Spark Connect sessions have no SparkContext; the server reads the setting
+        pass
     return path
 
 
