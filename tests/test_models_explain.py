@@ -161,3 +161,16 @@ def test_stream_resumes_without_duplicates(spark, tmp_path):
     assert first == arrived.where("idx % 2 = 0").count()
     assert out.count() == arrived.count()
     assert out.select("symbol", "idx").distinct().count() == arrived.count()
+
+
+def test_predict_future_with_pipeline(spark, data):
+    train, _ = data
+    feats = ["open", "volume", "year", "month", "day", "fulldate"]
+    m = models.fit(train, "lr", feats, "close")
+    hist = cm.model_data(spark, SF01)
+    fut = forecast.carry_forward(hist.drop("is_train"), 10, by="symbol")
+    out = models.predict(m, fut)
+    assert out.count() == 5 * 11
+    r = out.where("step = 3").select("date", "year", "month", "day", "fulldate").collect()
+    assert all(x.fulldate == x.date.year * 10000 + x.date.month * 100 + x.date.day for x in r)
+    assert out.where(F.col("prediction").isNull()).count() == 0

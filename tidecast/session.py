@@ -22,6 +22,22 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of executors, tens of TB per job). Partition sizes
+# are advisory targets for AQE, which splits skewed partitions and coalesces small ones at
+# run time, so the static shuffle partition count only has to be large enough.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
 def get_spark(app: str = "tidecast", conf: dict | None = None, master: str | None = None) -> SparkSession:
     """Build (or reuse) a session with our defaults plus ``conf`` overrides."""
     builder = SparkSession.builder.appName(app)
