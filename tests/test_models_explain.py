@@ -174,3 +174,29 @@ def test_predict_future_with_pipeline(spark, data):
     r = out.where("step = 3").select("date", "year", "month", "day", "fulldate").collect()
     assert all(x.fulldate == x.date.year * 10000 + x.date.month * 100 + x.date.day for x in r)
     assert out.where(F.col("prediction").isNull()).count() == 0
+
+
+def test_lime_quartile_properties(spark, data):
+    train, test = data
+    feats = ["open", "high", "low", "volume", "m_monthly", "m_weekly", "m_daily", "year"]
+    m = models.fit(train, "rf", feats, "close", numTrees=3)
+    rows = test.limit(3).withColumn("rid", F.col("idx"))
+    a = explain.lime_quartile(m, train, rows, feats, row_id="rid", n_samples=400, num_features=5)
+    got = a.collect()
+    # more than six features and more than num_features: the top five are kept per row
+    assert len(got) == 3 * 5
+    vals = {r.rid: r for r in rows.collect()}
+    for r in got:
+        x = vals[r.rid][r.feature]
+        cond = r.condition
+        if cond.startswith(f"{r.feature} <= "):
+            assert x <= float(cond.split("<= ")[1]) + 0.005
+        elif cond.startswith(f"{r.feature} > "):
+            assert x > float(cond.split("> ")[1]) - 0.005
+        else:
+            lo, hi = float(cond.split(" < ")[0]), float(cond.split("<= ")[1])
+            assert lo - 0.005 < x <= hi + 0.005
+    # re-evaluation on a different partitioning gives the same numbers
+    b = explain.lime_quartile(m, train.repartition(3), rows.repartition(2), feats, row_id="rid", n_samples=400,
+                              num_features=5)
+    assert sorted(got) == sorted(b.collect())

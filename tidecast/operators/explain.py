@@ -207,3 +207,138 @@ def shap_sampled(model, background: DataFrame, rows: DataFrame, features: Sequen
         (F.element_at(F.col("_ps"), t + 1)["prediction"] - F.element_at(F.col("_ps"), t)["prediction"]).alias("_d")))
     scored = g.select(row_id, F.inline(contrib))
     return scored.groupBy(row_id, "feature").agg(F.avg("_d").alias("phi"))
+
+
+def _truncated_normal(mean, std, lo, hi, *seed_cols, tries: int = 8) -> F.Column:
+    """Draw from N(mean, std) truncated to [lo, hi]: the first of ``tries`` hashed draws inside
+    the interval (exact rejection sampling), the last one clipped if none is."""
+    cands = [mean + std * _normal(*seed_cols, F.lit(100 + t)) for t in range(tries)]
+    inside = [F.when((c >= lo) & (c <= hi), c) for c in cands]
+    clipped = F.least(F.greatest(cands[-1], lo), hi)
+    return F.when(std > 0, F.coalesce(*inside, clipped)).otherwise(mean)
+
+
+def lime_quartile(model, train: DataFrame, rows: DataFrame, features: Sequence[str], row_id: str = "idx",
+                  n_samples: int = 5000, seed: int = 42, kernel_width: float | None = None,
+                  num_features: int = 10, alpha: float = 1.0, accuracy: int = 10000) -> DataFrame:
+    """Local surrogate with quartile-discretized features, the common tabular default.
+
+    Per feature, train quartiles (``percentile_approx``, a mergeable sketch)
+    cut values into four bins. Each sample draws a bin per feature with the
+    bins' train frequencies and a value from the bin's truncated normal
+    (sample 0 is the row itself); the surrogate sees 1 where the sample's bin
+    equals the row's. Weights are ``sqrt(exp(-d² / width²))`` on that binary
+    representation; with more than ``num_features`` features (and more than
+    six) the ``num_features`` largest |coefficients| of a weighted ridge
+    (alpha 0.01) are kept; the answer is a weighted ridge (``alpha``, free
+    intercept) on them. All draws are hashes of (row, sample, feature, seed).
+
+    Output (row_id, feature, condition, weight), conditions such as
+    ``"12.50 < open <= 20.00"``.
+    """
+    feats = list(features)
+    if row_id in feats:
+        raise ValueError("row_id must not be one of the features")
+    k = len(feats)
+    width = kernel_width or 0.75 * math.sqrt(k)
+    # the explainer's parameters, fitted on train like a model's: 3 quartile edges per
+    # feature and at most 4 bins per feature (bounded by the feature count, not the data),
+    # computed by two aggregations and then used as literals
+    qrow = train.agg(*[F.percentile_approx(f, [0.25, 0.5, 0.75], accuracy).alias(f) for f in feats]).first()
+    edges = {f: [float(x) for x in qrow[f]] for f in feats}
+
+    def bin_of(x, f):
+        e = edges[f]
+        return F.when(x <= e[0], 0).when(x <= e[1], 1).when(x <= e[2], 2).otherwise(3)
+
+    longv = train.select(F.inline(F.array(*[
+        F.struct(F.lit(j).alias("j"), bin_of(F.col(f), f).alias("b"), F.col(f).cast("double").alias("v"))
+        for j, f in enumerate(feats)])))
+    bs = longv.groupBy("j", "b").agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mu"),
+                                     F.stddev_pop("v").alias("sd"), F.min("v").alias("lo"),
+                                     F.max("v").alias("hi")).collect()
+    tot = {j: sum(r.n for r in bs if r.j == j) for j in range(k)}
+    stat = {(r.j, r.b): r for r in bs}
+    cfs = {}
+    for j in range(k):
+        acc, cf = 0, []
+        for b in range(4):
+            acc += stat[(j, b)].n if (j, b) in stat else 0
+            cf.append(acc / tot[j] if tot[j] else 1.0)
+        cfs[j] = cf
+
+    def bin_param(j, bcol, name):
+        expr = F.lit(None).cast("double")
+        for b in range(4):
+            if (j, b) in stat and stat[(j, b)][name] is not None:
+                expr = F.when(bcol == b, F.lit(float(stat[(j, b)][name]))).otherwise(expr)
+        return expr
+
+    base = rows.select(row_id, *feats).withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))))
+    stage1 = {}
+    for j, f in enumerate(feats):
+        u = _uniform(F.col(row_id), F.col("_s"), F.lit(j), F.lit(seed))
+        cf = cfs[j]
+        stage1[f"_i{j}"] = bin_of(F.col(f), f)
+        stage1[f"_d{j}"] = F.when(u < cf[0], 0).when(u < cf[1], 1).when(u < cf[2], 2).otherwise(3)
+    base = base.withColumns(stage1)
+    base = base.withColumns({f"_b{j}": F.when(F.col("_s") == 0, F.col(f"_i{j}")).otherwise(F.col(f"_d{j}"))
+                             for j in range(k)})
+    base = base.withColumns({f"_{p}{j}": bin_param(j, F.col(f"_b{j}"), name)
+                             for j in range(k) for p, name in (("mu", "mu"), ("sd", "sd"), ("lo", "lo"), ("hi", "hi"))})
+    vals = {}
+    for j, f in enumerate(feats):
+        v = _truncated_normal(F.col(f"_mu{j}"), F.coalesce(F.col(f"_sd{j}"), F.lit(0.0)), F.col(f"_lo{j}"),
+                              F.col(f"_hi{j}"), F.col(row_id), F.col("_s"), F.lit(j), F.lit(seed))
+        vals[f] = F.when(F.col("_s") == 0, F.col(f).cast("double")).otherwise(v)
+    zcols = {f"_z{j}": (F.col(f"_b{j}") == F.col(f"_i{j}")).cast("double") for j in range(k)}
+    pts = base.select(row_id, "_s", *[c.alias(f) for f, c in vals.items()], *[c.alias(n) for n, c in zcols.items()],
+                      *[F.col(f"_i{j}") for j in range(k)])
+    scored = model.transform(pts).select(row_id, *zcols, *[f"_i{j}" for j in range(k)], F.col("prediction").alias("_y"))
+    d2 = sum(((F.lit(1.0) - F.col(f"_z{j}")) ** 2 for j in range(k)), F.lit(0.0))
+    scored = scored.withColumns({"_w": F.sqrt(F.exp(-d2 / F.lit(width * width))), "_one": F.lit(1.0)})
+    zs = ["_one", *[f"_z{j}" for j in range(k)]]
+    aggs = [F.sum(F.col("_w") * F.col(zs[a]) * F.col(zs[b])).alias(f"_g{a}_{b}")
+            for a in range(k + 1) for b in range(a, k + 1)]
+    aggs += [F.sum(F.col("_w") * F.col(zs[a]) * F.col("_y")).alias(f"_h{a}") for a in range(k + 1)]
+    # the row's own bins ride along (constant per row), so ``rows`` is evaluated once
+    aggs += [F.first(f"_i{j}").alias(f"_bin{j}") for j in range(k)]
+    mom = scored.groupBy(row_id).agg(*aggs)
+    schema = T.StructType([T.StructField(row_id, rows.schema[row_id].dataType),
+                           T.StructField("feature", T.StringType()), T.StructField("condition", T.StringType()),
+                           T.StructField("weight", T.DoubleType())])
+    select_top = k > num_features and k > 6
+
+    def ridge(g, h, idx, lam):
+        sub = [0, *[i + 1 for i in idx]]
+        gs = g[:, sub][:, :, sub].copy()
+        for a in range(1, len(sub)):
+            gs[:, a, a] += lam
+        return (np.linalg.pinv(gs) @ h[:, sub][:, :, None])[:, :, 0]
+
+    def solve(batches):
+        for pdf in batches:
+            n = len(pdf)
+            g = np.empty((n, k + 1, k + 1))
+            for a in range(k + 1):
+                for b in range(a, k + 1):
+                    g[:, a, b] = g[:, b, a] = pdf[f"_g{a}_{b}"].to_numpy(dtype=float)
+            h = np.stack([pdf[f"_h{a}"].to_numpy(dtype=float) for a in range(k + 1)], axis=1)
+            out = []
+            for r in range(n):
+                gr, hr = g[r:r + 1], h[r:r + 1]
+                used = list(range(k))
+                if select_top:
+                    coef = ridge(gr, hr, used, 0.01)[0, 1:]
+                    used = sorted(np.argsort(-np.abs(coef), kind="stable")[:num_features].tolist())
+                beta = ridge(gr, hr, used, alpha)[0, 1:]
+                row = pdf.iloc[r]
+                for i, j in enumerate(used):
+                    f, b = feats[j], int(row[f"_bin{j}"])
+                    e = ["%.2f" % x for x in edges[f]]
+                    cond = (f"{f} <= {e[0]}" if b == 0 else f"{f} > {e[2]}" if b == 3
+                            else f"{e[b - 1]} < {f} <= {e[b]}")
+                    out.append((row[row_id], f, cond, float(beta[i])))
+            yield pd.DataFrame(out, columns=[fl.name for fl in schema.fields])
+
+    return mom.mapInPandas(solve, schema)

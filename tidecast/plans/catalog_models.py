@@ -301,6 +301,14 @@ def q_lime(spark, d):
     return explain.lime(m, train, rows, MODEL_FEATURES, row_id="row_id", n_samples=500, top_k=10)
 
 
+@register("lime_quartile")
+def q_lime_quartile(spark, d):
+    """The tabular default: quartile bins, 5000 samples, top 10 features, ridge."""
+    train, test = _train_test(spark, d)
+    m = models.fit(train.cache(), "lr", MODEL_FEATURES, "close")
+    return explain.lime_quartile(m, train, _explained_rows(test), MODEL_FEATURES, row_id="row_id")
+
+
 _SHAP_SQL_BODY = ("SELECT t.symbol, t.idx, 'open' AS feature, round(c.b * (t.open - m.mu), 4) AS phi "
                   "FROM s t JOIN c ON t.symbol = c.symbol JOIN "
                   "(SELECT symbol, avg(open) AS mu FROM s WHERE is_train GROUP BY symbol) m ON t.symbol = m.symbol "
