@@ -21,7 +21,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from tidecast.operators import explain, fill, index, joins, models, profile, sequences, split  # noqa: E402
 from tidecast.operators.scale import minmax  # noqa: E402

@@ -8,6 +8,7 @@ are registered without oracle text and covered by property tests.
 
 from __future__ import annotations
 
+import datetime
 import os
 
 from pyspark.ml.functions import vector_to_array
@@ -27,6 +28,7 @@ from tidecast.plans.sqlview import sql_view
 from tidecast.session import shared_path
 from tidecast.sources import fixtures as fx
 from tidecast.sources.sinks import load_model, save_model, write_predictions
+from tidecast.streaming.score import score_stream
 
 # ---------------------------------------------------------------------------
 # shared inputs
@@ -375,16 +377,11 @@ def q_score_new_bars(spark, d):
     landing = shared_path(spark, "landing")
     arrived = p.where("NOT is_train").select("symbol", "idx", "date", "open", "close")
     arrived.write.mode("overwrite").parquet(landing)
-    out_dir, _q = models_stream(spark, landing, arrived.schema, c)
+    out_dir, _q = score_stream(spark, landing, arrived.schema, FEATURES_1F, coefs=c, by="symbol",
+                               keep=["symbol", "idx", "date", "close"])
     return _pred_cols(spark.read.parquet(out_dir))
 
 
-def models_stream(spark, landing, schema, coefs):
-    from tidecast.streaming.score import score_stream
-    return score_stream(spark, landing, schema, FEATURES_1F, coefs=coefs, by="symbol",
-                        keep=["symbol", "idx", "date", "close"])
-
-
 @register("sink_predictions", _PRED_SQL)
 def q_sink_predictions(spark, d):
     _p, preds = _preds_1f(spark, d)
@@ -408,4 +405,4 @@ def q_sql_view(spark, d):
     return sql_view(fx.joined(spark, d), "dataset_view",
                     "SELECT count(*) AS n, round(min(close), 4) AS min_close, round(max(close), 4) AS max_close "
                     "FROM dataset_view WHERE date >= :start AND close > :lo",
-                    {"start": __import__("datetime").date(1996, 1, 1), "lo": 1000.0})
+                    {"start": datetime.date(1996, 1, 1), "lo": 1000.0})
