@@ -100,6 +100,16 @@ def q_row_index_chunked(spark, d):
     return index.row_index(_wide(spark, d).select("symbol", "date", "close"), "date", by="symbol", chunk="year")
 
 
+def q_lag_fill_chunked(spark, d):
+    j = joins.enrich(_wide(spark, d), _series_wide(spark, d), on="date", by="symbol")
+    return fill.lag_fill(j, fx.SERIES_COLS, "date", by="symbol", chunk="year")
+
+
+def q_rolling_frames(spark, d):
+    return sequences.rolling_frame_sequences(_wide(spark, d), ["close", "volume"], "date", by="symbol",
+                                             window=20, telescope=2, bucket_rows=512, chunk="year")
+
+
 QUERIES = {
     "bars_from_ticks": q_bars,
     "join_then_ffill": q_join_ffill,
@@ -109,6 +119,8 @@ QUERIES = {
     "histogram": q_histogram,
     "minmax_train": q_minmax,
     "build_sequences": q_sequences,
+    "rolling_frames_bucketed": q_rolling_frames,
+    "lag_fill_chunked": q_lag_fill_chunked,
     "forecast_rmse": q_flagship,
     "shap_linear": q_shap_linear,
 }

@@ -15,7 +15,9 @@ def row_index(df: DataFrame, order, by=(), name: str = "idx", count: str | None
     """0-based dense index per ``by`` key in ``order`` (O2).
 
     ``row_number`` over the key, never ``monotonically_increasing_id`` (which
-    leaves gaps between partitions). ``count`` adds the key's row count,
+    leaves gaps between partitions). The order must be unique within a key
+    (add tie-breaking columns to ``order`` otherwise): a retried task then
+    numbers its rows exactly as the first attempt did. ``count`` adds the key's row count,
     computed in the same window so no extra shuffle is needed.
 
     ``chunk`` (O3) numbers rows within (key, bucket) and adds the rows of the
