@@ -57,3 +57,22 @@ def test_symbol_on_one_side_only(spark):
     assert out == {"a": 1.0, "z": None}
     out2 = {r.symbol: r.v for r in joins.enrich(ldf, rdf, by=["symbol"]).collect()}
     assert out2 == {"a": 1.0, "z": None}
+
+
+def test_empty_sides(spark):
+    ldf = spark.createDataFrame([("a", base), ("a", base + dt.timedelta(days=3))], "symbol string, date date")
+    empty_r = spark.createDataFrame([], "symbol string, date date, v double")
+    for fill in (None, "after", "before", "asof"):
+        out = joins.enrich(ldf, empty_r, by=["symbol"], fill=fill, chunk="month" if fill else None)
+        assert sorted((r.date, r.v) for r in out.collect()) == [(base, None), (base + dt.timedelta(days=3), None)]
+    empty_l = spark.createDataFrame([], "symbol string, date date")
+    rdf = spark.createDataFrame([("a", base, 1.0)], "symbol string, date date, v double")
+    assert joins.asof_join(empty_l, rdf, by=["symbol"], chunk="year").count() == 0
+
+
+def test_right_dates_after_left_give_null(spark):
+    ldf = spark.createDataFrame([("a", base)], "symbol string, date date")
+    rdf = spark.createDataFrame([("a", base + dt.timedelta(days=1), 1.0)], "symbol string, date date, v double")
+    assert joins.asof_join(ldf, rdf, by=["symbol"]).first().v is None
+    same = spark.createDataFrame([("a", base, 2.0)], "symbol string, date date, v double")
+    assert joins.asof_join(ldf, same, by=["symbol"]).first().v == 2.0
