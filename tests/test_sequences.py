@@ -63,3 +63,15 @@ def test_rolling_frames_bucketed_equal_plain(spark):
         ra = sorted(((key(r), r.inputs, r.labels) for r in a.collect()))
         rc = sorted(((key(r), r.inputs, r.labels) for r in c.collect()))
         assert ra == rc
+
+
+def test_fit_horizons_learns_a_linear_step(spark):
+    from tidecast.operators.forecast import fit_horizons
+    # a noiseless ramp per symbol: the next values are an exact linear function of the window
+    df = spark.createDataFrame([(s, t, float(t * (k + 1))) for k, s in enumerate("ab") for t in range(60)],
+                               "symbol string, t int, v double")
+    seqs = sequences.build_sequences(df, ["v"], "t", by="symbol", window=5, stride=5, telescope=2)
+    models, preds = fit_horizons(seqs, label_col=0, by="symbol")
+    assert set(models) == {1, 2}
+    err = preds.where("label IS NOT NULL").selectExpr("max(abs(label - prediction)) AS e").first().e
+    assert err < 1e-6

@@ -57,3 +57,33 @@ def forecast_table(history: DataFrame, preds: DataFrame, by=(), idx: str = "idx"
     by = as_list(by)
     p = preds.select(*by, idx, "prediction")
     return history.select(*by, idx, date_col, label).join(p, [*by, idx], "left")
+
+
+def fit_horizons(seqs: DataFrame, label_col: int = 0, horizons: int | None = None, kind: str = "lr",
+                 by=(), anchor: str = "start", **params):
+    """Multi-step forecast from sequences: one regressor per step ahead.
+
+    ``seqs`` comes from ``build_sequences`` (``inputs``: window x features,
+    ``labels``: telescope x features). The window is flattened into one
+    feature vector; the target of horizon h is feature ``label_col`` of label
+    row h. Returns (models by horizon, predictions: by..., anchor, horizon,
+    label, prediction). Not a recurrent network: a regressor per horizon.
+    """
+    from pyspark.ml.functions import array_to_vector
+    from tidecast.operators.models import model_choice
+    from tidecast.session import ensure_checkpoint_dir
+
+    by = as_list(by)
+    n_h = horizons or len(seqs.select("labels").first()["labels"])
+    data = seqs.select(*by, anchor, array_to_vector(F.flatten("inputs")).alias("features"),
+                       *[F.col("labels")[h][label_col].alias(f"_y{h + 1}") for h in range(n_h)]).cache()
+    ensure_checkpoint_dir(seqs.sparkSession)
+    fitted, preds = {}, None
+    for h in range(1, n_h + 1):
+        est = model_choice(kind, featuresCol="features", labelCol=f"_y{h}", **params)
+        m = est.fit(data.where(F.col(f"_y{h}").isNotNull()))
+        fitted[h] = m
+        p = m.transform(data).select(*by, anchor, F.lit(h).alias("horizon"), F.col(f"_y{h}").alias("label"),
+                                     "prediction")
+        preds = p if preds is None else preds.unionByName(p)
+    return fitted, preds

@@ -266,18 +266,8 @@ def q_actual_vs_predicted(spark, d):
 def q_windowed_forecast(spark, d):
     """Multi-step forecast from windows: one regressor per step ahead on the flattened window."""
     seqs = sequences.build_sequences(_seq_input(spark, d), SEQ_COLS, "date", by="symbol", **SEQ)
-    seqs = seqs.withColumn("x", F.flatten("inputs"))
-    from pyspark.ml.functions import array_to_vector
-    data = seqs.select("symbol", "start", array_to_vector("x").alias("features"),
-                       *[F.col("labels")[h][0].alias(f"y{h + 1}") for h in range(SEQ["telescope"])]).cache()
-    out = None
-    from pyspark.ml.regression import LinearRegression
-    for h in range(1, SEQ["telescope"] + 1):
-        m = LinearRegression(featuresCol="features", labelCol=f"y{h}", regParam=0.1).fit(data)
-        p = m.transform(data).select("symbol", "start", F.lit(h).alias("horizon"),
-                                     F.col(f"y{h}").alias("label"), "prediction")
-        out = p if out is None else out.unionByName(p)
-    return out
+    _models, preds = forecast.fit_horizons(seqs, label_col=0, kind="lr", by="symbol", regParam=0.1)
+    return preds
 
 
 # ---------------------------------------------------------------------------
