@@ -13,6 +13,10 @@ import time
 import duckdb
 import pandas as pd
 
+import os
+
+EXACT = os.environ.get("ROUND") != "1"  # exact float equality unless ROUND=1
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -31,7 +35,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None  # pandas turns NULL into NaN; compare them alike
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if hasattr(v, "item"):
         return _norm(v.item())
     if isinstance(v, pd.Timestamp):
