@@ -40,6 +40,28 @@ def chunk_expr(chunk, order_col: str) -> Column:
     raise ValueError(f"unknown chunk {chunk!r}")
 
 
+def auto_chunk(df, by, order, chunk):
+    """The chunk to use: ``chunk`` if given; with no key, a default bucket of the order column.
+
+    A window with neither key nor chunk moves the whole table into one task,
+    so an unkeyed call is always chunked: month buckets for dates, day buckets
+    for timestamps, 2^20-wide buckets for integers. Results are unchanged.
+    """
+    if chunk is not None or as_list(by):
+        return chunk
+    first = as_list(order)[0]
+    if not isinstance(first, str):
+        return None
+    dt = df.schema[first].dataType.simpleString()
+    if dt == "date":
+        return "month"
+    if dt.startswith("timestamp"):
+        return "day"
+    if dt in ("int", "bigint", "smallint", "tinyint"):
+        return 1 << 20
+    return None
+
+
 def as_list(x) -> list:
     if x is None:
         return []

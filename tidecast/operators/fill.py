@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.columns import sentinel_to_null_expr
-from tidecast.operators._chunks import CHUNK, as_list, chunk_expr
+from tidecast.operators._chunks import CHUNK, as_list, auto_chunk, chunk_expr
 
 NAN = float("nan")
 UNB = Window.unboundedPreceding
@@ -29,6 +29,7 @@ def _fill(df: DataFrame, cols, order, by, value, chunk, forward: bool, backward:
     cols = as_list(cols)
     by = as_list(by)
     ords = _order_cols(order)
+    chunk = auto_chunk(df, by, order, chunk)
     base = sentinel_to_null(df, cols, value)
     if chunk is None:
         part = by
@@ -123,6 +124,8 @@ def shift(df: DataFrame, cols, order, by=(), offset: int = 1, chunk=None, prefix
     by = as_list(by)
     ords = _order_cols(order)
     nb = F.lag if offset > 0 else F.lead
+    if abs(offset) == 1:
+        chunk = auto_chunk(df, by, order, chunk)
     if chunk is None:
         w = Window.partitionBy(*by).orderBy(*ords)
         return df.withColumns({f"{prefix}{c}": nb(c, abs(offset)).over(w) for c in cols})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecast.operators._chunks import CHUNK, as_list, chunk_expr
+from tidecast.operators._chunks import CHUNK, as_list, auto_chunk, chunk_expr
 
 UNB = Window.unboundedPreceding
 
@@ -26,6 +26,7 @@ def row_index(df: DataFrame, order, by=(), name: str = "idx", count: str | None
     """
     by = as_list(by)
     ords = [F.col(o) if isinstance(o, str) else o for o in as_list(order)]
+    chunk = auto_chunk(df, by, order, chunk)
     if chunk is None:
         w = Window.partitionBy(*by).orderBy(*ords)
         out = df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))

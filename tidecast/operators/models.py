@@ -185,6 +185,10 @@ def fit_predict_linear_window(df: DataFrame, feature: str, label: str = "close",
     Equal to :func:`fit_grouped_linear` + :func:`predict_grouped_linear`.
     """
     by = as_list(by)
+    if not by:
+        # no key: the same model from one aggregate read as scalars (no single-task window)
+        c = fit_grouped_linear(df.where(F.col(fit_on)), [feature], label)
+        return predict_grouped_linear(c, df, [feature], name=name)
     w = Window.partitionBy(*by)
     both = F.col(fit_on) & F.col(feature).isNotNull() & F.col(label).isNotNull()
     x = F.when(both, F.col(feature))
@@ -204,7 +208,8 @@ def linear_coefficients(model: PipelineModel, features: Sequence[str]) -> dict[s
 
 def time_folds(df: DataFrame, folds: int, idx: str = "idx", by=(), name: str = "fold") -> DataFrame:
     """Fold number from contiguous time blocks of the index, per key."""
-    n = F.max(idx).over(Window.partitionBy(*as_list(by))) + 1
+    by = as_list(by)
+    n = (F.max(idx).over(Window.partitionBy(*by)) if by else df.agg(F.max(idx)).scalar()) + 1
     return df.withColumn(name, F.floor(F.col(idx) * F.lit(folds) / n).cast("int"))
 
 

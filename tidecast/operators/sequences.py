@@ -111,6 +111,8 @@ def rolling_frame_sequences(df: DataFrame, cols: Sequence[str], order="date", by
     """
     by = as_list(by)
     vals = _values(cols)
+    if bucket_rows is None and not by:
+        bucket_rows = 1 << 16  # no key: never one task for the whole table
     if bucket_rows is None:
         w = Window.partitionBy(*by).orderBy(*[F.col(o) for o in as_list(order)])
         out = df.withColumns({
