@@ -76,18 +76,43 @@ def asof_join(left: DataFrame, right: DataFrame, on: str = "date", by=(), cols=N
     """
     keys = [k for k in as_list(by) if k in right.columns]
     vals = _value_cols(right, on, keys, cols)
-    lt = left.select(*keys, F.col(on).alias("_t")).distinct()
+    if keys:
+        return _asof_keyed(left, right, on, keys, vals, chunk, per_column)
+    lt = left.select(F.col(on).alias("_t")).distinct()
     if per_column:
-        r = right.select(*keys, F.col(on).alias("_t"), F.lit(0).alias("_side"), *vals)
-        lt = lt.select(*keys, "_t", F.lit(1).alias("_side"),
-                       *[F.lit(None).cast(r.schema[v].dataType).alias(v) for v in vals])
-        filled = forward_fill(r.unionByName(lt), vals, order=["_t", "_side"], by=keys, value=None, chunk=chunk)
-        matches = filled.where(F.col("_side") == 1).select(*keys, F.col("_t").alias(on), *vals)
-        return left.join(matches, [*keys, on], "left").select(*left.columns, *vals)
+        r = right.select(F.col(on).alias("_t"), F.lit(0).alias("_side"), *vals)
+        lt = lt.select("_t", F.lit(1).alias("_side"), *[F.lit(None).cast(r.schema[v].dataType).alias(v) for v in vals])
+        filled = forward_fill(r.unionByName(lt), vals, order=["_t", "_side"], value=None, chunk=chunk)
+        matches = filled.where(F.col("_side") == 1).select(F.col("_t").alias(on), *vals)
+        return left.join(matches, on, "left").select(*left.columns, *vals)
     rstruct = F.struct(*[F.col(v) for v in vals])
-    r = right.select(*keys, F.col(on).alias("_t"), F.lit(0).alias("_side"), rstruct.alias("_r"))
-    lt = lt.select(*keys, "_t", F.lit(1).alias("_side"), F.lit(None).cast(r.schema["_r"].dataType).alias("_r"))
-    filled = forward_fill(r.unionByName(lt), ["_r"], order=["_t", "_side"], by=keys, value=None, chunk=chunk)
-    matches = filled.where(F.col("_side") == 1).select(*keys, F.col("_t").alias(on), F.col("_r").alias("_m"))
-    out = left.join(matches, [*keys, on], "left")
+    r = right.select(F.col(on).alias("_t"), F.lit(0).alias("_side"), rstruct.alias("_r"))
+    lt = lt.select("_t", F.lit(1).alias("_side"), F.lit(None).cast(r.schema["_r"].dataType).alias("_r"))
+    filled = forward_fill(r.unionByName(lt), ["_r"], order=["_t", "_side"], value=None, chunk=chunk)
+    matches = filled.where(F.col("_side") == 1).select(F.col("_t").alias(on), F.col("_r").alias("_m"))
+    out = left.join(matches, on, "left")
     return out.select(*left.columns, *[F.col(f"_m.{v}").alias(v) for v in vals])
+
+
+def _asof_keyed(left: DataFrame, right: DataFrame, on: str, keys, vals, chunk, per_column: bool) -> DataFrame:
+    """As-of join when the right side has the key: the left rows ride through the window
+    themselves (as a struct), so the plan is one shuffle by (key[, bucket]) and no join back."""
+    lstruct = F.struct(*[F.col(c) for c in left.columns])
+    if per_column:
+        carried = vals
+        r = right.select(*keys, F.col(on).alias("_t"), F.lit(0).alias("_side"), *vals)
+        rtypes = {v: r.schema[v].dataType for v in vals}
+        lrows = left.select(*keys, F.col(on).alias("_t"), F.lit(1).alias("_side"),
+                            *[F.lit(None).cast(rtypes[v]).alias(v) for v in vals], lstruct.alias("_l"))
+    else:
+        carried = ["_r"]
+        r = right.select(*keys, F.col(on).alias("_t"), F.lit(0).alias("_side"),
+                         F.struct(*[F.col(v) for v in vals]).alias("_r"))
+        lrows = left.select(*keys, F.col(on).alias("_t"), F.lit(1).alias("_side"),
+                            F.lit(None).cast(r.schema["_r"].dataType).alias("_r"), lstruct.alias("_l"))
+    r = r.withColumn("_l", F.lit(None).cast(lrows.schema["_l"].dataType))
+    filled = forward_fill(r.unionByName(lrows), carried, order=["_t", "_side"], by=keys, value=None, chunk=chunk)
+    out = filled.where(F.col("_side") == 1)
+    if per_column:
+        return out.select("_l.*", *vals)
+    return out.select("_l.*", *[F.col(f"_r.{v}").alias(v) for v in vals])

@@ -310,6 +310,17 @@ def q_asof_join_rows(spark, d):
                         per_column=False)
 
 
+@register("asof_join_keyed", with_views(
+    "SELECT b.*, w.wed_close FROM bars_multi b ASOF LEFT JOIN "
+    "(SELECT symbol, date, close AS wed_close FROM bars_multi WHERE isodow(date) - 1 = 2) w "
+    "ON b.symbol = w.symbol AND b.date >= w.date", "bars_multi"))
+def q_asof_join_keyed(spark, d):
+    # right side keyed by symbol: each bar gets its own symbol's latest Wednesday close
+    b = fx.bars_multi(spark, d)
+    wed = b.where(F.weekday("date") == 2).select("symbol", "date", F.col("close").alias("wed_close"))
+    return joins.asof_join(b, wed, on="date", by=["symbol"], chunk="year")
+
+
 @register("complete_case_join", with_views(
     f"SELECT * FROM joined WHERE {_NOT_MISSING}", "joined"))
 def q_complete_case_join(spark, d):
