@@ -76,3 +76,20 @@ def test_right_dates_after_left_give_null(spark):
     assert joins.asof_join(ldf, rdf, by=["symbol"]).first().v is None
     same = spark.createDataFrame([("a", base, 2.0)], "symbol string, date date, v double")
     assert joins.asof_join(ldf, same, by=["symbol"]).first().v == 2.0
+
+
+def test_asof_on_timestamps_across_a_dst_gap(spark):
+    """Wall-clock timestamps are ordered without the session zone (no collision in a DST gap)."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        t = dt.datetime(2021, 3, 14, 2, 30)  # does not exist in New York
+        ldf = spark.createDataFrame([("a", t), ("a", dt.datetime(2021, 3, 14, 3, 10))], "symbol string, ts timestamp_ntz")
+        rdf = spark.createDataFrame([("a", dt.datetime(2021, 3, 14, 3, 0), 1.0), ("a", dt.datetime(2021, 3, 14, 2, 0), 0.0)],
+                                    "symbol string, ts timestamp_ntz, v double")
+        for keyed in (True, False):
+            r = rdf if keyed else rdf.drop("symbol")
+            out = {x.ts: x.v for x in joins.asof_join(ldf, r, on="ts", by=["symbol"]).collect()}
+            assert out == {t: 0.0, dt.datetime(2021, 3, 14, 3, 10): 1.0}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -5,10 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.operators._chunks import as_list
+from tidecast.operators._chunks import as_list, auto_chunk, chunk_expr
 from tidecast.operators.fill import forward_fill
 
 
+def _ordered(u: DataFrame, keys, chunk) -> tuple[DataFrame, list, object]:
+    """Add ``_o``, one exact bigint for (time, side), so the fill orders by a single
+    primitive column and its chunk summaries stay hash aggregations; the chunk is
+    taken from the time itself."""
+    tt = u.schema["_t"].dataType.simpleString()
+    if tt == "date":
+        base = F.unix_date("_t").cast("long")
+    elif tt.startswith("timestamp"):
+        if tt == "timestamp_ntz":
+            # wall-clock microseconds since the epoch from the wall-clock fields, which do not
+            # depend on the session zone (a cast to timestamp would, and collides in DST gaps)
+            t = F.col("_t")
+            secs = F.date_part(F.lit("SECOND"), t)
+            base = (F.unix_date(F.to_date(t)).cast("long") * 86_400_000_000
+                    + F.hour(t).cast("long") * 3_600_000_000 + F.minute(t).cast("long") * 60_000_000
+                    + (secs * 1_000_000).cast("long"))
+        else:
+            base = F.unix_micros("_t")
+    else:
+        base = F.col("_t").cast("long")
+    u = u.withColumn("_o", base * 2 + F.col("_side"))
+    chunk = auto_chunk(u, keys, "_t", chunk)
+    return u, ["_o"], (chunk_expr(chunk, "_t") if chunk is not None else None)
+
+
 def _value_cols(right: DataFrame, on: str, keys, cols) -> list[str]:
     if cols is not None:
         return list(cols)
@@ -82,13 +107,15 @@ def asof_join(left: DataFrame, right: DataFrame, on: str = "date", by=(), cols=N
     if per_column:
         r = right.select(F.col(on).alias("_t"), F.lit(0).alias("_side"), *vals)
         lt = lt.select("_t", F.lit(1).alias("_side"), *[F.lit(None).cast(r.schema[v].dataType).alias(v) for v in vals])
-        filled = forward_fill(r.unionByName(lt), vals, order=["_t", "_side"], value=None, chunk=chunk)
+        u, order, ck = _ordered(r.unionByName(lt), [], chunk)
+        filled = forward_fill(u, vals, order=order, value=None, chunk=ck)
         matches = filled.where(F.col("_side") == 1).select(F.col("_t").alias(on), *vals)
         return left.join(matches, on, "left").select(*left.columns, *vals)
     rstruct = F.struct(*[F.col(v) for v in vals])
     r = right.select(F.col(on).alias("_t"), F.lit(0).alias("_side"), rstruct.alias("_r"))
     lt = lt.select("_t", F.lit(1).alias("_side"), F.lit(None).cast(r.schema["_r"].dataType).alias("_r"))
-    filled = forward_fill(r.unionByName(lt), ["_r"], order=["_t", "_side"], value=None, chunk=chunk)
+    u, order, ck = _ordered(r.unionByName(lt), [], chunk)
+    filled = forward_fill(u, ["_r"], order=order, value=None, chunk=ck)
     matches = filled.where(F.col("_side") == 1).select(F.col("_t").alias(on), F.col("_r").alias("_m"))
     out = left.join(matches, on, "left")
     return out.select(*left.columns, *[F.col(f"_m.{v}").alias(v) for v in vals])
@@ -111,7 +138,8 @@ def _asof_keyed(left: DataFrame, right: DataFrame, on: str, keys, vals, chunk, p
         lrows = left.select(*keys, F.col(on).alias("_t"), F.lit(1).alias("_side"),
                             F.lit(None).cast(r.schema["_r"].dataType).alias("_r"), lstruct.alias("_l"))
     r = r.withColumn("_l", F.lit(None).cast(lrows.schema["_l"].dataType))
-    filled = forward_fill(r.unionByName(lrows), carried, order=["_t", "_side"], by=keys, value=None, chunk=chunk)
+    u, order, ck = _ordered(r.unionByName(lrows), keys, chunk)
+    filled = forward_fill(u, carried, order=order, by=keys, value=None, chunk=ck)
     out = filled.where(F.col("_side") == 1)
     if per_column:
         return out.select("_l.*", *vals)
