@@ -13,16 +13,18 @@ from tidecast.operators.index import row_index
 
 
 def _with_index(df: DataFrame, order, by, idx: str, chunk) -> DataFrame:
-    if idx in df.columns:
-        n = F.max(idx).over(Window.partitionBy(*as_list(by))) + 1 if not chunk else None
-        if n is not None:
-            return df.withColumn("_n", n)
-        if not by:
-            # one global value: a scalar subquery, evaluated once
-            return df.withColumn("_n", df.agg(F.max(idx) + 1).scalar())
-        counts = df.groupBy(*as_list(by)).agg((F.max(idx) + 1).alias("_n"))
-        return df.join(counts, as_list(by), "left")
-    return row_index(df, order, by, name=idx, count="_n", chunk=chunk)
+    """``df`` with a dense index ``idx`` and the key's row count ``_n``."""
+    by = as_list(by)
+    if idx not in df.columns:
+        return row_index(df, order, by, name=idx, count="_n", chunk=chunk)
+    if not by:
+        # one global value: a scalar subquery, evaluated once (never a window over the whole table)
+        return df.withColumn("_n", df.agg(F.max(idx) + 1).scalar())
+    if chunk is None:
+        # same partitioning as the window that made the index: no extra shuffle
+        return df.withColumn("_n", F.max(idx).over(Window.partitionBy(*by)) + 1)
+    counts = df.groupBy(*by).agg((F.max(idx) + 1).alias("_n"))
+    return df.join(counts, by, "left")
 
 
 def ordered_split(df: DataFrame, ratio: float = 0.8, order="date", by=(), idx: str = "idx",
