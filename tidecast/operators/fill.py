@@ -184,12 +184,16 @@ def ffill_pandas_api(df: DataFrame, cols, order, by=()) -> DataFrame:
 
 
 def lag_value(c: str, order, by=(), n: int = 1):
-    """``lag(c, n)`` over the series."""
+    """``lag(c, n)`` over the series (W2), as a column expression.
+
+    Keyed use only: with no key the window spans the whole table; for an
+    unkeyed series use :func:`shift`, which chunks automatically.
+    """
     return F.lag(c, n).over(Window.partitionBy(*as_list(by)).orderBy(*_order_cols(order)))
 
 
 def lead_value(c: str, order, by=(), n: int = 1):
-    """``lead(c, n)`` over the series."""
+    """``lead(c, n)`` over the series (W3), as a column expression (keyed use; see :func:`lag_value`)."""
     return F.lead(c, n).over(Window.partitionBy(*as_list(by)).orderBy(*_order_cols(order)))
 
 
@@ -200,6 +204,10 @@ def lag_diff(df: DataFrame, c: str, order, by=(), name: str | None = None, chunk
 
 
 def last_non_null(c: str, order, by=()):
-    """``last(c, ignorenulls)`` over an explicit ROWS frame up to this row."""
+    """``last(c, ignorenulls)`` over an explicit ROWS frame up to this row.
+
+    A column expression for keyed use; for an unkeyed series use
+    :func:`forward_fill`, which chunks automatically.
+    """
     w = Window.partitionBy(*as_list(by)).orderBy(*_order_cols(order)).rowsBetween(UNB, 0)
     return F.last(c, True).over(w)
