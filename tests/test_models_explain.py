@@ -200,3 +200,18 @@ def test_lime_quartile_properties(spark, data):
     b = explain.lime_quartile(m, train.repartition(3), rows.repartition(2), feats, row_id="rid", n_samples=400,
                               num_features=5)
     assert sorted(got) == sorted(b.collect())
+
+
+def test_stream_with_mllib_model_equals_batch(spark, data, tmp_path):
+    from tidecast.streaming.score import score_stream
+    train, test = data
+    feats = ["open", "high", "low"]
+    m = models.fit(train, "rf", feats, "close", numTrees=3)
+    landing = str(tmp_path / "landing")
+    arrived = test.select("symbol", "idx", "date", *feats, "close")
+    arrived.write.parquet(landing)
+    out_dir, _q = score_stream(spark, landing, arrived.schema, feats, model=m, by="symbol",
+                               sink_dir=str(tmp_path / "sink"), keep=["symbol", "idx"])
+    got = sorted(spark.read.parquet(out_dir).collect())
+    want = sorted(models.predict(m, arrived).select("symbol", "idx", "prediction").collect())
+    assert got == want
