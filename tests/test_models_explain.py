@@ -215,3 +215,14 @@ def test_stream_with_mllib_model_equals_batch(spark, data, tmp_path):
     got = sorted(spark.read.parquet(out_dir).collect())
     want = sorted(models.predict(m, arrived).select("symbol", "idx", "prediction").collect())
     assert got == want
+
+
+def test_tune_expanding_and_random(spark, data):
+    train, _ = data
+    best, table = models.tune(train, "rf", ["open", "high"], "close", grid={"maxDepth": [2, 4]}, folds=3,
+                              fold="expanding", by="symbol")
+    assert table.count() == 2 and best is not None
+    assert {r.params for r in table.collect()} == {"maxDepth=2", "maxDepth=4"}
+    best2, table2 = models.tune(train, "lr", ["open"], "close", grid={"regParam": [0.0, 1.0]}, folds=2,
+                                fold="random")
+    assert table2.count() == 2

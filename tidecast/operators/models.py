@@ -218,13 +218,18 @@ def tune(df: DataFrame, kind: str, features: Sequence[str], label: str = "close"
          idx: str = "idx", by=(), parallelism: int = 2, seed: int = 42):
     """Grid search with k-fold cross-validation, best by RMSE, refit on all rows.
 
-    ``fold='time'`` uses contiguous time blocks (no shuffle of the future into
-    training folds); ``fold='random'`` keeps the random folds for parity.
+    ``fold='time'``      contiguous time blocks of each key as folds (CrossValidator)
+    ``fold='expanding'`` for block f = 1..k-1, train on blocks before f and validate on f,
+                         so no fit ever sees data later than what it is scored on
+    ``fold='random'``    random folds, for parity with the reference
     Returns (best model, DataFrame of (params, rmse)).
     """
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
+    from tidecast.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     pipe = make_pipeline(kind, features, label)
     est = pipe.getStages()[-1]
     builder = ParamGridBuilder()
@@ -232,16 +237,36 @@ def tune(df: DataFrame, kind: str, features: Sequence[str], label: str = "close"
         builder = builder.addGrid(est.getParam(p), list(vals))
     maps = builder.build()
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
+    spark = df.sparkSession
+
+    def label_of(m):
+        return ",".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name))
+
+    if fold == "expanding":
+        if folds < 2:
+            raise ValueError("expanding folds need at least 2 blocks")
+        data = time_folds(df, folds, idx, by, name="_fold")
+        scores = []
+        for m in maps:  # grid x (folds - 1) distributed fits, driven from here like CrossValidator's
+            rmses = []
+            for f in range(1, folds):
+                fitted = pipe.copy(m).fit(data.where(F.col("_fold") < f))
+                rmses.append(ev.evaluate(fitted.transform(data.where(F.col("_fold") == f))))
+            scores.append(sum(rmses) / len(rmses))
+        best = min(range(len(maps)), key=lambda i: scores[i])
+        best_model = pipe.copy(maps[best]).fit(df)
+        rows = [(label_of(m), float(r)) for m, r in zip(maps, scores)]
+        return best_model, spark.createDataFrame(rows, "params string, rmse double")
     kw = dict(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, numFolds=folds,
               parallelism=parallelism, seed=seed)
     data = df
     if fold == "time":
         data = time_folds(df, folds, idx, by, name="_fold")
         kw["foldCol"] = "_fold"
+    elif fold != "random":
+        raise ValueError(f"unknown fold {fold!r}")
     cvm = CrossValidator(**kw).fit(data)
-    spark = df.sparkSession
-    rows = [(",".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)), float(r))
-            for m, r in zip(maps, cvm.avgMetrics)]
+    rows = [(label_of(m), float(r)) for m, r in zip(maps, cvm.avgMetrics)]
     return cvm.bestModel, spark.createDataFrame(rows, "params string, rmse double")
 
 
