@@ -672,10 +672,20 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
 register("forecast_rmse", FLAGSHIP_SQL)(flagship)
 
 
-# scaling (V2-V4), registered here because they share the split fixture
-for _name, _fn in (("minmax_train", minmax), ("zscore_train", zscore), ("zscore_then_minmax", zscore_then_minmax)):
-    _kind = {"minmax_train": "minmax", "zscore_train": "zscore", "zscore_then_minmax": "both"}[_name]
+# ---------------------------------------------------------------------------
+# 2.10 scaling fitted on the train part (V2-V4), on the split fixture
+# ---------------------------------------------------------------------------
+
+@register("minmax_train", _scaled_from(_rounded_sql(_scaled_sql("minmax", SCALE_COLS), SCALE_COLS)))
+def q_minmax_train(spark, d):
+    return _round_cols(_scaled(spark, d, minmax), SCALE_COLS)
+
+
+@register("zscore_train", _scaled_from(_rounded_sql(_scaled_sql("zscore", SCALE_COLS), SCALE_COLS)))
+def q_zscore_train(spark, d):
+    return _round_cols(_scaled(spark, d, zscore), SCALE_COLS)
+
 
-    def _q(spark, d, _fn=_fn):
-        return _round_cols(_scaled(spark, d, _fn), SCALE_COLS)
-    register(_name, _scaled_from(_rounded_sql(_scaled_sql(_kind, SCALE_COLS), SCALE_COLS)))(_q)
+@register("zscore_then_minmax", _scaled_from(_rounded_sql(_scaled_sql("both", SCALE_COLS), SCALE_COLS)))
+def q_zscore_then_minmax(spark, d):
+    return _round_cols(_scaled(spark, d, zscore_then_minmax), SCALE_COLS)
