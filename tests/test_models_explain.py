@@ -226,3 +226,17 @@ def test_tune_expanding_and_random(spark, data):
     best2, table2 = models.tune(train, "lr", ["open"], "close", grid={"regParam": [0.0, 1.0]}, folds=2,
                                 fold="random")
     assert table2.count() == 2
+
+
+def test_gbt_importances_and_registry_defaults(spark, data):
+    train, _ = data
+    feats = ["open", "high", "low"]
+    m = models.fit(train, "gbt", feats, "close", maxIter=3)
+    imp = explain.importances(spark, m, feats, "gbt").collect()
+    assert abs(sum(r.importance for r in imp) - 1.0) < 1e-9 and {r.model for r in imp} == {"gbt"}
+    lr = models.fit(train, "lr", feats, "close")
+    with pytest.raises(ValueError):
+        explain.importances(spark, lr, feats)
+    assert models.model_choice("rf").getNumTrees() == 3
+    assert models.model_choice("gbt").getMaxIter() == 20
+    assert models.model_choice("lr").getRegParam() == 0.0
