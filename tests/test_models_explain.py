@@ -240,3 +240,10 @@ def test_gbt_importances_and_registry_defaults(spark, data):
     assert models.model_choice("rf").getNumTrees() == 3
     assert models.model_choice("gbt").getMaxIter() == 20
     assert models.model_choice("lr").getRegParam() == 0.0
+
+
+def test_r2_constant_target(spark):
+    df = spark.createDataFrame([("a", 1.0, 1.1), ("a", 1.0, 0.9), ("b", 2.0, 2.0), ("b", 2.0, 2.0)],
+                               "symbol string, close double, prediction double")
+    got = {r.symbol: r.r2 for r in models.evaluate(df, "r2", by="symbol").collect()}
+    assert got == {"a": 0.0, "b": 1.0}

@@ -78,7 +78,9 @@ def evaluate(df: DataFrame, metric: str | Sequence[str] = "rmse", label: str = "
         "rmse": F.sqrt(F.avg(err2)),
         "mse": F.avg(err2),
         "mae": F.avg(F.abs(y - p)),
-        "r2": F.lit(1.0) - F.sum(err2) / (F.var_pop(y) * F.count(y)),
+        # a constant target has no variance: 1 if the residuals vanish too, else 0 (the usual convention)
+        "r2": F.coalesce(F.lit(1.0) - F.try_divide(F.sum(err2), F.var_pop(y) * F.count(y)),
+                         F.when(F.sum(err2) == 0, F.lit(1.0)).otherwise(F.lit(0.0))),
     }
     aggs = [exprs[m].alias(m) for m in as_list(metric)]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
