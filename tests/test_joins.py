@@ -93,3 +93,21 @@ def test_asof_on_timestamps_across_a_dst_gap(spark):
             assert out == {t: 0.0, dt.datetime(2021, 3, 14, 3, 10): 1.0}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_checked_broadcast(spark):
+    from conftest import SF01
+    from tidecast.sources import fixtures as fx
+    b, s = fx.bars(spark, SF01), fx.series_wide(spark, SF01)
+    small = joins.enrich(b, s, broadcast_right=100_000)
+    assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = joins.enrich(b, s, broadcast_right=10)  # over the bound: no hint, and AQE may not broadcast
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in plan
+        assert rows(big) == rows(small)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

@@ -40,16 +40,25 @@ def _value_cols(right: DataFrame, on: str, keys, cols) -> list[str]:
     return [c for c in right.columns if c != on and c not in keys]
 
 
-def _maybe_broadcast(right: DataFrame, broadcast_right: bool | None) -> DataFrame:
-    # None: the planner decides from measured sizes (AQE converts the join to
-    # a broadcast only under spark.sql.autoBroadcastJoinThreshold). True is for
-    # callers that know the right side is bounded (for example one row per
-    # calendar day of a few series).
-    return F.broadcast(right) if broadcast_right else right
+def _maybe_broadcast(right: DataFrame, broadcast_right: bool | int | None) -> DataFrame:
+    """Broadcast policy for the right side of a join.
+
+    None   the planner decides from measured sizes: AQE converts the join to a
+           broadcast only under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
+    int n  a checked bound: broadcast only if the right side has at most n rows,
+           found with ``limit(n + 1).count()``, so the check reads at most n + 1 rows
+    True   the caller guarantees a bound (for example one row per calendar day)
+    """
+    if broadcast_right is None or broadcast_right is False:
+        return right
+    if broadcast_right is True:
+        return F.broadcast(right)
+    n = int(broadcast_right)
+    return F.broadcast(right) if right.limit(n + 1).count() <= n else right
 
 
 def enrich(left: DataFrame, right: DataFrame, on: str = "date", by=(), cols=None, fill: str | None = None,
-           chunk=None, broadcast_right: bool | None = None, per_column: bool = True) -> DataFrame:
+           chunk=None, broadcast_right: bool | int | None = None, per_column: bool = True) -> DataFrame:
     """Bars ⟕ series on ``on`` (and the ``by`` keys the right side has).
 
     fill=None     plain left join, every left row kept (J1)
