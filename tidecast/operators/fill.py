@@ -168,7 +168,10 @@ def ffill_pandas_api(df: DataFrame, cols, order, by=()) -> DataFrame:
     """Forward fill through the pandas-on-Spark surface.
 
     Grouped by ``by`` (``groupby().ffill()``), so each key is filled in its own
-    task instead of moving the whole frame to one partition.
+    task instead of moving the whole frame to one partition. Without a key the
+    pandas-on-Spark ``ffill`` orders the whole frame in one partition; this
+    surface is for parity, and unkeyed data should use :func:`forward_fill`,
+    which chunks automatically and gives the same values.
     """
     by = as_list(by)
     cols = as_list(cols)
