@@ -225,8 +225,8 @@ def q_gbt(spark, d):
     return _fit_predict(spark, d, "gbt")[1]
 
 
-@register("model_pipeline")
-def q_model_pipeline(spark, d):
+@register("assembled_estimator")
+def q_assembled_estimator(spark, d):
     return _fit_predict(spark, d, "lr")[1]
 
 
