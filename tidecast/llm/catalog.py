@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tidecast.llm import bpe, topk
+from tidecast.llm import bpe, lm, simhash, topk
 
 QUERIES = {
     "op1_exact_topk": (topk.op1_exact_topk, topk.ORACLE),
     "op2_bpe_roundtrip": (bpe.op2_bpe_roundtrip, None),
+    "op3_ppm_scores": (lm.op3_ppm_scores, None),
+    "op5_simhash_components": (simhash.op5_simhash_components, None),
 }
