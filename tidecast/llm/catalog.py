@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tidecast.llm import bpe, lm, simhash, topk
+from tidecast.llm import bpe, license, lm, quality, simhash, topk
 
 QUERIES = {
     "op1_exact_topk": (topk.op1_exact_topk, topk.ORACLE),
     "op2_bpe_roundtrip": (bpe.op2_bpe_roundtrip, None),
     "op3_ppm_scores": (lm.op3_ppm_scores, None),
     "op5_simhash_components": (simhash.op5_simhash_components, None),
+    "op6_license_scan": (license.op6_license_scan, None),
+    "op7_quality_rules": (quality.op7_quality_rules, quality.ORACLE),
 }
