@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import hashlib
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,12 +40,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def binary_rows(column: pa.Array) -> list[memoryview]:
-    """The values of a non-null string or binary array as slices of its buffer, without copies."""
-    offsets = np.frombuffer(column.buffers()[1], np.int32 if column.type in (pa.string(), pa.binary()) else np.int64,
-                            len(column) + 1, column.offset * (4 if column.type in (pa.string(), pa.binary()) else 8))
-    data = memoryview(column.buffers()[2] or b"")
-    return [data[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+def row_key(docs: DataFrame):
+    """A hash of all columns: rows that agree in it and in their id are alike, whichever of them is taken."""
+    return F.xxhash64(*[docs[f"`{c}`"] for c in docs.columns])
+
+
+def pick_rows(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that ``chosen`` names, ``copies`` times, with all their columns. ``chosen`` has (id, key,
+    copies, alike), once for each id and key; of ``alike`` rows that share them one is taken."""
+    named = chosen.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("copies").alias("_copies"), F.col("alike").alias("_alike"))
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # no column's name can clash with ours
+    keyed = plain.withColumn("_row", row_key(plain))
+    at = f"c{docs.columns.index(id_col)}"
+    met = keyed.join(named, F.col(at).eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_key")))
+    single, alike = met.filter("_alike = 1"), met.filter("_alike > 1").dropDuplicates([at, "_row"])
+    out = single.union(alike).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return out.select(*[f"c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
 
 
 def sha256(data) -> str:

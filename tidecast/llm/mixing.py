@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import SPACES, as_text, stored, table
+from tidecast.llm.common import SPACES, as_text, pick_rows, row_key, stored, table
 
 UNIT = 1 << 30
 #: Rows of one source and size are ranked in so many parts, none of which can be large alone.
@@ -86,11 +86,6 @@ def multipliers(histogram: DataFrame, wanted: dict[int, float], sizes: dict[int,
     return out | {s: v[0] for s, v in state.items()}
 
 
-def row_key(docs: DataFrame):
-    """A hash of all columns: rows that agree in it are alike, whichever of them is taken."""
-    return F.xxhash64(*[docs[f"`{c}`"] for c in docs.columns])
-
-
 def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                weights=(5, 2, 1), share: float = 1.5, most: int = 2) -> DataFrame:
     """One row per input row: id, key (hash of the whole row), source, size (words), source_size, target, rate, copies.
@@ -141,22 +136,10 @@ def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (upto(F.col("rank")) - upto(F.col("rank") - 1)).alias("copies"))
 
 
-def pick_rows(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` as often as ``chosen`` (id, key, copies) says, with all their columns. Rows that are alike in
-    every column may be listed several times; their copies add up."""
-    total = chosen.groupBy("id", "key").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_alike")).filter("_copies > 0")
-    total = total.select(F.col("id").alias("_id"), F.col("key").alias("_key"), "_copies", "_alike")
-    keyed = docs.withColumn("_row_key", row_key(docs))
-    met = keyed.join(total, keyed[id_col].eqNullSafe(total["_id"]) & (keyed["_row_key"] == total["_key"]))
-    single = met.filter("_alike = 1")
-    alike = met.filter("_alike > 1").dropDuplicates(["_row_key"])
-    return (single.union(alike).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
-
-
 def mix(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` mixed: each row as often as ``mix_counts`` says, with all its columns."""
-    return pick_rows(docs, mix_counts(docs, **settings).select("id", "key", "copies"), settings.get("id_col", "doc_id"))
+    chosen = mix_counts(docs, **settings).groupBy("id", "key").agg(F.sum("copies").alias("copies"), F.count("*").alias("alike"))
+    return pick_rows(docs, chosen.filter("copies > 0"), settings.get("id_col", "doc_id"))
 
 
 def op8_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

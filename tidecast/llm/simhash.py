@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import as_text, cut, pick, table
+from tidecast.llm.common import as_text, cut, pick_rows, row_key, table
 from tidecast.llm.components import connected_components
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -69,13 +69,16 @@ def _fingerprints(texts, words: int, seed: int) -> np.ndarray:
 def _batches(it, words: int, seed: int):
     for batch in it:
         bits = _fingerprints([t.as_py() for t in batch["text"].cast(pa.binary())], words, seed)
-        yield pa.RecordBatch.from_arrays([batch["id"], pa.array(bits.view(np.int64))], ["id", "fp"])
+        rest = [n for n in batch.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch[n] for n in rest), pa.array(bits.view(np.int64))], [*rest, "fp"])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, seed: int = 42) -> DataFrame:
-    """(id, fp): each row's id and SimHash, as a signed long. A null text has no words: fingerprint 0."""
-    rows = pick(docs, id=id_col, text=text_col).select(F.col("id").cast("long"), as_text(F.col("text")).alias("text"))
-    return rows.mapInArrow(lambda it: _batches(it, words, seed), "id long, fp long")
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, seed: int = 42, keyed: bool = False) -> DataFrame:
+    """(id, fp): each row's id and SimHash, as a signed long. A null text has no words: fingerprint 0. ``keyed`` adds
+    ``key``, a hash of the whole row."""
+    key = [row_key(docs).alias("key")] * keyed
+    rows = docs.select(docs[id_col].cast("long").alias("id"), *key, as_text(docs[text_col]).alias("text"))
+    return rows.mapInArrow(lambda it: _batches(it, words, seed), "id long, " + "key long, " * keyed + "fp long")
 
 
 def segments(n: int, bits: int = 64) -> list[tuple[int, int]]:
@@ -152,6 +155,17 @@ def links(distinct: DataFrame, max_bits: int = 2, n_segments: int = 2, bucket_ro
     return cold.union(_hot_links(cut(hot), max_bits, 4))
 
 
+def fingerprint_components(rows: DataFrame, max_bits: int = 2) -> DataFrame:
+    """(f, component, component_id) for each distinct fingerprint of the rows (id, fp): the component's smallest
+    fingerprint and smallest id."""
+    distinct = cut(rows.groupBy("fp").agg(F.min("id").alias("least")))
+    reached = connected_components(links(distinct.select("fp"), max_bits))
+    member = distinct.join(reached, distinct.fp == reached.node, "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("component"))
+    least = member.groupBy("component").agg(F.min("least").alias("component_id"))
+    return member.join(least, "component").select(F.col("fp").alias("f"), "component", "component_id")
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
                        max_bits: int = 2, seed: int = 42) -> DataFrame:
     """id_col, fingerprint (16 hex digits) and component_id of every row: the smallest id that links within
@@ -163,15 +177,20 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     an empty table gives an empty result; other columns are not read.
     """
     rows = cut(fingerprints(docs, id_col, text_col, words, seed))
-    distinct = cut(rows.groupBy("fp").agg(F.min("id").alias("least")))
-    reached = connected_components(links(distinct.select("fp"), max_bits))
-    member = distinct.join(reached, distinct.fp == reached.node, "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component"))
-    least = member.groupBy("component").agg(F.min("least").alias("component_id"))
-    known = member.join(least, "component").select(F.col("fp").alias("f"), "component_id")
+    known = fingerprint_components(rows, max_bits)
     return (rows.join(known, rows.fp == known.f, "left")
             .select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, max_bits: int = 2) -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns: that of the smallest id (a null id comes last);
+    of several rows of that id the one with the smallest hash of its columns."""
+    rows = cut(fingerprints(docs, id_col, text_col, words, keyed=True))
+    known = fingerprint_components(rows, max_bits)
+    alike = rows.join(known, rows.fp == known.f).groupBy("component", "id", "key").agg(F.count("*").alias("alike"))
+    first = alike.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key", "alike")).alias("r"))
+    return pick_rows(docs, first.select("r.id", "r.key", F.lit(1).cast("long").alias("copies"), "r.alike"), id_col)
+
+
 def op5_simhash_components(spark, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), words=3, max_bits=2)
