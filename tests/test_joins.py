@@ -99,7 +99,7 @@ def test_checked_broadcast(spark):
     from conftest import SF01
     from tidecast.sources import fixtures as fx
     b, s = fx.bars(spark, SF01), fx.series_wide(spark, SF01)
-    small = joins.enrich(b, s, broadcast_right=100_000)
+    small = joins.enrich(b, s, broadcast_right=100_000_000)
     assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")

@@ -40,26 +40,57 @@ def chunk_expr(chunk, order_col: str) -> Column:
     raise ValueError(f"unknown chunk {chunk!r}")
 
 
-def auto_chunk(df, by, order, chunk):
+def auto_chunk(df, by, order, chunk, buckets: int = 200):
     """The chunk to use: ``chunk`` if given; with no key, a default bucket of the order column.
 
     A window with neither key nor chunk moves the whole table into one task,
     so an unkeyed call is always chunked: month buckets for dates, day buckets
-    for timestamps, 2^20-wide buckets for integers. Results are unchanged.
+    for timestamps, 2^20-wide buckets for integers, ranges cut at approximate
+    quantiles of the data for doubles and decimals (found by one aggregation
+    while the plan is built). Results are unchanged. Other order types have no bucket that
+    is both monotone and even: they raise, asking for a key or a chunk.
     """
     if chunk is not None or as_list(by):
         return chunk
     first = as_list(order)[0]
-    if not isinstance(first, str):
-        return None
-    dt = df.schema[first].dataType.simpleString()
-    if dt == "date":
-        return "month"
-    if dt.startswith("timestamp"):
-        return "day"
-    if dt in ("int", "bigint", "smallint", "tinyint"):
-        return 1 << 20
-    return None
+    if isinstance(first, str):
+        dt = df.schema[first].dataType.simpleString()
+        if dt == "date":
+            return "month"
+        if dt.startswith("timestamp"):
+            return "day"
+        if dt in ("int", "bigint", "smallint", "tinyint"):
+            return 1 << 20
+        if dt in ("double", "float") or dt.startswith("decimal"):
+            # NULL stays in a bucket of its own (first, as in the order), NaN falls into the last one
+            x = F.col(first)
+            edges = quantile_edges(df, first, buckets)
+            return F.when(x.isNotNull(), F.size(F.filter(edges, lambda e: e < x)) if edges is not None else F.lit(0))
+    raise ValueError(f"ordering a table without a key by {first!r} needs by= or chunk=: one task would get all rows")
+
+
+def quantile_edges(df, col: str, buckets: int):
+    """The inner ``buckets - 1`` approximate quantiles of a column as an array literal; None without any value."""
+    cuts = [(i + 1) / buckets for i in range(buckets - 1)]
+    edges = df.where(F.col(col).isNotNull()).agg(F.percentile_approx(col, cuts).alias("e")).first()["e"] if cuts else []
+    return None if edges is None else F.array(*[F.lit(e) for e in edges]).cast(f"array<{df.schema[col].dataType.simpleString()}>")
+
+
+KEY = "_key"
+
+
+def key_struct(*cols) -> Column:
+    """The columns as one struct. It is never NULL, and NULL fields are equal to NULL fields, so that windows,
+    groups and joins over it treat NULL keys alike and share one partitioning."""
+    return F.struct(*[F.col(c) if isinstance(c, str) else c for c in cols])
+
+
+def join_on_keys(left, right, by, how: str = "left"):
+    """``left.join(right, by, how)`` where a NULL key meets a NULL key."""
+    by = as_list(by)
+    rest = [c for c in right.columns if c not in by]
+    keyed = right.select(key_struct(*by).alias(KEY), *rest)
+    return left.withColumn(KEY, key_struct(*by)).join(keyed, KEY, how).select(*left.columns, *rest)
 
 
 def as_list(x) -> list:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidecast.operators._chunks import as_list, one_row
+from tidecast.operators._chunks import as_list, join_on_keys, one_row
 from tidecast.operators.index import row_index
 
 _TWO31 = float(1 << 31)
@@ -51,14 +51,14 @@ def shap_linear(coefs: DataFrame | Mapping[str, float], background: DataFrame, r
     means_aggs = [F.avg(f).alias(f"_mu_{f}") for f in feats]
     if by:
         means = background.groupBy(*by).agg(*means_aggs)
-        out = rows.select(*by, row_id, *feats).join(means, by, "left")
+        out = join_on_keys(rows.select(*by, row_id, *feats), means, by)
         mu = lambda f: F.col(f"_mu_{f}")
     else:
         means = one_row(background.agg(*means_aggs))
         out = rows.select(row_id, *feats)
         mu = lambda f: means[f"_mu_{f}"]
     if isinstance(coefs, DataFrame):
-        out = out.join(coefs.select(*by, *[f"coef_{f}" for f in feats]), by, "left") if by else \
+        out = join_on_keys(out, coefs.select(*by, *[f"coef_{f}" for f in feats]), by) if by else \
             out.withColumns({f"coef_{f}": one_row(coefs.select(*[f"coef_{f}" for f in feats]))[f"coef_{f}"]
                              for f in feats})
         cf = lambda f: F.col(f"coef_{f}")
@@ -175,7 +175,8 @@ def shap_sampled(model, background: DataFrame, rows: DataFrame, features: Sequen
     k = len(feats)
     # dense background index without a global sort: order by a hash, chunked by its bucket
     h = F.xxhash64(*[F.col(f) for f in feats], F.lit(seed))
-    bg = background.select(*feats).withColumns({"_h": h, "_b": F.pmod(h, F.lit(256))})
+    n_buckets = background.agg(F.ceil((F.count(F.lit(1)) + 1) / F.lit(4096))).scalar()  # grows with the background
+    bg = background.select(*feats).withColumns({"_h": h, "_b": F.pmod(h, n_buckets)})
     bg = row_index(bg, ["_b", "_h", *feats], name="_bi", chunk=F.col("_b")).drop("_h", "_b")
     n_bg = bg.agg(F.count(F.lit(1))).scalar()
     pairs = rows.select(row_id, *[F.col(f).alias(f"_x{j}") for j, f in enumerate(feats)]) \
@@ -209,13 +210,41 @@ def shap_sampled(model, background: DataFrame, rows: DataFrame, features: Sequen
     return scored.groupBy(row_id, "feature").agg(F.avg("_d").alias("phi"))
 
 
-def _truncated_normal(mean, std, lo, hi, *seed_cols, tries: int = 8) -> F.Column:
-    """Draw from N(mean, std) truncated to [lo, hi]: the first of ``tries`` hashed draws inside
-    the interval (exact rejection sampling), the last one clipped if none is."""
-    cands = [mean + std * _normal(*seed_cols, F.lit(100 + t)) for t in range(tries)]
-    inside = [F.when((c >= lo) & (c <= hi), c) for c in cands]
-    clipped = F.least(F.greatest(cands[-1], lo), hi)
-    return F.when(std > 0, F.coalesce(*inside, clipped)).otherwise(mean)
+# Coefficients of Wichura's rational approximation (AS 241) of the normal quantile.
+_CENTRE = ((3.3871328727963666080e0, 1.3314166789178437745e2, 1.9715909503065514427e3, 1.3731693765509461125e4,
+            4.5921953931549871457e4, 6.7265770927008700853e4, 3.3430575583588128105e4, 2.5090809287301226727e3),
+           (1.0, 4.2313330701600911252e1, 6.8718700749205790830e2, 5.3941960214247511077e3, 2.1213794301586595867e4,
+            3.9307895800092710610e4, 2.8729085735721942674e4, 5.2264952788528545610e3))
+_NEAR = ((1.42343711074968357734e0, 4.63033784615654529590e0, 5.76949722146069140550e0, 3.64784832476320460504e0,
+          1.27045825245236838258e0, 2.41780725177450611770e-1, 2.27238449892691845833e-2, 7.74545014278341407640e-4),
+         (1.0, 2.05319162663775882187e0, 1.67638483018380384940e0, 6.89767334985100004550e-1, 1.48103976427480074590e-1,
+          1.51986665636164571966e-2, 5.47593808499534494600e-4, 1.05075007164441684324e-9))
+_FAR = ((6.65790464350110377720e0, 5.46378491116411436990e0, 1.78482653991729133580e0, 2.96560571828504891230e-1,
+         2.65321895265761230930e-2, 1.24266094738807843860e-3, 2.71155556874348757815e-5, 2.01033439929228813265e-7),
+        (1.0, 5.99832206555887937690e-1, 1.36929880922735805310e-1, 1.48753612908506148525e-2, 7.86869131145613259100e-4,
+         1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15))
+
+
+def _ratio(r: F.Column, tables) -> F.Column:
+    """A quotient of two polynomials in r, lowest power first."""
+    def poly(cs):
+        out = F.lit(cs[-1])
+        for c in reversed(cs[:-1]):
+            out = out * r + F.lit(c)
+        return out
+    return poly(tables[0]) / poly(tables[1])
+
+
+def normal_quantile(u: F.Column) -> F.Column:
+    """The standard normal quantile of u in (0, 1), to about 16 digits, from built-in functions."""
+    q = u - 0.5
+    r = F.sqrt(-F.log(F.least(u, 1.0 - u)))
+    tail = F.when(r <= 5.0, _ratio(r - 1.6, _NEAR)).otherwise(_ratio(r - 5.0, _FAR))
+    return F.when(F.abs(q) <= 0.425, q * _ratio(0.180625 - q * q, _CENTRE)).otherwise(F.when(q < 0, -tail).otherwise(tail))
+
+
+def _phi(x: float) -> float:
+    return 0.5 * math.erfc(-x / math.sqrt(2.0))
 
 
 def lime_quartile(model, train: DataFrame, rows: DataFrame, features: Sequence[str], row_id: str = "idx",
@@ -228,9 +257,10 @@ def lime_quartile(model, train: DataFrame, rows: DataFrame, features: Sequence[s
     bins' train frequencies and a value from the bin's truncated normal
     (sample 0 is the row itself); the surrogate sees 1 where the sample's bin
     equals the row's. Weights are ``sqrt(exp(-d² / width²))`` on that binary
-    representation; with more than ``num_features`` features (and more than
-    six) the ``num_features`` largest |coefficients| of a weighted ridge
-    (alpha 0.01) are kept; the answer is a weighted ridge (``alpha``, free
+    representation. ``num_features`` of the features are kept if there are
+    more: up to six by forward selection (each time the one that raises the
+    weighted R² most), else those with the largest |coefficients| of a weighted
+    ridge (alpha 0.01); the answer is a weighted ridge (``alpha``, free
     intercept) on them. All draws are hashes of (row, sample, feature, seed).
 
     Output (row_id, feature, condition, weight), conditions such as
@@ -258,12 +288,16 @@ def lime_quartile(model, train: DataFrame, rows: DataFrame, features: Sequence[s
                                      F.stddev_pop("v").alias("sd"), F.min("v").alias("lo"),
                                      F.max("v").alias("hi")).collect()
     tot = {j: sum(r.n for r in bs if r.j == j) for j in range(k)}
-    stat = {(r.j, r.b): r for r in bs}
+    stat = {}
+    for r in bs:
+        sd = r.sd or 0.0
+        stat[r.j, r.b] = {"n": r.n, "mu": r.mu, "sd": sd, "lo": r.lo, "hi": r.hi,
+                          "pa": _phi((r.lo - r.mu) / sd) if sd else 0.0, "pb": _phi((r.hi - r.mu) / sd) if sd else 1.0}
     cfs = {}
     for j in range(k):
         acc, cf = 0, []
         for b in range(4):
-            acc += stat[(j, b)].n if (j, b) in stat else 0
+            acc += stat[(j, b)]["n"] if (j, b) in stat else 0
             cf.append(acc / tot[j] if tot[j] else 1.0)
         cfs[j] = cf
 
@@ -285,11 +319,15 @@ def lime_quartile(model, train: DataFrame, rows: DataFrame, features: Sequence[s
     base = base.withColumns({f"_b{j}": F.when(F.col("_s") == 0, F.col(f"_i{j}")).otherwise(F.col(f"_d{j}"))
                              for j in range(k)})
     base = base.withColumns({f"_{p}{j}": bin_param(j, F.col(f"_b{j}"), name)
-                             for j in range(k) for p, name in (("mu", "mu"), ("sd", "sd"), ("lo", "lo"), ("hi", "hi"))})
+                             for j in range(k) for p, name in ((x, x) for x in ("mu", "sd", "lo", "hi", "pa", "pb"))})
     vals = {}
     for j, f in enumerate(feats):
-        v = _truncated_normal(F.col(f"_mu{j}"), F.coalesce(F.col(f"_sd{j}"), F.lit(0.0)), F.col(f"_lo{j}"),
-                              F.col(f"_hi{j}"), F.col(row_id), F.col("_s"), F.lit(j), F.lit(seed))
+        # one uniform draw between the bin's ends on the scale of probabilities, then the quantile: an exact draw
+        # from the truncated normal (a bin without spread gives its mean)
+        u = _uniform(F.col(row_id), F.col("_s"), F.lit(j), F.lit(seed), F.lit(100))
+        u = F.col(f"_pa{j}") + u * (F.col(f"_pb{j}") - F.col(f"_pa{j}"))
+        drawn = F.least(F.greatest(F.col(f"_mu{j}") + F.col(f"_sd{j}") * normal_quantile(u), F.col(f"_lo{j}")), F.col(f"_hi{j}"))
+        v = F.when(F.col(f"_sd{j}") > 0, drawn).otherwise(F.col(f"_mu{j}"))
         vals[f] = F.when(F.col("_s") == 0, F.col(f).cast("double")).otherwise(v)
     zcols = {f"_z{j}": (F.col(f"_b{j}") == F.col(f"_i{j}")).cast("double") for j in range(k)}
     pts = base.select(row_id, "_s", *[c.alias(f) for f, c in vals.items()], *[c.alias(n) for n, c in zcols.items()],
@@ -301,22 +339,49 @@ def lime_quartile(model, train: DataFrame, rows: DataFrame, features: Sequence[s
     aggs = [F.sum(F.col("_w") * F.col(zs[a]) * F.col(zs[b])).alias(f"_g{a}_{b}")
             for a in range(k + 1) for b in range(a, k + 1)]
     aggs += [F.sum(F.col("_w") * F.col(zs[a]) * F.col("_y")).alias(f"_h{a}") for a in range(k + 1)]
+    aggs += [F.sum(F.col("_w") * F.col("_y") * F.col("_y")).alias("_yy")]
     # the row's own bins ride along (constant per row), so ``rows`` is evaluated once
     aggs += [F.first(f"_i{j}").alias(f"_bin{j}") for j in range(k)]
     mom = scored.groupBy(row_id).agg(*aggs)
     schema = T.StructType([T.StructField(row_id, rows.schema[row_id].dataType),
                            T.StructField("feature", T.StringType()), T.StructField("condition", T.StringType()),
                            T.StructField("weight", T.DoubleType())])
-    select_top = k > num_features and k > 6
+    names = np.array(feats, dtype=object)
+    labels = np.array([[f"{f} <= {e[0]}", f"{e[0]} < {f} <= {e[1]}", f"{e[1]} < {f} <= {e[2]}", f"{f} > {e[2]}"]
+                       for f in feats for e in [["%.2f" % x for x in edges[f]]]], dtype=object)
 
     def ridge(g, h, idx, lam):
-        sub = [0, *[i + 1 for i in idx]]
-        gs = g[:, sub][:, :, sub].copy()
-        for a in range(1, len(sub)):
-            gs[:, a, a] += lam
-        return (np.linalg.pinv(gs) @ h[:, sub][:, :, None])[:, :, 0]
+        """Ridge solutions (row, 1 + len) on each row's own features ``idx`` (row, feature)."""
+        sub = np.concatenate([np.zeros((len(g), 1), int), idx + 1], axis=1)
+        gs = np.take_along_axis(np.take_along_axis(g, sub[:, :, None], 1), sub[:, None, :], 2)
+        at = np.arange(1, sub.shape[1])
+        gs[:, at, at] += lam
+        return gs, (np.linalg.pinv(gs) @ np.take_along_axis(h, sub, 1)[:, :, None])[:, :, 0]
+
+    def error(g, h, yy, idx):
+        """Weighted squared error of the least squares on the features ``idx``."""
+        gs, beta = ridge(g, h, idx, 0.0)
+        hs = np.take_along_axis(h, np.concatenate([np.zeros((len(g), 1), int), idx + 1], axis=1), 1)
+        return yy - 2 * (beta * hs).sum(1) + np.einsum("ni,nij,nj->n", beta, gs, beta)
+
+    def chosen(g, h, yy):
+        """The features (row, num_features) that stay for each row."""
+        n = len(g)
+        everything = np.broadcast_to(np.arange(k), (n, k))
+        if k <= num_features:
+            return everything
+        if num_features > 6:
+            weight = np.abs(ridge(g, h, everything, 0.01)[1][:, 1:])
+            return np.sort(np.argsort(-weight, axis=1, kind="stable")[:, :num_features], axis=1)
+        used = np.zeros((n, 0), int)
+        for _ in range(num_features):
+            errors = np.stack([error(g, h, yy, np.concatenate([used, np.full((n, 1), j)], axis=1)) for j in range(k)], axis=1)
+            np.put_along_axis(errors, used, np.inf, 1)
+            used = np.concatenate([used, errors.argmin(1)[:, None]], axis=1)
+        return np.sort(used, axis=1)
 
     def solve(batches):
+        # a batch of rows at once; a row's moments are (k + 1)² numbers
         for pdf in batches:
             n = len(pdf)
             g = np.empty((n, k + 1, k + 1))
@@ -324,21 +389,10 @@ def lime_quartile(model, train: DataFrame, rows: DataFrame, features: Sequence[s
                 for b in range(a, k + 1):
                     g[:, a, b] = g[:, b, a] = pdf[f"_g{a}_{b}"].to_numpy(dtype=float)
             h = np.stack([pdf[f"_h{a}"].to_numpy(dtype=float) for a in range(k + 1)], axis=1)
-            out = []
-            for r in range(n):
-                gr, hr = g[r:r + 1], h[r:r + 1]
-                used = list(range(k))
-                if select_top:
-                    coef = ridge(gr, hr, used, 0.01)[0, 1:]
-                    used = sorted(np.argsort(-np.abs(coef), kind="stable")[:num_features].tolist())
-                beta = ridge(gr, hr, used, alpha)[0, 1:]
-                row = pdf.iloc[r]
-                for i, j in enumerate(used):
-                    f, b = feats[j], int(row[f"_bin{j}"])
-                    e = ["%.2f" % x for x in edges[f]]
-                    cond = (f"{f} <= {e[0]}" if b == 0 else f"{f} > {e[2]}" if b == 3
-                            else f"{e[b - 1]} < {f} <= {e[b]}")
-                    out.append((row[row_id], f, cond, float(beta[i])))
-            yield pd.DataFrame(out, columns=[fl.name for fl in schema.fields])
+            used = chosen(g, h, pdf["_yy"].to_numpy(dtype=float)) if n else np.zeros((0, min(k, num_features)), int)
+            beta = ridge(g, h, used, alpha)[1][:, 1:]
+            bins = np.take_along_axis(np.stack([pdf[f"_bin{j}"].to_numpy(dtype=int) for j in range(k)], axis=1), used, 1)
+            yield pd.DataFrame({row_id: np.repeat(pdf[row_id].to_numpy(), used.shape[1]), "feature": names[used].reshape(-1),
+                                "condition": labels[used, bins].reshape(-1), "weight": beta.reshape(-1)})
 
     return mom.mapInPandas(solve, schema)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.columns import sentinel_to_null_expr
-from tidecast.operators._chunks import CHUNK, as_list, auto_chunk, chunk_expr
+from tidecast.operators._chunks import CHUNK, KEY, as_list, auto_chunk, chunk_expr, key_struct
 
 NAN = float("nan")
 UNB = Window.unboundedPreceding
@@ -35,7 +35,8 @@ def _fill(df: DataFrame, cols, order, by, value, chunk, forward: bool, backward:
         part = by
     else:
         base = base.withColumn(CHUNK, chunk_expr(chunk, as_list(order)[0]))
-        part = [*by, CHUNK]
+        base = base.withColumn(KEY, key_struct(*by, CHUNK))
+        part = [KEY]
     base_w = Window.partitionBy(*part).orderBy(*ords)
     # peers: a RANGE frame, so rows that share the order value (duplicate dates) see the same frame
     wf = base_w.rangeBetween(UNB, 0) if peers else base_w.rowsBetween(UNB, 0)
@@ -54,11 +55,13 @@ def _fill(df: DataFrame, cols, order, by, value, chunk, forward: bool, backward:
         aggs = []
         for c in cols:
             keep = F.when(F.col(c).isNotNull(), okey)
+            # rows without an order value share a chunk of their own, in which max_by sees no order
+            loose = F.first(F.when(okey.isNull(), F.col(c)), True)
             if forward:
-                aggs.append(F.max_by(F.col(c), keep).alias(f"_cl_{c}"))
+                aggs.append(F.coalesce(F.max_by(F.col(c), keep), loose).alias(f"_cl_{c}"))
             if backward:
-                aggs.append(F.min_by(F.col(c), keep).alias(f"_cf_{c}"))
-        summ = base.groupBy(*by, CHUNK).agg(*aggs)
+                aggs.append(F.coalesce(F.min_by(F.col(c), keep), loose).alias(f"_cf_{c}"))
+        summ = base.groupBy(KEY, *by, CHUNK).agg(*aggs)
         wprev = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(UNB, -1)
         wnext = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(1, UNF)
         carry_cols = []
@@ -67,8 +70,8 @@ def _fill(df: DataFrame, cols, order, by, value, chunk, forward: bool, backward:
                 carry_cols.append(F.last(f"_cl_{c}", True).over(wprev).alias(f"_pf_{c}"))
             if backward:
                 carry_cols.append(F.first(f"_cf_{c}", True).over(wnext).alias(f"_pb_{c}"))
-        carry = summ.select(*by, CHUNK, *carry_cols)
-        out = out.join(carry, [*by, CHUNK], "left")
+        carry = summ.select(KEY, *carry_cols)
+        out = out.join(carry, KEY, "left")
         fix = {}
         for c in cols:
             if forward:
@@ -131,17 +134,17 @@ def shift(df: DataFrame, cols, order, by=(), offset: int = 1, chunk=None, prefix
         return df.withColumns({f"{prefix}{c}": nb(c, abs(offset)).over(w) for c in cols})
     if abs(offset) != 1:
         raise ValueError("chunked shift supports one step only")
-    base = df.withColumn(CHUNK, chunk_expr(chunk, as_list(order)[0]))
-    w = Window.partitionBy(*by, CHUNK).orderBy(*ords)
+    base = df.withColumn(CHUNK, chunk_expr(chunk, as_list(order)[0])).withColumn(KEY, key_struct(*by, CHUNK))
+    w = Window.partitionBy(KEY).orderBy(*ords)
     out = base.withColumns({**{f"{prefix}{c}": nb(c, 1).over(w) for c in cols},
                             "_edge": nb(F.lit(1), 1).over(w).isNull()})
     okey = ords[0] if len(ords) == 1 else F.struct(*ords)
     row = F.struct(*[F.col(c) for c in cols])
     pick = F.max_by if offset > 0 else F.min_by
-    summ = base.groupBy(*by, CHUNK).agg(pick(row, okey).alias("_row"))
+    summ = base.groupBy(KEY, *by, CHUNK).agg(F.coalesce(pick(row, okey), F.first(F.when(okey.isNull(), row), True)).alias("_row"))
     wk = Window.partitionBy(*by).orderBy(CHUNK)
-    carry = summ.select(*by, CHUNK, nb("_row", 1).over(wk).alias("_nbr"))
-    out = out.join(carry, [*by, CHUNK], "left")
+    carry = summ.select(KEY, nb("_row", 1).over(wk).alias("_nbr"))
+    out = out.join(carry, KEY, "left")
     out = out.withColumns({f"{prefix}{c}": F.when(F.col("_edge"), F.col(f"_nbr.{c}")).otherwise(F.col(f"{prefix}{c}"))
                            for c in cols})
     return out.select(*df.columns, *[f"{prefix}{c}" for c in cols])
@@ -169,20 +172,19 @@ def ffill_pandas_api(df: DataFrame, cols, order, by=()) -> DataFrame:
 
     Grouped by ``by`` (``groupby().ffill()``), so each key is filled in its own
     task instead of moving the whole frame to one partition. Without a key the
-    pandas-on-Spark ``ffill`` orders the whole frame in one partition; this
-    surface is for parity, and unkeyed data should use :func:`forward_fill`,
-    which chunks automatically and gives the same values.
+    pandas-on-Spark ``ffill`` would order the whole frame in one partition:
+    such a call is handed to :func:`forward_fill`, which chunks automatically
+    and gives the same values (NULL and NaN are both gaps to it, as here).
     """
     by = as_list(by)
     cols = as_list(cols)
+    if not by:
+        return forward_fill(df, cols, order)
     psdf = df.pandas_api()
     psdf = psdf.sort_values(by=[*by, *as_list(order)])
-    if by:
-        filled = psdf.groupby(by)[cols].ffill()
-        rest = psdf.drop(columns=cols)
-        out = rest.join(filled)
-    else:
-        out = psdf.ffill()
+    filled = psdf.groupby(by, dropna=False)[cols].ffill()
+    rest = psdf.drop(columns=cols)
+    out = rest.join(filled)
     return out.to_spark().select(*df.columns)
 
 

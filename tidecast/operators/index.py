@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecast.operators._chunks import CHUNK, as_list, auto_chunk, chunk_expr
+from tidecast.operators._chunks import CHUNK, KEY, as_list, auto_chunk, chunk_expr, key_struct
 
 UNB = Window.unboundedPreceding
 
@@ -33,20 +33,27 @@ def row_index(df: DataFrame, order, by=(), name: str = "idx", count: str | None
         if count:
             out = out.withColumn(count, F.count(F.lit(1)).over(Window.partitionBy(*by)))
         return out
-    base = df.withColumn(CHUNK, chunk_expr(chunk, as_list(order)[0]))
-    w = Window.partitionBy(*by, CHUNK).orderBy(*ords)
+    base = df.withColumn(CHUNK, chunk_expr(chunk, as_list(order)[0])).withColumn(KEY, key_struct(*by, CHUNK))
+    w = Window.partitionBy(KEY).orderBy(*ords)
     numbered = base.withColumn("_rn", F.row_number().over(w) - 1)
-    counts = base.groupBy(*by, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    counts = base.groupBy(KEY, *by, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
     wk = Window.partitionBy(*by).orderBy(CHUNK)
     offs = [F.coalesce(F.sum("_n").over(wk.rowsBetween(UNB, -1)), F.lit(0)).alias("_off")]
     if count:
         offs.append(F.sum("_n").over(Window.partitionBy(*by)).alias(count))
-    table = counts.select(*by, CHUNK, *offs)
-    out = numbered.join(table, [*by, CHUNK], "left").withColumn(name, (F.col("_off") + F.col("_rn")).cast("long"))
+    table = counts.select(KEY, *offs)
+    out = numbered.join(table, KEY, "left").withColumn(name, (F.col("_off") + F.col("_rn")).cast("long"))
     keep = [*df.columns, name] + ([count] if count else [])
     return out.select(*keep)
 
 
 def partition_count(df: DataFrame) -> DataFrame:
-    """Number of non-empty partitions of ``df``, computed as a distributed aggregate (A5)."""
-    return df.select(F.spark_partition_id().alias("_p")).agg(F.count_distinct("_p").alias("partitions"))
+    """Number of partitions of ``df``, empty ones included (A5).
+
+    A property of the plan, read without running a job over the rows."""
+    return df.sparkSession.createDataFrame([(df.rdd.getNumPartitions(),)], "partitions long")
+
+
+def partition_sizes(df: DataFrame) -> DataFrame:
+    """Rows of each non-empty partition, as a distributed aggregate."""
+    return df.select(F.spark_partition_id().alias("partition")).groupBy("partition").agg(F.count("*").alias("n"))

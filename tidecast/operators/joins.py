@@ -27,8 +27,12 @@ def _ordered(u: DataFrame, keys, chunk) -> tuple[DataFrame, list, object]:
                     + (secs * 1_000_000).cast("long"))
         else:
             base = F.unix_micros("_t")
-    else:
+    elif tt in ("tinyint", "smallint", "int", "bigint"):
         base = F.col("_t").cast("long")
+    else:
+        # no exact bigint: order by the time itself, then by the side
+        chunk = auto_chunk(u, keys, "_t", chunk)
+        return u, ["_t", "_side"], (chunk_expr(chunk, "_t") if chunk is not None else None)
     u = u.withColumn("_o", base * 2 + F.col("_side"))
     chunk = auto_chunk(u, keys, "_t", chunk)
     return u, ["_o"], (chunk_expr(chunk, "_t") if chunk is not None else None)
@@ -45,16 +49,15 @@ def _maybe_broadcast(right: DataFrame, broadcast_right: bool | int | None) -> Da
 
     None   the planner decides from measured sizes: AQE converts the join to a
            broadcast only under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-    int n  a checked bound: broadcast only if the right side has at most n rows,
-           found with ``limit(n + 1).count()``, so the check reads at most n + 1 rows
-    True   the caller guarantees a bound (for example one row per calendar day)
+    int n  a checked bound in bytes: broadcast only if the optimizer's own estimate
+           of the right side is at most n; no job is run for the check
     """
     if broadcast_right is None or broadcast_right is False:
         return right
     if broadcast_right is True:
-        return F.broadcast(right)
-    n = int(broadcast_right)
-    return F.broadcast(right) if right.limit(n + 1).count() <= n else right
+        raise ValueError("give broadcast_right as a bound in bytes, which is checked")
+    size = int(str(right._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(right) if size <= int(broadcast_right) else right
 
 
 def enrich(left: DataFrame, right: DataFrame, on: str = "date", by=(), cols=None, fill: str | None = None,
@@ -112,7 +115,8 @@ def asof_join(left: DataFrame, right: DataFrame, on: str = "date", by=(), cols=N
     vals = _value_cols(right, on, keys, cols)
     if keys:
         return _asof_keyed(left, right, on, keys, vals, chunk, per_column)
-    lt = left.select(F.col(on).alias("_t")).distinct()
+    right = right.where(F.col(on).isNotNull())
+    lt = left.select(F.col(on).alias("_t")).where("_t IS NOT NULL").distinct()
     if per_column:
         r = right.select(F.col(on).alias("_t"), F.lit(0).alias("_side"), *vals)
         lt = lt.select("_t", F.lit(1).alias("_side"), *[F.lit(None).cast(r.schema[v].dataType).alias(v) for v in vals])
@@ -132,7 +136,13 @@ def asof_join(left: DataFrame, right: DataFrame, on: str = "date", by=(), cols=N
 
 def _asof_keyed(left: DataFrame, right: DataFrame, on: str, keys, vals, chunk, per_column: bool) -> DataFrame:
     """As-of join when the right side has the key: the left rows ride through the window
-    themselves (as a struct), so the plan is one shuffle by (key[, bucket]) and no join back."""
+    themselves (as a struct), so the plan is one shuffle by (key[, bucket]) and no join back.
+
+    A right row with a NULL key or NULL time matches nothing, as in SQL: such rows are left out. Left rows with
+    one come through with NULL values, as no right row stands before them."""
+    right = right.where(F.col(on).isNotNull())
+    for k in keys:
+        right = right.where(F.col(k).isNotNull())
     lstruct = F.struct(*[F.col(c) for c in left.columns])
     if per_column:
         carried = vals

@@ -14,18 +14,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidecast.operators._chunks import as_list, one_row
+from tidecast.operators._chunks import as_list, join_on_keys, one_row, quantile_edges
 
 # name -> estimator factory (M9). Unknown names raise instead of falling through.
 MODELS: dict[str, Callable[..., object]] = {
-    "lr": lambda **kw: LinearRegression(**{"regParam": 0.0, "solver": "normal", **kw}),
+    # solver "auto": normal equations up to the number of features they allow, else an iterative solver
+    "lr": lambda **kw: LinearRegression(**{"regParam": 0.0, "solver": "auto", **kw}),
     "rf": lambda **kw: RandomForestRegressor(**{"numTrees": 3, "seed": 42, **kw}),
     "gbt": lambda **kw: GBTRegressor(**{"maxIter": 20, "seed": 42, **kw}),
 }
 
 
 # The grid search the reference runs (random forest, 30 random folds,
-# 9 settings = 270 fits plus the refit). The registered query uses a small grid.
+# 9 settings = 270 fits plus the refit): ``tune(df, "rf", features, grid=REFERENCE_RF_GRID,
+# folds=REFERENCE_FOLDS, fold="random")``. The registered query uses a smaller grid.
 REFERENCE_RF_GRID = {"numTrees": [50, 100, 150], "maxDepth": [5, 10, 15]}
 REFERENCE_FOLDS = 30
 
@@ -72,7 +74,9 @@ def evaluate(df: DataFrame, metric: str | Sequence[str] = "rmse", label: str = "
              prediction: str = "prediction", by=()) -> DataFrame:
     """RMSE / R² / MAE per key as one aggregate (M6, M7)."""
     by = as_list(by)
-    y, p = F.col(label), F.col(prediction)
+    # rows that lack a label or a prediction take no part in any metric
+    scored = F.col(label).isNotNull() & F.col(prediction).isNotNull()
+    y, p = F.when(scored, F.col(label)), F.when(scored, F.col(prediction))
     err2 = F.pow(y - p, 2)
     exprs = {
         "rmse": F.sqrt(F.avg(err2)),
@@ -115,11 +119,14 @@ def fit_grouped_linear(df: DataFrame, features: Sequence[str], label: str = "clo
     driver loop over keys. With one feature the slope is the closed form
     ``covar_pop(x, y) / var_pop(x)``, evaluated in the JVM.
 
+    Only rows with a label and all features take part (no NULL, no NaN); ``n`` counts them.
+
     Output: ``by..., n, intercept, coef_<feature>...``.
     """
     by = as_list(by)
     feats = list(features)
     k = len(feats)
+    df = df.dropna(subset=[label, *feats])
     aggs = [F.count(F.lit(1)).alias("n"), F.avg(label).alias("_my")]
     aggs += [F.avg(f).alias(f"_m{i}") for i, f in enumerate(feats)]
     aggs += [F.covar_pop(feats[i], feats[j]).alias(f"_c{i}_{j}") for i in range(k) for j in range(i, k)]
@@ -162,7 +169,7 @@ def predict_grouped_linear(coefs: DataFrame, df: DataFrame, features: Sequence[s
     by = as_list(by)
     c = coefs.select(*by, "intercept", *[F.col(f"coef_{f}") for f in features])
     if by:
-        out = df.join(c, by, "left")
+        out = join_on_keys(df, c, by)
         coef = lambda f: F.col(f"coef_{f}")
         icpt = F.col("intercept")
     else:
@@ -192,7 +199,8 @@ def fit_predict_linear_window(df: DataFrame, feature: str, label: str = "close",
         c = fit_grouped_linear(df.where(F.col(fit_on)), [feature], label)
         return predict_grouped_linear(c, df, [feature], name=name)
     w = Window.partitionBy(*by)
-    both = F.col(fit_on) & F.col(feature).isNotNull() & F.col(label).isNotNull()
+    both = (F.col(fit_on) & F.col(feature).isNotNull() & F.col(label).isNotNull()
+            & ~F.isnan(feature) & ~F.isnan(label))
     x = F.when(both, F.col(feature))
     y = F.when(both, F.col(label))
     slope = F.try_divide(F.covar_pop(x, y).over(w), F.var_pop(x).over(w))
@@ -215,22 +223,38 @@ def time_folds(df: DataFrame, folds: int, idx: str = "idx", by=(), name: str = "
     return df.withColumn(name, F.floor(F.col(idx) * F.lit(folds) / n).cast("int"))
 
 
+def date_folds(df: DataFrame, folds: int, time_col: str = "date", name: str = "fold") -> DataFrame:
+    """Fold number from blocks of time that hold for all keys alike: all rows of a date share a fold, and no row of
+    a later fold is older than a row of an earlier one. Blocks are cut at approximate quantiles of the rows' times."""
+    edges = quantile_edges(df, time_col, folds)
+    if edges is None:
+        return df.withColumn(name, F.lit(0))
+    return df.withColumn(name, F.size(F.filter(edges, lambda e: e < F.col(time_col))))
+
+
 def tune(df: DataFrame, kind: str, features: Sequence[str], label: str = "close",
-         grid: Mapping[str, Sequence] | None = None, folds: int = 3, fold: str = "time",
-         idx: str = "idx", by=(), parallelism: int = 2, seed: int = 42):
+         grid: Mapping[str, Sequence] | None = None, folds: int = 3, fold: str = "expanding",
+         idx: str = "idx", by=(), parallelism: int = 2, seed: int = 42, time_col: str = "date"):
     """Grid search with k-fold cross-validation, best by RMSE, refit on all rows.
 
-    ``fold='time'``      contiguous time blocks of each key as folds (CrossValidator)
-    ``fold='expanding'`` for block f = 1..k-1, train on blocks before f and validate on f,
-                         so no fit ever sees data later than what it is scored on
+    ``fold='expanding'`` for block f = 1..k-1, train on blocks before f and validate on f; blocks
+                         are cut by time over all keys, so no fit sees a row later than what it scores
+    ``fold='time'``      the same blocks as folds, each against all others (sees the future)
     ``fold='random'``    random folds, for parity with the reference
-    Returns (best model, DataFrame of (params, rmse)).
+    The input is written once to the shared checkpoint folder; all fits read that, ``parallelism``
+    at a time. Returns (best model, DataFrame of (params, rmse)).
     """
+    from multiprocessing.pool import ThreadPool
+
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
     from tidecast.session import ensure_checkpoint_dir
 
+    if fold not in ("expanding", "time", "random"):
+        raise ValueError(f"unknown fold {fold!r}")
+    if fold == "expanding" and folds < 2:
+        raise ValueError("expanding folds need at least 2 blocks")
     ensure_checkpoint_dir(df.sparkSession)
     pipe = make_pipeline(kind, features, label)
     est = pipe.getStages()[-1]
@@ -244,29 +268,29 @@ def tune(df: DataFrame, kind: str, features: Sequence[str], label: str = "close"
     def label_of(m):
         return ",".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name))
 
+    if fold != "random":
+        df = date_folds(df, folds, time_col if time_col in df.columns else idx, name="_fold")
+    data = df.checkpoint(eager=True)
     if fold == "expanding":
-        if folds < 2:
-            raise ValueError("expanding folds need at least 2 blocks")
-        data = time_folds(df, folds, idx, by, name="_fold")
-        scores = []
-        for m in maps:  # grid x (folds - 1) distributed fits, driven from here like CrossValidator's
-            rmses = []
-            for f in range(1, folds):
-                fitted = pipe.copy(m).fit(data.where(F.col("_fold") < f))
-                rmses.append(ev.evaluate(fitted.transform(data.where(F.col("_fold") == f))))
-            scores.append(sum(rmses) / len(rmses))
+        def one(job):
+            m, f = job
+            fitted = pipe.copy(m).fit(data.where(F.col("_fold") < f))
+            return ev.evaluate(fitted.transform(data.where(F.col("_fold") == f)))
+
+        # grid x (folds - 1) distributed fits, driven from here like CrossValidator's
+        jobs = [(m, f) for m in maps for f in range(1, folds)]
+        with ThreadPool(parallelism) as pool:
+            rmses = pool.map(one, jobs, chunksize=1)
+        per = folds - 1
+        scores = [sum(rmses[i * per:(i + 1) * per]) / per for i in range(len(maps))]
         best = min(range(len(maps)), key=lambda i: scores[i])
-        best_model = pipe.copy(maps[best]).fit(df)
+        best_model = pipe.copy(maps[best]).fit(data)
         rows = [(label_of(m), float(r)) for m, r in zip(maps, scores)]
         return best_model, spark.createDataFrame(rows, "params string, rmse double")
     kw = dict(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, numFolds=folds,
               parallelism=parallelism, seed=seed)
-    data = df
     if fold == "time":
-        data = time_folds(df, folds, idx, by, name="_fold")
         kw["foldCol"] = "_fold"
-    elif fold != "random":
-        raise ValueError(f"unknown fold {fold!r}")
     cvm = CrossValidator(**kw).fit(data)
     rows = [(label_of(m), float(r)) for m, r in zip(maps, cvm.avgMetrics)]
     return cvm.bestModel, spark.createDataFrame(rows, "params string, rmse double")

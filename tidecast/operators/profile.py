@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.functions.columns import is_missing
-from tidecast.operators._chunks import as_list, one_row
+from tidecast.operators._chunks import as_list, join_on_keys, one_row
 
 
 def drop_missing(df: DataFrame, subset=None) -> DataFrame:
@@ -67,9 +67,10 @@ def histogram(df: DataFrame, col: str = "close", bins: int = 20, by=(), clamp_la
     """
     by = as_list(by)
     x = F.col(col)
+    df = df.where(x.isNotNull() & ~F.isnan(x))
     if by:
         stats = df.groupBy(*by).agg(F.min(col).alias("_min"), F.max(col).alias("_max"))
-        base = df.select(*by, col).join(stats, by, "left")
+        base = join_on_keys(df.select(*by, col), stats, by)
         mn, mx = F.col("_min"), F.col("_max")
     else:
         base = df.select(col)
@@ -79,7 +80,6 @@ def histogram(df: DataFrame, col: str = "close", bins: int = 20, by=(), clamp_la
     b = F.coalesce(F.try_divide(x - mn, width).cast("int"), F.lit(0))
     if clamp_last:
         b = F.least(b, F.lit(bins - 1))
-    base = base.where(x.isNotNull() & ~F.isnan(x))
     keys = [*by, b.alias("bin")]
     if edges:
         # the edge needs min and width next to the bin

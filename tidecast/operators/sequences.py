@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecast.operators._chunks import as_list, one_row
+from tidecast.operators._chunks import as_list, join_on_keys, one_row
 from tidecast.operators.index import row_index
 
 
@@ -29,10 +29,12 @@ def build_sequences(df: DataFrame, cols: Sequence[str], order="date", by=(), win
     ``padded_length - window - telescope`` (the last valid start is left out).
     Requires ``window % stride == 0``.
 
-    Plan: each row is sent to the few starts whose span covers it (at most
-    ``ceil((window + telescope) / stride)``), padding rows are generated per key
-    from its count, and ``groupBy(key, start)`` collects the span, ordered by
-    position with ``array_sort``, never relying on ``collect_list`` order.
+    Plan: positions are cut into buckets of about four spans; each row goes to
+    its bucket and, if it lies in the halo after another one, to that one too.
+    Padding rows are generated per key from its count, and ``groupBy(key,
+    bucket)`` collects at most five spans of rows, ordered by position with
+    ``array_sort``, never relying on ``collect_list`` order; the windows are
+    slices of that array.
 
     Output: ``by..., start, inputs array<array<double>>, labels array<array<double>>``.
     """
@@ -53,7 +55,7 @@ def build_sequences(df: DataFrame, cols: Sequence[str], order="date", by=(), win
     keys = counts.select(*by, "_pad", "_kmax")
     real = df.select(*by, F.col(idx).alias("_i"), _values(cols).alias("_v"))
     if by:
-        real = real.join(keys, by, "inner")
+        real = join_on_keys(real, keys, by, "inner")
     else:
         k = one_row(keys)
         real = real.withColumns({"_pad": k["_pad"], "_kmax": k["_kmax"]})
@@ -63,17 +65,21 @@ def build_sequences(df: DataFrame, cols: Sequence[str], order="date", by=(), win
         *by, F.explode(F.sequence(F.lit(0).cast("long"), (F.col("_pad") - 1).cast("long"))).alias("_p"),
         zeros.alias("_v"), "_kmax")
     rows = real.select(*by, F.col("_p").cast("long").alias("_p"), "_v", "_kmax").unionByName(pad_rows)
-    klo = F.greatest(F.lit(0).cast("long"), F.ceil((F.col("_p") - F.lit(span - 1)) / F.lit(stride)))
-    khi = F.least(F.floor(F.col("_p") / F.lit(stride)), F.col("_kmax"))
-    rows = rows.where(klo <= khi).select(
-        *by, "_p", "_v", F.explode(F.sequence(klo.cast("long"), khi.cast("long"))).alias("_k"))
-    rows = rows.select(*by, (F.col("_k") * stride).alias("start"),
-                       F.struct((F.col("_p") - F.col("_k") * stride).alias("pos"), F.col("_v").alias("v")).alias("e"))
-    g = rows.groupBy(*by, "start").agg(F.array_sort(F.collect_list("e")).alias("_es"))
-    vals = F.transform(F.col("_es"), lambda e: e["v"])
-    return g.select(*by, F.col("start").cast("long").alias("start"),
-                    F.slice(vals, 1, window).alias("inputs"),
-                    (F.slice(vals, window + 1, telescope) if telescope > 0 else
+    # buckets of positions: a bucket makes all windows that start in it, and so needs its own rows and a halo of
+    # the rows after it; each row crosses the shuffle once, and once more if it lies in a halo
+    size = stride * max(1, -(-4 * span // stride))
+    blo = F.greatest(F.lit(0).cast("long"), F.ceil((F.col("_p") - F.lit(span - 1 - stride)) / F.lit(size)) - 1)
+    bhi = F.least(F.floor(F.col("_p") / F.lit(size)), F.floor(F.col("_kmax") * stride / F.lit(size)))
+    rows = rows.where((F.col("_kmax") >= 0) & (blo <= bhi)).select(
+        *by, "_p", "_v", "_kmax", F.explode(F.sequence(blo.cast("long"), bhi.cast("long"))).alias("_b"))
+    g = rows.groupBy(*by, "_b", "_kmax").agg(F.array_sort(F.collect_list(F.struct("_p", "_v"))).alias("_es"))
+    first = F.col("_b") * F.lit(size // stride)
+    g = g.select(*by, "_b", F.transform("_es", lambda e: e["_v"]).alias("_vs"), F.explode(F.sequence(
+        first, F.least(F.col("_kmax"), first + F.lit(size // stride - 1)))).alias("_k"))
+    at = (F.col("_k") * stride - F.col("_b") * size).cast("int")
+    return g.select(*by, (F.col("_k") * stride).cast("long").alias("start"),
+                    F.slice("_vs", at + 1, F.lit(window)).alias("inputs"),
+                    (F.slice("_vs", at + 1 + window, F.lit(telescope)) if telescope > 0 else
                      F.array().cast("array<array<double>>")).alias("labels"))
 
 

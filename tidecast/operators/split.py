@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidecast.operators._chunks import as_list
+from tidecast.operators._chunks import as_list, join_on_keys
 from tidecast.operators.index import row_index
 
 
@@ -24,7 +24,7 @@ def _with_index(df: DataFrame, order, by, idx: str, chunk) -> DataFrame:
         # same partitioning as the window that made the index: no extra shuffle
         return df.withColumn("_n", F.max(idx).over(Window.partitionBy(*by)) + 1)
     counts = df.groupBy(*by).agg((F.max(idx) + 1).alias("_n"))
-    return df.join(counts, by, "left")
+    return join_on_keys(df, counts, by)
 
 
 def ordered_split(df: DataFrame, ratio: float = 0.8, order="date", by=(), idx: str = "idx",
@@ -56,8 +56,10 @@ def hash_split(df: DataFrame, key: Sequence[str] | str, weights=(0.8, 0.2), seed
     bounds, acc = [], 0.0
     for w in weights[:-1]:
         acc += w / total
-        bounds.append(acc)
-    u = F.pmod(F.xxhash64(*[F.col(k) for k in as_list(key)], F.lit(int(seed))), F.lit(1 << 30)) / float(1 << 30)
+        bounds.append(round(acc * (1 << 28)))
+    # the first 28 bits of an MD5 over the key's text, which any SQL engine can compute; NULL counts as the empty text
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in as_list(key)], F.lit(str(int(seed))))
+    u = F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("long")
     part = F.lit(len(weights) - 1)
     for i in reversed(range(len(bounds))):
         part = F.when(u < F.lit(bounds[i]), F.lit(i)).otherwise(part)

@@ -4,11 +4,5 @@ from __future__ import annotations
 
 
 def all_queries():
-    from tidecast.plans import catalog
-    for mod in ("tidecast.plans.catalog_models",):
-        try:
-            __import__(mod)
-        except ModuleNotFoundError as e:  # not written yet
-            if e.name != mod:
-                raise
+    from tidecast.plans import catalog, catalog_models  # noqa: F401  (registers its queries on import)
     return dict(catalog.QUERIES)

@@ -53,11 +53,15 @@ def get_spark(app: str = "tidecast", conf: dict | None = None, master: str | Non
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting points at shared storage and is used as is.
-    Only when it is unset (local tests) do we pick a scratch folder.
+    On a cluster the setting points at shared storage and is used as is; without
+    it we raise, as a folder of one machine would be lost to the others. Only a
+    session whose master is local (tests) gets a scratch folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master!r} share")
         path = tempfile.mkdtemp(prefix="tidecast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     try:
