@@ -23,93 +23,118 @@ CLASSES = MOST.bit_length()
 BLOCK, LANES = 4096, 2048
 SLOTS = 1 << 9
 ONE = 1 << 16
-TOP, BOT = np.uint64(1 << 48), np.uint64(1 << 40)
-_S16, _S48 = np.uint64(16), np.uint64(48)
+#: Order 0 renews its running sums every so many ids.
+RENEW = 8
+U = np.uint64
+#: The coder's state has 64 bits and is put out 24 bits at a time, as soon as they can't change any more; where a
+#: carry keeps them open the span is cut short at the border. At least 2**40 of span are left before each id.
+SHIFT, EDGE = U(24), U(1 << 40)
+_S16, _S40 = U(16), U(40)
 _HEAD = struct.Struct("<4sIQII")  # magic, documents, ids, block size, bytes of the document table
 _BLOCK = np.dtype([("n", "<u4"), ("words", "<u4"), ("crc", "<u4")])
+#: By magnitude: the smallest id, and the number of bits that are left to say.
+_FLOOR = np.array([0, *(1 << np.arange(CLASSES - 1))], np.int32)
+_BITS = np.array([0, *range(CLASSES - 1)], np.uint64)
+_SPREAD = (np.ones_like(_BITS) << _BITS).astype(np.int64) - 1
 
 
 class _Model:
-    """The models of all lanes."""
+    """The models of all lanes. Each lane learns by itself: a block must not depend on its neighbours."""
 
     def __init__(self, lanes: int):
-        self.base = np.arange(lanes, dtype=np.int64) * SLOTS
+        self.lane = np.arange(lanes)
+        self.base, self.eight = self.lane * SLOTS, self.lane * 8
         # per slot: the id that followed (0 to start with) and its confidence, in one number id * 8 + confidence
         self.two, self.one = np.zeros(lanes * SLOTS, np.int32), np.zeros(lanes * SLOTS, np.int32)
-        self.right2 = np.full((lanes, 8), ONE // 16, np.int32)  # by confidence: how often order 2 was right
-        self.right1 = np.full((lanes, 8), ONE // 16, np.int32)
-        self.eight = np.arange(lanes, dtype=np.int64) * 8
-        self.weight2 = np.full(lanes, ONE // 2, np.int32)
-        self.weight1 = np.full(lanes, ONE // 2, np.int32)
-        self.count = np.ones((CLASSES, lanes), np.int32)  # of order 0, by magnitude
-        self.upto = np.empty((CLASSES, lanes), np.int32)
-        self.last = np.zeros(lanes, np.int64)
-        self.before = np.zeros(lanes, np.int64)
-        self.lane = np.arange(lanes)
+        # by lane and confidence, in parts of ONE: how often orders 2 and 1 were right
+        self.right2 = np.full(lanes * 8, ONE // 16, np.int32)
+        self.right1 = np.full(lanes * 8, ONE // 16, np.int32)
+        # order 0: counts by magnitude, and their running sums with a leading zero
+        self.count = np.ones((CLASSES, lanes), np.int32)
+        self.sums = np.zeros((CLASSES + 1, lanes), np.uint64)
+        self.hash1, self.hash2, self.step = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64), 0
 
     def predict(self):
-        """Predicted ids and their shares (of ONE) of orders 2 and 1; equal predictions are one."""
-        self.at1 = self.base + ((self.last * 40503 >> 5) & (SLOTS - 1))
-        self.at2 = self.base + ((self.last * 40503 + self.before * 69069 >> 4) & (SLOTS - 1))
-        e2, e1 = self.two[self.at2], self.one[self.at1]
-        self.c2, self.c1 = self.eight + (e2 & 7), self.eight + (e1 & 7)
-        self.p2, self.p1 = e2 >> 3, e1 >> 3
-        r2, r1 = self.right2.reshape(-1)[self.c2], self.right1.reshape(-1)[self.c1]
-        s2 = (self.weight2 * (r2 >> 1) >> 15) + 32
-        s1 = (self.weight1 * (r1 >> 1) >> 15) + 32
-        s1 = s1 * (ONE - 64 - s2 >> 1) >> 15  # of what order 2 leaves
+        """Shares (of ONE) that orders 2 and 1 give to their ids p2 and p1; the rest is order 0's. Order 2 has the
+        first word, order 1 has its share of what order 2 leaves; equal ids are one."""
+        self.at1 = self.base + (self.hash1 >> 5 & (SLOTS - 1))
+        self.at2 = self.base + (self.hash1 + self.hash2 >> 4 & (SLOTS - 1))
+        self.e2, self.e1 = self.two.take(self.at2), self.one.take(self.at1)
+        self.l2, self.l1 = self.e2 & 7, self.e1 & 7
+        self.c2, self.c1 = self.eight + self.l2, self.eight + self.l1
+        self.p2, self.p1 = self.e2 >> 3, self.e1 >> 3
+        self.r2, self.r1 = self.right2.take(self.c2), self.right1.take(self.c1)
+        s2 = np.minimum(self.r2, ONE - 2048) + 32
+        s1 = ((self.r1 >> 1) * (ONE - 1024 - s2 >> 1) >> 14) + 32
         same = self.p1 == self.p2
-        s2 = np.where(same, s2 + s1, s2)
-        return self.p2, np.minimum(s2, ONE - 1024), np.where(same, 0, np.minimum(s1 + 1, ONE - 512 - np.minimum(s2, ONE - 1024)))
-
-    def magnitudes(self):
-        """Counts up to and with each magnitude, for all lanes."""
-        return np.cumsum(self.count, axis=0, out=self.upto)
+        s2 = s2 + s1 * same
+        s1 = s1 * ~same
+        if self.step % RENEW == 0:
+            np.cumsum(self.count, axis=0, out=self.sums[1:], dtype=np.uint64)
+        self.step += 1
+        return s2, s1
 
     def update(self, ids, missed, kind):
         """Learn the ids; ``missed``: lanes that order 0 coded, with the magnitudes ``kind``."""
-        hit2, hit1 = self.p2 == ids, self.p1 == ids
-        for right, at, hit in ((self.right2, self.c2, hit2), (self.right1, self.c1, hit1)):
-            flat = right.reshape(-1)
-            now = flat[at]
-            flat[at] = now + ((hit * (ONE - 1) - now) >> 5)
-        self.weight2 += (hit2 * (ONE - 1) - self.weight2) >> 7
-        self.weight1 += (hit1 * (ONE - 1) - self.weight1) >> 7
-        np.maximum(self.weight2, ONE // 4, out=self.weight2)
-        np.maximum(self.weight1, ONE // 4, out=self.weight1)
-        for table, at, hit, c in ((self.two, self.at2, hit2, self.c2), (self.one, self.at1, hit1, self.c1)):
-            # right: one more; wrong with no confidence left: replaced; else one less
-            level = c - self.eight
-            old = table[at]
-            table[at] = np.where(hit, old + (level < 7), np.where(level == 0, ids << 3, old - 1))
+        fresh = ids << 3
+        for table, at, e, level, p, right, c, r in ((self.two, self.at2, self.e2, self.l2, self.p2, self.right2, self.c2, self.r2),
+                                                    (self.one, self.at1, self.e1, self.l1, self.p1, self.right1, self.c1, self.r1)):
+            hit = p == ids
+            right[c] = r + (hit * np.int32(ONE - 1) - r >> 5)
+            # right: one more; wrong without any confidence: replaced; else one less
+            table[at] = np.where(hit, np.minimum(e + 1, e | 7), np.where(level == 0, fresh, e - 1))
         self.count.reshape(-1)[kind * len(self.lane) + self.lane] += missed * np.int32(24)
-        full = self.upto[-1] > 3800  # each lane by itself: a block's models must not depend on its neighbours
-        if full.any():
-            self.count[:, full] = (self.count[:, full] + 1) >> 1
-        self.before, self.last = self.last, ids.astype(np.int64)
+        if self.step % RENEW == 0:
+            full = self.sums[-1] > 3400
+            if full.any():
+                self.count[:, full] = self.count[:, full] + 1 >> 1
+        self.hash2 = self.hash1 * 5 & 0xFFFFFF
+        self.hash1 = ids * np.int64(40503)
 
 
-def _kinds(ids):
-    """Magnitude (number of bits) of ids under 2**18."""
-    return np.frexp(ids.astype(np.float64))[1].astype(np.int64)
+def _settle(low, span, write):
+    """Put out what can't change any more; ``write(low, done)`` handles the lanes ``done``, which are then shifted."""
+    while True:
+        small = span < EDGE
+        done = (low ^ (low + span)) < EDGE
+        open_ = small & ~done
+        if open_.any():
+            span = np.where(open_, (~low + U(1)) & (EDGE - U(1)), span)
+            done |= open_
+        elif not done.any():
+            return low, span
+        write(low, done)
+        by = done * SHIFT
+        low, span = low << by, span << by
 
 
 def _encode_lanes(ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Code blocks side by side: ids (lanes, block), n ids in each. Returns 16-bit words and their number per lane.
-    Lanes stand in falling order of n, so that those still at work are the first ones."""
+    """Code blocks side by side: ids (lanes, block), n ids in each, in falling order of n. Returns 24-bit words and
+    their number per lane."""
     lanes, steps = ids.shape
-    out = np.zeros((lanes, 2 * steps + 16), np.uint16)
-    pos = np.zeros(lanes, np.int64)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+    width = steps + 16
+    out = np.zeros(lanes * width, np.uint32)
+    pos = np.arange(lanes) * width
+    low, span = np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
     model = _Model(lanes)
-    columns = np.ascontiguousarray(ids.T)
-    kinds = _kinds(columns)
-    rest = columns - np.where(kinds > 0, 1 << np.maximum(kinds - 1, 0), 0)
-    bits = np.maximum(kinds - 1, 0).astype(np.uint64)
+
+    written = 0
+
+    def write(low, done):
+        nonlocal out, pos, width, written
+        written += 1
+        if written > width - 8:  # a block of ids that are all badly predicted may need more room
+            pos += model.lane * width
+            out = np.concatenate([out.reshape(lanes, width), np.zeros((lanes, width), np.uint32)], axis=1).reshape(-1)
+            width *= 2
+        out[pos] = low >> _S40
+        np.add(pos, done, out=pos)
+
     for t in range(steps):
-        x, kind = columns[t], kinds[t]
-        p2, s2, s1 = model.predict()
-        hit2 = x == p2
+        x = ids[:, t]
+        kind = np.frexp(x.astype(np.float32))[1]
+        s2, s1 = model.predict()
+        hit2 = x == model.p2
         hit1 = (x == model.p1) & ~hit2
         missed = ~(hit2 | hit1)
         start = np.where(hit2, 0, np.where(hit1, s2, s2 + s1))
@@ -118,100 +143,80 @@ def _encode_lanes(ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarra
             live = t < n
             size, start, missed = np.where(live, size, ONE), np.where(live, start, 0), missed & live
         r = span >> _S16
-        low = low + r * start.astype(np.uint64)
-        span = r * size.astype(np.uint64)
-        cum = model.magnitudes()
-        r = span // cum[-1].astype(np.uint64)
+        low = low + r * start.astype(U)
+        span = r * size.astype(U)
         at = kind * lanes + model.lane
-        upto = cum.reshape(-1)[at].astype(np.uint64)
-        own = model.count.reshape(-1)[at].astype(np.uint64)
-        r2 = (r * own) >> bits[t]
-        low = np.where(missed, low + r * (upto - own) + r2 * rest[t].astype(np.uint64), low)
+        sums = model.sums.reshape(-1)
+        before = sums.take(at)
+        r = span // model.sums[-1]
+        r2 = r * (sums.take(at + lanes) - before) >> _BITS.take(kind)
+        low = np.where(missed, low + r * before + r2 * (x - _FLOOR.take(kind)).astype(U), low)
         span = np.where(missed, r2, span)
-        while True:
-            out_now = (low ^ (low + span)) < TOP
-            small = (span < BOT) & ~out_now
-            if small.any():
-                span = np.where(small, (~low + np.uint64(1)) & (BOT - np.uint64(1)), span)
-                out_now |= small
-            if not out_now.any():
-                break
-            lane = np.flatnonzero(out_now)
-            out[lane, pos[lane]] = (low[lane] >> _S48).astype(np.uint16)
-            pos[lane] += 1
-            low[lane] <<= _S16
-            span[lane] <<= _S16
+        low, span = _settle(low, span, write)
         model.update(x, missed, kind)
-    for _ in range(4):
-        out[model.lane, pos] = (low >> _S48).astype(np.uint16)
+    for _ in range(3):
+        out[pos] = low >> _S40
         pos += 1
-        low = low << _S16
-    return out, pos
+        low = low << SHIFT
+    return out.reshape(lanes, width), pos - np.arange(lanes) * width
 
 
 def _decode_lanes(words: np.ndarray, n: np.ndarray, steps: int) -> np.ndarray:
     """The ids (lanes, steps) of blocks coded side by side; lanes in falling order of n."""
-    lanes = len(words)
-    ids = np.zeros((steps, lanes), np.int32)
-    pos = np.full(lanes, 4, np.int64)
-    code = np.zeros(lanes, np.uint64)
-    for k in range(4):
-        code = code << _S16 | words[:, k].astype(np.uint64)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+    lanes, width = words.shape
+    words = words.reshape(-1)
+    ids = np.zeros((lanes, steps), np.int32)
+    pos = np.arange(lanes) * width + 2
+    last = np.arange(1, lanes + 1) * width - 1  # a damaged block may read on
+    code = words.take(pos - 2).astype(U) << _S40 | words.take(pos - 1).astype(U) << _S16 | words.take(pos).astype(U) >> U(8)
+    tail = words.take(pos) & np.uint32(255)  # bits of the last word that don't fit the state yet
+    low, span = np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
     model = _Model(lanes)
+
+    def read(low, done):
+        nonlocal code, tail
+        np.minimum(pos + done, last, out=pos)
+        now = words.take(pos)
+        code = np.where(done, code << SHIFT | (tail << np.uint32(16) | now >> np.uint32(8)).astype(U), code)
+        tail = np.where(done, now & np.uint32(255), tail)
+
     for t in range(steps):
-        p2, s2, s1 = model.predict()
+        s2, s1 = model.predict()
         r = span >> _S16
-        v = np.minimum((code - low) // r, np.uint64(ONE - 1)).astype(np.int64)
+        v = ((code - low) // r).astype(np.int64)
         hit2 = v < s2
-        hit1 = ~hit2 & (v < s2 + s1)
-        missed = ~(hit2 | hit1)
+        missed = v >= s2 + s1
+        hit1 = ~(hit2 | missed)
         start = np.where(hit2, 0, np.where(hit1, s2, s2 + s1))
         size = np.where(hit2, s2, np.where(hit1, s1, ONE - s2 - s1))
         live = None
         if t >= n[-1]:
             live = t < n
             size, start, missed = np.where(live, size, ONE), np.where(live, start, 0), missed & live
-        low = low + r * start.astype(np.uint64)
-        span = r * size.astype(np.uint64)
-        cum = model.magnitudes()
-        total = cum[-1].astype(np.uint64)
-        r = span // total
-        v = np.minimum((code - low) // r, total - np.uint64(1)).astype(np.int32)
-        kind = np.where(missed, (cum <= v).sum(0), 0)
+        low = low + r * start.astype(U)
+        span = r * size.astype(U)
+        r = span // model.sums[-1]
+        v = (code - low) // r
+        kind = np.zeros(lanes, np.int64)
+        for row in model.sums[1:-1]:  # the magnitude whose share holds the code
+            kind += row <= v
         at = kind * lanes + model.lane
-        upto = cum.reshape(-1)[at].astype(np.uint64)
-        own = model.count.reshape(-1)[at].astype(np.uint64)
-        low = np.where(missed, low + r * (upto - own), low)
-        bits = np.maximum(kind - 1, 0)
-        r2 = (r * own) >> bits.astype(np.uint64)
-        most = (1 << bits) - 1
-        m = np.minimum(((code - low) // np.maximum(r2, np.uint64(1))).astype(np.int64) if live is None else
-                       np.where(missed, (code - low) // np.maximum(r2, np.uint64(1)), np.uint64(0)).astype(np.int64), most)
-        m = np.where(missed, m, 0)
-        low = np.where(missed, low + r2 * m.astype(np.uint64), low)
-        span = np.where(missed, r2, span)
-        x = np.where(missed, np.where(kind > 0, (1 << bits) + m, 0), np.where(hit2, p2, model.p1))
+        sums = model.sums.reshape(-1)
+        before = sums.take(at)
+        r2 = r * (sums.take(at + lanes) - before) >> _BITS.take(kind)
+        inner = low + r * before
+        m = np.minimum(((code - inner) // np.maximum(r2, U(1))).astype(np.int64) * missed, _SPREAD.take(kind))
+        x = np.where(missed, _FLOOR.take(kind) + m, np.where(hit2, model.p2, model.p1)).astype(np.int32)
         if live is not None:
-            x = np.where(live, x, 0)
-            kind = np.where(live, kind, 0)
-        x = x.astype(np.int32)
-        ids[t] = x
-        while True:
-            out_now = (low ^ (low + span)) < TOP
-            small = (span < BOT) & ~out_now
-            if small.any():
-                span = np.where(small, (~low + np.uint64(1)) & (BOT - np.uint64(1)), span)
-                out_now |= small
-            if not out_now.any():
-                break
-            lane = np.flatnonzero(out_now)
-            code[lane] = code[lane] << _S16 | words[lane, np.minimum(pos[lane], words.shape[1] - 1)].astype(np.uint64)  # damaged blocks may read on
-            pos[lane] += 1
-            low[lane] <<= _S16
-            span[lane] <<= _S16
+            x = x * live
+        # what the encoder took as magnitude, also where order 0 was not needed
+        kind = np.where(missed, kind, 0)
+        low = np.where(missed, inner + r2 * m.astype(U), low)
+        span = np.where(missed, r2, span)
+        ids[:, t] = x
+        low, span = _settle(low, span, read)
         model.update(x, missed, kind)
-    return ids.T
+    return ids
 
 
 def block_size(n: int) -> int:
@@ -235,8 +240,8 @@ def write_file(doc_ids: list, lengths: np.ndarray, ids: np.ndarray) -> bytes:
         block.reshape(-1)[: int(n.sum())] = ids[a * size:a * size + int(n.sum())]
         words, used = _encode_lanes(block, n)
         for i in range(b - a):
-            own = words[i, :used[i]].astype("<u2").tobytes()
-            index[a + i] = (n[i], used[i], zlib.crc32(block[i, :n[i]].astype("<u4").tobytes()))
+            own = words[i, :used[i]].astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+            index[a + i] = (n[i], used[i], zlib.crc32(own, zlib.crc32(block[i, :n[i]].astype("<u4").tobytes())))
             payload.append(own)
     head = _HEAD.pack(MAGIC, len(doc_ids), len(ids), size, len(table)) + table + index.tobytes()
     return head + struct.pack("<I", zlib.crc32(head)) + b"".join(payload)
@@ -253,7 +258,7 @@ def read_file(data: bytes):
     null = np.frombuffer(table, np.uint8, n_docs)
     doc_ids, lengths = np.frombuffer(table, "<i8", 2 * n_docs, n_docs).reshape(2, -1)
     index = np.frombuffer(data, _BLOCK, n_blocks, _HEAD.size + n_table)
-    starts = end + 4 + 2 * np.concatenate([[0], np.cumsum(index["words"], dtype=np.int64)])
+    starts = end + 4 + 3 * np.concatenate([[0], np.cumsum(index["words"], dtype=np.int64)])
     out = np.zeros(n_blocks * size, np.int32).reshape(n_blocks, size)
     for a in range(0, n_blocks, LANES):
         b = min(n_blocks, a + LANES)
@@ -262,12 +267,13 @@ def read_file(data: bytes):
 
 
 def _read_blocks(data, index, starts, size):
-    words = np.zeros((len(index), int(index["words"].max()) + 8), np.uint16)
+    words = np.zeros((len(index), int(index["words"].max()) + 4), "<u4")
+    coded = [data[at:at + 3 * row["words"]] for row, at in zip(index, starts.tolist())]
     for i, (row, at) in enumerate(zip(index, starts.tolist())):
-        words[i, :row["words"]] = np.frombuffer(data, "<u2", row["words"], at)
+        words[i, :row["words"]].view(np.uint8).reshape(-1, 4)[:, :3] = np.frombuffer(data, np.uint8, 3 * row["words"], at).reshape(-1, 3)
     ids = _decode_lanes(words, index["n"].astype(np.int64), size)
     for i, row in enumerate(index):
-        if zlib.crc32(ids[i, :row["n"]].astype("<u4").tobytes()) != row["crc"]:
+        if zlib.crc32(coded[i], zlib.crc32(ids[i, :row["n"]].astype("<u4").tobytes())) != row["crc"]:
             raise ValueError(f"block {i} is damaged")
     return ids
 
@@ -277,5 +283,5 @@ def read_block(data: bytes, block: int) -> np.ndarray:
     _, _, n_ids, size, n_table = _HEAD.unpack_from(data)
     n_blocks = -(-n_ids // size)
     index = np.frombuffer(data, _BLOCK, n_blocks, _HEAD.size + n_table)
-    at = _HEAD.size + n_table + n_blocks * _BLOCK.itemsize + 4 + 2 * int(index["words"][:block].sum(dtype=np.int64))
+    at = _HEAD.size + n_table + n_blocks * _BLOCK.itemsize + 4 + 3 * int(index["words"][:block].sum(dtype=np.int64))
     return _read_blocks(data, index[block:block + 1], np.array([at]), size)[0, :index["n"][block]]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 
 import numpy as np
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidecast.llm.codec import read_file, write_file
 from tidecast.llm.common import as_text, pick, table
-from tidecast.llm.bpe import public_vocabulary
+from tidecast.llm.bpe import byte_letters, public_vocabulary
 from tidecast.session import shared_path
 
 #: A file is closed when it has so many ids; a longer document makes a longer file.
@@ -23,27 +25,31 @@ FILE_IDS = 1 << 23
 class ChunkIds(dict):
     """Ids of chunks of text without white space, as bytes; keeps the last ``most`` to twice as many chunks.
 
-    Only for tokenizers that drop white space and never look across it, so that a text's ids are those of its chunks
-    one after another."""
+    Only for byte-level tokenizers that lower-case, drop white space and never look across it, so that a text's ids are
+    those of its chunks one after another."""
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         super().__init__()
         self.tokenizer, self.most, self.older = Tokenizer.from_file(path), most, {}
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # what the tokenizer's normalizer and pre-tokenizer make of a lower-case Latin word, given to its model at once
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.plain = re.compile("[a-zß-öø-ɏ]+").fullmatch
 
     def __missing__(self, chunk: str) -> bytes:
         code = self.older.get(chunk)
         if code is None:
             body = chunk.rstrip(".,")
-            if body and body != chunk and body[-1].isalpha():  # letters and other signs never share a word
+            if body != chunk and self.plain(body.lower()):  # letters and other signs never share a word
                 code = self[body] + self[chunk[len(body):]]
-            elif chunk.isascii() and chunk.isalpha() and not chunk.islower():
-                code = self[chunk.lower()]
+            elif self.plain(lower := chunk.lower()):
+                code = self[lower] if lower != chunk else self._pack([t.id for t in self.tokenizer.model.tokenize(
+                    chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.letters))])
             else:
-                code = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+                code = self._pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
         if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
@@ -51,10 +57,14 @@ class ChunkIds(dict):
             self[chunk] = code
         return code
 
+    @staticmethod
+    def _pack(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def ids(self, text: str) -> bytes:
         # four control characters are white space to split(), but not to the tokenizer
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
         return b"".join(map(self.__getitem__, text.split()))
 
 
