@@ -216,3 +216,9 @@ def last_non_null(c: str, order, by=()):
     """
     w = Window.partitionBy(*as_list(by)).orderBy(*_order_cols(order)).rowsBetween(UNB, 0)
     return F.last(c, True).over(w)
+
+
+def lag_features(df: DataFrame, c: str, k: int, order, by) -> DataFrame:
+    """Add ``<c>_lag1`` to ``<c>_lagk``, the values 1 to k rows before, all in one window of the key."""
+    w = Window.partitionBy(*as_list(by)).orderBy(*_order_cols(order))
+    return df.withColumns({f"{c}_lag{i}": F.lag(c, i).over(w) for i in range(1, k + 1)})

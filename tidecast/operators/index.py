@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecast.operators._chunks import CHUNK, KEY, as_list, auto_chunk, chunk_expr, key_struct
+from tidecast.operators._chunks import CHUNK, KEY, as_list, auto_chunk, chunk_expr, join_on_keys, key_struct
 
 UNB = Window.unboundedPreceding
 
@@ -57,3 +57,10 @@ def partition_count(df: DataFrame) -> DataFrame:
 def partition_sizes(df: DataFrame) -> DataFrame:
     """Rows of each non-empty partition, as a distributed aggregate."""
     return df.select(F.spark_partition_id().alias("partition")).groupBy("partition").agg(F.count("*").alias("n"))
+
+
+def symbol_index(df: DataFrame, col: str = "symbol", name: str = "symbol_idx") -> DataFrame:
+    """Add the 0-based rank of the column's value among its distinct values, NULL first, so that one model over all
+    keys can tell them apart. Ranked is the table of distinct values, never the rows."""
+    ranks = df.select(col).distinct().withColumn(name, F.row_number().over(Window.orderBy(col)) - 1)
+    return join_on_keys(df, ranks.withColumn(name, F.col(name).cast("long")), col)

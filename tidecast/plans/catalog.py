@@ -385,7 +385,9 @@ def q_sort_split(spark, d):
     return _split_multi(spark, d).where(~F.col("is_train")).orderBy("symbol", "idx")
 
 
-@register("random_split")
+@register("random_split", with_views(
+    "SELECT *, CASE WHEN CAST('0x' || md5(symbol || '|' || CAST(date AS VARCHAR) || '|42')[1:7] AS BIGINT) < 214748365 "
+    "THEN 0 ELSE 1 END AS split FROM bars_multi", "bars_multi"))
 def q_random_split(spark, d):
     return split.hash_split(fx.bars_multi(spark, d), ["symbol", "date"], (0.8, 0.2), seed=42)
 
@@ -450,9 +452,9 @@ def q_histogram_edges(spark, d):
     return h.withColumn("edge", F.round("edge", 4))
 
 
-@register("partition_count")
+@register("partition_count", "SELECT CAST(7 AS BIGINT) AS partitions")
 def q_partition_count(spark, d):
-    return index.partition_count(fx.bars_wide(spark, d))
+    return index.partition_count(fx.bars_wide(spark, d).repartition(7))
 
 
 @register("count_by_split", _from_split("SELECT symbol, is_train, count(*) AS n FROM s GROUP BY 1, 2"))

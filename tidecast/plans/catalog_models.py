@@ -16,16 +16,18 @@ from pyspark.sql import functions as F
 
 from tidecast.functions import calendar as cal
 from tidecast.operators import explain, forecast, models, sequences
-from tidecast.operators.fill import forward_fill
-from tidecast.operators.index import row_index
+from tidecast.operators._chunks import join_on_keys
+from tidecast.operators.fill import forward_fill, lag_features
+from tidecast.operators.index import row_index, symbol_index
 from tidecast.operators.joins import enrich
 from tidecast.operators.profile import drop_missing
+from tidecast.operators.scale import inverse_minmax, minmax
 from tidecast.operators.split import first_row, ordered_split
 from tidecast.plans.catalog import _IDX, _ff_sql, register
 from tidecast.plans.flows import prepare
 from tidecast.plans.oracle import with_views
 from tidecast.plans.sqlview import sql_view
-from tidecast.session import shared_path
+from tidecast.session import ensure_checkpoint_dir, shared_path
 from tidecast.sources import fixtures as fx
 from tidecast.sources.sinks import load_model, save_model, write_predictions
 from tidecast.streaming.score import score_stream
@@ -52,8 +54,15 @@ def prepared_1f(spark, d):
 FEATURES_1F = ["open"]
 
 
+def _materialized(df):
+    """``df`` written to the shared checkpoint folder and read back."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _coefs_1f(spark, d):
-    p = prepared_1f(spark, d)
+    # written once: the fit, the scoring and whatever comes after read this one table
+    p = _materialized(prepared_1f(spark, d))
     return p, models.fit_grouped_linear(p.where("is_train"), FEATURES_1F, "close", "symbol")
 
 
@@ -81,7 +90,7 @@ MODEL_FEATURES = ["open", "high", "low", "volume", *fx.SERIES_COLS, "year", "mon
 
 
 def _train_test(spark, d):
-    m = model_data(spark, d)
+    m = _materialized(model_data(spark, d))
     return m.where("is_train"), m.where("NOT is_train")
 
 
@@ -211,7 +220,7 @@ def q_r2(spark, d):
 
 def _fit_predict(spark, d, kind, **params):
     train, test = _train_test(spark, d)
-    m = models.fit(train.cache(), kind, MODEL_FEATURES, "close", **params)
+    m = models.fit(train, kind, MODEL_FEATURES, "close", **params)
     return m, models.predict(m, test).select("symbol", "idx", "date", "close", "prediction")
 
 
@@ -233,7 +242,7 @@ def q_assembled_estimator(spark, d):
 @register("compare_models")
 def q_compare_models(spark, d):
     train, test = _train_test(spark, d)
-    _preds, metric = models.compare_models(train.cache(), test, ["lr", "rf", "gbt"], MODEL_FEATURES, "close",
+    _preds, metric = models.compare_models(train, test, ["lr", "rf", "gbt"], MODEL_FEATURES, "close",
                                            metric=["rmse", "r2"], params={"rf": {"numTrees": 3}})
     return metric
 
@@ -247,9 +256,8 @@ def q_model_choice(spark, d):
 @register("grid_search_cv")
 def q_grid_search_cv(spark, d):
     train, _test = _train_test(spark, d)
-    _best, table = models.tune(train.cache(), "rf", MODEL_FEATURES, "close",
-                               grid={"numTrees": [5, 10], "maxDepth": [3, 5]}, folds=3, fold="time",
-                               by="symbol", parallelism=4)
+    _best, table = models.tune(train, "rf", MODEL_FEATURES, "close",
+                               grid={"numTrees": [5, 10], "maxDepth": [3, 5]}, folds=3, parallelism=4)
     return table
 
 
@@ -262,12 +270,164 @@ def q_actual_vs_predicted(spark, d):
     return t.withColumn("prediction", F.round("prediction", 4))
 
 
+def held_out_forecast(bars, cols, label: str, window: int, stride: int, telescope: int, ratio: float = 0.8, by="symbol", **params):
+    """Multi-step forecast on a held-out part: split, scale on train, window, one regressor per step ahead.
+
+    Windows whose labels end in the train part are fitted; those whose labels begin in the test part are scored, and no
+    other. Returns (horizon, n, rmse_scaled, rmse): on the scaled label and in its own units."""
+    prepared = _materialized(ordered_split(row_index(bars, "date", by=by), ratio, "date", by=by))
+    scaled = minmax(prepared, cols, by=by)
+    seqs = sequences.build_sequences(scaled, cols, "date", by=by, window=window, stride=stride, telescope=telescope, idx="idx")
+    ends = prepared.groupBy(by).agg(F.count("*").alias("_n"), F.count_if("is_train").alias("_cut"))
+    pad = F.pmod(F.lit(window) - F.pmod("_n", F.lit(window)), F.lit(window))
+    first = F.col("start") + window - pad  # index of the first label row
+    seqs = join_on_keys(seqs, ends, by).withColumns({"_fit": first + telescope <= F.col("_cut"), "_test": first >= F.col("_cut")})
+    seqs = seqs.where("_fit OR _test")
+    _models, preds = forecast.fit_horizons(seqs, label_col=cols.index(label), horizons=telescope, by=by, fit_on=F.col("_fit"), **params)
+    preds = preds.withColumns({"_y": F.col("label"), "_p": F.col("prediction")})
+    preds = inverse_minmax(preds, ["_y", "_p"], prepared, like=label, by=by)
+    rmse = lambda a, b: F.sqrt(F.avg(F.pow(F.col(a) - F.col(b), 2)))
+    return preds.groupBy("horizon").agg(F.count("*").alias("n"), rmse("label", "prediction").alias("rmse_scaled"), rmse("_y", "_p").alias("rmse"))
+
+
 @register("windowed_forecast")
 def q_windowed_forecast(spark, d):
-    """Multi-step forecast from windows: one regressor per step ahead on the flattened window."""
-    seqs = sequences.build_sequences(_seq_input(spark, d), SEQ_COLS, "date", by="symbol", **SEQ)
-    _models, preds = forecast.fit_horizons(seqs, label_col=0, kind="lr", by="symbol", regParam=0.1)
-    return preds
+    """Windows of 400 rows, every 25, 20 steps ahead; RMSE by step on the held-out fifth."""
+    return held_out_forecast(_seq_input(spark, d), SEQ_COLS, "close", 400, 25, 20, kind="lr", regParam=0.1)
+
+
+@register("windowed_forecast_last_value", with_views(f"""
+SELECT h.h AS horizon, count(*) AS n, round(sqrt(avg(power(y.close - x.close, 2))), 3) AS rmse
+FROM starts st JOIN r x ON st.symbol = x.symbol AND x.idx = st.first - 1
+JOIN (SELECT unnest(range(1, 3)) AS h) h ON true JOIN r y ON y.symbol = x.symbol AND y.idx = st.first + h.h - 1
+GROUP BY 1""", "bars_multi", extra=[
+    ("r", f"SELECT symbol, close, {_IDX} AS idx, count(*) OVER (PARTITION BY symbol) AS n FROM bars_multi"),
+    ("g", "SELECT symbol, any_value(n) AS n, (20 - any_value(n) % 20) % 20 AS pad FROM r GROUP BY symbol"),
+    ("starts", "SELECT * FROM (SELECT symbol, n, s + 20 - pad AS first FROM (SELECT symbol, n, pad, "
+               "unnest(range(0, n + pad - 22, 5)) AS s FROM g)) WHERE first >= floor(n * 0.8)")]))
+def q_windowed_forecast_last_value(spark, d):
+    """The windows, the held-out part and the error by step, with the last value as the forecast."""
+    b = ordered_split(row_index(_seq_input(spark, d), "date", by="symbol"), 0.8, "date", by="symbol")
+    seqs = sequences.build_sequences(b, ["close"], "date", by="symbol", window=20, stride=5, telescope=2, idx="idx")
+    ends = b.groupBy("symbol").agg(F.count("*").alias("_n"), F.count_if("is_train").alias("_cut"))
+    first = F.col("start") + 20 - F.pmod(F.lit(20) - F.pmod("_n", F.lit(20)), F.lit(20))
+    held = join_on_keys(seqs, ends, "symbol").where(first >= F.col("_cut"))
+    steps = held.select(F.element_at("inputs", -1)[0].alias("x"), F.posexplode("labels").alias("h", "y"))
+    return steps.groupBy((F.col("h") + 1).cast("long").alias("horizon")).agg(
+        F.count("*").alias("n"), F.round(F.sqrt(F.avg(F.pow(F.col("y")[0] - F.col("x"), 2))), 3).alias("rmse"))
+
+
+# MLlib on one feature and one symbol: least squares, which SQL can state
+
+_ONE = "WHERE symbol = '1-URGENT'"
+
+
+def _one_symbol(spark, d):
+    p = _materialized(prepared_1f(spark, d).where(F.col("symbol") == "1-URGENT"))
+    return p, models.fit(p.where("is_train"), "lr", FEATURES_1F, "close")
+
+
+@register("mllib_linear_regression", _sql_1f(f"SELECT round(a, 4) AS intercept, round(b, 8) AS coef_open FROM c {_ONE}"))
+def q_mllib_linear_regression(spark, d):
+    _p, m = _one_symbol(spark, d)
+    c = models.linear_coefficients(m, FEATURES_1F)
+    row = spark.createDataFrame([(c["intercept"], c["coef_open"])], "intercept double, coef_open double")
+    return row.select(F.round("intercept", 4).alias("intercept"), F.round("coef_open", 8).alias("coef_open"))
+
+
+@register("mllib_predict", _sql_1f(f"SELECT symbol, idx, date, close, round(prediction, 4) AS prediction FROM p {_ONE}"))
+def q_mllib_predict(spark, d):
+    p, m = _one_symbol(spark, d)
+    return _pred_cols(models.predict(m, p.where("NOT is_train")))
+
+
+@register("mllib_metrics", _sql_1f(
+    "SELECT round(sqrt(avg(power(close - prediction, 2))), 3) AS rmse, round(1 - sum(power(close - prediction, 2)) / "
+    f"(var_pop(close) * count(close)), 6) AS r2 FROM p {_ONE}"))
+def q_mllib_metrics(spark, d):
+    p, m = _one_symbol(spark, d)
+    r = models.evaluate(models.predict(m, p.where("NOT is_train")), ["rmse", "r2"])
+    return r.select(F.round("rmse", 3).alias("rmse"), F.round("r2", 6).alias("r2"))
+
+
+@register("mllib_saved_model", _sql_1f(f"SELECT symbol, idx, date, close, round(prediction, 4) AS prediction FROM p {_ONE}"))
+def q_mllib_saved_model(spark, d):
+    p, m = _one_symbol(spark, d)
+    path = save_model(m, os.path.join(shared_path(spark, "model"), "lr"))
+    return _pred_cols(models.predict(load_model(path), p.where("NOT is_train")))
+
+
+@register("lime_linear", _sql_1f(f"SELECT 'open' AS feature, round(b, 6) AS weight FROM c {_ONE}"))
+def q_lime_linear(spark, d):
+    """A linear model's local surrogate is its slope."""
+    p, m = _one_symbol(spark, d)
+    rows = first_row(p.where("NOT is_train"), "symbol", "idx").withColumn("row_id", F.col("idx"))
+    w = explain.lime(m, p.where("is_train"), rows, FEATURES_1F, row_id="row_id", top_k=10)
+    return w.select("feature", F.round("weight", 6).alias("weight"))
+
+
+@register("shap_sampled_linear", _sql_1f(
+    "SELECT p.idx, 'open' AS feature, round(c.b * (p.open - f.open), 3) AS phi FROM p JOIN c ON p.symbol = c.symbol "
+    "JOIN (SELECT symbol, open FROM s WHERE idx = 0) f ON f.symbol = p.symbol WHERE p.symbol = '1-URGENT'"))
+def q_shap_sampled_linear(spark, d):
+    """With a background of one row, sampled Shapley values of a linear model are exact."""
+    p, m = _one_symbol(spark, d)
+    phi = explain.shap_sampled(m, p.where("idx = 0"), p.where("NOT is_train"), FEATURES_1F, row_id="idx", n_perm=4)
+    return phi.select("idx", "feature", F.round("phi", 3).alias("phi"))
+
+
+@register("tree_checks", _sql_1f(
+    "SELECT m.model, CAST(12 AS BIGINT) AS features, 1.0::DOUBLE AS total, n.n AS scored, n.n AS distinct_keys FROM "
+    "(SELECT unnest(['gbt', 'rf']) AS model) m, (SELECT count(*) AS n FROM p_all) n",
+    extra=[("j3", "SELECT b.*, w.m_monthly, w.m_weekly, w.m_daily FROM bars_multi b LEFT JOIN series_wide w ON b.date = w.date"),
+           ("f3", "SELECT symbol, date, " + ", ".join(f"{_ff_sql(c, 'symbol')} AS {c}" for c in fx.SERIES_COLS) + " FROM j3"),
+           ("d3", "SELECT * FROM f3 WHERE m_monthly IS NOT NULL AND m_weekly IS NOT NULL AND m_daily IS NOT NULL"),
+           ("p_all", f"SELECT * FROM (SELECT *, ({_IDX}) < floor(count(*) OVER (PARTITION BY symbol) * 0.8) AS tr FROM d3) WHERE NOT tr")]))
+def q_tree_checks(spark, d):
+    """Forests and boosted trees: importances of all features that sum to one, one prediction for each test row."""
+    train, test = _train_test(spark, d)
+    out = None
+    for kind, params in (("rf", {"numTrees": 3}), ("gbt", {"maxIter": 5})):
+        m = models.fit(train, kind, MODEL_FEATURES, "close", **params)
+        imp = explain.importances(spark, m, MODEL_FEATURES, kind).groupBy("model").agg(
+            F.count("*").alias("features"), F.round(F.sum("importance"), 9).alias("total"))
+        n = models.predict(m, test).where("prediction IS NOT NULL").agg(
+            F.count("*").alias("scored"), F.count_distinct("symbol", "idx").alias("distinct_keys"))
+        row = imp.withColumns({"scored": n.select("scored").scalar(), "distinct_keys": n.select("distinct_keys").scalar()})
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("search_checks", "SELECT CAST(2 AS BIGINT) AS settings, true AS best_is_least, CAST(4 AS BIGINT) AS fits")
+def q_search_checks(spark, d):
+    """A grid of two settings on three expanding folds: two rows, the refitted one has the least error."""
+    train, _test = _train_test(spark, d)
+    best, table = models.tune(train, "rf", MODEL_FEATURES, "close", grid={"maxDepth": [2, 4]}, folds=3, parallelism=4)
+    depth = best.stages[-1].getOrDefault("maxDepth")
+    least = F.min_by("params", "rmse") == f"maxDepth={depth}"
+    return table.agg(F.count("*").alias("settings"), least.alias("best_is_least"), (F.count("*") * 2).alias("fits"))
+
+
+@register("lag_features", with_views(
+    "SELECT symbol, date, close, lag(close, 1) OVER w AS close_lag1, lag(close, 2) OVER w AS close_lag2, "
+    "lag(close, 3) OVER w AS close_lag3 FROM bars_multi WINDOW w AS (PARTITION BY symbol ORDER BY date)", "bars_multi"))
+def q_lag_features(spark, d):
+    return lag_features(fx.bars_multi(spark, d).select("symbol", "date", "close"), "close", 3, "date", by="symbol")
+
+
+@register("symbol_index", with_views(
+    "SELECT symbol, date, dense_rank() OVER (ORDER BY symbol) - 1 AS symbol_idx FROM bars_multi", "bars_multi"))
+def q_symbol_index(spark, d):
+    return symbol_index(fx.bars_multi(spark, d).select("symbol", "date"))
+
+
+@register("pooled_model")
+def q_pooled_model(spark, d):
+    """One forest over all symbols, which it can tell apart by their index."""
+    m = symbol_index(_materialized(model_data(spark, d)))
+    features = [*MODEL_FEATURES, "symbol_idx"]
+    fitted = models.fit(m.where("is_train"), "rf", features, "close", numTrees=3)
+    return models.evaluate(models.predict(fitted, m.where("NOT is_train")), "rmse", "close", by="symbol")
 
 
 # ---------------------------------------------------------------------------
@@ -281,24 +441,30 @@ def _explained_rows(test):
 
 @register("feature_importance")
 def q_feature_importance(spark, d):
-    m, _ = _fit_predict(spark, d, "rf", numTrees=3)
-    return explain.importances(spark, m, MODEL_FEATURES, "rf")
+    train, _test = _train_test(spark, d)
+    rf = models.fit(train, "rf", MODEL_FEATURES, "close", numTrees=3)
+    gbt = models.fit(train, "gbt", MODEL_FEATURES, "close")
+    return explain.importances(spark, rf, MODEL_FEATURES, "rf").unionByName(explain.importances(spark, gbt, MODEL_FEATURES, "gbt"))
 
 
 @register("lime")
 def q_lime(spark, d):
     train, test = _train_test(spark, d)
-    m = models.fit(train.cache(), "lr", MODEL_FEATURES, "close")
+    m = models.fit(train, "lr", MODEL_FEATURES, "close")
     rows = _explained_rows(test)
-    return explain.lime(m, train, rows, MODEL_FEATURES, row_id="row_id", n_samples=500, top_k=10)
+    return explain.lime(m, train, rows, MODEL_FEATURES, row_id="row_id", n_samples=5000, top_k=10)
 
 
 @register("lime_quartile")
 def q_lime_quartile(spark, d):
-    """The tabular default: quartile bins, 5000 samples, top 10 features, ridge."""
+    """The tabular default for each model: quartile bins, 5000 samples, top 10 features, ridge."""
     train, test = _train_test(spark, d)
-    m = models.fit(train.cache(), "lr", MODEL_FEATURES, "close")
-    return explain.lime_quartile(m, train, _explained_rows(test), MODEL_FEATURES, row_id="row_id")
+    out = None
+    for kind, params in (("lr", {}), ("rf", {"numTrees": 3}), ("gbt", {})):
+        m = models.fit(train, kind, MODEL_FEATURES, "close", **params)
+        e = explain.lime_quartile(m, train, _explained_rows(test), MODEL_FEATURES, row_id="row_id").withColumn("model", F.lit(kind))
+        out = e if out is None else out.unionByName(e)
+    return out
 
 
 _SHAP_SQL_BODY = ("SELECT t.symbol, t.idx, 'open' AS feature, round(c.b * (t.open - m.mu), 4) AS phi "
@@ -320,10 +486,10 @@ def q_shap_linear(spark, d):
 @register("shap_sampled")
 def q_shap_sampled(spark, d):
     train, test = _train_test(spark, d)
-    m = models.fit(train.cache(), "rf", MODEL_FEATURES, "close", numTrees=3)
+    m = models.fit(train, "rf", MODEL_FEATURES, "close", numTrees=3)
     # every test row is explained, as the tree explainer runs over the whole test part
     rows = test.withColumn("row_id", F.concat_ws(":", "symbol", F.col("idx").cast("string")))
-    return explain.shap_sampled(m, train, rows, MODEL_FEATURES, row_id="row_id", n_perm=16)
+    return explain.shap_sampled(m, train, rows, MODEL_FEATURES, row_id="row_id")
 
 
 @register("shap_summary", _sql_1f(
@@ -367,7 +533,8 @@ def q_score_new_bars(spark, d):
     landing = shared_path(spark, "landing")
     arrived = p.where("NOT is_train").select("symbol", "idx", "date", "open", "close")
     arrived.write.mode("overwrite").parquet(landing)
-    out_dir, _q = score_stream(spark, landing, arrived.schema, FEATURES_1F, coefs=c, by="symbol",
+    # the stream reads a stored table of coefficients: no batch fits the model again
+    out_dir, _q = score_stream(spark, landing, arrived.schema, FEATURES_1F, coefs=_materialized(c), by="symbol",
                                keep=["symbol", "idx", "date", "close"])
     return _pred_cols(spark.read.parquet(out_dir))
 
