@@ -6,10 +6,12 @@ seen there costs an escape, estimated from the number of distinct symbols (metho
 shorter context, whose counts leave out the symbols of the longer one (symbol exclusion). Below the empty context
 all symbols not yet seen are alike.
 
-With pretrained counts, the symbols excluded in a context are those of the context one byte longer, because whatever
-followed the longer one also followed the shorter. So every (context, symbol) has one fixed cost, and a text's code
-length is a sum of table entries. ``order`` is at most 2, which bounds the trie by 256**2 * 257 leaves: that is the
-proven bound of what is broadcast. The counts themselves come from every training text.
+The counts come from every training text. Leaves of the trie are numbers to the base 257: the symbol (256 is the end),
+then the context's bytes from the last to the first. The trie is used in segments, each broadcast by itself: contexts
+of three bytes and more by their last three bytes, so that all contexts which a symbol may fall back to down to three
+bytes are in one segment; the shorter ones (at most 256**2 * 257 leaves) go with every segment. A segment has about
+SEGMENT leaves; what shares three last bytes can't be parted, but is bounded by 256**(order - 3) * 257 leaves. Texts
+are scored once for each segment, which adds the costs of the positions that belong to it.
 """
 
 from __future__ import annotations
@@ -25,15 +27,20 @@ from pyspark.sql import functions as F
 
 from tidecast.llm.common import as_text, pick, stored, table
 from tidecast.llm.simhash import _LOWER
+from tidecast.session import shared_path
 
 END = 256
 SYMBOLS = 257
+#: Contexts of up to LOW bytes go with every segment.
+LOW = 2
+#: About so many leaves in a segment of the trie.
+SEGMENT = 4_000_000
 #: A worker's word counts are handed on when they reach so many entries.
 FLUSH = 300_000
 #: At most so many words are frequent enough to be broadcast: those that make up over 1 / HOT of all training tokens.
 HOT = 1 << 19
 #: So many symbols of a text at a time, which bounds the memory for very long texts.
-STEP = 1 << 22
+STEP = 1 << 21
 
 
 def is_held_out(doc_id, folds: int = 5, fold: int = 1) -> bool:
@@ -44,35 +51,78 @@ def is_held_out(doc_id, folds: int = 5, fold: int = 1) -> bool:
 # -- counts ------------------------------------------------------------------------------------------------------
 
 
-def _codes(text: bytes, order: int):
-    """(order, codes) of a text: for each symbol and the end, its context of up to ``order`` bytes and itself."""
-    data = np.frombuffer(text, np.uint8)
-    for k in range(order):  # at the start contexts are shorter
-        if k <= len(data):
-            context = int.from_bytes(bytes(data[:k]), "big")
-            yield k, np.array([context * SYMBOLS + (int(data[k]) if k < len(data) else END)], np.int64)
-    for a in range(0, len(data) - order + 1, STEP):
-        part = data[a:a + STEP + order].astype(np.int32)
-        last = a + STEP + order >= len(data) + 1
-        follow = np.append(part[order:], END) if last else part[order:]
-        context = np.zeros(len(follow), np.int32)
-        for k in range(order):
-            context = context * 256 + part[k:k + len(follow)]
-        yield order, context * SYMBOLS + follow
-
-
-def _gram_rows(grams: list[np.ndarray]):
-    for k, counts in enumerate(grams):
-        at = np.flatnonzero(counts)
-        if len(at):
-            yield np.full(len(at), k, np.int32), at.astype(np.int64), counts[at].astype(np.int64)
-            counts[at] = 0
+def _groups(texts: list[bytes], order: int):
+    """The texts' symbols in arrays of about STEP: (symbols, place of each in its text, index of the text by which each
+    run of symbols starts and where it starts, number of leading symbols that are context only)."""
+    held, first, size = [], 0, 0
+    for i, text in enumerate([*texts, None]):
+        if held and (text is None or size + len(text) > STEP):
+            lengths = np.array([len(t) + 1 for t in held])
+            ends = np.cumsum(lengths)
+            symbols = np.frombuffer(b"\0".join(held) + b"\0", np.uint8).astype(np.int64)
+            symbols[ends - 1] = END
+            starts = ends - lengths
+            yield symbols, np.arange(len(symbols)) - np.repeat(starts, lengths), np.arange(first, first + len(held)), starts, 0
+            held, size = [], 0
+        if text is None:
+            return
+        if len(text) > STEP:  # in pieces, each with the context before it
+            data = np.append(np.frombuffer(text, np.uint8).astype(np.int64), END)
+            for a in range(0, len(data), STEP):
+                lead = min(a, order)
+                piece = data[a - lead:a + STEP]
+                yield piece, np.arange(a - lead, a - lead + len(piece)), np.array([i]), np.array([0]), lead
+            continue
+        if not held:
+            first = i
+        held.append(text)
+        size += len(text) + 1
+
+
+def _codes(symbols: np.ndarray, order: int) -> np.ndarray:
+    """Each symbol with the ``order`` symbols before it; the digits that lie before a text's start are to be cut off."""
+    out, unit = symbols.copy(), 1
+    for k in range(1, min(order, len(symbols) - 1) + 1):
+        unit *= SYMBOLS
+        out[k:] += symbols[:-k] * unit
+    return out
+
+
+def _leaves(texts: list[bytes], order: int):
+    """(order, codes) of all leaves that the texts add to."""
+    for symbols, place, _, _, lead in _groups(texts, order):
+        codes = _codes(symbols, order)[lead:]
+        place = place[lead:]
+        yield order, codes[place >= order]
+        for k in range(order):  # at a text's start contexts are shorter
+            yield k, codes[place == k] % SYMBOLS ** (k + 1)
+
+
+class _Sums:
+    """Sums by code, kept as sorted pairs and handed on when they grow over ``most``."""
+
+    def __init__(self, most: int = 2_000_000):
+        self.parts, self.held, self.most = [], 0, most
+
+    def add(self, codes: np.ndarray) -> None:
+        kept, n = np.unique(codes, return_counts=True)
+        self.parts.append((kept, n))
+        self.held += len(kept)
+        if self.held > self.most:
+            self.parts = [self.total()]
+            self.held = len(self.parts[0][0])
+
+    def total(self):
+        codes, n = (np.concatenate(x) for x in zip(*self.parts)) if self.parts else (np.zeros(0, np.int64),) * 2
+        kept, at = np.unique(codes, return_inverse=True)
+        return kept, np.bincount(at, n, len(kept)).astype(np.int64)
 
 
 def _count_batches(batches, order: int, folds: int, fold: int):
     """Partial counts of a partition's training texts: words as (-1, word, n), trie leaves as (order, code, n)."""
-    grams = [np.zeros(256**k * SYMBOLS, np.int32) for k in range(order + 1)]
-    words, seen, ends = Counter(), 0, 0
+    sums = [_Sums() for _ in range(order + 1)]
+    words, ends = Counter(), 0
+    names = ["ord", "code", "word", "n"]
 
     def word_rows():
         keys = list(words)
@@ -81,99 +131,149 @@ def _count_batches(batches, order: int, folds: int, fold: int):
         words.clear()
         return out
 
-    names = ["ord", "code", "word", "n"]
-
-    def gram_rows():
-        for k, code, n in _gram_rows(grams):
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(code), pa.nulls(len(code), pa.binary()), pa.array(n)], names)
+    def leaf_rows(k):
+        codes, n = sums[k].total()
+        sums[k] = _Sums()
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), k, np.int32)), pa.array(codes), pa.nulls(len(codes), pa.binary()), pa.array(n)], names)
 
     for batch in batches:
-        for i, value in zip(batch["id"].to_pylist(), batch["text"].cast(pa.binary())):
-            if is_held_out(i, folds, fold):
-                continue
-            text = value.as_py()
+        texts = [value.as_py() for i, value in zip(batch["id"].to_pylist(), batch["text"].cast(pa.binary())) if not is_held_out(i, folds, fold)]
+        for text in texts:
             words.update(text.translate(_LOWER).split())
-            ends += 1
-            for k, codes in _codes(text, order):
-                np.add.at(grams[k], codes, 1)
-            seen += len(text) + 1
             if len(words) > FLUSH:
                 yield word_rows()
-            if seen > 1 << 30:
-                yield from gram_rows()
-                seen = 0
+        ends += len(texts)
+        for k, codes in _leaves(texts, order):
+            sums[k].add(codes)
+            if sums[k].held > sums[k].most // 2:
+                yield leaf_rows(k)
     if words:
         yield word_rows()
     if ends:  # the end token: a word that no text can hold
         yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.nulls(1, pa.int64()), pa.array([b" "], pa.binary()), pa.array([ends], pa.int64())], names)
-    yield from gram_rows()
+    for k in range(order + 1):
+        if sums[k].parts:
+            yield leaf_rows(k)
 
 
 # -- the model ---------------------------------------------------------------------------------------------------
 
 
+class _Level:
+    """Contexts of one length: leaves, and of each context the sum and number of its symbols, and the sum that these
+    symbols have in the context without its first byte."""
+
+    def __init__(self, codes, counts, shorter: "_Level | None", k: int):
+        self.codes, at = np.unique(codes, return_inverse=True)
+        self.counts = np.bincount(at, counts, len(self.codes))
+        self.contexts, self.at = np.unique(self.codes // SYMBOLS, return_inverse=True)
+        self.sums = np.bincount(self.at, self.counts, len(self.contexts))
+        self.kinds = np.bincount(self.at, minlength=len(self.contexts)).astype(np.float64)
+        # whatever followed the longer context also followed the shorter one, so that all of these are found
+        under = shorter.counts[np.searchsorted(shorter.codes, self.codes % SYMBOLS**k)] if shorter else np.zeros(len(self.codes))
+        self.under = np.bincount(self.at, under, len(self.contexts))
+
+    @staticmethod
+    def find(table: np.ndarray, wanted: np.ndarray):
+        """(places, found) of the wanted values in a sorted table."""
+        if not len(table):
+            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+        at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
+        return at, table[at] == wanted
+
+
 class Trie:
-    """Costs in log10 of every (context, symbol), from the leaves (order, code, n) counted above."""
-
-    def __init__(self, order: int, leaf_order: np.ndarray, code: np.ndarray, n: np.ndarray):
-        self.order = order
-        # counts by context length, sparse; a shorter context has what the longer ones that end with it have
-        levels: list[tuple[np.ndarray, np.ndarray]] = []
-        for k in range(order, -1, -1):
-            codes, counts = code[leaf_order == k], n[leaf_order == k].astype(np.float64)
-            if levels:
-                longer, more = levels[0]
-                codes = np.concatenate([codes, longer // SYMBOLS % 256**k * SYMBOLS + longer % SYMBOLS])
-                counts = np.concatenate([counts, more])
-            kept, at = np.unique(codes, return_inverse=True)
-            levels.insert(0, (kept, np.bincount(at, counts, len(kept))))
-        self.cost = []
-        shorter, below = np.zeros((1, SYMBOLS)), None
+    """Costs in log10 of symbols in context, from sums (order, code, n) of leaves: those of contexts up to two bytes
+    from all training texts (``low``), the others (``high``) from one segment."""
+
+    def __init__(self, order: int, low, high):
+        self.order, self.levels = order, []
+        shorter = None
         for k in range(order + 1):
-            cost, count, under = (np.empty((256**k, SYMBOLS), x) for x in (np.float32, np.float64 if k < order else np.float32, np.float32))
-            for a in range(0, 256**k, 2048):  # a share of the contexts at a time, which bounds the memory
-                rows = np.arange(a, min(a + 2048, 256**k))
-                here = self._dense(*levels[k], a, len(rows))
-                under_here = self._below(here > 0, shorter, below, rows % 256**max(k - 1, 0))
-                own, escape = self._shares(here, SYMBOLS - (here > 0).sum(1))
-                cost[rows] = np.where(here > 0, own, escape + under_here)
-                if k < order:
-                    count[rows], under[rows] = here, under_here
-            self.cost.append(cost.reshape(-1))
-            shorter, below = count, under
+            part = low if k <= LOW else high
+            codes, counts = [], []
+            for longer in range(k, (min(order, LOW) if k <= LOW else order) + 1):  # leaves of longer contexts count here too
+                here = part[0] == longer
+                codes.append(part[1][here] % SYMBOLS ** (k + 1))
+                counts.append(part[2][here])
+            shorter = _Level(np.concatenate(codes), np.concatenate(counts).astype(np.float64), shorter, k)
+            self.levels.append(shorter)
+        # the longest contexts, where nearly all symbols are found: by a hash of the code, with its bucket's first entry
+        top = self.levels[order]
+        escapes = np.where(top.kinds < SYMBOLS, top.kinds, 0)
+        cost = np.log10(top.counts) - np.log10((top.sums + escapes)[top.at])
+        self.bits = max(4, len(cost).bit_length())
+        bucket = self._bucket(top.codes)
+        by = np.argsort(bucket, kind="stable")
+        self.keys, self.cost = np.append(top.codes[by], -1), np.append(cost[by], 0).astype(np.float32)
+        self.first = np.searchsorted(bucket[by], np.arange((1 << self.bits) + 1)).astype(np.int32)
+
+    def _bucket(self, codes: np.ndarray) -> np.ndarray:
+        return (codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def costs(self, codes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The cost of each symbol, whose context is as long as ``order`` and its place in the text allow."""
+        out = np.zeros(len(codes))
+        bucket = self._bucket(codes)
+        at, end = self.first[bucket], self.first[bucket + 1]
+        left = np.flatnonzero((place >= self.order) & (at < end))
+        at, end = at[left], end[left]
+        known = np.zeros(len(codes), bool)
+        while len(left):
+            hit = self.keys[at] == codes[left]
+            out[left[hit]] = self.cost[at[hit]]
+            known[left[hit]] = True
+            go = ~hit & (at + 1 < end)
+            left, at, end = left[go], at[go] + 1, end[go]
+        rest = np.flatnonzero(~known)
+        if len(rest):
+            out[rest] = self._fall_back(codes[rest], place[rest])
+        return out
 
-    @staticmethod
-    def _dense(codes, counts, first: int, contexts: int) -> np.ndarray:
-        lo, hi = np.searchsorted(codes, [first * SYMBOLS, (first + contexts) * SYMBOLS])
-        out = np.zeros(contexts * SYMBOLS)
-        out[codes[lo:hi] - first * SYMBOLS] = counts[lo:hi]
-        return out.reshape(contexts, SYMBOLS)
+    def _fall_back(self, codes, place):
+        """Costs by escapes from the longest context down."""
+        out = np.zeros(len(codes))
+        open_ = np.ones(len(codes), bool)
+        gone, kinds_gone = np.zeros(len(codes)), np.zeros(len(codes))  # of the symbols excluded so far
+        for k in range(self.order, -1, -1):
+            now = np.flatnonzero(open_ & (place >= k))
+            level, own = self.levels[k], codes[now] % SYMBOLS ** (k + 1)
+            c, seen = level.find(level.contexts, own // SYMBOLS)
+            if not len(level.contexts):
+                continue
+            kinds = np.where(seen, level.kinds[c] - kinds_gone[now], 0)
+            whole = np.where(seen, level.sums[c] - gone[now], 0)
+            escapes = np.where(level.kinds[c] < SYMBOLS, kinds, 0)
+            leaf, hit = level.find(level.codes, own)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                cost = np.log10(np.where(hit, level.counts[leaf], escapes)) - np.log10(whole + escapes)
+            said = hit | (kinds > 0)  # a context without symbols of its own is passed without an escape
+            out[now[said]] += cost[said]
+            open_[now[hit]] = False
+            gone[now[seen]], kinds_gone[now[seen]] = level.under[c[seen]], level.kinds[c[seen]]
+        out[open_] -= np.log10(SYMBOLS - kinds_gone[open_])
+        return out
 
-    @staticmethod
-    def _shares(counts: np.ndarray, left: np.ndarray):
-        """log10 shares of the symbols and of the escape; ``left``: so many symbols an escape could still mean."""
-        kinds = (counts > 0).sum(1, dtype=np.float64)
-        escapes = np.where(left > 0, kinds, 0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            whole = np.log10(counts.sum(1) + escapes)[:, None]
-            return np.log10(counts) - whole, np.where(kinds[:, None] > 0, np.log10(escapes)[:, None] - whole, 0.0)
-
-    @classmethod
-    def _below(cls, excluded, shorter, below, short) -> np.ndarray:
-        """Costs after an escape, in the context without its first byte: its counts without the excluded symbols."""
-        if below is None:  # from the empty context: all that are left are alike
-            with np.errstate(divide="ignore"):
-                return np.broadcast_to(-np.log10(SYMBOLS - excluded.sum(1, keepdims=True, dtype=np.float64)), excluded.shape)
-        all_counts = shorter[short]
-        counts = np.where(excluded, 0, all_counts)
-        own, escape = cls._shares(counts, SYMBOLS - (all_counts > 0).sum(1))
-        return np.where(counts > 0, own, escape + below[short])
-
-    def score(self, text: bytes) -> float:
-        return float(sum(self.cost[k][codes].sum(dtype=np.float64) for k, codes in _codes(text, self.order)))
-
-
-def adaptive_score(text: bytes, order: int = 2) -> float:
+    def score(self, texts: list[bytes], segment: int = 0, segments: int = 1) -> np.ndarray:
+        """For each text the cost of its positions that belong to the segment; the first segment also has those whose
+        context is shorter than three bytes."""
+        total = np.zeros(len(texts))
+        for symbols, place, owner, starts, lead in _groups(texts, self.order):
+            codes = _codes(symbols, self.order)
+            cost = np.zeros(len(codes))
+            mine = np.flatnonzero((segment_of(codes, place, segments) == segment) & (np.arange(len(codes)) >= lead))
+            cost[mine] = self.costs(codes[mine], place[mine])
+            total[owner] += np.add.reduceat(cost, starts)
+        return total
+
+
+def segment_of(codes: np.ndarray, place: np.ndarray, segments: int) -> np.ndarray:
+    """The segment that holds each position's contexts of three bytes and more, by the last three."""
+    last = codes // SYMBOLS % SYMBOLS**3
+    return np.where(place > LOW, last % 65521 % segments, 0)
+
+
+def adaptive_score(text: bytes, order: int = 5) -> float:
     """log10 probability of one text under a trie that starts empty and learns from the text as it goes."""
     trie: dict[bytes, Counter] = {}
     total, symbols = 0.0, [*text, END]
@@ -202,68 +302,101 @@ def adaptive_score(text: bytes, order: int = 2) -> float:
 _TRIES: dict = {}
 
 
-def _trie(key, sent) -> Trie:
-    """The cost tables of this worker, made once for a broadcast trie."""
+def _trie(key, sent) -> tuple[Trie, dict]:
+    """The tables of this worker, made once for a broadcast segment."""
     if key not in _TRIES:
         _TRIES.clear()
-        order, *leaves, words = sent.value
-        _TRIES[key] = Trie(order, *leaves), words
+        order, low, high, words = sent.value
+        _TRIES[key] = Trie(order, low, high), words
     return _TRIES[key]
 
 
-def _score_batches(batches, key, sent, folds: int, fold: int):
+def _score_batches(batches, key, sent, segments: int, folds: int, fold: int):
     trie, hot = _trie(key, sent)
     get = hot.get
     for batch in batches:
+        texts = [v.as_py() for v in batch["text"].cast(pa.binary())]
         rows = []
-        for i, value in zip(batch["id"].to_pylist(), batch["text"].cast(pa.binary())):
-            text = value.as_py()
+        for i, text in zip(batch["id"].to_pylist(), texts):
             words = text.translate(_LOWER).split()
             words.append(b" ")
             costs = list(map(get, words))
             rare = [w for w, c in zip(words, costs) if c is None]
             if rare:
                 costs = [c for c in costs if c is not None]
-            rows.append((is_held_out(i, folds, fold), len(words), len(costs), math.fsum(costs), trie.score(text), rare))
-        held, n, known, base, score, rare = zip(*rows) if rows else [()] * 6
-        yield pa.RecordBatch.from_arrays([batch["id"], pa.array(held, pa.bool_()), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
-                                          pa.array(base, pa.float64()), pa.array(score, pa.float64()), pa.array(rare, pa.list_(pa.binary()))],
-                                         ["id", "held_out", "n_tokens", "n_hot", "hot_sum", "score", "rare"])
+            rows.append((is_held_out(i, folds, fold), len(words), len(costs), math.fsum(costs), rare))
+        held, n, known, base, rare = zip(*rows) if rows else [()] * 5
+        yield pa.RecordBatch.from_arrays([batch["id"], batch["same"], pa.array(held, pa.bool_()), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
+                                          pa.array(base, pa.float64()), pa.array(trie.score(texts, 0, segments), pa.float64()),
+                                          pa.array(rare, pa.list_(pa.binary()))],
+                                         ["id", "same", "held_out", "n_tokens", "n_hot", "hot_sum", "score", "rare"])
+
+
+def _add_batches(batches, key, sent, segment: int, segments: int):
+    trie, _ = _trie(key, sent)
+    for batch in batches:
+        texts = [v.as_py() for v in batch["text"].cast(pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch["same"], pa.array(trie.score(texts, segment, segments), pa.float64())], ["same", "more"])
+
+
+def _arrays(leaves: DataFrame) -> list[np.ndarray]:
+    found = leaves.select("ord", "code", "n").toArrow()
+    return [found[c].to_numpy() for c in ("ord", "code", "n")]
 
 
-def ppm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 2, folds: int = 5,
-               fold: int = 1) -> DataFrame:
+def ppm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 5, folds: int = 5,
+               fold: int = 1, segment_leaves: int = SEGMENT) -> DataFrame:
     """PPM and unigram scores of every whole text, learnt from the texts outside the held-out fold.
 
     Result, one row per input row: id_col, held_out, n_tokens (words and one end), n_known (tokens seen in training),
     train_tokens, base_score (add-half unigram, log10), score (PPM: log10 of the probability of the text's bytes and
     its end).
 
-    The counts of words and trie leaves are summed per partition, then over all. Broadcast are the trie's leaves (at
-    most 256**order * 257 of them, order <= 2) and the words that make up over 1 / 2**19 of the training tokens (fewer
-    than 2**19); all other words are joined to their counts by a shuffle, none of which can be frequent.
+    The counts of words and trie leaves are summed per partition, then over all. Broadcast, one after another, are the
+    segments of the trie, and the words that make up over 1 / 2**19 of the training tokens (fewer than 2**19); all
+    other words are joined to their counts by a shuffle, none of which can be frequent.
 
     A null text counts as empty (one end token); a null id counts as the empty text for the fold; repeated rows are
     learnt from and scored as often as they stand there; other columns are not read. Without training texts every
     token costs log10(1) and all symbols are alike; an empty table gives an empty result.
     """
-    if not 0 <= order <= 2:
-        raise ValueError("order must be 0, 1 or 2")
+    if not 0 <= order <= 6:
+        raise ValueError("order must be from 0 to 6")  # seven digits to the base 257 fit a long
     spark = docs.sparkSession
     kind = dict(docs.select(id_col).dtypes)[id_col]
     rows = pick(docs, id=id_col, text=text_col).withColumn("text", as_text(F.col("text")))
+    rows = rows.withColumn("same", F.hash("text").cast("long") * (1 << 32) + F.crc32(F.encode("text", "UTF-8")))
     counted = stored(rows.mapInArrow(lambda it: _count_batches(it, order, folds, fold), "ord int, code long, word binary, n long")
                      .groupBy("ord", "code", "word").agg(F.sum("n").alias("n")), "lm-counts")
     words = counted.filter("ord = -1").select("word", F.col("n").alias("c"))
     n_train, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     hot = words.filter(F.col("c") * HOT > n_train).toArrow()
-    leaves = counted.filter("ord >= 0").select("ord", "code", "n").toArrow()
-    sent = spark.sparkContext.broadcast((order, *(leaves[c].to_numpy() for c in ("ord", "code", "n")),
-                                         {w: math.log10(c + 0.5) for w, c in zip(hot["word"].to_pylist(), hot["c"].to_pylist())}))
-    key = sent._jbroadcast.id()
-    scored = stored(rows.mapInArrow(lambda it: _score_batches(it, key, sent, folds, fold),
-                                    f"id {kind}, held_out boolean, n_tokens long, n_hot long, hot_sum double, score double, rare array<binary>")
+    hot = {w: math.log10(c + 0.5) for w, c in zip(hot["word"].to_pylist(), hot["c"].to_pylist())}
+    leaves = counted.filter("ord >= 0").select("ord", "code", "n")
+    short = F.least("ord", F.lit(LOW))
+    low = _arrays(leaves.groupBy(short.alias("ord"), F.expr(f"code % CASE ord WHEN 0 THEN {SYMBOLS} WHEN 1 THEN {SYMBOLS**2} ELSE {SYMBOLS**3} END").alias("code"))
+                    .agg(F.sum("n").alias("n")))
+    high = leaves.filter(F.col("ord") > LOW)
+    segments = max(1, -(-high.count() // segment_leaves))
+    number = F.expr(f"(code div {SYMBOLS}) % {SYMBOLS**3} % 65521 % {segments}")
+    path = shared_path(spark, "lm-scores")
+
+    def send(segment, words):
+        sent = spark.sparkContext.broadcast((order, low, _arrays(high.filter(number == segment)), words))
+        return sent, sent._jbroadcast.id()
+
+    sent, key = send(0, hot)
+    scored = stored(rows.mapInArrow(lambda it: _score_batches(it, key, sent, segments, folds, fold),
+                                    f"id {kind}, same long, held_out boolean, n_tokens long, n_hot long, hot_sum double, score double, rare array<binary>")
                     .withColumn("row", F.monotonically_increasing_id()), "lm-scores")
+    for segment in range(1, segments):  # one broadcast at a time; equal texts have equal sums
+        sent, key = send(segment, {})
+        (rows.select("same", "text").mapInArrow(lambda it: _add_batches(it, key, sent, segment, segments), "same long, more double")
+         .groupBy("same").agg(F.max("more").alias("more")).write.mode("append").parquet(path))
+        sent.destroy()
+    if segments > 1:
+        more = spark.read.parquet(path).groupBy("same").agg(F.sum("more").alias("more"))
+        scored = stored(scored.join(more, "same", "left").withColumn("score", F.col("score") + F.coalesce("more", F.lit(0.0))).drop("more"), "lm-scores")
     rare = (scored.select("row", F.explode("rare").alias("word")).join(words.filter(F.col("c") * HOT <= n_train), "word", "left")
             .groupBy("row").agg(F.count("c").alias("n_rare"), F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare_sum")))
     whole = math.log10(n_train + 0.5 * (distinct + 1))
@@ -274,4 +407,4 @@ def ppm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op3_ppm_scores(spark, sf_dir: str) -> DataFrame:
-    return ppm_scores(table(spark, sf_dir, "documents"), order=2, folds=5, fold=1)
+    return ppm_scores(table(spark, sf_dir, "documents"), order=5, folds=5, fold=1)
