@@ -28,7 +28,7 @@ class ChunkIds(dict):
     Only for byte-level tokenizers that lower-case, drop white space and never look across it, so that a text's ids are
     those of its chunks one after another."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         super().__init__()
@@ -43,13 +43,14 @@ class ChunkIds(dict):
         code = self.older.get(chunk)
         if code is None:
             body = chunk.rstrip(".,")
-            if body != chunk and self.plain(body.lower()):  # letters and other signs never share a word
-                code = self[body] + self[chunk[len(body):]]
-            elif self.plain(lower := chunk.lower()):
-                code = self[lower] if lower != chunk else self._pack([t.id for t in self.tokenizer.model.tokenize(
-                    chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.letters))])
-            else:
+            word = body.lower()
+            if not self.plain(word):
                 code = self._pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+            elif word != chunk:  # letters and other signs never share a word of the tokenizer's
+                code = self[word] + self[chunk[len(body):]] if body != chunk else self[word]
+            else:
+                code = self._pack([t.id for t in self.tokenizer.model.tokenize(
+                    chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.letters))])
         if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
@@ -112,8 +113,8 @@ def _write_batches(batches, path: str, end_id: int):
 def write_token_files(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2) -> None:
     """Write the ids of all texts, each followed by ``end_id``, as a table of token files at ``path``.
 
-    Rows are dealt out by ranges of id and sorted within (null ids first; rows of one id in the order of their texts),
-    so that files in order of (part, seq) hold the documents in ascending order. ``first`` is the number of ids before
+    Rows are dealt out by ranges of id and sorted within (null ids first; rows of one id by their texts' checksums, which
+    keep them apart where ranges are cut), so that files in order of (part, seq) hold the documents in ascending order. ``first`` is the number of ids before
     the file in its part. A null text counts as empty: it has just its end id. Rows repeat as they do in the input,
     other columns are not read, an empty table gives a table without files. The files are written by Spark's own
     committer, so that a lost executor's tasks are simply run again.
@@ -121,8 +122,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, id_col: str =
     spark = docs.sparkSession
     rows = pick(docs, id=id_col, text=text_col).select(F.col("id").cast("long").alias("id"), as_text(F.col("text")).alias("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the checksum keeps rows that share an id apart where ranges are cut
-    rows = rows.repartitionByRange(n, "id", F.crc32(F.encode("text", "UTF-8"))).sortWithinPartitions("id", "text")
+    rows = rows.withColumn("crc", F.crc32(F.encode("text", "UTF-8"))).repartitionByRange(n, "id", "crc").sortWithinPartitions("id", "crc", "text")
     rows.mapInArrow(lambda it: _write_batches(it, vocabulary, end_id), FILE_SCHEMA).write.parquet(path)
 
 
