@@ -34,13 +34,13 @@ SYMBOLS = 257
 #: Contexts of up to LOW bytes go with every segment.
 LOW = 2
 #: About so many leaves in a segment of the trie.
-SEGMENT = 4_000_000
+SEGMENT = 2_000_000
 #: A worker's word counts are handed on when they reach so many entries.
 FLUSH = 300_000
 #: At most so many words are frequent enough to be broadcast: those that make up over 1 / HOT of all training tokens.
 HOT = 1 << 19
 #: So many symbols of a text at a time, which bounds the memory for very long texts.
-STEP = 1 << 21
+STEP = 1 << 18
 
 
 def is_held_out(doc_id, folds: int = 5, fold: int = 1) -> bool:
@@ -101,7 +101,7 @@ def _leaves(texts: list[bytes], order: int):
 class _Sums:
     """Sums by code, kept as sorted pairs and handed on when they grow over ``most``."""
 
-    def __init__(self, most: int = 2_000_000):
+    def __init__(self, most: int = 1_000_000):
         self.parts, self.held, self.most = [], 0, most
 
     def add(self, codes: np.ndarray) -> None:
@@ -164,14 +164,20 @@ class _Level:
     symbols have in the context without its first byte."""
 
     def __init__(self, codes, counts, shorter: "_Level | None", k: int):
-        self.codes, at = np.unique(codes, return_inverse=True)
-        self.counts = np.bincount(at, counts, len(self.codes))
-        self.contexts, self.at = np.unique(self.codes // SYMBOLS, return_inverse=True)
-        self.sums = np.bincount(self.at, self.counts, len(self.contexts))
-        self.kinds = np.bincount(self.at, minlength=len(self.contexts)).astype(np.float64)
+        by = np.argsort(codes, kind="stable")
+        codes, counts = codes[by], counts[by]
+        del by
+        new = np.flatnonzero(np.diff(codes, prepend=-1))
+        self.codes = codes[new]
+        counts = np.add.reduceat(counts, new) if len(new) else counts
+        new = np.flatnonzero(np.diff(self.codes // SYMBOLS, prepend=-1))
+        self.contexts = self.codes[new] // SYMBOLS
+        add = lambda x: np.add.reduceat(x, new) if len(new) else x
+        self.size = np.diff(np.append(new, len(self.codes)))
+        self.sums, self.kinds = add(counts), self.size.astype(np.float32)
         # whatever followed the longer context also followed the shorter one, so that all of these are found
-        under = shorter.counts[np.searchsorted(shorter.codes, self.codes % SYMBOLS**k)] if shorter else np.zeros(len(self.codes))
-        self.under = np.bincount(self.at, under, len(self.contexts))
+        self.under = add(shorter.counts[np.searchsorted(shorter.codes, self.codes % SYMBOLS**k)]) if shorter else np.zeros(len(new))
+        self.counts = counts
 
     @staticmethod
     def find(table: np.ndarray, wanted: np.ndarray):
@@ -198,15 +204,19 @@ class Trie:
                 counts.append(part[2][here])
             shorter = _Level(np.concatenate(codes), np.concatenate(counts).astype(np.float64), shorter, k)
             self.levels.append(shorter)
+        del part, codes, counts
         # the longest contexts, where nearly all symbols are found: by a hash of the code, with its bucket's first entry
         top = self.levels[order]
         escapes = np.where(top.kinds < SYMBOLS, top.kinds, 0)
-        cost = np.log10(top.counts) - np.log10((top.sums + escapes)[top.at])
+        cost = np.log10(top.counts) - np.repeat(np.log10(top.sums + escapes), top.size)
         self.bits = max(4, len(cost).bit_length())
         bucket = self._bucket(top.codes)
         by = np.argsort(bucket, kind="stable")
         self.keys, self.cost = np.append(top.codes[by], -1), np.append(cost[by], 0).astype(np.float32)
         self.first = np.searchsorted(bucket[by], np.arange((1 << self.bits) + 1)).astype(np.int32)
+        top.codes, top.counts = np.zeros(0, np.int64), np.zeros(1)  # found by hash, or not there
+        for level in self.levels:
+            level.size = None
 
     def _bucket(self, codes: np.ndarray) -> np.ndarray:
         return (codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -244,7 +254,7 @@ class Trie:
             kinds = np.where(seen, level.kinds[c] - kinds_gone[now], 0)
             whole = np.where(seen, level.sums[c] - gone[now], 0)
             escapes = np.where(level.kinds[c] < SYMBOLS, kinds, 0)
-            leaf, hit = level.find(level.codes, own)
+            leaf, hit = level.find(level.codes, own)  # of the longest contexts none: the hash has been asked
             with np.errstate(divide="ignore", invalid="ignore"):
                 cost = np.log10(np.where(hit, level.counts[leaf], escapes)) - np.log10(whole + escapes)
             said = hit | (kinds > 0)  # a context without symbols of its own is passed without an escape
@@ -341,7 +351,8 @@ def _add_batches(batches, key, sent, segment: int, segments: int):
 
 def _arrays(leaves: DataFrame) -> list[np.ndarray]:
     found = leaves.select("ord", "code", "n").toArrow()
-    return [found[c].to_numpy() for c in ("ord", "code", "n")]
+    n = found["n"].to_numpy()
+    return [found["ord"].to_numpy().astype(np.int8), found["code"].to_numpy(), n.astype(np.int32) if n.max(initial=0) < 1 << 31 else n]
 
 
 def ppm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 5, folds: int = 5,
