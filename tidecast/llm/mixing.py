@@ -7,7 +7,7 @@ for all sources at once are one aggregation each over the histogram of sizes.
 
 Rates become whole copies by running sums: within a source documents stand from the largest to the smallest, and each
 takes the whole numbers that the running sum of rates passes. The words taken then differ from the target by less
-than one largest document (and the rounding of rates to 2**-30). Everything after the multipliers is done in whole
+than one largest document (and the rounding of rates to 2**-24). Everything after the multipliers is done in whole
 numbers, so that reruns agree.
 """
 
@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from tidecast.llm.common import SPACES, as_text, pick_rows, row_key, stored, table
 
-UNIT = 1 << 30
+#: Rates are counted in parts of UNIT, so that running sums over 2**38 documents fit a long.
+BITS = 24
+UNIT = 1 << BITS
 #: Rows of one source and size are ranked in so many parts, none of which can be large alone.
 PARTS = 256
 
@@ -130,7 +132,7 @@ def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "sid", "size", "part", F.coalesce(F.sum("n").over(before("sid", "size").orderBy("part")), F.lit(0)).alias("rank0"))
     first = part.join(start, ["sid", "size"]).select("sid", "size", "part", "unit", (F.col("start") + F.col("rank0") * F.col("unit") + UNIT // 2).alias("first"))
     ranked = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("sid", "size", "part").orderBy("id", "key")))
-    upto = lambda r: F.shiftright(F.col("first") + F.col("unit") * r, 30)
+    upto = lambda r: F.shiftright(F.col("first") + F.col("unit") * r, BITS)
     return ranked.join(first, ["sid", "size", "part"]).select(
         "id", "key", "source", "size", "source_size", "target", (F.col("unit") / UNIT).alias("rate"),
         (upto(F.col("rank")) - upto(F.col("rank") - 1)).alias("copies"))
