@@ -50,3 +50,38 @@ def test_scan_pruning(spark):
     names = {c.split("#")[0] for c in cols.split(",")}
     assert names == {"l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                      "l_shipdate"}
+
+
+@pytest.mark.parametrize("name", ["rmse", "r2", "predict", "actual_vs_predicted", "shap_linear", "shap_summary", "predict_future", "linear_regression"])
+def test_model_queries_read_one_prepared_table(spark, name):
+    """Fit, scoring and explanation read the stored table: the given tables are scanned for it once, and not again."""
+    df = REG[name][0](spark, SF001)
+    df.collect()
+    txt = plan_text(df)
+    assert "FileScan" not in txt and "Scan ExistingRDD" in txt
+
+
+def test_stream_gets_a_table_of_coefficients(spark, monkeypatch):
+    from tidecast.plans import catalog_models
+    seen = []
+    real = catalog_models.score_stream
+
+    def spy(*args, **kw):
+        seen.append(plan_text(kw["coefs"]))
+        return real(*args, **kw)
+    monkeypatch.setattr(catalog_models, "score_stream", spy)
+    REG["score_new_bars"][0](spark, SF001).collect()
+    assert len(seen) == 1 and "Aggregate" not in seen[0] and "FileScan" not in seen[0]
+
+
+def test_sequences_cross_the_shuffle_once_and_a_halo(spark):
+    """A window of 400 rows every 25 with 20 steps ahead: each row goes to at most two buckets, not to 17 windows."""
+    from pyspark.sql import functions as F
+    from tidecast.operators.sequences import build_sequences
+    n = 20_000
+    df = spark.range(n).select(F.lit("a").alias("symbol"), F.col("id").alias("date"), F.col("id").cast("double").alias("v"))
+    out = build_sequences(df, ["v"], "date", "symbol", window=400, stride=25, telescope=20)
+    out.write.format("noop").mode("overwrite").save()
+    assert out.count() == (n - 420) // 25 + ((n - 420) % 25 > 0)
+    biggest = out.agg(F.max(F.size("inputs")), F.max(F.size("labels"))).first()
+    assert tuple(biggest) == (400, 20)

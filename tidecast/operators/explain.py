@@ -225,22 +225,27 @@ _FAR = ((6.65790464350110377720e0, 5.46378491116411436990e0, 1.78482653991729133
          1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15))
 
 
-def _ratio(r: F.Column, tables) -> F.Column:
-    """A quotient of two polynomials in r, lowest power first."""
+def _ratio(r: str, tables) -> str:
+    """SQL of a quotient of two polynomials in r, lowest power first."""
     def poly(cs):
-        out = F.lit(cs[-1])
+        out = f"{cs[-1]!r}D"
         for c in reversed(cs[:-1]):
-            out = out * r + F.lit(c)
+            out = f"({out} * {r} + {c!r}D)"
         return out
-    return poly(tables[0]) / poly(tables[1])
+    return f"({poly(tables[0])} / {poly(tables[1])})"
 
 
-def normal_quantile(u: F.Column) -> F.Column:
-    """The standard normal quantile of u in (0, 1), to about 16 digits, from built-in functions."""
-    q = u - 0.5
-    r = F.sqrt(-F.log(F.least(u, 1.0 - u)))
-    tail = F.when(r <= 5.0, _ratio(r - 1.6, _NEAR)).otherwise(_ratio(r - 5.0, _FAR))
-    return F.when(F.abs(q) <= 0.425, q * _ratio(0.180625 - q * q, _CENTRE)).otherwise(F.when(q < 0, -tail).otherwise(tail))
+def _tail(u: F.Column) -> F.Column:
+    return F.sqrt(-F.log(F.least(u, 1.0 - u)))
+
+
+def normal_quantile(u: str, r: str) -> F.Column:
+    """The standard normal quantile of the column u in (0, 1), to about 16 digits, from built-in functions; the column
+    ``r`` holds ``_tail(u)``. Both are columns as they are used many times; SQL text saves hundreds of calls."""
+    tail = f"CASE WHEN {r} <= 5.0D THEN {_ratio(f'({r} - 1.6D)', _NEAR)} ELSE {_ratio(f'({r} - 5.0D)', _FAR)} END"
+    q = f"({u} - 0.5D)"
+    return F.expr(f"CASE WHEN abs({q}) <= 0.425D THEN {q} * {_ratio(f'(0.180625D - {q} * {q})', _CENTRE)} "
+                  f"WHEN {q} < 0 THEN -({tail}) ELSE {tail} END")
 
 
 def _phi(x: float) -> float:
@@ -301,12 +306,9 @@ def lime_quartile(model, train: DataFrame, rows: DataFrame, features: Sequence[s
             cf.append(acc / tot[j] if tot[j] else 1.0)
         cfs[j] = cf
 
-    def bin_param(j, bcol, name):
-        expr = F.lit(None).cast("double")
-        for b in range(4):
-            if (j, b) in stat and stat[(j, b)][name] is not None:
-                expr = F.when(bcol == b, F.lit(float(stat[(j, b)][name]))).otherwise(expr)
-        return expr
+    def bin_param(j, name):
+        whens = "".join(f" WHEN {b} THEN {float(stat[j, b][name])!r}D" for b in range(4) if (j, b) in stat and stat[j, b][name] is not None)
+        return F.expr(f"CASE _b{j}{whens} END" if whens else "CAST(NULL AS DOUBLE)").cast("double")
 
     base = rows.select(row_id, *feats).withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))))
     stage1 = {}
@@ -318,15 +320,17 @@ def lime_quartile(model, train: DataFrame, rows: DataFrame, features: Sequence[s
     base = base.withColumns(stage1)
     base = base.withColumns({f"_b{j}": F.when(F.col("_s") == 0, F.col(f"_i{j}")).otherwise(F.col(f"_d{j}"))
                              for j in range(k)})
-    base = base.withColumns({f"_{p}{j}": bin_param(j, F.col(f"_b{j}"), name)
+    base = base.withColumns({f"_{p}{j}": bin_param(j, name)
                              for j in range(k) for p, name in ((x, x) for x in ("mu", "sd", "lo", "hi", "pa", "pb"))})
+    # one uniform draw between the bin's ends on the scale of probabilities, then the quantile: an exact draw from the
+    # truncated normal (a bin without spread gives its mean); columns of their own, as they are used many times
+    base = base.withColumns({f"_u{j}": F.col(f"_pa{j}") + _uniform(F.col(row_id), F.col("_s"), F.lit(j), F.lit(seed), F.lit(100))
+                             * (F.col(f"_pb{j}") - F.col(f"_pa{j}")) for j in range(k)})
+    base = base.withColumns({f"_r{j}": _tail(F.col(f"_u{j}")) for j in range(k)})
     vals = {}
     for j, f in enumerate(feats):
-        # one uniform draw between the bin's ends on the scale of probabilities, then the quantile: an exact draw
-        # from the truncated normal (a bin without spread gives its mean)
-        u = _uniform(F.col(row_id), F.col("_s"), F.lit(j), F.lit(seed), F.lit(100))
-        u = F.col(f"_pa{j}") + u * (F.col(f"_pb{j}") - F.col(f"_pa{j}"))
-        drawn = F.least(F.greatest(F.col(f"_mu{j}") + F.col(f"_sd{j}") * normal_quantile(u), F.col(f"_lo{j}")), F.col(f"_hi{j}"))
+        z = normal_quantile(f"_u{j}", f"_r{j}")
+        drawn = F.least(F.greatest(F.col(f"_mu{j}") + F.col(f"_sd{j}") * z, F.col(f"_lo{j}")), F.col(f"_hi{j}"))
         v = F.when(F.col(f"_sd{j}") > 0, drawn).otherwise(F.col(f"_mu{j}"))
         vals[f] = F.when(F.col("_s") == 0, F.col(f).cast("double")).otherwise(v)
     zcols = {f"_z{j}": (F.col(f"_b{j}") == F.col(f"_i{j}")).cast("double") for j in range(k)}
