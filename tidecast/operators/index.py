@@ -60,7 +60,7 @@ def partition_sizes(df: DataFrame) -> DataFrame:
 
 
 def symbol_index(df: DataFrame, col: str = "symbol", name: str = "symbol_idx") -> DataFrame:
-    """Add the 0-based rank of the column's value among its distinct values, NULL first, so that one model over all
-    keys can tell them apart. Ranked is the table of distinct values, never the rows."""
-    ranks = df.select(col).distinct().withColumn(name, F.row_number().over(Window.orderBy(col)) - 1)
-    return join_on_keys(df, ranks.withColumn(name, F.col(name).cast("long")), col)
+    """Add the 0-based rank of the string column's value among its distinct values, NULL first, so that one model
+    over all keys can tell them apart. Ranked is the table of distinct values, in chunks by their first character."""
+    ranks = row_index(df.select(col).distinct(), col, name=name, chunk=F.substring(F.col(col), 1, 1))
+    return join_on_keys(df, ranks, col)
