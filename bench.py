@@ -7,7 +7,9 @@ collected to the driver). Prints one JSON line.
 
 As in production, bars are built from raw trades once (``bars_from_ticks``,
 timed on its own) and stored clustered by symbol, and series are stored once;
-the analytic queries read them back through the readers.
+the analytic queries read them back through the readers. The model queries are
+the registered ones, each with all that it does (data preparation, fits,
+scoring); they are timed once, without a warm-up.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tidecast.operators import explain, fill, index, joins, models, profile, sequences, split  # noqa: E402
 from tidecast.operators.scale import minmax  # noqa: E402
 from tidecast.plans.flows import forecast_rmse, prepare  # noqa: E402
+from tidecast.plans.registry import all_queries  # noqa: E402
 from tidecast.session import get_spark  # noqa: E402
 from tidecast.sources import fixtures as fx  # noqa: E402
 from tidecast.sources.bars import read_bars  # noqa: E402
@@ -126,6 +129,11 @@ QUERIES = {
 }
 
 
+#: Registered queries that fit models, and the flagship join as it is registered.
+REGISTERED = ["join_then_ffill", "random_forest", "gbt", "grid_search_cv", "lime_quartile", "shap_sampled", "windowed_forecast",
+              "score_new_bars"]
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -157,9 +165,17 @@ def main() -> None:
             run(fn(spark, sf_dir))
             runs.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(runs), 3)
+    registered = all_queries()
+    for name in REGISTERED:
+        if only and f"registered_{name}" not in only:
+            continue
+        t0 = time.perf_counter()
+        run(registered[name][0](spark, sf_dir))
+        times[f"registered_{name}"] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    out = {"metric": "sum_median_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-           "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf, "cpus": cpus}
+    # the value is the sum over the operator queries, as in earlier rounds; the registered ones are beside it
+    out = {"metric": "sum_median_sec", "value": round(sum(t for n, t in times.items() if n in QUERIES), 3), "unit": "sec",
+           "registered_sec": round(sum(t for n, t in times.items() if n not in QUERIES), 3), "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf, "cpus": cpus}
     print(json.dumps(out))
     spark.stop()
 
