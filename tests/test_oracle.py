@@ -69,3 +69,9 @@ def test_entry_smoke(spark):
     assert df.columns == ["symbol", "rmse"]
     assert df.count() == 5
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.parametrize("name", ["mllib_predict", "mllib_metrics", "mllib_saved_model", "lime_linear", "shap_sampled_linear"])
+def test_pooled_queries_cover_all_symbols(spark, name):
+    symbols = {r.symbol for r in REG["symbol_index"][0](spark, SF01).select("symbol").distinct().collect()}
+    assert {r.symbol for r in REG[f"{name}_pooled"][0](spark, SF01).select("symbol").distinct().collect()} == symbols and len(symbols) == 5

@@ -376,6 +376,77 @@ def q_shap_sampled_linear(spark, d):
     return phi.select("idx", "feature", F.round("phi", 3).alias("phi"))
 
 
+# The same over all symbols: one pooled fit, whose least squares SQL states too
+
+_POOLED = [
+    ("cp", "SELECT count(*) AS n, regr_intercept(close, open) AS a, regr_slope(close, open) AS b, avg(open) AS mu FROM s "
+           "WHERE is_train"),
+    ("pp", "SELECT s.*, cp.a + cp.b * s.open AS prediction, cp.b AS slope, cp.mu FROM s, cp WHERE NOT s.is_train"),
+]
+_POOLED_PRED_SQL = _sql_1f("SELECT symbol, idx, date, close, round(prediction, 4) AS prediction FROM pp", _POOLED)
+
+
+def _pooled(spark, d):
+    p = _materialized(prepared_1f(spark, d))
+    return p, models.fit(p.where("is_train"), "lr", FEATURES_1F, "close")
+
+
+def _row_key(row_id: str = "row_id"):
+    """The symbol and the index that ``_with_row_id`` has joined."""
+    idx = F.substring_index(row_id, ":", -1)
+    return F.col(row_id).substr(F.lit(1), F.length(row_id) - F.length(idx) - 1).alias("symbol"), idx.cast("long").alias("idx")
+
+
+@register("mllib_linear_regression_pooled", _sql_1f(
+    "SELECT n, round(a, 4) AS intercept, round(b, 8) AS coef_open FROM cp", _POOLED))
+def q_mllib_linear_regression_pooled(spark, d):
+    p, m = _pooled(spark, d)
+    c = models.linear_coefficients(m, FEATURES_1F)
+    return p.where("is_train").agg(F.count("*").alias("n")).select(
+        "n", F.round(F.lit(c["intercept"]), 4).alias("intercept"), F.round(F.lit(c["coef_open"]), 8).alias("coef_open"))
+
+
+@register("mllib_predict_pooled", _POOLED_PRED_SQL)
+def q_mllib_predict_pooled(spark, d):
+    p, m = _pooled(spark, d)
+    return _pred_cols(models.predict(m, p.where("NOT is_train")))
+
+
+@register("mllib_metrics_pooled", _sql_1f(
+    "SELECT symbol, round(sqrt(avg(power(close - prediction, 2))), 3) AS rmse, round(1 - sum(power(close - prediction, 2)) / "
+    "(var_pop(close) * count(close)), 6) AS r2 FROM pp GROUP BY symbol", _POOLED))
+def q_mllib_metrics_pooled(spark, d):
+    p, m = _pooled(spark, d)
+    r = models.evaluate(models.predict(m, p.where("NOT is_train")), ["rmse", "r2"], by="symbol")
+    return r.select("symbol", F.round("rmse", 3).alias("rmse"), F.round("r2", 6).alias("r2"))
+
+
+@register("mllib_saved_model_pooled", _POOLED_PRED_SQL)
+def q_mllib_saved_model_pooled(spark, d):
+    p, m = _pooled(spark, d)
+    path = save_model(m, os.path.join(shared_path(spark, "model"), "lr"))
+    return _pred_cols(models.predict(load_model(path), p.where("NOT is_train")))
+
+
+@register("lime_linear_pooled", _sql_1f(
+    "SELECT symbol, min(idx) AS idx, 'open' AS feature, round(any_value(slope), 6) AS weight FROM pp GROUP BY symbol", _POOLED))
+def q_lime_linear_pooled(spark, d):
+    """The first test row of each symbol: a linear model's local surrogate is its slope."""
+    p, m = _pooled(spark, d)
+    w = explain.lime(m, p.where("is_train"), _explained_rows(p.where("NOT is_train")), FEATURES_1F, row_id="row_id", top_k=10)
+    return w.select(*_row_key(), "feature", F.round("weight", 6).alias("weight"))
+
+
+@register("shap_sampled_linear_pooled", _sql_1f(
+    "SELECT symbol, idx, 'open' AS feature, round(slope * (open - mu), 3) AS phi FROM pp", _POOLED))
+def q_shap_sampled_linear_pooled(spark, d):
+    """Every test row against one background row, the mean of all train rows: exact for a linear model."""
+    p, m = _pooled(spark, d)
+    background = p.where("is_train").agg(F.avg("open").alias("open"))
+    phi = explain.shap_sampled(m, background, _with_row_id(p.where("NOT is_train")), FEATURES_1F, row_id="row_id", n_perm=4)
+    return phi.select(*_row_key(), "feature", F.round("phi", 3).alias("phi"))
+
+
 @register("tree_checks", _sql_1f(
     "SELECT m.model, CAST(12 AS BIGINT) AS features, 1.0::DOUBLE AS total, n.n AS scored, n.n AS distinct_keys FROM "
     "(SELECT unnest(['gbt', 'rf']) AS model) m, (SELECT count(*) AS n FROM p_all) n",
@@ -434,9 +505,13 @@ def q_pooled_model(spark, d):
 # 2.12 explanations
 # ---------------------------------------------------------------------------
 
+def _with_row_id(rows):
+    return rows.withColumn("row_id", F.concat_ws(":", "symbol", F.col("idx").cast("string")))
+
+
 def _explained_rows(test):
     """The first test row of each symbol (the row the reference explains), with a row id."""
-    return first_row(test, "symbol", "idx").withColumn("row_id", F.concat_ws(":", "symbol", F.col("idx").cast("string")))
+    return _with_row_id(first_row(test, "symbol", "idx"))
 
 
 @register("feature_importance")
@@ -488,8 +563,7 @@ def q_shap_sampled(spark, d):
     train, test = _train_test(spark, d)
     m = models.fit(train, "rf", MODEL_FEATURES, "close", numTrees=3)
     # every test row is explained, as the tree explainer runs over the whole test part
-    rows = test.withColumn("row_id", F.concat_ws(":", "symbol", F.col("idx").cast("string")))
-    return explain.shap_sampled(m, train, rows, MODEL_FEATURES, row_id="row_id")
+    return explain.shap_sampled(m, train, _with_row_id(test), MODEL_FEATURES, row_id="row_id")
 
 
 @register("shap_summary", _sql_1f(
