@@ -121,3 +121,24 @@ def test_nulls_and_empty(spark):
     got = {r.doc_id: r for r in ppm_scores(df).collect()}
     assert got[1].n_tokens == 1 and got[9].n_tokens == 2
     assert ppm_scores(df.limit(0)).count() == 0
+
+
+def test_words_of_held_out_texts_only(spark, monkeypatch):
+    """A word repeated in held-out texts alone is one row for each text, or broadcast; the results stay the same."""
+    import pyarrow as pa
+    monkeypatch.setattr(lm, "_trie", lambda key, sent: (build([b"a"], 1), {}))
+    batch = pa.RecordBatch.from_pydict({"id": [1], "text": ["zq " * 1000 + "b"], "same": [0]})
+    out = next(lm._score_batches([batch], 0, None, 1, 5, 1))
+    assert sorted(out["rare"].to_pylist()[0]) == [(b" ", 1), (b"b", 1), (b"zq", 1000)]
+    monkeypatch.undo()
+    held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1]
+    rows = [(i, f"the cat {i} sat " + ("zq qz " * 50 if i in held else "the")) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for most in (1, 20, 1 << 19):
+        monkeypatch.setattr(lm, "HOT", most)
+        near(ppm_scores(df, order=2).collect(), slow(rows, 2))
+    counted = spark.createDataFrame([(-1, b"the", 90), (-1, b"cat", 1), (-2, b"zq", 80), (-2, b"cat", 20)], "ord int, word binary, n long")
+    monkeypatch.setattr(lm, "HOT", 2)
+    assert lm.frequent_words(counted, 91, 100) == {b"the": pytest.approx(math.log10(90.5)), b"zq": lm.UNKNOWN}
+    monkeypatch.setattr(lm, "HOT", 10)
+    assert lm.frequent_words(counted, 91, 100)[b"cat"] == pytest.approx(math.log10(1.5))

@@ -37,7 +37,7 @@ LOW = 2
 SEGMENT = 2_000_000
 #: A worker's word counts are handed on when they reach so many entries.
 FLUSH = 300_000
-#: At most so many words are frequent enough to be broadcast: those that make up over 1 / HOT of all training tokens.
+#: Broadcast are the words that make up over 1 / HOT of the training tokens or of the held-out ones, fewer than 2 * HOT.
 HOT = 1 << 19
 #: So many symbols of a text at a time, which bounds the memory for very long texts.
 STEP = 1 << 18
@@ -119,14 +119,15 @@ class _Sums:
 
 
 def _count_batches(batches, order: int, folds: int, fold: int):
-    """Partial counts of a partition's training texts: words as (-1, word, n), trie leaves as (order, code, n)."""
+    """Partial counts of a partition's training texts: words as (-1, word, n), trie leaves as (order, code, n); and of
+    the held-out texts' words, as (-2, word, n)."""
     sums = [_Sums() for _ in range(order + 1)]
-    words, ends = Counter(), 0
+    words, held, ends = Counter(), Counter(), 0
     names = ["ord", "code", "word", "n"]
 
-    def word_rows():
+    def word_rows(words, kind):
         keys = list(words)
-        out = pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), -1, np.int32)), pa.nulls(len(keys), pa.int64()),
+        out = pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.nulls(len(keys), pa.int64()),
                                           pa.array(keys, pa.binary()), pa.array([words[k] for k in keys], pa.int64())], names)
         words.clear()
         return out
@@ -137,18 +138,23 @@ def _count_batches(batches, order: int, folds: int, fold: int):
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), k, np.int32)), pa.array(codes), pa.nulls(len(codes), pa.binary()), pa.array(n)], names)
 
     for batch in batches:
-        texts = [value.as_py() for i, value in zip(batch["id"].to_pylist(), batch["text"].cast(pa.binary())) if not is_held_out(i, folds, fold)]
-        for text in texts:
-            words.update(text.translate(_LOWER).split())
-            if len(words) > FLUSH:
-                yield word_rows()
+        texts = []
+        for i, value in zip(batch["id"].to_pylist(), batch["text"].cast(pa.binary())):
+            kind, counts = (-2, held) if is_held_out(i, folds, fold) else (-1, words)
+            text = value.as_py()
+            if kind == -1:
+                texts.append(text)
+            counts.update(text.translate(_LOWER).split())
+            if len(counts) > FLUSH:
+                yield word_rows(counts, kind)
         ends += len(texts)
         for k, codes in _leaves(texts, order):
             sums[k].add(codes)
             if sums[k].held > sums[k].most // 2:
                 yield leaf_rows(k)
-    if words:
-        yield word_rows()
+    for kind, counts in ((-1, words), (-2, held)):
+        if counts:
+            yield word_rows(counts, kind)
     if ends:  # the end token: a word that no text can hold
         yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.nulls(1, pa.int64()), pa.array([b" "], pa.binary()), pa.array([ends], pa.int64())], names)
     for k in range(order + 1):
@@ -310,6 +316,8 @@ def adaptive_score(text: bytes, order: int = 5) -> float:
 # -- scoring -----------------------------------------------------------------------------------------------------
 
 _TRIES: dict = {}
+#: Cost of a word that no training text has; those of the others are above 0.
+UNKNOWN = math.log10(0.5)
 
 
 def _trie(key, sent) -> tuple[Trie, dict]:
@@ -334,11 +342,11 @@ def _score_batches(batches, key, sent, segments: int, folds: int, fold: int):
             rare = [w for w, c in zip(words, costs) if c is None]
             if rare:
                 costs = [c for c in costs if c is not None]
-            rows.append((is_held_out(i, folds, fold), len(words), len(costs), math.fsum(costs), rare))
+            rows.append((is_held_out(i, folds, fold), len(words), len(costs) - costs.count(UNKNOWN), math.fsum(costs), list(Counter(rare).items())))
         held, n, known, base, rare = zip(*rows) if rows else [()] * 5
         yield pa.RecordBatch.from_arrays([batch["id"], batch["same"], pa.array(held, pa.bool_()), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
                                           pa.array(base, pa.float64()), pa.array(trie.score(texts, 0, segments), pa.float64()),
-                                          pa.array(rare, pa.list_(pa.binary()))],
+                                          pa.array(rare, pa.map_(pa.binary(), pa.int64()))],
                                          ["id", "same", "held_out", "n_tokens", "n_hot", "hot_sum", "score", "rare"])
 
 
@@ -355,6 +363,14 @@ def _arrays(leaves: DataFrame) -> list[np.ndarray]:
     return [found["ord"].to_numpy().astype(np.int8), found["code"].to_numpy(), n.astype(np.int32) if n.max(initial=0) < 1 << 31 else n]
 
 
+def frequent_words(counted: DataFrame, n_train: int, n_held: int) -> dict[bytes, float]:
+    """The words to broadcast, with their costs."""
+    train = counted.filter("ord = -1").select("word", F.col("n").alias("c"))
+    held = counted.filter("ord = -2").filter(F.col("n") * HOT > n_held).select("word").join(train, "word", "left")
+    found = train.filter(F.col("c") * HOT > n_train).union(held.select("word", F.coalesce("c", F.lit(0)))).toArrow()
+    return {w: math.log10(c + 0.5) if c else UNKNOWN for w, c in zip(found["word"].to_pylist(), found["c"].to_pylist())}
+
+
 def ppm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 5, folds: int = 5,
                fold: int = 1, segment_leaves: int = SEGMENT) -> DataFrame:
     """PPM and unigram scores of every whole text, learnt from the texts outside the held-out fold.
@@ -364,8 +380,9 @@ def ppm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     its end).
 
     The counts of words and trie leaves are summed per partition, then over all. Broadcast, one after another, are the
-    segments of the trie, and the words that make up over 1 / 2**19 of the training tokens (fewer than 2**19); all
-    other words are joined to their counts by a shuffle, none of which can be frequent.
+    segments of the trie, and the words that make up over 1 / 2**19 of the training tokens or of the held-out ones
+    (fewer than 2**20); all other words are joined to their counts by a shuffle, one row for each text and word, none of
+    which can be frequent in either part.
 
     A null text counts as empty (one end token); a null id counts as the empty text for the fold; repeated rows are
     learnt from and scored as often as they stand there; other columns are not read. Without training texts every
@@ -381,8 +398,8 @@ def ppm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      .groupBy("ord", "code", "word").agg(F.sum("n").alias("n")), "lm-counts")
     words = counted.filter("ord = -1").select("word", F.col("n").alias("c"))
     n_train, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    hot = words.filter(F.col("c") * HOT > n_train).toArrow()
-    hot = {w: math.log10(c + 0.5) for w, c in zip(hot["word"].to_pylist(), hot["c"].to_pylist())}
+    n_held = counted.filter("ord = -2").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = frequent_words(counted, n_train, n_held)
     leaves = counted.filter("ord >= 0").select("ord", "code", "n")
     short = F.least("ord", F.lit(LOW))
     low = _arrays(leaves.groupBy(short.alias("ord"), F.expr(f"code % CASE ord WHEN 0 THEN {SYMBOLS} WHEN 1 THEN {SYMBOLS**2} ELSE {SYMBOLS**3} END").alias("code"))
@@ -398,7 +415,7 @@ def ppm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     sent, key = send(0, hot)
     scored = stored(rows.mapInArrow(lambda it: _score_batches(it, key, sent, segments, folds, fold),
-                                    f"id {kind}, same long, held_out boolean, n_tokens long, n_hot long, hot_sum double, score double, rare array<binary>")
+                                    f"id {kind}, same long, held_out boolean, n_tokens long, n_hot long, hot_sum double, score double, rare map<binary, long>")
                     .withColumn("row", F.monotonically_increasing_id()), "lm-scores")
     for segment in range(1, segments):  # one broadcast at a time; equal texts have equal sums
         sent, key = send(segment, {})
@@ -408,8 +425,9 @@ def ppm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if segments > 1:
         more = spark.read.parquet(path).groupBy("same").agg(F.sum("more").alias("more"))
         scored = stored(scored.join(more, "same", "left").withColumn("score", F.col("score") + F.coalesce("more", F.lit(0.0))).drop("more"), "lm-scores")
-    rare = (scored.select("row", F.explode("rare").alias("word")).join(words.filter(F.col("c") * HOT <= n_train), "word", "left")
-            .groupBy("row").agg(F.count("c").alias("n_rare"), F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare_sum")))
+    rare = (scored.select("row", F.explode("rare").alias("word", "k")).join(words.filter(F.col("c") * HOT <= n_train), "word", "left")
+            .groupBy("row").agg(F.sum(F.when(F.col("c").isNotNull(), F.col("k"))).alias("n_rare"),
+                                F.sum(F.col("k") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare_sum")))
     whole = math.log10(n_train + 0.5 * (distinct + 1))
     return (scored.drop("rare").join(rare, "row", "left")
             .select(F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("n_hot") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
