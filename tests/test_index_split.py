@@ -53,3 +53,11 @@ def test_latest_and_first(spark):
 def test_partition_count(spark):
     df = spark.range(100).repartition(4)
     assert index.partition_count(df).collect()[0].partitions == 4
+
+
+def test_partition_rows(spark):
+    df = spark.range(100).repartition(4)
+    assert tuple(index.partition_rows(df).first()) == (4, 0, 100)
+    assert tuple(index.partition_rows(spark.range(2).coalesce(1).union(spark.range(0))).first())[2] == 2
+    one = spark.createDataFrame([(1,)] * 5, "k int").repartition(6, "k")
+    assert tuple(index.partition_rows(one).first()) == (6, 5, 5)

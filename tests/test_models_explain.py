@@ -247,3 +247,10 @@ def test_r2_constant_target(spark):
                                "symbol string, close double, prediction double")
     got = {r.symbol: r.r2 for r in models.evaluate(df, "r2", by="symbol").collect()}
     assert got == {"a": 0.0, "b": 1.0}
+
+
+def test_search_counts_its_fits(spark, data):
+    train, _ = data
+    fits = []
+    models.tune(train, "rf", ["open"], "close", grid={"maxDepth": [1, 2]}, folds=4, by="symbol", on_fit=fits.append)
+    assert sorted(fits) == ["maxDepth=1"] * 3 + ["maxDepth=2"] * 3

@@ -59,6 +59,13 @@ def partition_sizes(df: DataFrame) -> DataFrame:
     return df.select(F.spark_partition_id().alias("partition")).groupBy("partition").agg(F.count("*").alias("n"))
 
 
+def partition_rows(df: DataFrame) -> DataFrame:
+    """Partitions of ``df``, those of them that are empty, and all rows: one row, counted in the partitions."""
+    found = partition_sizes(df).agg(F.count("*").alias("filled"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+    whole = F.lit(df.rdd.getNumPartitions()).cast("long")
+    return found.select(whole.alias("partitions"), (whole - F.col("filled")).alias("empty"), "n_rows")
+
+
 def symbol_index(df: DataFrame, col: str = "symbol", name: str = "symbol_idx") -> DataFrame:
     """Add the 0-based rank of the string column's value among its distinct values, NULL first, so that one model
     over all keys can tell them apart. Ranked is the table of distinct values, in chunks by their first character."""

@@ -234,7 +234,8 @@ def date_folds(df: DataFrame, folds: int, time_col: str = "date", name: str = "f
 
 def tune(df: DataFrame, kind: str, features: Sequence[str], label: str = "close",
          grid: Mapping[str, Sequence] | None = None, folds: int = 3, fold: str = "expanding",
-         idx: str = "idx", by=(), parallelism: int = 2, seed: int = 42, time_col: str = "date"):
+         idx: str = "idx", by=(), parallelism: int = 2, seed: int = 42, time_col: str = "date",
+         on_fit: Callable[[str], None] | None = None):
     """Grid search with k-fold cross-validation, best by RMSE, refit on all rows.
 
     ``fold='expanding'`` for block f = 1..k-1, train on blocks before f and validate on f; blocks
@@ -242,7 +243,8 @@ def tune(df: DataFrame, kind: str, features: Sequence[str], label: str = "close"
     ``fold='time'``      the same blocks as folds, each against all others (sees the future)
     ``fold='random'``    random folds, for parity with the reference
     The input is written once to the shared checkpoint folder; all fits read that, ``parallelism``
-    at a time. Returns (best model, DataFrame of (params, rmse)).
+    at a time. Returns (best model, DataFrame of (params, rmse)). ``on_fit(params)`` is called after each fit of
+    expanding folds, on the thread that made it; the refit is not one of them.
     """
     from multiprocessing.pool import ThreadPool
 
@@ -275,6 +277,8 @@ def tune(df: DataFrame, kind: str, features: Sequence[str], label: str = "close"
         def one(job):
             m, f = job
             fitted = pipe.copy(m).fit(data.where(F.col("_fold") < f))
+            if on_fit:
+                on_fit(label_of(m))
             return ev.evaluate(fitted.transform(data.where(F.col("_fold") == f)))
 
         # grid x (folds - 1) distributed fits, driven from here like CrossValidator's

@@ -457,6 +457,12 @@ def q_partition_count(spark, d):
     return index.partition_count(fx.bars_wide(spark, d).repartition(7))
 
 
+@register("partition_rows", with_views(
+    "SELECT CAST(7 AS BIGINT) AS partitions, CAST(0 AS BIGINT) AS empty, count(*) AS n_rows FROM bars_wide", "bars_wide"))
+def q_partition_rows(spark, d):
+    return index.partition_rows(fx.bars_wide(spark, d).repartition(7))
+
+
 @register("count_by_split", _from_split("SELECT symbol, is_train, count(*) AS n FROM s GROUP BY 1, 2"))
 def q_count_by_split(spark, d):
     return profile.count_by_split(_split_multi(spark, d), by="symbol")
