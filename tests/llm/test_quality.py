@@ -69,3 +69,11 @@ def test_nulls_repeats_clashing_columns(spark):
 @pytest.mark.parametrize("word", ["PythonUDF", "ArrowEval", "BatchEval", "Exchange", "MapIn"])
 def test_one_projection(spark, word):
     assert word not in op7_quality_rules(spark, SF01)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_other_languages_need_no_stop_words(spark):
+    prose = " ".join(f"sana{i}" for i in range(200))
+    langs = ["fi", "en", "FR", "de-AT", None, "sv-SE"]
+    df = spark.createDataFrame([(i, prose, x) for i, x in enumerate(langs)] + [(9, "short", "fi")], "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in keep_clean(df).collect()) == [0, 4, 5]
+    assert keep_clean(df.drop("lang")).count() == 0

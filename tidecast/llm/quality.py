@@ -49,6 +49,9 @@ STOP_WORDS = (
     "der die und den von zu das mit sich auf für im ist dem nicht ein eine als "
     "el y los las se del por con no su para es al lo").split()
 
+#: The languages of STOP_WORDS, and the rule that holds for texts of these only.
+LANGS, LANG_RULE = ("en", "fr", "de", "es"), "some stop words"
+
 SYMBOLS = "#*$%&|<>"
 
 
@@ -132,9 +135,15 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rul
     return judged.select(F.col("id").alias(id_col), *[F.col("m")[n].alias(n) for n in names], "broken", (F.size("broken") == 0).alias("kept"))
 
 
-def keep_clean(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
-    """The rows of ``docs`` whose text breaks no rule, with all their columns."""
-    return docs.filter(let(measures(docs[text_col]), lambda m: F.size(verdict(m, rules)) == 0))
+def keep_clean(docs: DataFrame, text_col: str = "text", rules=RULES, lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose text breaks no rule, with all their columns. The rule on stop words asks only texts
+    in one of LANGS (``en-GB`` counts as ``en``); without a column ``lang_col`` it asks all."""
+    if lang_col not in docs.columns:
+        return docs.filter(let(measures(docs[text_col]), lambda m: F.size(verdict(m, rules)) == 0))
+    lang = F.lower(F.substring_index(docs[lang_col].cast("string"), "-", 1))
+    covered = F.coalesce(lang.isin(*LANGS), F.lit(False))
+    waived = F.when(covered, F.array().cast("array<string>")).otherwise(F.array(F.lit(LANG_RULE)))
+    return docs.filter(let(measures(docs[text_col]), lambda m: F.size(F.array_except(verdict(m, rules), waived)) == 0))
 
 
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
