@@ -1,9 +1,10 @@
 """A file format for token ids: adaptive context mixing and a range coder, in independent checksummed blocks.
 
-Each id is predicted by three models of orders 0 to 2. Orders 2 and 1 keep, for the hash of the last two ids or the
-last one, the id that followed and how often it was right; order 0 keeps adaptive counts of the ids' magnitudes. Their
-predictions are mixed with weights that follow whichever order has been right, and the mixed distribution drives a
-carry-less range coder. All models start anew in each block, so that blocks can be read on their own, and a file's
+Models of orders 2 and 1 predict one id each: they keep, for the hash of the last two ids or the last one, the id that
+followed and how often it was right. Order 2 has a share by its own hit rate, order 1 by its own a share of what is left,
+without learned weights between them; the rest is order 0's, which predicts no id but keeps adaptive counts of the ids'
+magnitudes (bit lengths) and codes the id as one of equally likely ones within. The distribution drives a carry-less
+range coder. All models start anew in each block, so that blocks can be read on their own, and a file's
 blocks are coded side by side, one array lane each. The arithmetic is in whole numbers only: every machine decodes
 what any other has written.
 """
