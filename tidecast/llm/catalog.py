@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidecast.llm import bpe, chat, license, lm, mixing, quality, shard, simhash, tokenfiles, topk
+from tidecast.llm import bpe, chat, license, lm, merkle, mixing, quality, shard, simhash, tokenfiles, topk
 
 QUERIES = {
     "op1_exact_topk": (topk.op1_exact_topk, topk.ORACLE),
@@ -15,4 +15,5 @@ QUERIES = {
     "op8_entropy_mix": (mixing.op8_entropy_mix, None),
     "op9_token_files": (tokenfiles.op9_token_files, None),
     "op10_chat_format": (chat.op10_chat_format, chat.ORACLE),
+    "op12_merkle_manifest": (merkle.op12_merkle_manifest, None),
 }
