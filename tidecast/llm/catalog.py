@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidecast.llm import bpe, chat, license, lm, merkle, mixing, quality, shard, simhash, tokenfiles, topk
+from tidecast.llm import bpe, chat, license, lm, merkle, mixing, quality, shard, simhash, tokenfiles, topk, warc
 
 QUERIES = {
     "op1_exact_topk": (topk.op1_exact_topk, topk.ORACLE),
@@ -16,4 +16,5 @@ QUERIES = {
     "op9_token_files": (tokenfiles.op9_token_files, None),
     "op10_chat_format": (chat.op10_chat_format, chat.ORACLE),
     "op12_merkle_manifest": (merkle.op12_merkle_manifest, None),
+    "op13_warc_revisits": (warc.op13_warc_revisits, None),
 }
