@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidecast.llm import bpe, chat, license, lm, merkle, mixing, quality, shard, simhash, tokenfiles, topk, warc
+from tidecast.llm import align, bpe, chat, license, lm, merkle, mixing, quality, shard, simhash, tokenfiles, topk, warc
 
 QUERIES = {
     "op1_exact_topk": (topk.op1_exact_topk, topk.ORACLE),
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_entropy_mix": (mixing.op8_entropy_mix, None),
     "op9_token_files": (tokenfiles.op9_token_files, None),
     "op10_chat_format": (chat.op10_chat_format, chat.ORACLE),
+    "op11_token_alignment": (align.op11_token_alignment, None),
     "op12_merkle_manifest": (merkle.op12_merkle_manifest, None),
     "op13_warc_revisits": (warc.op13_warc_revisits, None),
 }
