@@ -90,8 +90,8 @@ def test_a_prefix_of_the_forest_cut_at_a_depth_predicts_as_its_nodes_say(data):
 def test_search_fits_once_a_fold_and_agrees_with_separate_forests(data):
     timed = data.withColumn("date", F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")))
     grid, fits = {"numTrees": [5, 20], "maxDepth": [2, 5]}, []
-    best, table = trees.tune_forest(timed, FEATURES, grid=grid, folds=3, on_fit=fits.append)
-    assert len(fits) == 2
+    best, table = trees.tune_forest(timed, FEATURES, grid=grid, folds=3, grow=8, on_fit=fits.append)
+    assert sorted(fits) == [f"fold={f},trees={a}" for f in (1, 2) for a in ("0-7", "16-19", "8-15")]
     one = {r.params: r.rmse for r in table.collect()}
     _m, other = models.tune(timed, "rf", FEATURES, grid=grid, folds=3, parallelism=4)
     two = {r.params: r.rmse for r in other.collect()}

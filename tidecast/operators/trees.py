@@ -53,7 +53,8 @@ def node_table(model) -> DataFrame:
 
 def _spark():
     from pyspark.sql import SparkSession
-    return SparkSession.getActiveSession()
+    # a thread of its own has no active session
+    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
 
 
 def _flat(model) -> list[pd.DataFrame]:
@@ -200,115 +201,130 @@ def _cut_values(tree: pd.DataFrame, x: np.ndarray, depths: Sequence[int]) -> np.
     return out
 
 
-def score_settings(model, rows: DataFrame, features: Sequence[str], label: str, num_trees: Sequence[int],
-                   max_depth: Sequence[int], piece_bytes: int = PIECE_BYTES) -> DataFrame:
-    """Squared errors of every (numTrees, maxDepth) over ``rows`` from one forest that has them all.
-
-    A forest of fewer trees is a prefix of the forest, a shallower tree the tree cut at that depth, whose inner nodes hold
-    their mean label. Output (numTrees, maxDepth, n, sse), one row per setting. Trees are sent in pieces; with several,
-    the trees' predictions are summed by row before errors are taken."""
-    feats, depths, counts = list(features), list(max_depth), sorted(num_trees)
-    trees = _flat(model)
-    if counts[-1] > len(trees):
-        raise ValueError(f"the forest has {len(trees)} trees")
-    keep = ["feature", "threshold", "left", "right", "value"]
-    # a piece is a run of trees that lie between the same two prefixes
+def _setting_sums(trees: Iterable[tuple[int, pd.DataFrame]], keyed: DataFrame, feats: list[str], counts: Sequence[int],
+                  depths: Sequence[int], piece_bytes: int) -> DataFrame:
+    """(_row, _y, _s: for every prefix and depth the sum of the predictions of those ``trees`` that are in the prefix), one
+    row for each row of ``keyed`` and piece of trees. ``trees`` come with their place in the forest."""
     pieces, room = [], 0
-    for i, t in enumerate(trees[:counts[-1]]):
+    for i, t in trees:
         size = len(t) * 40
         if not pieces or size > room:
             pieces.append([])
             room = piece_bytes
-        pieces[-1].append((i, t[keep]))
+        pieces[-1].append((i, t[["feature", "threshold", "left", "right", "value"]]))
         room -= size
-    spark = rows.sparkSession
-    points = rows.select(F.col(label).cast("double").alias("_y"), *[F.col(f).cast("double").alias(f) for f in feats])
-    names = [f"_s{c}" for c in range(len(counts) * len(depths))]
+    out = None
+    for piece in pieces:
+        sent = keyed.sparkSession.sparkContext.broadcast(piece)
 
-    def sums(x, piece):
-        """(prefixes, depths, rows) sums of the piece's trees."""
-        out = np.zeros((len(counts), len(depths), len(x)))
-        for i, t in piece:
-            out[[c > i for c in counts]] += _cut_values(t, x, depths)
-        return out
+        def run(batches, sent=sent):
+            for pdf in batches:
+                x = pdf[feats].to_numpy(dtype=float)
+                sums = np.zeros((len(counts), len(depths), len(x)))
+                for i, t in sent.value:
+                    sums[[c > i for c in counts]] += _cut_values(t, x, depths)
+                yield pd.DataFrame({"_row": pdf["_row"], "_y": pdf["_y"], "_s": list(sums.reshape(-1, len(x)).T)})
+        part = keyed.mapInPandas(run, "_row long, _y double, _s array<double>")
+        out = part if out is None else out.unionByName(part)
+    return out
 
-    def errors(s, y):
-        return {"n": len(y), **{names[c * len(depths) + d]: float(((s[c, d] / counts[c] - y) ** 2).sum())
-                                for c in range(len(counts)) for d in range(len(depths))}}
 
-    if len(pieces) == 1:
-        sent = spark.sparkContext.broadcast(pieces[0])
+def _keyed(rows: DataFrame, feats: list[str], label: str) -> DataFrame:
+    """The rows with a number each, stored: all pieces see the same."""
+    from tidecast.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(rows.sparkSession)
+    points = rows.select(F.monotonically_increasing_id().alias("_row"), F.col(label).cast("double").alias("_y"),
+                         *[F.col(f).cast("double").alias(f) for f in feats])
+    return points.checkpoint()
 
-        def run(batches):
-            for pdf in batches:
-                if len(pdf):
-                    yield pd.DataFrame([errors(sums(pdf[feats].to_numpy(dtype=float), sent.value), pdf["_y"].to_numpy())])
-        per_batch = points.mapInPandas(run, "n long, " + ", ".join(f"{c} double" for c in names))
-    else:
-        keyed = points.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
-        parts = None
-        for piece in pieces:
-            sent = spark.sparkContext.broadcast(piece)
-
-            def run(batches, sent=sent):
-                for pdf in batches:
-                    s = sums(pdf[feats].to_numpy(dtype=float), sent.value).reshape(len(names), -1)
-                    yield pd.DataFrame({"_row": pdf["_row"], "_y": pdf["_y"], **dict(zip(names, s))})
-            part = keyed.mapInPandas(run, "_row long, _y double, " + ", ".join(f"{c} double" for c in names))
-            parts = part if parts is None else parts.unionByName(part)
-        total = parts.groupBy("_row", "_y").agg(*[F.sum(c).alias(c) for c in names])
-        per_batch = total.select(F.lit(1).alias("n"), *[
-            F.pow(F.col(names[c * len(depths) + d]) / counts[c] - F.col("_y"), 2).alias(names[c * len(depths) + d])
-            for c in range(len(counts)) for d in range(len(depths))])
-    summed = per_batch.agg(F.sum("n").cast("long").alias("n"), *[F.sum(c).alias(c) for c in names])
-    rows_out = [F.struct(F.lit(counts[c]).alias("numTrees"), F.lit(depths[d]).alias("maxDepth"), F.col("n"), F.col(names[c * len(depths) + d]).alias("sse"))
-                for c in range(len(counts)) for d in range(len(depths))]
-    return summed.select(F.inline(F.array(*rows_out)))
+
+def _setting_errors(sums: DataFrame, counts: Sequence[int], depths: Sequence[int]) -> DataFrame:
+    """(numTrees, maxDepth, n, sse), one row per setting, from the sums of all pieces."""
+    cells = [(c, d) for c in counts for d in depths]
+    by_row = sums.groupBy("_row", "_y").agg(*[F.sum(F.col("_s")[i]).alias(f"_s{i}") for i in range(len(cells))])
+    total = by_row.agg(F.count("*").alias("n"), *[F.sum(F.pow(F.col(f"_s{i}") / c - F.col("_y"), 2)).alias(f"_s{i}") for i, (c, _d) in enumerate(cells)])
+    return total.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("numTrees"), F.lit(d).alias("maxDepth"), F.col("n"), F.col(f"_s{i}").alias("sse")) for i, (c, d) in enumerate(cells)])))
+
+
+def score_settings(model, rows: DataFrame, features: Sequence[str], label: str, num_trees: Sequence[int],
+                   max_depth: Sequence[int], piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """Squared errors of every (numTrees, maxDepth) over ``rows`` from one forest that has them all.
+
+    A forest of fewer trees is a prefix of the forest, a shallower tree the tree cut at that depth, whose inner nodes hold
+    their mean label. Output (numTrees, maxDepth, n, sse), one row per setting. Trees are sent in pieces, whose
+    predictions are summed by row."""
+    feats, counts = list(features), sorted(num_trees)
+    trees = _flat(model)
+    if counts[-1] > len(trees):
+        raise ValueError(f"the forest has {len(trees)} trees")
+    sums = _setting_sums(enumerate(trees[:counts[-1]]), _keyed(rows, feats, label), feats, counts, max_depth, piece_bytes)
+    return _setting_errors(sums, counts, max_depth)
 
 
 def tune_forest(df: DataFrame, features: Sequence[str], label: str = "close", grid: Mapping[str, Sequence] | None = None, folds: int = 3,
-                fold: str = "expanding", idx: str = "idx", time_col: str = "date", seed: int = 42, on_fit: Callable[[str], None] | None = None, **params):
+                fold: str = "expanding", idx: str = "idx", time_col: str = "date", seed: int = 42, grow: int = 25, parallelism: int = 4,
+                refit: bool = True, on_fit: Callable[[str], None] | None = None, **params):
     """The forest grid search of ``models.tune`` with one forest per fold instead of one per setting and fold.
 
     The forest has the grid's most trees and greatest depth; every setting is scored from a prefix of its trees, cut at
-    the setting's depth (``score_settings``). Cut trees are the trees that a lower ``maxDepth`` grows but for
-    the draws of features, so a setting's error agrees with a separately grown forest's within the spread between seeds.
-    ``fold`` is ``expanding``, ``time`` or ``random``, as in ``tune``. The best setting is refitted on all rows.
-    Returns (best model, DataFrame of (params, rmse)); rmse is the mean over folds.
+    the setting's depth. Cut trees are the trees that a lower ``maxDepth`` grows but for the draws of features, so a
+    setting's error agrees with a separately grown forest's within the spread between seeds. A forest is grown in parts of
+    ``grow`` trees with seeds of their own, ``parallelism`` parts at a time; a part's trees are let go when its predictions are stored.
+    ``fold`` is ``expanding``, ``time`` or ``random``, as in ``tune``. ``refit`` fits the best setting on all rows.
+    Returns (best model or None, DataFrame of (params, rmse)); rmse is the mean over folds. ``on_fit`` is called after each part.
     """
+    from multiprocessing.pool import ThreadPool
+
     from tidecast.operators.models import REFERENCE_RF_GRID, date_folds, fit
     from tidecast.session import ensure_checkpoint_dir
     grid = dict(grid or REFERENCE_RF_GRID)
-    trees, depths = list(grid.pop("numTrees")), list(grid.pop("maxDepth"))
+    counts, depths = sorted(grid.pop("numTrees")), list(grid.pop("maxDepth"))
     if grid:
         raise ValueError(f"only numTrees and maxDepth can be scored from one forest, not {sorted(grid)}")
     if fold not in ("expanding", "time", "random"):
         raise ValueError(f"unknown fold {fold!r}")
     if folds < 2:
         raise ValueError("at least 2 folds")
-    spark = df.sparkSession
+    spark, feats = df.sparkSession, list(features)
     ensure_checkpoint_dir(spark)
     if fold == "random":
         data = df.withColumn("_fold", F.pmod(F.xxhash64(*df.columns, F.lit(seed)), F.lit(folds)).cast("int"))
     else:
         data = date_folds(df, folds, time_col if time_col in df.columns else idx, name="_fold")
     data = data.checkpoint(eager=True)
-    found = None
+    splits = []
     for f in range(1 if fold == "expanding" else 0, folds):
         train = data.where(F.col("_fold") < f) if fold == "expanding" else data.where(F.col("_fold") != f)
         held = data.where(F.col("_fold") == f)
-        if held.isEmpty() or train.isEmpty():
-            continue
-        m = fit(train, "rf", features, label, numTrees=max(trees), maxDepth=max(depths), seed=seed, **params)
-        if on_fit:
-            on_fit(f"fold={f}")
-        # one row per setting: small, and the forest's tables are let go
-        scores = score_settings(m, held, features, label, trees, depths).collect()
-        found = (found or []) + [(r["numTrees"], r["maxDepth"], (r["sse"] / r["n"]) ** 0.5) for r in scores]
-    if not found:
+        if not held.isEmpty() and not train.isEmpty():
+            splits.append((f, train, _keyed(held, feats, label)))
+    if not splits:
         raise ValueError("no fold has rows to train and rows to score")
+
+    def part(job):
+        f, train, held, first = job
+        n = min(grow, counts[-1] - first)
+        m = fit(train, "rf", feats, label, numTrees=n, maxDepth=max(depths), seed=seed + first, **params)
+        sums = _setting_sums(enumerate(_flat(m), first), held, feats, counts, depths, PIECE_BYTES)
+        sums = sums.withColumn("_fold", F.lit(f)).checkpoint()
+        if on_fit:
+            on_fit(f"fold={f},trees={first}-{first + n - 1}")
+        return f, sums
+
+    jobs = [(f, train, held, first) for f, train, held in splits for first in range(0, counts[-1], grow)]
+    with ThreadPool(parallelism) as pool:
+        parts = pool.map(part, jobs, chunksize=1)
+    found = []
+    for f, _train, _held in splits:
+        sums = None
+        for g, s in parts:
+            if g == f:
+                sums = s if sums is None else sums.unionByName(s)
+        # one row per setting
+        found += [(r["numTrees"], r["maxDepth"], (r["sse"] / r["n"]) ** 0.5) for r in _setting_errors(sums, counts, depths).collect()]
     table = pd.DataFrame(found, columns=["numTrees", "maxDepth", "rmse"]).groupby(["numTrees", "maxDepth"], as_index=False)["rmse"].mean()
     best = table.loc[table["rmse"].idxmin()]
-    model = fit(data.drop("_fold"), "rf", features, label, numTrees=int(best["numTrees"]), maxDepth=int(best["maxDepth"]), seed=seed, **params)
+    model = fit(data.drop("_fold"), "rf", feats, label, numTrees=int(best["numTrees"]), maxDepth=int(best["maxDepth"]), seed=seed, **params) if refit else None
     out = [(f"maxDepth={int(r.maxDepth)},numTrees={int(r.numTrees)}", float(r.rmse)) for r in table.itertuples()]
     return model, spark.createDataFrame(out, "params string, rmse double")

@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidecast.functions import calendar as cal
-from tidecast.operators import explain, forecast, models, sequences
+from tidecast.operators import explain, forecast, models, sequences, trees
 from tidecast.operators._chunks import join_on_keys
 from tidecast.operators.fill import forward_fill, lag_features
 from tidecast.operators.index import row_index, symbol_index
@@ -255,9 +255,10 @@ def q_model_choice(spark, d):
 
 @register("grid_search_cv")
 def q_grid_search_cv(spark, d):
+    """The reference's nine settings on expanding blocks, each fold scored from one forest of 150 trees of depth 15: 12
+    fits of 25 trees instead of 18 of up to 150."""
     train, _test = _train_test(spark, d)
-    _best, table = models.tune(train, "rf", MODEL_FEATURES, "close",
-                               grid={"numTrees": [5, 10], "maxDepth": [3, 5]}, folds=3, parallelism=4)
+    _best, table = trees.tune_forest(train, MODEL_FEATURES, "close", grid=models.REFERENCE_RF_GRID, folds=3, refit=False, maxMemoryInMB=64)
     return table
 
 

@@ -4,5 +4,5 @@ from __future__ import annotations
 
 
 def all_queries():
-    from tidecast.plans import catalog, catalog_models, catalog_nulls  # noqa: F401  (registers its queries on import)
+    from tidecast.plans import catalog, catalog_models, catalog_nulls, catalog_trees  # noqa: F401  (registers its queries on import)
     return dict(catalog.QUERIES)
