@@ -85,3 +85,38 @@ def test_sequences_cross_the_shuffle_once_and_a_halo(spark):
     assert out.count() == (n - 420) // 25 + ((n - 420) % 25 > 0)
     biggest = out.agg(F.max(F.size("inputs")), F.max(F.size("labels"))).first()
     assert tuple(biggest) == (400, 20)
+
+
+def _final(df) -> str:
+    df.collect()
+    return plan_text(df).split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("chunk", ["year", "even"])
+@pytest.mark.parametrize("op", ["row_index", "forward_fill", "ffill_bfill", "lag_fill", "lag_diff", "ordered_split"])
+def test_chunked_operators_scan_once_and_deal_rows_once(spark, tmp_path, op, chunk):
+    """The rows cross one exchange, which the summary of buckets reuses; no aggregate sorts."""
+    from pyspark.sql import functions as F
+    from tidecast.operators import fill, index, split
+    spark.range(3000).select(F.lit("a").alias("symbol"), F.date_add(F.lit("2001-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
+                             F.when(F.col("id") % 7 > 3, F.col("id") * 1.0).alias("v"), F.lit("other").alias("note")).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    out = {"row_index": lambda: index.row_index(df, "date", "symbol", count="n", chunk=chunk),
+           "forward_fill": lambda: fill.forward_fill(df, ["v"], "date", "symbol", chunk=chunk),
+           "ffill_bfill": lambda: fill.ffill_bfill(df, ["v"], "date", "symbol", chunk=chunk),
+           "lag_fill": lambda: fill.lag_fill(df, ["v"], "date", "symbol", chunk=chunk),
+           "lag_diff": lambda: fill.lag_diff(df, "v", "date", "symbol", chunk=chunk),
+           "ordered_split": lambda: split.ordered_split(df, 0.8, "date", "symbol", chunk=chunk)}[op]()
+    txt = _final(out)
+    assert txt.count("FileScan") == 1 and txt.count("REPARTITION_BY_COL") - txt.count("ReusedExchange") == 1
+    assert "SortAggregate" not in txt and txt.count("ReusedExchange") == 1
+
+
+def test_even_buckets_spread_one_key_and_uneven_times(spark):
+    """One key with all rows, most of them within one day: no bucket has more than its share and the ties at its end."""
+    from pyspark.sql import functions as F
+    from tidecast.operators._chunks import even_chunk
+    df = spark.range(100_000).select(F.when(F.col("id") < 90_000, F.lit(1_000_000_000) + F.col("id")).otherwise(F.col("id") * 1_000_000).alias("t"))
+    for x in (df, df.select(F.timestamp_micros("t").alias("t")), df.select((F.col("t") / 3).alias("t"))):
+        sizes = [r["count"] for r in x.groupBy(even_chunk(x, "t", 64).alias("b")).count().collect()]
+        assert 55 <= len(sizes) <= 64 and max(sizes) < 2 * 100_000 / 64

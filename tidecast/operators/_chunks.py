@@ -41,7 +41,8 @@ def chunk_expr(chunk, order_col: str) -> Column:
 
 
 def auto_chunk(df, by, order, chunk, buckets: int = 200):
-    """The chunk to use: ``chunk`` if given; with no key, a default bucket of the order column.
+    """The chunk to use: ``chunk`` if given; with no key, a default bucket of the order column. ``"even"`` cuts buckets
+    that hold equally many rows from the data (``even_chunk``).
 
     A window with neither key nor chunk moves the whole table into one task,
     so an unkeyed call is always chunked: month buckets for dates, day buckets
@@ -50,6 +51,8 @@ def auto_chunk(df, by, order, chunk, buckets: int = 200):
     while the plan is built). Results are unchanged. Other order types have no bucket that
     is both monotone and even: they raise, asking for a key or a chunk.
     """
+    if isinstance(chunk, str) and chunk == "even":
+        return even_chunk(df, as_list(order)[0])
     if chunk is not None or as_list(by):
         return chunk
     first = as_list(order)[0]
@@ -69,6 +72,43 @@ def auto_chunk(df, by, order, chunk, buckets: int = 200):
     raise ValueError(f"ordering a table without a key by {first!r} needs by= or chunk=: one task would get all rows")
 
 
+def ntz_micros(t: Column) -> Column:
+    """Wall-clock microseconds since the epoch from the wall-clock fields, which do not depend on the session zone (a
+    cast to timestamp would, and collides in DST gaps)."""
+    secs = F.date_part(F.lit("SECOND"), t)
+    return (F.unix_date(F.to_date(t)).cast("long") * 86_400_000_000 + F.hour(t).cast("long") * 3_600_000_000
+            + F.minute(t).cast("long") * 60_000_000 + (secs * 1_000_000).cast("long"))
+
+
+#: Buckets that ``chunk="even"`` cuts the order column into.
+EVEN = 1024
+
+
+def even_chunk(df, col: str, buckets: int = EVEN) -> Column:
+    """The bucket of ``col`` among ranges that hold about equally many rows of ``df`` each, over all keys: a group of
+    (key, bucket) has at most a bucket's share of all rows and the ties at its end, however the rows are spread over keys
+    and time. Cut at approximate quantiles, one aggregation over this column alone; NULL has a bucket of its own.
+
+    Found in two steps, among every 32nd edge and then among the 32 that follow, as the edges are a literal of the plan."""
+    cuts = [(i + 1) / buckets for i in range(buckets - 1)]
+    kind = df.schema[col].dataType.simpleString()
+    x = F.col(col)
+    # dates and times have quantiles as numbers
+    as_number = {"date": lambda c: F.unix_date(c), "timestamp": lambda c: F.unix_micros(c),
+                 "timestamp_ntz": ntz_micros}.get(kind)
+    if as_number:
+        df, x = df.select(as_number(x).alias(col)), as_number(x)
+    found = df.where(F.col(col).isNotNull()).agg(F.percentile_approx(col, cuts).alias("e")).first()["e"]
+    edges = sorted(set(found or []))
+    if not edges:
+        return F.when(F.col(col).isNotNull(), F.lit(0))
+    runs = [edges[i:i + 32] for i in range(0, len(edges), 32)]
+    literal = lambda es: F.array(*[F.lit(e) for e in es])
+    coarse = F.size(F.filter(literal([r[-1] for r in runs[:-1]]), lambda e: e < x)) if len(runs) > 1 else F.lit(0)
+    fine = F.size(F.filter(F.element_at(F.array(*[literal(r) for r in runs]), coarse + 1), lambda e: e < x))
+    return F.when(F.col(col).isNotNull(), coarse * 32 + fine)
+
+
 def quantile_edges(df, col: str, buckets: int):
     """The inner ``buckets - 1`` approximate quantiles of a column as an array literal; None without any value."""
     cuts = [(i + 1) / buckets for i in range(buckets - 1)]
@@ -85,6 +125,33 @@ def key_struct(*cols) -> Column:
     return F.struct(*[F.col(c) if isinstance(c, str) else c for c in cols])
 
 
+ROW = "_row"
+#: How many of a bucket's rows there are, in its summary.
+ROWS = "_rows"
+
+
+def laid_out(df, by, order: str, chunk):
+    """``df`` dealt by (key, bucket), the rows as one struct: columns KEY and ROW.
+
+    What a bucket's rows get from each other and what the buckets hand on are computed from this one exchange. Spark reuses an
+    exchange only if its readers need the same columns, so rows travel whole, and a summary (``summarized``) counts whole
+    rows; the condition, which always holds, keeps the count from being replaced by one that needs no row."""
+    row = F.when(F.hash(F.col(order)) >= F.lit(-(1 << 31)), F.struct(*[F.col(c) for c in df.columns]))
+    return df.select(key_struct(*by, chunk_expr(chunk, order).alias(CHUNK)).alias(KEY), row.alias(ROW)).repartition(KEY)
+
+
+def unpacked(ex, columns) -> list:
+    """The rows' own columns out of ``laid_out``, by name."""
+    return [F.col(f"{ROW}.`{c}`").alias(c) for c in columns]
+
+
+def summarized(ex, by, *aggs):
+    """One row per bucket of ``laid_out``: KEY, the key columns, CHUNK, ROWS and ``aggs``. A hash aggregate on the exchange
+    that the rows themselves go through."""
+    out = ex.groupBy(KEY).agg(F.count(ROW).alias(ROWS), *aggs).where(F.col(ROWS) > 0)
+    return out.withColumns({**{b: F.col(f"{KEY}.`{b}`") for b in as_list(by)}, CHUNK: F.col(f"{KEY}.{CHUNK}")})
+
+
 def join_on_keys(left, right, by, how: str = "left"):
     """``left.join(right, by, how)`` where a NULL key meets a NULL key."""
     by = as_list(by)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.columns import sentinel_to_null_expr
-from tidecast.operators._chunks import CHUNK, KEY, as_list, auto_chunk, chunk_expr, key_struct
+from tidecast.operators._chunks import CHUNK, KEY, as_list, auto_chunk, laid_out, summarized, unpacked
 
 NAN = float("nan")
 UNB = Window.unboundedPreceding
@@ -34,8 +34,8 @@ def _fill(df: DataFrame, cols, order, by, value, chunk, forward: bool, backward:
     if chunk is None:
         part = by
     else:
-        base = base.withColumn(CHUNK, chunk_expr(chunk, as_list(order)[0]))
-        base = base.withColumn(KEY, key_struct(*by, CHUNK))
+        ex = laid_out(base, by, as_list(order)[0], chunk)
+        base = ex.select(KEY, *unpacked(ex, df.columns))
         part = [KEY]
     base_w = Window.partitionBy(*part).orderBy(*ords)
     # peers: a RANGE frame, so rows that share the order value (duplicate dates) see the same frame
@@ -51,17 +51,19 @@ def _fill(df: DataFrame, cols, order, by, value, chunk, forward: bool, backward:
     if chunk is not None:
         # last / first non-null value of each chunk, then carried across chunks
         # a single order column keeps the aggregation hash-based (a struct key forces a sort aggregate)
-        okey = ords[0] if len(ords) == 1 else F.struct(*ords)
+        row = {c: col for c, col in zip(df.columns, unpacked(ex, df.columns))}
+        rords = [row[o] if isinstance(o, str) else o for o in as_list(order)]
+        okey = rords[0] if len(rords) == 1 else F.struct(*rords)
         aggs = []
         for c in cols:
-            keep = F.when(F.col(c).isNotNull(), okey)
+            keep = F.when(row[c].isNotNull(), okey)
             # rows without an order value share a chunk of their own, in which max_by sees no order
-            loose = F.first(F.when(okey.isNull(), F.col(c)), True)
+            loose = F.first(F.when(okey.isNull(), row[c]), True)
             if forward:
-                aggs.append(F.coalesce(F.max_by(F.col(c), keep), loose).alias(f"_cl_{c}"))
+                aggs.append(F.coalesce(F.max_by(row[c], keep), loose).alias(f"_cl_{c}"))
             if backward:
-                aggs.append(F.coalesce(F.min_by(F.col(c), keep), loose).alias(f"_cf_{c}"))
-        summ = base.groupBy(KEY, *by, CHUNK).agg(*aggs)
+                aggs.append(F.coalesce(F.min_by(row[c], keep), loose).alias(f"_cf_{c}"))
+        summ = summarized(ex, by, *aggs)
         wprev = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(UNB, -1)
         wnext = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(1, UNF)
         carry_cols = []
@@ -134,18 +136,20 @@ def shift(df: DataFrame, cols, order, by=(), offset: int = 1, chunk=None, prefix
         return df.withColumns({f"{prefix}{c}": nb(c, abs(offset)).over(w) for c in cols})
     if abs(offset) != 1:
         raise ValueError("chunked shift supports one step only")
-    base = df.withColumn(CHUNK, chunk_expr(chunk, as_list(order)[0])).withColumn(KEY, key_struct(*by, CHUNK))
+    ex = laid_out(df, by, as_list(order)[0], chunk)
     w = Window.partitionBy(KEY).orderBy(*ords)
-    out = base.withColumns({**{f"{prefix}{c}": nb(c, 1).over(w) for c in cols},
-                            "_edge": nb(F.lit(1), 1).over(w).isNull()})
-    okey = ords[0] if len(ords) == 1 else F.struct(*ords)
-    row = F.struct(*[F.col(c) for c in cols])
+    out = ex.select(KEY, *unpacked(ex, df.columns)).withColumns({
+        **{f"{prefix}{c}": nb(c, 1).over(w) for c in cols}, "_edge": nb(F.lit(1), 1).over(w).isNull()})
+    row = dict(zip(df.columns, unpacked(ex, df.columns)))
+    rords = [row[o] if isinstance(o, str) else o for o in as_list(order)]
+    okey = rords[0] if len(rords) == 1 else F.struct(*rords)
     pick = F.max_by if offset > 0 else F.min_by
-    summ = base.groupBy(KEY, *by, CHUNK).agg(F.coalesce(pick(row, okey), F.first(F.when(okey.isNull(), row), True)).alias("_row"))
+    # rows without an order value share a chunk, in which max_by sees no order
+    summ = summarized(ex, by, *[F.coalesce(pick(row[c], okey), F.first(F.when(okey.isNull(), row[c]), True)).alias(f"_e_{c}") for c in cols])
     wk = Window.partitionBy(*by).orderBy(CHUNK)
-    carry = summ.select(KEY, nb("_row", 1).over(wk).alias("_nbr"))
+    carry = summ.select(KEY, *[nb(f"_e_{c}", 1).over(wk).alias(f"_n_{c}") for c in cols])
     out = out.join(carry, KEY, "left")
-    out = out.withColumns({f"{prefix}{c}": F.when(F.col("_edge"), F.col(f"_nbr.{c}")).otherwise(F.col(f"{prefix}{c}"))
+    out = out.withColumns({f"{prefix}{c}": F.when(F.col("_edge"), F.col(f"_n_{c}")).otherwise(F.col(f"{prefix}{c}"))
                            for c in cols})
     return out.select(*df.columns, *[f"{prefix}{c}" for c in cols])
 

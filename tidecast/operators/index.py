@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecast.operators._chunks import CHUNK, KEY, as_list, auto_chunk, chunk_expr, join_on_keys, key_struct
+from tidecast.operators._chunks import CHUNK, KEY, ROWS, as_list, auto_chunk, join_on_keys, laid_out, summarized, unpacked
 
 UNB = Window.unboundedPreceding
 
@@ -33,15 +33,14 @@ def row_index(df: DataFrame, order, by=(), name: str = "idx", count: str | None
         if count:
             out = out.withColumn(count, F.count(F.lit(1)).over(Window.partitionBy(*by)))
         return out
-    base = df.withColumn(CHUNK, chunk_expr(chunk, as_list(order)[0])).withColumn(KEY, key_struct(*by, CHUNK))
+    ex = laid_out(df, by, as_list(order)[0], chunk)
     w = Window.partitionBy(KEY).orderBy(*ords)
-    numbered = base.withColumn("_rn", F.row_number().over(w) - 1)
-    counts = base.groupBy(KEY, *by, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = ex.select(KEY, *unpacked(ex, df.columns)).withColumn("_rn", F.row_number().over(w) - 1)
     wk = Window.partitionBy(*by).orderBy(CHUNK)
-    offs = [F.coalesce(F.sum("_n").over(wk.rowsBetween(UNB, -1)), F.lit(0)).alias("_off")]
+    offs = [F.coalesce(F.sum(ROWS).over(wk.rowsBetween(UNB, -1)), F.lit(0)).alias("_off")]
     if count:
-        offs.append(F.sum("_n").over(Window.partitionBy(*by)).alias(count))
-    table = counts.select(KEY, *offs)
+        offs.append(F.sum(ROWS).over(Window.partitionBy(*by)).alias(count))
+    table = summarized(ex, by).select(KEY, *offs)
     out = numbered.join(table, KEY, "left").withColumn(name, (F.col("_off") + F.col("_rn")).cast("long"))
     keep = [*df.columns, name] + ([count] if count else [])
     return out.select(*keep)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.operators._chunks import as_list, auto_chunk, chunk_expr
+from tidecast.operators._chunks import as_list, auto_chunk, chunk_expr, ntz_micros
 from tidecast.operators.fill import forward_fill
 
 
@@ -18,13 +18,7 @@ def _ordered(u: DataFrame, keys, chunk) -> tuple[DataFrame, list, object]:
         base = F.unix_date("_t").cast("long")
     elif tt.startswith("timestamp"):
         if tt == "timestamp_ntz":
-            # wall-clock microseconds since the epoch from the wall-clock fields, which do not
-            # depend on the session zone (a cast to timestamp would, and collides in DST gaps)
-            t = F.col("_t")
-            secs = F.date_part(F.lit("SECOND"), t)
-            base = (F.unix_date(F.to_date(t)).cast("long") * 86_400_000_000
-                    + F.hour(t).cast("long") * 3_600_000_000 + F.minute(t).cast("long") * 60_000_000
-                    + (secs * 1_000_000).cast("long"))
+            base = ntz_micros(F.col("_t"))
         else:
             base = F.unix_micros("_t")
     elif tt in ("tinyint", "smallint", "int", "bigint"):
