@@ -63,3 +63,34 @@ def test_write_predictions_layout(spark, tmp_path):
     assert rows(back.select("symbol", "date", "prediction")) == rows(df)
     plan = back.where("symbol = '2-HIGH'")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(symbol), EqualTo(symbol,2-HIGH)]" in plan
+
+
+def test_packed_tie_key_orders_like_the_columns_and_raises_beyond_its_widths(spark):
+    import random
+
+    import pytest
+    from tidecast.sources.bars import pack_key
+    rng = random.Random(4)
+    data = [(rng.choice([None, 0, 3, 2**40 - 2]), rng.choice([None, 0, 1, 6]), rng.choice([None, 0.0, 0.07, 12.35, 83000.01]), i) for i in range(400)]
+    df = spark.createDataFrame(data, "a long, b int, p double, i long")
+    for parts in ({"a": 41, "b": 4, "p": (24, 2)}, {"b": 3, "p": (30, 2)}):
+        cols = list(parts)
+        got = [tuple(r) for r in df.select(*cols, pack_key(parts).alias("k")).collect()]
+        low = lambda r: tuple((x is not None, x or 0) for x in r[:-1])
+        assert [low(r) for r in sorted(got, key=lambda r: r[-1])] == sorted(map(low, got))
+        assert len({r[-1] for r in got}) == len(set(map(low, got)))
+    for row, parts in (((2**40, 1, 1.0), {"a": 40}), ((-1, 1, 1.0), {"a": 40}), ((1, 7, 1.0), {"b": 3}), ((1, 1, 1.005), {"p": (30, 2)})):
+        bad = spark.createDataFrame([row], "a long, b int, p double")
+        with pytest.raises(Exception, match="don't fit"):
+            bad.select(pack_key(parts)).collect()
+    with pytest.raises(ValueError):
+        pack_key({"a": 60, "b": 60, "c": 8})
+
+
+def test_bars_with_a_packed_tie_hash_and_equal_those_with_a_struct(spark):
+    df = fx.table(spark, SF01, "lineitem")
+    args = dict(ts="l_shipdate", price="l_extendedprice", symbol="l_suppkey", volume="l_quantity")
+    plain = make_bars(df, tie=["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"], **args)
+    packed = fx.bars_wide(spark, SF01)
+    assert rows(plain) == rows(packed)
+    assert "SortAggregate" not in packed._jdf.queryExecution().executedPlan().toString()

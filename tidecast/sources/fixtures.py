@@ -39,7 +39,7 @@ def bars_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many symbols (supplier keys), volume = summed quantity; the bench table."""
     li = table(spark, sf_dir, "lineitem")
     return make_bars(li, ts="l_shipdate", price="l_extendedprice",
-                     tie=["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"],
+                     tie={"l_orderkey": 44, "l_linenumber": 8, "l_partkey": 36, "l_extendedprice": (27, 2)},
                      symbol="l_suppkey", volume="l_quantity")
 
 
