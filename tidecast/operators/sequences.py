@@ -20,24 +20,13 @@ def _values(cols) -> F.Column:
     return F.array(*[F.col(c).cast("double") for c in cols])
 
 
-def build_sequences(df: DataFrame, cols: Sequence[str], order="date", by=(), window: int = 200,
-                    stride: int = 20, telescope: int = 1, idx: str | None = None, chunk=None) -> DataFrame:
-    """Sliding windows of ``window`` rows as input and the next ``telescope`` rows as label.
-
-    Semantics of the array form: the series is padded with zero rows in front
-    to a multiple of ``window``; starts are 0, stride, ... strictly below
-    ``padded_length - window - telescope`` (the last valid start is left out).
-    Requires ``window % stride == 0``.
+def sequence_blocks(df: DataFrame, cols: Sequence[str], order="date", by=(), window: int = 200, stride: int = 20,
+                    telescope: int = 1, idx: str | None = None, chunk=None) -> DataFrame:
+    """The padded rows that the windows of ``build_sequences`` are cut from, in blocks: about four spans of positions and a
+    halo of one span, so that every window lies within one block and a row is in two blocks at most.
 
-    Plan: positions are cut into buckets of about four spans; each row goes to
-    its bucket and, if it lies in the halo after another one, to that one too.
-    Padding rows are generated per key from its count, and ``groupBy(key,
-    bucket)`` collects at most five spans of rows, ordered by position with
-    ``array_sort``, never relying on ``collect_list`` order; the windows are
-    slices of that array.
-
-    Output: ``by..., start, inputs array<array<double>>, labels array<array<double>>``.
-    """
+    Output: ``by..., values array<array<double>>`` (rows in order of position), ``first`` (start of the first window),
+    ``offset`` (place of its first row in ``values``) and ``windows``, their number, each ``stride`` after the one before."""
     if window % stride:
         raise ValueError("window must be a multiple of stride")
     by = as_list(by)
@@ -74,12 +63,36 @@ def build_sequences(df: DataFrame, cols: Sequence[str], order="date", by=(), win
         *by, "_p", "_v", "_kmax", F.explode(F.sequence(blo.cast("long"), bhi.cast("long"))).alias("_b"))
     g = rows.groupBy(*by, "_b", "_kmax").agg(F.array_sort(F.collect_list(F.struct("_p", "_v"))).alias("_es"))
     first = F.col("_b") * F.lit(size // stride)
-    g = g.select(*by, "_b", F.transform("_es", lambda e: e["_v"]).alias("_vs"), F.explode(F.sequence(
-        first, F.least(F.col("_kmax"), first + F.lit(size // stride - 1)))).alias("_k"))
-    at = (F.col("_k") * stride - F.col("_b") * size).cast("int")
-    return g.select(*by, (F.col("_k") * stride).cast("long").alias("start"),
-                    F.slice("_vs", at + 1, F.lit(window)).alias("inputs"),
-                    (F.slice("_vs", at + 1 + window, F.lit(telescope)) if telescope > 0 else
+    last = F.least(F.col("_kmax"), first + F.lit(size // stride - 1))
+    return g.select(*by, F.transform("_es", lambda e: e["_v"]).alias("values"), (first * stride).cast("long").alias("first"),
+                    (first * stride - F.col("_b") * size).cast("int").alias("offset"), (last - first + 1).cast("int").alias("windows"))
+
+
+def build_sequences(df: DataFrame, cols: Sequence[str], order="date", by=(), window: int = 200,
+                    stride: int = 20, telescope: int = 1, idx: str | None = None, chunk=None) -> DataFrame:
+    """Sliding windows of ``window`` rows as input and the next ``telescope`` rows as label.
+
+    Semantics of the array form: the series is padded with zero rows in front
+    to a multiple of ``window``; starts are 0, stride, ... strictly below
+    ``padded_length - window - telescope`` (the last valid start is left out).
+    Requires ``window % stride == 0``.
+
+    Plan: positions are cut into buckets of about four spans; each row goes to
+    its bucket and, if it lies in the halo after another one, to that one too.
+    Padding rows are generated per key from its count, and ``groupBy(key,
+    bucket)`` collects at most five spans of rows, ordered by position with
+    ``array_sort``, never relying on ``collect_list`` order; the windows are
+    slices of that array.
+
+    Output: ``by..., start, inputs array<array<double>>, labels array<array<double>>``.
+    """
+    by = as_list(by)
+    g = sequence_blocks(df, cols, order, by, window, stride, telescope, idx, chunk)
+    g = g.where("windows > 0").select(*by, "values", "first", "offset", F.explode(F.sequence(F.lit(0), F.col("windows") - 1)).alias("_k"))
+    at = F.col("offset") + F.col("_k") * stride
+    return g.select(*by, (F.col("first") + F.col("_k") * stride).cast("long").alias("start"),
+                    F.slice("values", at + 1, F.lit(window)).alias("inputs"),
+                    (F.slice("values", at + 1 + window, F.lit(telescope)) if telescope > 0 else
                      F.array().cast("array<array<double>>")).alias("labels"))
 
 

@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidecast.functions import calendar as cal
-from tidecast.operators import explain, forecast, models, sequences, trees
+from tidecast.operators import explain, forecast, models, ridge, sequences, trees
 from tidecast.operators._chunks import join_on_keys
 from tidecast.operators.fill import forward_fill, lag_features
 from tidecast.operators.index import row_index, symbol_index
@@ -271,20 +271,17 @@ def q_actual_vs_predicted(spark, d):
     return t.withColumn("prediction", F.round("prediction", 4))
 
 
-def held_out_forecast(bars, cols, label: str, window: int, stride: int, telescope: int, ratio: float = 0.8, by="symbol", **params):
-    """Multi-step forecast on a held-out part: split, scale on train, window, one regressor per step ahead.
+def held_out_forecast(prepared, cols, label: str, window: int, stride: int, telescope: int, reg: float = 0.1, by="symbol"):
+    """Multi-step forecast on a held-out part of an indexed and split table: scale on train, window, a ridge regression of
+    every step ahead, all solved together.
 
     Windows whose labels end in the train part are fitted; those whose labels begin in the test part are scored, and no
     other. Returns (horizon, n, rmse_scaled, rmse): on the scaled label and in its own units."""
-    prepared = _materialized(ordered_split(row_index(bars, "date", by=by), ratio, "date", by=by))
     scaled = minmax(prepared, cols, by=by)
-    seqs = sequences.build_sequences(scaled, cols, "date", by=by, window=window, stride=stride, telescope=telescope, idx="idx")
-    ends = prepared.groupBy(by).agg(F.count("*").alias("_n"), F.count_if("is_train").alias("_cut"))
-    pad = F.pmod(F.lit(window) - F.pmod("_n", F.lit(window)), F.lit(window))
-    first = F.col("start") + window - pad  # index of the first label row
-    seqs = join_on_keys(seqs, ends, by).withColumns({"_fit": first + telescope <= F.col("_cut"), "_test": first >= F.col("_cut")})
-    seqs = seqs.where("_fit OR _test")
-    _models, preds = forecast.fit_horizons(seqs, label_col=cols.index(label), horizons=telescope, by=by, fit_on=F.col("_fit"), **params)
+    args, at = (window, stride, telescope), cols.index(label)
+    blocks = ridge.window_blocks(scaled, cols, *args, by=by)
+    model = ridge.fit_window_ridge(blocks, *args, label=at, reg=reg)
+    preds = ridge.predict_windows(model, blocks, *args, at, by=by)
     preds = preds.withColumns({"_y": F.col("label"), "_p": F.col("prediction")})
     preds = inverse_minmax(preds, ["_y", "_p"], prepared, like=label, by=by)
     rmse = lambda a, b: F.sqrt(F.avg(F.pow(F.col(a) - F.col(b), 2)))
@@ -293,8 +290,8 @@ def held_out_forecast(bars, cols, label: str, window: int, stride: int, telescop
 
 @register("windowed_forecast")
 def q_windowed_forecast(spark, d):
-    """Windows of 400 rows, every 25, 20 steps ahead; RMSE by step on the held-out fifth."""
-    return held_out_forecast(_seq_input(spark, d), SEQ_COLS, "close", 400, 25, 20, kind="lr", regParam=0.1)
+    """Windows of 400 rows of all columns, every 25, 20 steps ahead; RMSE by step on the held-out fifth."""
+    return held_out_forecast(_materialized(model_data(spark, d)), ["close", *MODEL_FEATURES], "close", 400, 25, 20)
 
 
 @register("windowed_forecast_last_value", with_views(f"""
