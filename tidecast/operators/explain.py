@@ -255,6 +255,14 @@ def _phi(x: float) -> float:
 def lime_quartile(model, train: DataFrame, rows: DataFrame, features: Sequence[str], row_id: str = "idx",
                   n_samples: int = 5000, seed: int = 42, kernel_width: float | None = None,
                   num_features: int = 10, alpha: float = 1.0, accuracy: int = 10000) -> DataFrame:
+    """``lime_quartile_models`` of one model: (row_id, feature, condition, weight)."""
+    out = lime_quartile_models({"model": model}, train, rows, features, row_id, n_samples, seed, kernel_width, num_features, alpha, accuracy)
+    return out.drop("model")
+
+
+def lime_quartile_models(fitted: Mapping[str, object], train: DataFrame, rows: DataFrame, features: Sequence[str], row_id: str = "idx",
+                         n_samples: int = 5000, seed: int = 42, kernel_width: float | None = None,
+                         num_features: int = 10, alpha: float = 1.0, accuracy: int = 10000) -> DataFrame:
     """Local surrogate with quartile-discretized features, the common tabular default.
 
     Per feature, train quartiles (``percentile_approx``, a mergeable sketch)
@@ -268,13 +276,16 @@ def lime_quartile(model, train: DataFrame, rows: DataFrame, features: Sequence[s
     ridge (alpha 0.01); the answer is a weighted ridge (``alpha``, free
     intercept) on them. All draws are hashes of (row, sample, feature, seed).
 
-    Output (row_id, feature, condition, weight), conditions such as
+    ``fitted`` maps names to models: all of them score the same samples, which are drawn once and pass through in one
+    go. A task sums the products of its samples as one matrix per explained row; a group then holds a row's matrices.
+
+    Output (row_id, model, feature, condition, weight), conditions such as
     ``"12.50 < open <= 20.00"``.
     """
     feats = list(features)
     if row_id in feats:
         raise ValueError("row_id must not be one of the features")
-    k = len(feats)
+    k, n_models = len(feats), len(fitted)
     width = kernel_width or 0.75 * math.sqrt(k)
     # the explainer's parameters, fitted on train like a model's: 3 quartile edges per
     # feature and at most 4 bins per feature (bounded by the feature count, not the data),
@@ -334,22 +345,35 @@ def lime_quartile(model, train: DataFrame, rows: DataFrame, features: Sequence[s
         v = F.when(F.col(f"_sd{j}") > 0, drawn).otherwise(F.col(f"_mu{j}"))
         vals[f] = F.when(F.col("_s") == 0, F.col(f).cast("double")).otherwise(v)
     zcols = {f"_z{j}": (F.col(f"_b{j}") == F.col(f"_i{j}")).cast("double") for j in range(k)}
-    pts = base.select(row_id, "_s", *[c.alias(f) for f, c in vals.items()], *[c.alias(n) for n, c in zcols.items()],
-                      *[F.col(f"_i{j}") for j in range(k)])
-    scored = model.transform(pts).select(row_id, *zcols, *[f"_i{j}" for j in range(k)], F.col("prediction").alias("_y"))
-    d2 = sum(((F.lit(1.0) - F.col(f"_z{j}")) ** 2 for j in range(k)), F.lit(0.0))
-    scored = scored.withColumns({"_w": F.sqrt(F.exp(-d2 / F.lit(width * width))), "_one": F.lit(1.0)})
-    zs = ["_one", *[f"_z{j}" for j in range(k)]]
-    aggs = [F.sum(F.col("_w") * F.col(zs[a]) * F.col(zs[b])).alias(f"_g{a}_{b}")
-            for a in range(k + 1) for b in range(a, k + 1)]
-    aggs += [F.sum(F.col("_w") * F.col(zs[a]) * F.col("_y")).alias(f"_h{a}") for a in range(k + 1)]
-    aggs += [F.sum(F.col("_w") * F.col("_y") * F.col("_y")).alias("_yy")]
-    # the row's own bins ride along (constant per row), so ``rows`` is evaluated once
-    aggs += [F.first(f"_i{j}").alias(f"_bin{j}") for j in range(k)]
-    mom = scored.groupBy(row_id).agg(*aggs)
-    schema = T.StructType([T.StructField(row_id, rows.schema[row_id].dataType),
-                           T.StructField("feature", T.StringType()), T.StructField("condition", T.StringType()),
-                           T.StructField("weight", T.DoubleType())])
+    # a clashing row id is kept apart from the models' columns; the row's own bins are constant per row and travel as one array
+    pts = base.select(F.col(row_id).alias("_id"), *[c.alias(f) for f, c in vals.items()], F.array(*[c for c in zcols.values()]).alias("_z"),
+                      F.array(*[F.col(f"_i{j}") for j in range(k)]).alias("_bins"))
+    scored = pts
+    for m, one in enumerate(fitted.values()):
+        scored = one.transform(scored).withColumnRenamed("prediction", f"_p{m}").drop("features")
+    scored = scored.select("_id", "_z", "_bins", F.array(*[F.col(f"_p{m}").cast("double") for m in range(n_models)]).alias("_y"))
+    id_type = rows.schema[row_id].dataType
+    moments = T.StructType([T.StructField("_id", id_type), T.StructField("_bins", T.ArrayType(T.IntegerType())), T.StructField("_m", T.ArrayType(T.DoubleType()))])
+
+    def products(batches):
+        # the weighted products of (1, z, predictions) with themselves, one matrix per explained row and batch
+        for pdf in batches:
+            z, y = np.stack(pdf["_z"]), np.stack(pdf["_y"])
+            w = np.sqrt(np.exp(-((1.0 - z) ** 2).sum(axis=1) / (width * width)))
+            x = np.concatenate([np.ones((len(z), 1)), z, y], axis=1)
+            group, ids = pd.factorize(pdf["_id"], use_na_sentinel=False)
+            first, out = [], []
+            for i in range(len(ids)):
+                own = np.flatnonzero(group == i)
+                first.append(pdf["_bins"].iloc[own[0]])
+                out.append((x[own] * w[own, None]).T @ x[own])
+            yield pd.DataFrame({"_id": ids, "_bins": first, "_m": [m.reshape(-1) for m in out]})
+
+    parts = scored.mapInPandas(products, moments)
+    size = k + 1 + n_models
+    schema = T.StructType([T.StructField(row_id, id_type), T.StructField("model", T.StringType()), T.StructField("feature", T.StringType()),
+                           T.StructField("condition", T.StringType()), T.StructField("weight", T.DoubleType())])
+    model_names = list(fitted)
     names = np.array(feats, dtype=object)
     labels = np.array([[f"{f} <= {e[0]}", f"{e[0]} < {f} <= {e[1]}", f"{e[1]} < {f} <= {e[2]}", f"{f} > {e[2]}"]
                        for f in feats for e in [["%.2f" % x for x in edges[f]]]], dtype=object)
@@ -384,19 +408,18 @@ def lime_quartile(model, train: DataFrame, rows: DataFrame, features: Sequence[s
             used = np.concatenate([used, errors.argmin(1)[:, None]], axis=1)
         return np.sort(used, axis=1)
 
-    def solve(batches):
-        # a batch of rows at once; a row's moments are (k + 1)² numbers
-        for pdf in batches:
-            n = len(pdf)
-            g = np.empty((n, k + 1, k + 1))
-            for a in range(k + 1):
-                for b in range(a, k + 1):
-                    g[:, a, b] = g[:, b, a] = pdf[f"_g{a}_{b}"].to_numpy(dtype=float)
-            h = np.stack([pdf[f"_h{a}"].to_numpy(dtype=float) for a in range(k + 1)], axis=1)
-            used = chosen(g, h, pdf["_yy"].to_numpy(dtype=float)) if n else np.zeros((0, min(k, num_features)), int)
+    def solve(pdf):
+        # the partial matrices of one explained row, at most one per batch of its samples
+        total = np.stack(pdf["_m"]).sum(axis=0).reshape(size, size)
+        g, out = total[None, :k + 1, :k + 1], []
+        for m, name in enumerate(model_names):
+            h, yy = total[None, :k + 1, k + 1 + m], total[None, k + 1 + m, k + 1 + m]
+            used = chosen(g, h, yy)
             beta = ridge(g, h, used, alpha)[1][:, 1:]
-            bins = np.take_along_axis(np.stack([pdf[f"_bin{j}"].to_numpy(dtype=int) for j in range(k)], axis=1), used, 1)
-            yield pd.DataFrame({row_id: np.repeat(pdf[row_id].to_numpy(), used.shape[1]), "feature": names[used].reshape(-1),
-                                "condition": labels[used, bins].reshape(-1), "weight": beta.reshape(-1)})
+            bins = np.asarray(pdf["_bins"].iloc[0])[used]
+            out.append(pd.DataFrame({"model": name, "feature": names[used].reshape(-1), "condition": labels[used, bins].reshape(-1), "weight": beta.reshape(-1)}))
+        out = pd.concat(out)
+        out[row_id] = pdf["_id"].iloc[0]
+        return out[[f.name for f in schema.fields]]
 
-    return mom.mapInPandas(solve, schema)
+    return parts.groupBy("_id").applyInPandas(solve, schema)

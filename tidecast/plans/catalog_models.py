@@ -533,12 +533,9 @@ def q_lime(spark, d):
 def q_lime_quartile(spark, d):
     """The tabular default for each model: quartile bins, 5000 samples, top 10 features, ridge."""
     train, test = _train_test(spark, d)
-    out = None
-    for kind, params in (("lr", {}), ("rf", {"numTrees": 3}), ("gbt", {})):
-        m = models.fit(train, kind, MODEL_FEATURES, "close", **params)
-        e = explain.lime_quartile(m, train, _explained_rows(test), MODEL_FEATURES, row_id="row_id").withColumn("model", F.lit(kind))
-        out = e if out is None else out.unionByName(e)
-    return out
+    fitted = {kind: models.fit(train, kind, MODEL_FEATURES, "close", **params) for kind, params in (("lr", {}), ("rf", {"numTrees": 3}), ("gbt", {}))}
+    out = explain.lime_quartile_models(fitted, train, _explained_rows(test), MODEL_FEATURES, row_id="row_id")
+    return out.select("row_id", "feature", "condition", "weight", "model")
 
 
 _SHAP_SQL_BODY = ("SELECT t.symbol, t.idx, 'open' AS feature, round(c.b * (t.open - m.mu), 4) AS phi "
