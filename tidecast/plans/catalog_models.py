@@ -30,6 +30,7 @@ from tidecast.plans.sqlview import sql_view
 from tidecast.session import ensure_checkpoint_dir, shared_path
 from tidecast.sources import fixtures as fx
 from tidecast.sources.sinks import load_model, save_model, write_predictions
+from tidecast.streaming.prepare import prepare_and_score_stream
 from tidecast.streaming.score import score_stream
 
 # ---------------------------------------------------------------------------
@@ -609,6 +610,22 @@ def q_score_new_bars(spark, d):
     return _pred_cols(spark.read.parquet(out_dir))
 
 
+@register("stream_prepare", _sql_1f(
+    "SELECT s.symbol, s.idx, s.date, s.close, s.m_monthly, round(c.a + c.b * s.open, 4) AS prediction FROM s JOIN c ON s.symbol = c.symbol"))
+def q_stream_prepare(spark, d):
+    """Raw bars arrive in four deliveries; the stream joins, fills, drops, indexes and scores them, as the batch does."""
+    _p, c = _coefs_1f(spark, d)
+    c, series = _materialized(c), _materialized(fx.series_wide(spark, d).select("date", "m_monthly"))
+    bars = _materialized(fx.bars_multi(spark, d).select("symbol", "date", "open", "close"))
+    cuts = bars.agg(F.percentile_approx(F.unix_date("date"), [0.25, 0.5, 0.75]).alias("q")).first()["q"] or [0, 0, 0]
+    part = F.size(F.filter(F.array(*[F.lit(x) for x in cuts]), lambda e: e < F.unix_date("date")))
+    landing, sink = shared_path(spark, "raw-bars"), os.path.join(shared_path(spark, "prepared"), "data")
+    for i in range(4):
+        bars.where(part == i).write.mode("append").parquet(landing)
+        prepare_and_score_stream(spark, landing, bars.schema, series, ["m_monthly"], c, FEATURES_1F, sink_dir=sink)
+    return spark.read.parquet(sink).where("NOT late").select("symbol", "idx", "date", "close", "m_monthly", F.round("prediction", 4).alias("prediction"))
+
+
 @register("sink_predictions", _PRED_SQL)
 def q_sink_predictions(spark, d):
     _p, preds = _preds_1f(spark, d)
