@@ -80,6 +80,17 @@ def q_pivot_series(spark, d):
     return pivot_series(fx.series(spark, d), fx.SERIES_IDS)
 
 
+@register("row_index_even", with_views("SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS idx FROM bars_wide", "bars_wide"))
+def q_row_index_even(spark, d):
+    """Indexed in buckets of equally many rows that are cut from the data."""
+    return index.row_index(fx.bars_wide(spark, d), "date", by="symbol", chunk="even")
+
+
+@register("forward_fill_even", with_views(_ffill_select("joined_multi", "symbol"), "joined_multi"))
+def q_forward_fill_even(spark, d):
+    return fill.forward_fill(fx.joined_multi(spark, d), S, "date", by="symbol", chunk="even")
+
+
 @register("bars_from_ticks", with_views("SELECT * FROM bars_wide", "bars_wide"))
 def q_bars_from_ticks(spark, d):
     return fx.bars_wide(spark, d)
@@ -454,7 +465,8 @@ def q_histogram_edges(spark, d):
 
 @register("partition_count", "SELECT CAST(7 AS BIGINT) AS partitions")
 def q_partition_count(spark, d):
-    return index.partition_count(fx.bars_wide(spark, d).repartition(7))
+    # counted by the rows in them
+    return index.partition_sizes(fx.bars_wide(spark, d).repartition(7)).agg(F.count("*").alias("partitions"))
 
 
 @register("partition_rows", with_views(

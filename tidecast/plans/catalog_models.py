@@ -11,6 +11,8 @@ from __future__ import annotations
 import datetime
 import os
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import Interaction, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -316,63 +318,71 @@ def q_windowed_forecast_last_value(spark, d):
         F.count("*").alias("n"), F.round(F.sqrt(F.avg(F.pow(F.col("y")[0] - F.col("x"), 2))), 3).alias("rmse"))
 
 
-# MLlib on one feature and one symbol: least squares, which SQL can state
+# MLlib with a line of its own for every symbol, in one fit: least squares by symbol, which SQL can state
 
-_ONE = "WHERE symbol = '1-URGENT'"
 
-
-def _one_symbol(spark, d):
-    p = _materialized(prepared_1f(spark, d).where(F.col("symbol") == "1-URGENT"))
-    return p, models.fit(p.where("is_train"), "lr", FEATURES_1F, "close")
+def _symbol_lines(spark, d):
+    """(prepared rows with a row id, one MLlib model of an intercept and a slope for each symbol). The symbol is read from
+    the row id, which explanations keep with the points that they make."""
+    p = _materialized(_with_row_id(prepared_1f(spark, d)))
+    stages = [SQLTransformer(statement="SELECT *, substring_index(row_id, ':', 1) AS _symbol FROM __THIS__"),
+              StringIndexer(inputCol="_symbol", outputCol="_i", stringOrderType="alphabetAsc"),
+              OneHotEncoder(inputCol="_i", outputCol="_own", dropLast=False), VectorAssembler(inputCols=FEATURES_1F, outputCol="_x"),
+              Interaction(inputCols=["_own", "_x"], outputCol="_slopes"), VectorAssembler(inputCols=["_own", "_slopes"], outputCol="features"),
+              models.model_choice("lr", featuresCol="features", labelCol="close", fitIntercept=False)]
+    return p, Pipeline(stages=stages).fit(p.where("is_train"))
 
 
-@register("mllib_linear_regression", _sql_1f(f"SELECT round(a, 4) AS intercept, round(b, 8) AS coef_open FROM c {_ONE}"))
+@register("mllib_linear_regression", _sql_1f("SELECT symbol, round(a, 3) AS intercept, round(b, 7) AS coef_open FROM c"))
 def q_mllib_linear_regression(spark, d):
-    _p, m = _one_symbol(spark, d)
-    c = models.linear_coefficients(m, FEATURES_1F)
-    row = spark.createDataFrame([(c["intercept"], c["coef_open"])], "intercept double, coef_open double")
-    return row.select(F.round("intercept", 4).alias("intercept"), F.round("coef_open", 8).alias("coef_open"))
+    _p, m = _symbol_lines(spark, d)
+    symbols, w = m.stages[1].labels, m.stages[-1].coefficients.toArray()
+    # one row per symbol, as many as the model has lines
+    table = spark.createDataFrame([(s, float(w[i]), float(w[len(symbols) + i])) for i, s in enumerate(symbols)], "symbol string, intercept double, coef_open double")
+    return table.select("symbol", F.round("intercept", 3).alias("intercept"), F.round("coef_open", 7).alias("coef_open"))
 
 
-@register("mllib_predict", _sql_1f(f"SELECT symbol, idx, date, close, round(prediction, 4) AS prediction FROM p {_ONE}"))
+@register("mllib_predict", _PRED_SQL)
 def q_mllib_predict(spark, d):
-    p, m = _one_symbol(spark, d)
+    p, m = _symbol_lines(spark, d)
     return _pred_cols(models.predict(m, p.where("NOT is_train")))
 
 
 @register("mllib_metrics", _sql_1f(
-    "SELECT round(sqrt(avg(power(close - prediction, 2))), 3) AS rmse, round(1 - sum(power(close - prediction, 2)) / "
-    f"(var_pop(close) * count(close)), 6) AS r2 FROM p {_ONE}"))
+    "SELECT symbol, round(sqrt(avg(power(close - prediction, 2))), 3) AS rmse, round(1 - sum(power(close - prediction, 2)) / "
+    "(var_pop(close) * count(close)), 6) AS r2 FROM p GROUP BY symbol"))
 def q_mllib_metrics(spark, d):
-    p, m = _one_symbol(spark, d)
-    r = models.evaluate(models.predict(m, p.where("NOT is_train")), ["rmse", "r2"])
-    return r.select(F.round("rmse", 3).alias("rmse"), F.round("r2", 6).alias("r2"))
+    p, m = _symbol_lines(spark, d)
+    r = models.evaluate(models.predict(m, p.where("NOT is_train")), ["rmse", "r2"], by="symbol")
+    return r.select("symbol", F.round("rmse", 3).alias("rmse"), F.round("r2", 6).alias("r2"))
 
 
-@register("mllib_saved_model", _sql_1f(f"SELECT symbol, idx, date, close, round(prediction, 4) AS prediction FROM p {_ONE}"))
+@register("mllib_saved_model", _PRED_SQL)
 def q_mllib_saved_model(spark, d):
-    p, m = _one_symbol(spark, d)
+    p, m = _symbol_lines(spark, d)
     path = save_model(m, os.path.join(shared_path(spark, "model"), "lr"))
     return _pred_cols(models.predict(load_model(path), p.where("NOT is_train")))
 
 
-@register("lime_linear", _sql_1f(f"SELECT 'open' AS feature, round(b, 6) AS weight FROM c {_ONE}"))
+@register("lime_linear", _sql_1f(
+    "SELECT p.symbol, min(p.idx) AS idx, 'open' AS feature, round(any_value(c.b), 6) AS weight FROM p JOIN c ON p.symbol = c.symbol GROUP BY p.symbol"))
 def q_lime_linear(spark, d):
-    """A linear model's local surrogate is its slope."""
-    p, m = _one_symbol(spark, d)
-    rows = first_row(p.where("NOT is_train"), "symbol", "idx").withColumn("row_id", F.col("idx"))
+    """The first test row of each symbol: its local surrogate is its symbol's slope."""
+    p, m = _symbol_lines(spark, d)
+    rows = first_row(p.where("NOT is_train"), "symbol", "idx")
     w = explain.lime(m, p.where("is_train"), rows, FEATURES_1F, row_id="row_id", top_k=10)
-    return w.select("feature", F.round("weight", 6).alias("weight"))
+    return w.select(*_row_key(), "feature", F.round("weight", 6).alias("weight"))
 
 
 @register("shap_sampled_linear", _sql_1f(
-    "SELECT p.idx, 'open' AS feature, round(c.b * (p.open - f.open), 3) AS phi FROM p JOIN c ON p.symbol = c.symbol "
-    "JOIN (SELECT symbol, open FROM s WHERE idx = 0) f ON f.symbol = p.symbol WHERE p.symbol = '1-URGENT'"))
+    "SELECT p.symbol, p.idx, 'open' AS feature, round(c.b * (p.open - f.mu), 3) AS phi FROM p JOIN c ON p.symbol = c.symbol, "
+    "(SELECT avg(open) AS mu FROM s WHERE is_train) f"))
 def q_shap_sampled_linear(spark, d):
-    """With a background of one row, sampled Shapley values of a linear model are exact."""
-    p, m = _one_symbol(spark, d)
-    phi = explain.shap_sampled(m, p.where("idx = 0"), p.where("NOT is_train"), FEATURES_1F, row_id="idx", n_perm=4)
-    return phi.select("idx", "feature", F.round("phi", 3).alias("phi"))
+    """With a background of one row, sampled Shapley values of each symbol's line are exact."""
+    p, m = _symbol_lines(spark, d)
+    background = p.where("is_train").agg(F.avg("open").alias("open"))
+    phi = explain.shap_sampled(m, background, p.where("NOT is_train"), FEATURES_1F, row_id="row_id", n_perm=4)
+    return phi.select(*_row_key(), "feature", F.round("phi", 3).alias("phi"))
 
 
 # The same over all symbols: one pooled fit, whose least squares SQL states too
