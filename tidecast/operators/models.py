@@ -123,15 +123,65 @@ def fit_grouped_linear(df: DataFrame, features: Sequence[str], label: str = "clo
 
     Output: ``by..., n, intercept, coef_<feature>...``.
     """
-    by = as_list(by)
-    feats = list(features)
+    return solve_linear(linear_moments(df, features, label, by), features, by)
+
+
+def linear_moments(df: DataFrame, features: Sequence[str], label: str = "close", by=()) -> DataFrame:
+    """What least squares needs of the rows, one row per key: by..., n, the means ``_m<i>`` and ``_my``, and the population
+    covariances ``_c<i>_<j>`` and ``_cy<i>``. Rows without a label or a feature take no part."""
+    by, feats = as_list(by), list(features)
     k = len(feats)
     df = df.dropna(subset=[label, *feats])
     aggs = [F.count(F.lit(1)).alias("n"), F.avg(label).alias("_my")]
     aggs += [F.avg(f).alias(f"_m{i}") for i, f in enumerate(feats)]
     aggs += [F.covar_pop(feats[i], feats[j]).alias(f"_c{i}_{j}") for i in range(k) for j in range(i, k)]
     aggs += [F.covar_pop(f, label).alias(f"_cy{i}") for i, f in enumerate(feats)]
-    mom = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+
+
+def merge_moments(mom: DataFrame, features: Sequence[str], by=()) -> DataFrame:
+    """Rows of ``linear_moments`` that share a key (of several periods or tables) merged into one.
+
+    The merged covariance is the mean of the parts' covariances and of the products of their means' distances from the merged
+    mean, each by the parts' counts: sums of centred products, which lose no digits to large values. The merged mean is joined
+    back to the parts, a table of one row per key and period."""
+    by, k = as_list(by), len(features)
+    means = ["_my", *[f"_m{i}" for i in range(k)]]
+    mom = mom.where("n > 0")
+    total = [F.sum("n").alias("_N"), *[(F.sum(F.col("n") * F.col(m)) / F.sum("n")).alias(f"_t{m}") for m in means]]
+    if by:
+        met = join_on_keys(mom, mom.groupBy(*by).agg(*total), by)
+    else:
+        row = one_row(mom.agg(*total))
+        met = mom.withColumns({c: row[c] for c in ["_N", *[f"_t{m}" for m in means]]})
+    off = lambda m: F.col(m) - F.col(f"_t{m}")
+    pooled = lambda c, a, b: (F.sum(F.col("n") * (F.col(c) + off(a) * off(b))) / F.first("_N")).alias(c)
+    aggs = [F.first("_N").alias("n"), *[F.first(f"_t{m}").alias(m) for m in means]]
+    aggs += [pooled(f"_c{i}_{j}", f"_m{i}", f"_m{j}") for i in range(k) for j in range(i, k)]
+    aggs += [pooled(f"_cy{i}", f"_m{i}", "_my") for i in range(k)]
+    return met.groupBy(*by).agg(*aggs) if by else met.agg(*aggs)
+
+
+def store_moments(df: DataFrame, path: str, features: Sequence[str], label: str, by, period: str) -> None:
+    """Write the moments of every (key, period) of ``df`` to the table at ``path``; ``period`` is a column of ``df``.
+
+    A period is written whole: given again, for late rows or after a failure, it replaces what is stored of it, and
+    the others stay. So new days refit a model (``refit_linear``) without a scan of the old rows."""
+    mom = linear_moments(df, features, label, [*as_list(by), period])
+    # all rows of a period in one file: a period has one row per key
+    mom.repartition(period).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(path)
+
+
+def refit_linear(spark, path: str, features: Sequence[str], by=(), where=None) -> DataFrame:
+    """Coefficients as of ``fit_grouped_linear`` from stored moments alone, of all periods or those that meet ``where``."""
+    mom = spark.read.parquet(path)
+    return solve_linear(merge_moments(mom if where is None else mom.where(where), features, by), features, by)
+
+
+def solve_linear(mom: DataFrame, features: Sequence[str], by=()) -> DataFrame:
+    """Least squares from the rows of ``linear_moments``, key by key."""
+    by, feats = as_list(by), list(features)
+    k = len(feats)
     coef_names = [f"coef_{f}" for f in feats]
     if k == 1:
         slope = F.try_divide(F.col("_cy0"), F.col("_c0_0"))

@@ -199,6 +199,17 @@ def q_linear_regression(spark, d):
                     F.round("coef_open", 8).alias("coef_open"))
 
 
+@register("linear_regression_refit", _sql_1f("SELECT symbol, n, round(a, 4) AS intercept, round(b, 8) AS coef_open FROM c"))
+def q_linear_regression_refit(spark, d):
+    """The same coefficients from stored moments by year: the early years first, the later ones as they come."""
+    p = _materialized(prepared_1f(spark, d).where("is_train").withColumn("year", F.year("date")))
+    path = shared_path(spark, "moments")
+    for part in ("year < 1995", "year >= 1995"):
+        models.store_moments(p.where(part), path, FEATURES_1F, "close", "symbol", "year")
+    c = models.refit_linear(spark, path, FEATURES_1F, "symbol")
+    return c.select("symbol", "n", F.round("intercept", 4).alias("intercept"), F.round("coef_open", 8).alias("coef_open"))
+
+
 @register("predict", _PRED_SQL)
 def q_predict(spark, d):
     _p, preds = _preds_1f(spark, d)
@@ -333,13 +344,13 @@ def _symbol_lines(spark, d):
     return p, Pipeline(stages=stages).fit(p.where("is_train"))
 
 
-@register("mllib_linear_regression", _sql_1f("SELECT symbol, round(a, 3) AS intercept, round(b, 7) AS coef_open FROM c"))
+@register("mllib_linear_regression", _sql_1f("SELECT symbol, round(a, 4) AS intercept, round(b, 8) AS coef_open FROM c"))
 def q_mllib_linear_regression(spark, d):
     _p, m = _symbol_lines(spark, d)
     symbols, w = m.stages[1].labels, m.stages[-1].coefficients.toArray()
     # one row per symbol, as many as the model has lines
     table = spark.createDataFrame([(s, float(w[i]), float(w[len(symbols) + i])) for i, s in enumerate(symbols)], "symbol string, intercept double, coef_open double")
-    return table.select("symbol", F.round("intercept", 3).alias("intercept"), F.round("coef_open", 7).alias("coef_open"))
+    return table.select("symbol", F.round("intercept", 4).alias("intercept"), F.round("coef_open", 8).alias("coef_open"))
 
 
 @register("mllib_predict", _PRED_SQL)
