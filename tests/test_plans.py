@@ -89,7 +89,7 @@ def test_sequences_cross_the_shuffle_once_and_a_halo(spark):
 
 def _final(df) -> str:
     df.collect()
-    return plan_text(df).split("== Initial Plan ==")[0]
+    return plan_text(df).rsplit("== Initial Plan ==", 1)[0]
 
 
 @pytest.mark.parametrize("chunk", ["year", "even"])
@@ -120,3 +120,38 @@ def test_even_buckets_spread_one_key_and_uneven_times(spark):
     for x in (df, df.select(F.timestamp_micros("t").alias("t")), df.select((F.col("t") / 3).alias("t"))):
         sizes = [r["count"] for r in x.groupBy(even_chunk(x, "t", 64).alias("b")).count().collect()]
         assert 55 <= len(sizes) <= 64 and max(sizes) < 2 * 100_000 / 64
+
+
+def test_bucketed_bars_are_read_once_and_never_dealt_again(spark):
+    """Fill, as-of join, index, split and rolling frames by the key of the buckets."""
+    import re
+    from tidecast.operators import index, joins, sequences, split
+    from tidecast.sources import fixtures as fx
+    from tidecast.sources.sinks import write_bucketed
+    table = write_bucketed(fx.bars_multi(spark, SF001), "bars", "symbol", "date", buckets=8)
+    bars, series = spark.table(table), fx.series_wide(spark, SF001).checkpoint()
+    for fill in ("after", "asof"):
+        df = joins.enrich(bars, series, on="date", by="symbol", fill=fill)
+        df = split.ordered_split(index.row_index(df, "date", by="symbol"), 0.8, "date", by="symbol")
+        df = sequences.rolling_frame_sequences(df, ["close"], "date", by="symbol", window=5, telescope=2)
+        txt = _final(df)
+        assert txt.count(f"FileScan parquet spark_catalog.default.{table}") == 1
+        # whatever is exchanged is the series': no exchange has the bars' scan below it
+        at = txt.index("FileScan")
+        depth = lambda line: len(re.match(r"[ :|+\-*()\d]*", line).group(0))
+        above, level = [], depth(txt[txt.rindex("\n", 0, at) + 1:])
+        for line in reversed(txt[:at].rstrip().split("\n")[:-1]):
+            if depth(line) < level:
+                above.append(line)
+                level = depth(line)
+        assert above and not any("Exchange" in x for x in above), above
+
+
+def test_asof_by_day_reads_the_left_side_once(spark, tmp_path):
+    from tidecast.operators.joins import asof_join
+    from tidecast.sources import fixtures as fx
+    fx.bars_multi(spark, SF001).write.parquet(f"{tmp_path}/bars")
+    fx.series_wide(spark, SF001).write.parquet(f"{tmp_path}/series")
+    bars, series = spark.read.parquet(f"{tmp_path}/bars"), spark.read.parquet(f"{tmp_path}/series")
+    txt = _final(asof_join(bars, series, "date"))
+    assert txt.count("/bars]") == 1

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidecast.operators._chunks import as_list, auto_chunk, chunk_expr, ntz_micros
+from tidecast.operators._chunks import CHUNK, as_list, auto_chunk, chunk_expr, ntz_micros
 from tidecast.operators.fill import forward_fill
 
 
@@ -97,7 +98,8 @@ def asof_join(left: DataFrame, right: DataFrame, on: str = "date", by=(), cols=N
     per_column=False  the latest right row is taken whole, NULLs included, as
                       SQL ASOF LEFT JOIN on the wide table does
 
-    Built from a union and a window, never a range join: right rows carry
+    Days (``on`` a date, right side without a key) are matched through a table of days. Otherwise
+    built from a union and a window, never a range join: right rows carry
     their values, left times carry NULL, and a forward fill over
     (key, time; right before left at equal times) finds the match. Only the
     distinct left (key, time) pairs enter the union, so its size is bounded by
@@ -110,6 +112,8 @@ def asof_join(left: DataFrame, right: DataFrame, on: str = "date", by=(), cols=N
     if keys:
         return _asof_keyed(left, right, on, keys, vals, chunk, per_column)
     right = right.where(F.col(on).isNotNull())
+    if left.schema[on].dataType == right.schema[on].dataType == T.DateType():
+        return _asof_days(left, right, on, vals, per_column)
     lt = left.select(F.col(on).alias("_t")).where("_t IS NOT NULL").distinct()
     if per_column:
         r = right.select(F.col(on).alias("_t"), F.lit(0).alias("_side"), *vals)
@@ -128,6 +132,26 @@ def asof_join(left: DataFrame, right: DataFrame, on: str = "date", by=(), cols=N
     return out.select(*left.columns, *[F.col(f"_m.{v}").alias(v) for v in vals])
 
 
+def _asof_days(left: DataFrame, right: DataFrame, on: str, vals, per_column: bool) -> DataFrame:
+    """As-of join by day: every day of the right side stands for the days until its next one, so that the match is an equality.
+
+    The right side is first reduced to one row per day, a table that the calendar bounds whatever the size of either side (the
+    window runs over these rows only). The left side is read once and meets it in one join, a broadcast if
+    the days' measured size allows. Left days after the last right one meet the last."""
+    # of rows that share a day: per column a value that is not NULL, or else one row whole
+    pick = [F.first(v, True).alias(v) for v in vals] if per_column else [F.first(F.struct(*[F.col(v) for v in vals])).alias("_r")]
+    daily = right.groupBy(F.col(on).alias(CHUNK)).agg(*pick)
+    w = Window.orderBy(CHUNK)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    values = [(F.last(v, True).over(upto) if per_column else F.col(f"_r.{v}")).alias(f"_v_{v}") for v in vals]
+    spans = daily.select(CHUNK, F.lead(CHUNK).over(w).alias("_next"), *values)
+    days = spans.select(F.explode(F.sequence(CHUNK, F.coalesce(F.date_sub("_next", 1), F.col(CHUNK)))).alias("_d"), *[f"_v_{v}" for v in vals])
+    last = right.agg(F.max(on)).scalar()
+    # a left row without a day has none to match
+    day = F.when(F.col(on).isNotNull(), F.least(F.col(on), last))
+    return left.withColumn("_d", day).join(days, "_d", "left").select(*left.columns, *[F.col(f"_v_{v}").alias(v) for v in vals])
+
+
 def _asof_keyed(left: DataFrame, right: DataFrame, on: str, keys, vals, chunk, per_column: bool) -> DataFrame:
     """As-of join when the right side has the key: the left rows ride through the window
     themselves (as a struct), so the plan is one shuffle by (key[, bucket]) and no join back.

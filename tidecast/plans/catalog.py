@@ -22,6 +22,7 @@ from tidecast.plans.oracle import with_views
 from tidecast.sources import fixtures as fx
 from tidecast.session import shared_path
 from tidecast.sources.bars import read_bars, symbol_filter
+from tidecast.sources.sinks import write_bucketed
 from tidecast.sources.series import pivot_series, read_series, select_bundle
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -374,6 +375,16 @@ def q_row_index_chunked(spark, d):
     return index.row_index(fx.bars(spark, d), "date", chunk="year")
 
 
+@register("bucketed_prepare", with_views(
+    f"SELECT *, {_IDX} AS idx, ({_IDX}) < floor(count(*) OVER (PARTITION BY symbol) * 0.8) AS is_train FROM f", "joined_multi",
+    extra=[("f", _ffill_select("joined_multi", "symbol"))]))
+def q_bucketed_prepare(spark, d):
+    """Bars stored in buckets by symbol: join, fill, index and split without an exchange of them."""
+    bars = spark.table(write_bucketed(fx.bars_multi(spark, d), "bars", "symbol", "date", buckets=8))
+    df = joins.enrich(bars, fx.series_wide(spark, d), on="date", by="symbol", fill="after").select(*bars.columns, *S)
+    return split.ordered_split(index.row_index(df, "date", by="symbol"), 0.8, "date", by="symbol")
+
+
 @register("ordered_split", _SPLIT)
 def q_ordered_split(spark, d):
     return _split_multi(spark, d)

@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from tidecast.operators._chunks import as_list
+from tidecast.session import shared_path
+
 
 def write_clustered(df: DataFrame, path: str, by: Sequence[str] = ("symbol",), order: Sequence[str] = ("date",),
                     partition_by: Sequence[str] = (), mode: str = "overwrite", fmt: str = "parquet") -> str:
@@ -43,3 +46,15 @@ def load_model(path: str):
     """Reload a model saved by :func:`save_model` (pipeline models)."""
     from pyspark.ml import PipelineModel
     return PipelineModel.load(path)
+
+
+def write_bucketed(df: DataFrame, name: str, by, order=(), buckets: int = 64) -> str:
+    """Save ``df`` as a table bucketed by ``by`` and sorted by (``by``, ``order``) within its buckets, under the shared folder;
+    returns the table's name, which is made unique. Windows, groups and joins by ``by`` over ``spark.table(name)`` need no
+    exchange of its rows, whatever they are and how often they are asked for. Each bucket is one file."""
+    spark, by = df.sparkSession, as_list(by)
+    path = shared_path(spark, name)
+    table = f"{name}_{path.rsplit('-', 1)[-1]}"
+    writer = df.repartition(buckets, *by).write.bucketBy(buckets, by[0], *by[1:]).sortBy(by[0], *by[1:], *as_list(order))
+    writer.option("path", path).format("parquet").saveAsTable(table)
+    return table
