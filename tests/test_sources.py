@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF01, rows
 from tidecast.sources import fixtures as fx
-from tidecast.sources.bars import from_pandas, make_bars, read_bars
+from tidecast.sources.bars import from_pandas, make_bars, read_bars, read_ticker_files
 from tidecast.sources.series import BUNDLES, pivot_series, read_series, select_bundle
 from tidecast.sources.sinks import write_predictions
 
@@ -94,3 +94,26 @@ def test_bars_with_a_packed_tie_hash_and_equal_those_with_a_struct(spark):
     packed = fx.bars_wide(spark, SF01)
     assert rows(plain) == rows(packed)
     assert "SortAggregate" not in packed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scans_of_given_files_push_symbols_and_dates(spark):
+    from tidecast.plans.registry import all_queries
+    for name, pushed in (("scan_bars", ("o_orderpriority", "o_orderdate")), ("scan_series", ("l_shipdate",))):
+        df = all_queries()[name][0](spark, SF01)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        filters = plan[plan.index("PushedFilters"):plan.index("ReadSchema")]
+        assert all(f"({c}," in filters for c in pushed), filters
+        assert plan.count("FileScan") == 1 and "o_comment" not in plan and "l_partkey" not in plan
+
+
+def test_ticker_files_only_those_asked_for_are_read(spark, tmp_path):
+    import pytest
+    for t in ("AAPL", "BRK-B", "A&B C"):
+        (tmp_path / f"{t}.csv").write_text("date,open,high,low,close,adjclose,volume\n2020-01-02,1,2,0.5,1.5,1.4,100\n2020-02-03,2,3,1.5,2.5,2.4,\n")
+    (tmp_path / "BROKEN.csv").write_text("not,bars\nx,y\n")
+    df = read_ticker_files(spark, str(tmp_path), ["AAPL", "A&B C"], start="2020-02-01")
+    assert rows(df.select("symbol", "date", "close", "volume")) == [("A&B C", dt.date(2020, 2, 3), 2.5, None), ("AAPL", dt.date(2020, 2, 3), 2.5, None)]
+    assert sorted(f.rsplit("/", 1)[-1] for f in df.inputFiles()) == ["A&B%20C.csv", "AAPL.csv"] or len(df.inputFiles()) == 2
+    assert rows(df.select("symbol", "close")) == [("A&B C", 2.5), ("AAPL", 2.5)]
+    with pytest.raises(Exception, match="(?i)exist|not found"):
+        read_ticker_files(spark, str(tmp_path), ["NONE"]).collect()

@@ -20,10 +20,9 @@ from tidecast.operators.scale import minmax, zscore, zscore_then_minmax
 from tidecast.plans.flows import forecast_rmse, prepare
 from tidecast.plans.oracle import with_views
 from tidecast.sources import fixtures as fx
-from tidecast.session import shared_path
-from tidecast.sources.bars import read_bars, symbol_filter
+from tidecast.sources.bars import symbol_filter
 from tidecast.sources.sinks import write_bucketed
-from tidecast.sources.series import pivot_series, read_series, select_bundle
+from tidecast.sources.series import filter_series, pivot_series, select_bundle
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -59,19 +58,15 @@ def _ffill_select(src: str, part: str = "", keep: str = "*") -> str:
     "SELECT * FROM bars_multi WHERE symbol IN ('1-URGENT', '2-HIGH') "
     "AND date >= DATE '1994-01-01' AND date < DATE '1998-01-01'", "bars_multi"))
 def q_scan_bars(spark, d):
-    # bars land as files laid out by symbol; the reader prunes partitions and pushes the date range
-    path = shared_path(spark, "bars")
-    fx.bars_multi(spark, d).write.mode("overwrite").partitionBy("symbol").parquet(path)
-    return read_bars(spark, path, ["1-URGENT", "2-HIGH"], "1994-01-01", "1998-01-01")
+    # the given trades are scanned with the symbols and the range of dates pushed down
+    return fx.bars_multi(spark, d, ["1-URGENT", "2-HIGH"], "1994-01-01", "1998-01-01")
 
 
 @register("scan_series", with_views(
     "SELECT * FROM series WHERE series IN ('M_MONTHLY', 'M_WEEKLY') "
     "AND date >= DATE '1994-01-01' AND date < DATE '1998-01-01'", "series"))
 def q_scan_series(spark, d):
-    path = shared_path(spark, "series")
-    fx.series(spark, d).write.mode("overwrite").parquet(path)
-    return read_series(spark, path, ["M_MONTHLY", "M_WEEKLY"], "1994-01-01", "1998-01-01")
+    return filter_series(fx.series(spark, d, "1994-01-01", "1998-01-01"), ["M_MONTHLY", "M_WEEKLY"])
 
 
 @register("pivot_series", with_views(

@@ -41,6 +41,36 @@ def read_bars(spark: SparkSession, path: str, symbols: Iterable[str] | None = No
     return _between(df, "date", start, end)
 
 
+def read_ticker_files(spark: SparkSession, folder: str, tickers: Iterable[str], start=None, end=None,
+                      columns: T.StructType | None = None, suffix: str = ".csv", **options) -> DataFrame:
+    """Daily bars from files as a price service delivers them, one per ticker and named after it.
+
+    Only the files of ``tickers`` are listed and read; the symbol comes from a file's name. ``columns`` is the files'
+    schema without the symbol (by default date, open, high, low, close, adjclose, volume with a header line), of which
+    only the columns that are used are parsed. A missing file raises."""
+    columns = columns or T.StructType([*[f for f in BARS_SCHEMA.fields if f.name not in ("symbol", "volume")],
+                                       T.StructField("adjclose", T.DoubleType()), T.StructField("volume", T.LongType())])
+    kind = suffix.split(".")[1]
+    reader = spark.read.schema(columns).format(kind)
+    reader = reader.options(**({"header": True, "enforceSchema": False} if kind == "csv" else {}), **options)
+    df = reader.load([f"{folder.rstrip('/')}/{t}{suffix}" for t in tickers])
+    # a file name in a path is percent-encoded
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    df = df.withColumn("symbol", F.left(name, F.length(name) - F.lit(len(suffix))))
+    return _between(df.select("symbol", *columns.names), "date", start, end)
+
+
+def read_trades(spark: SparkSession, path: str, ts: str, symbol: str, symbols: Iterable | None = None, start=None, end=None) -> DataFrame:
+    """Raw trades of ``symbols`` with ``start <= ts < end``, as they were delivered: what bars are made from.
+
+    Both predicates are on the files' own columns, so that they reach the scan; a filter on a bar's date would stop at
+    the cast that makes it."""
+    df = spark.read.parquet(path)
+    if symbols is not None:
+        df = symbol_filter(df, symbols, symbol)
+    return _between(df, ts, start, end)
+
+
 def symbol_filter(df: DataFrame, symbols, col: str = "symbol") -> DataFrame:
     """Keep one or several tickers."""
     if isinstance(symbols, (str, int)):

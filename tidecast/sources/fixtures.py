@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.functions.columns import lower_columns
-from tidecast.sources.bars import make_bars
+from tidecast.sources.bars import make_bars, read_trades
 from tidecast.sources.series import pivot_series
 
 # Ids of the three fixture series, upper case as a provider returns them.
@@ -28,9 +28,9 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return make_bars(o, ts="o_orderdate", price="o_totalprice", tie="o_orderkey", weekdays_only=True)
 
 
-def bars_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bars_multi(spark: SparkSession, sf_dir: str, symbols=None, start=None, end=None) -> DataFrame:
     """Several tickers: the order priority plays the symbol."""
-    o = table(spark, sf_dir, "orders")
+    o = read_trades(spark, f"{sf_dir}/orders.parquet", "o_orderdate", "o_orderpriority", symbols, start, end)
     return make_bars(o, ts="o_orderdate", price="o_totalprice", tie="o_orderkey",
                      symbol="o_orderpriority", weekdays_only=True)
 
@@ -49,13 +49,13 @@ def bars_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return make_bars(ev, ts="ts", price="value", tie="event_id", symbol="event_type", unit="hour")
 
 
-def series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long economic series (date, series, value): monthly, weekly and daily.
+def series(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
+    """Long economic series (date, series, value): monthly, weekly and daily, with ``start <= date < end``.
 
     One scan and one aggregation of lineitem per date; the three series are
     then the date's aggregates on the days each series is observed.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = read_trades(spark, f"{sf_dir}/lineitem.parquet", "l_shipdate", "l_suppkey", None, start, end)
     per_day = li.groupBy(F.col("l_shipdate").cast("date").alias("date")).agg(
         F.max("l_extendedprice").alias("_mx"), F.sum("l_quantity").alias("_q"))
     d = F.col("date")
