@@ -68,3 +68,38 @@ def test_known_map_is_kept(spark):
     out, v2 = shard_records(df, 4, n_slots=256, present=v1)
     assert sum(a[2] != b[2] for a, b in zip(sorted(v1), v2)) <= 8
     check(out.collect(), 4, 60)
+
+
+def test_map_versions_are_stored_edited_and_read_back(spark, tmp_path):
+    from tidecast.llm.shard import load_map, map_versions
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    path = str(tmp_path / "map")
+    one, first = shard_records(docs, 16, map_path=path)
+    one = {r.doc_id: r.shard for r in one.collect()}
+    two, second = shard_records(docs, 17, map_path=path)
+    two = two.collect()
+    check(two, 17, max(r.size for r in two) * 2)
+    assert map_versions(spark, path) == [1, 2]
+    assert load_map(spark, path, 1) == first and load_map(spark, path) == second
+    # version 2 names the slots that it moves, all to the new shard; no other row moves
+    before = {(s, p): shard for s, p, shard, _ in first}
+    moved = {(s, p): shard for s, p, shard, v in second if v == 2}
+    assert moved and set(moved.values()) == {16} and all(before[k] == shard for *k, shard, v in second if v == 1 for k in [tuple(k)])
+    assert all(r.shard == moved.get((r.virtual_slot, r.part), one[r.doc_id]) for r in two)
+    import pytest
+    with pytest.raises(ValueError):
+        load_map(spark, path, 9)
+
+
+def test_hot_rows_do_not_depend_on_the_layout(spark):
+    from collections import Counter
+    rows = [(5, "x" * 90)] * 900 + [(5, "y" * 90)] * 300 + [(i, "z") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [Counter((r.doc_id, r.text_crc32, r.shard) for r in shard_records(d, 4, n_slots=64)[0].collect())
+           for d in (docs.coalesce(1), docs.orderBy("text").repartition(7))]
+    assert got[0] == got[1] and len({k[2] for k in got[0] if k[0] == 5}) == 4
+
+
+def test_empty_table_with_a_map_path(spark, tmp_path):
+    rows, placed = shard_records(spark.createDataFrame([], "doc_id long, text string"), 4, map_path=str(tmp_path / "m"))
+    assert rows.collect() == [] and placed == []

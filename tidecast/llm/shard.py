@@ -13,7 +13,8 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import pick, stored, table
+from tidecast.llm.common import exists, pick, ranked, stored, table
+from tidecast.session import shared_path
 
 SLOTS = 8192
 #: A slot with over HOT times the mean of bytes is split into SPLITS parts, by a salt for each row.
@@ -76,8 +77,25 @@ def rebalance(rows: list[MapRow], loads: dict[tuple[int, int], int], n_shards: i
     return [(slot, part, *at[slot, part]) for slot, part in sorted(at)]
 
 
-def map_table(spark: SparkSession, rows: list[MapRow]) -> DataFrame:
-    return spark.createDataFrame(rows, "virtual_slot int, part int, shard int, map_version int")
+def store_map(spark: SparkSession, path: str, rows: list[MapRow], version: int) -> None:
+    """Write a version of the map to the table at ``path``: all its rows, in a partition of its own. Versions that are
+    there already stay readable; the same version written again (after a failure) replaces itself."""
+    df = spark.createDataFrame(rows, "virtual_slot int, part int, shard int, map_version int").withColumn("version", F.lit(version))
+    df.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(path)
+
+
+def map_versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions of the map at ``path``, in ascending order."""
+    return sorted(r["version"] for r in spark.read.parquet(path).select("version").distinct().collect())
+
+
+def load_map(spark: SparkSession, path: str, version: int | None = None) -> list[MapRow]:
+    """A stored version of the map, the last by default; as many rows as there are slots."""
+    version = map_versions(spark, path)[-1] if version is None else version
+    rows = spark.read.parquet(path).where(F.col("version") == version).select("virtual_slot", "part", "shard", "map_version").collect()
+    if not rows:
+        raise ValueError(f"there is no version {version} of the map at {path}")
+    return sorted(map(tuple, rows))
 
 
 def _records(docs: DataFrame, id_col: str, text_col: str, n_slots: int) -> DataFrame:
@@ -90,30 +108,44 @@ def _records(docs: DataFrame, id_col: str, text_col: str, n_slots: int) -> DataF
 
 
 def shard_records(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text",
-                  n_slots: int = SLOTS, present: list[MapRow] | None = None) -> tuple[DataFrame, list[MapRow]]:
+                  n_slots: int = SLOTS, present: list[MapRow] | None = None, map_path: str | None = None) -> tuple[DataFrame, list[MapRow]]:
     """(rows, map): all rows of ``docs`` put into shards so that the shards' bytes are near equal.
 
     Rows: id_col, size (UTF-8 bytes of the text plus 1; a null text has none), text_crc32, virtual_slot, part, shard,
     position (its number within the shard, gapless from 0) and map_version. The map is a fresh one, or ``present``
-    edited by ``rebalance``; its size is that of the slots, never of the rows.
+    edited by ``rebalance``; its size is that of the slots, never of the rows. With ``map_path`` the last version stored there is edited (the first
+    call makes version 1), the edited one is stored beside it and read back, and the rows are placed by what was read.
 
     A slot is the hash of id, text checksum and size. A slot far above the mean, as rows that repeat an id and a text
-    many times make it, is split by a salt for each row. Null ids and texts hash like values; rows repeat as they do
+    many times make it, is split: its rows are dealt out in turn, in order of id, checksum and size, so that the split
+    does not depend on the files' layout (rows alike in all three may change places). Null ids and texts hash like values; rows repeat as they do
     in the input; other columns are not read; an empty table gives no rows and a map without rows.
     """
     spark = docs.sparkSession
+    stored_versions = map_versions(spark, map_path) if map_path and exists(spark, map_path) else []
+    if stored_versions:
+        present = load_map(spark, map_path)
     records = _records(docs, id_col, text_col, n_slots)
     by_slot = records.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
     loads = by_slot.collect()  # at most n_slots rows
     mean = sum(r["bytes"] for r in loads) / n_slots
     hot = [r.virtual_slot for r in loads if r["bytes"] > HOT * mean and r["n"] > SPLITS]
-    salted = records.withColumn("part", F.when(F.col("virtual_slot").isin(hot), F.pmod(F.xxhash64("row"), F.lit(SPLITS))).otherwise(F.lit(0)).cast("int")
-                                if hot else F.lit(0))
+    plain = records.withColumn("part", F.lit(0))
+    salted = plain
+    if hot:
+        dealt = ranked(records.filter(F.col("virtual_slot").isin(hot)).withColumn("grp", F.col("virtual_slot").cast("string")),
+                       ["grp", "id", "crc", "size"], "shard-hot")
+        dealt = dealt.withColumn("part", F.pmod("pos", F.lit(SPLITS)).cast("int")).select(*plain.columns)
+        salted = plain.filter(~F.col("virtual_slot").isin(hot)).unionByName(dealt)
     # with the split slots: fewer than n_slots * (1 + SPLITS / HOT) rows, as few slots can be HOT times the mean
     parts = {(r.virtual_slot, r.part): (r["bytes"], r["n"]) for r in salted.groupBy("virtual_slot", "part").agg(
         F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()} if hot else {(r.virtual_slot, 0): (r["bytes"], r["n"]) for r in loads}
     sizes = {k: v[0] for k, v in parts.items()}
     placed = rebalance(present, sizes, n_shards) if present else place(sizes, n_shards)
+    if map_path and placed:
+        version = (stored_versions or [0])[-1] + 1
+        store_map(spark, map_path, placed, version)
+        placed = load_map(spark, map_path, version)
     first, rows = defaultdict(int), []
     for slot, part, shard, version in placed:  # slots stand in a shard one after another
         rows.append((slot, part, shard, version, first[shard]))
@@ -127,6 +159,6 @@ def shard_records(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", t
 
 def op4_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of near equal bytes; slot is the row's place within its shard."""
-    rows, _ = shard_records(table(spark, sf_dir, "documents"), 16)
+    rows, _ = shard_records(table(spark, sf_dir, "documents"), 16, map_path=shared_path(spark, "shard-map"))
     return rows.select("doc_id", "size", F.col("text_crc32").cast("long").alias("text_crc32"), F.lit("bytes").alias("law"), "shard",
                        F.col("position").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")
