@@ -57,6 +57,27 @@ def test_mandatory_wording_is_exact():
     assert [s for s in SCAN.scan(named.encode())[2] if s[0] == "mit"][0][1] == 0
 
 
+@pytest.mark.parametrize("label", sorted(TEMPLATES))
+def test_any_changed_mandatory_word_rejects_the_template(label):
+    """Every mandatory word in turn, with all optional parts left out and regions filled with one word."""
+    bare = TEMPLATES[label]
+    while "<<optional>>" in bare:
+        bare = re.sub(r"<<optional>>(?:(?!<</?optional>>).)*<</optional>>", " ", bare, flags=re.S)
+    words = [(w, True) for w in re.sub(r"<<var: *\d+>>", " @ ", bare).split()]
+    words = [("filler", False) if w == "@" else (w, m) for w, m in words]
+    scan = Scanner({}, {label: TEMPLATES[label]}).scan
+    assert [s[1:] for s in scan(" ".join(w for w, _ in words).encode())[2]] == [(0, len(words))]
+    for i, (_w, mandatory) in enumerate(words):
+        if mandatory:
+            assert not scan(" ".join([w for w, _ in words[:i]] + ["zebra"] + [w for w, _ in words[i + 1:]]).encode())[2], i
+
+
+def test_two_and_three_clauses_are_told_apart():
+    plain = lambda label: re.sub(r"<<var[^>]*>>", "the copyright holder", re.sub(r"<</?optional>>", " ", TEMPLATES[label]))
+    for label in ("bsd-2-clause", "bsd-3-clause", "mit", "isc", "zlib", "unlicense"):
+        assert {s[0] for s in SCAN.scan(plain(label).encode())[2]} == {label}
+
+
 def test_bad_templates():
     for t in ["<<optional>> a", "a <</optional>>", "<<optional>>a<</optional>>", ""]:
         with pytest.raises(ValueError):
