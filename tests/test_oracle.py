@@ -44,12 +44,13 @@ CHECKS = {
     "compare_models": lambda r: _finite(r, "rmse", "r2") or {x.model for x in r} == {"lr", "rf", "gbt"},
     "model_choice": lambda r: _finite(r, "rmse"),
     "pooled_model": lambda r: _finite(r, "rmse"),
-    "grid_search_cv": lambda r: _finite(r, "rmse") or len(r) == 4,
+    "grid_search_cv": lambda r: _finite(r, "rmse") or len(r) == 9,
     "windowed_forecast": lambda r: _finite(r, "rmse", "rmse_scaled") or {x.horizon for x in r} == set(range(1, 21)),
     "feature_importance": lambda r: all(abs(sum(x.importance for x in r if x.model == m) - 1) < 1e-9 for m in ("rf", "gbt")),
     "lime": lambda r: _finite(r, "weight") or len(r) == 50,
     "lime_quartile": lambda r: _finite(r, "weight") or len(r) == 150,
     "shap_sampled": lambda r: _finite(r, "phi"),
+    "shap_tree": lambda r: _finite(r, "phi") or len(r) == len({(x.model, x.symbol, x.idx, x.feature) for x in r}) == 2 * 12 * len({(x.symbol, x.idx) for x in r}),
 }
 
 
