@@ -1,12 +1,13 @@
 """A file format for token ids: adaptive context mixing and a range coder, in independent checksummed blocks.
 
-Models of orders 2 and 1 predict one id each: they keep, for the hash of the last two ids or the last one, the id that
-followed and how often it was right. Order 2 has a share by its own hit rate, order 1 by its own a share of what is left,
-without learned weights between them; the rest is order 0's, which predicts no id but keeps adaptive counts of the ids'
-magnitudes (bit lengths) and codes the id as one of equally likely ones within. The distribution drives a carry-less
-range coder. All models start anew in each block, so that blocks can be read on their own, and a file's
-blocks are coded side by side, one array lane each. The arithmetic is in whole numbers only: every machine decodes
-what any other has written.
+Three models predict the next id, and their mixture drives the coder. Order 0 gives every id of the file its share of the
+file's ids (a table in the header). Orders 2 and 1 keep, for the hash of the last two ids or the last one, the id that
+followed and a confidence, and predict that one id. Order 2 has a weight by how often it was right at its confidence,
+order 1 its own of what is left, order 0 the rest; the weights and what orders 1 and 2 know are learnt anew in each block,
+so that blocks can be read on their own. An id's probability is the sum over the three models, so one that several
+predict has the shares of all. Ids stand in the coder's interval in their own order, with the shares of the two predicted
+ids put in at their places. A file's blocks are coded side by side, one array lane each. The arithmetic is exact: every
+machine decodes what any other has written.
 """
 
 from __future__ import annotations
@@ -16,208 +17,203 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"TCM1"
+MAGIC = b"TCM2"
 #: Ids must be smaller than this.
 MOST = 1 << 18
-CLASSES = MOST.bit_length()
 #: A block has at most so many ids; so many blocks are coded side by side, which bounds the memory.
 BLOCK, LANES = 4096, 2048
 SLOTS = 1 << 9
-ONE = 1 << 16
-#: Order 0 renews its running sums every so many ids.
-RENEW = 8
+#: Order 0's shares are parts of 2**20, the weights of the models parts of 2**10: together the coder's 2**30.
+PARTS, WEIGHT = 20, 10
+TOTAL = PARTS + WEIGHT
+#: How often a prediction was right, in parts of 2**16, to begin with, by confidence; held under MOST_RIGHT.
+RIGHT = np.array([1500, 9000, 16000, 24000, 32000, 38000, 44000, 52000], np.int32)
+#: Change of an entry's confidence, by confidence + 8 * right.
+DELTA = np.array([0] + [-1] * 7 + [1] * 7 + [0], np.int32)
+MOST_RIGHT = 61440
 U = np.uint64
-#: The coder's state has 64 bits and is put out 24 bits at a time, as soon as they can't change any more; where a
-#: carry keeps them open the span is cut short at the border. At least 2**40 of span are left before each id.
-SHIFT, EDGE = U(24), U(1 << 40)
-_S16, _S40 = U(16), U(40)
-_HEAD = struct.Struct("<4sIQII")  # magic, documents, ids, block size, bytes of the document table
+#: The coder's state has 63 bits, of which 32 are put out as soon as the span is under EDGE; a carry into words that
+#: are already out is kept in their 33rd bit until the end.
+EDGE, LOW31, WORD, HALF = U(1 << 31), U((1 << 31) - 1), U(32), U(31)
+_HEAD = struct.Struct("<4sIQIII")  # magic, documents, ids, block size, bytes of the document table and of the id table
 _BLOCK = np.dtype([("n", "<u4"), ("words", "<u4"), ("crc", "<u4")])
-#: By magnitude: the smallest id, and the number of bits that are left to say.
-_FLOOR = np.array([0, *(1 << np.arange(CLASSES - 1))], np.int32)
-_BITS = np.array([0, *range(CLASSES - 1)], np.uint64)
-_SPREAD = (np.ones_like(_BITS) << _BITS).astype(np.int64) - 1
+
+
+def shares(counts: np.ndarray) -> np.ndarray:
+    """Shares of 2**PARTS in proportion to ``counts`` (all above 0), none of them 0; deterministic."""
+    spare = (1 << PARTS) - len(counts)
+    part = 1 + (counts.astype(np.int64) * spare // max(1, int(counts.sum())))
+    part[np.argmax(counts)] += (1 << PARTS) - int(part.sum())
+    return part
+
+
+class Table:
+    """Order 0 of a file: its distinct ids, ascending (known by their places from here on), and their shares."""
+
+    def __init__(self, ids: np.ndarray, part: np.ndarray):
+        self.ids, self.part = ids.astype(np.int32), part.astype(np.int64)
+        self.below = np.cumsum(self.part) - self.part
+        self.at = None
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> Table:
+        counts = np.bincount(ids) if len(ids) else np.ones(1, np.int64)
+        found = np.flatnonzero(counts)
+        return cls(found, shares(counts[found]))
+
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        lookup = np.zeros(int(self.ids[-1]) + 1, np.int32)
+        lookup[self.ids] = np.arange(len(self.ids), dtype=np.int32)
+        return lookup.take(ids)
+
+    def by_part(self) -> np.ndarray:
+        """The place of the id that holds each part."""
+        if self.at is None:
+            self.at = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.part)
+        return self.at
+
+    def pack(self) -> bytes:
+        gaps, part = np.diff(self.ids, prepend=0).astype("<u4"), self.part.astype("<u4")
+        columns = [x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in (gaps, part)]  # equal bytes side by side
+        return zlib.compress(struct.pack("<I", len(gaps)) + b"".join(columns), 9)
+
+    @classmethod
+    def unpack(cls, data: bytes) -> Table:
+        raw = zlib.decompress(data)
+        n = struct.unpack_from("<I", raw)[0]
+        gaps, part = (np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, 4 + i * 4 * n).reshape(4, n).T).view("<u4").reshape(-1) for i in (0, 1))
+        return cls(np.cumsum(gaps, dtype=np.int64), part)
 
 
 class _Model:
-    """The models of all lanes. Each lane learns by itself: a block must not depend on its neighbours."""
+    """Orders 2 and 1 of all lanes, one row each. Every lane learns by itself: a block must not depend on its neighbours."""
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.base, self.eight = self.lane * SLOTS, self.lane * 8
-        # per slot: the id that followed (0 to start with) and its confidence, in one number id * 8 + confidence
-        self.two, self.one = np.zeros(lanes * SLOTS, np.int32), np.zeros(lanes * SLOTS, np.int32)
-        # by lane and confidence, in parts of ONE: how often orders 2 and 1 were right
-        self.right2 = np.full(lanes * 8, ONE // 16, np.int32)
-        self.right1 = np.full(lanes * 8, ONE // 16, np.int32)
-        # order 0: counts by magnitude, and their running sums with a leading zero
-        self.count = np.ones((CLASSES, lanes), np.int32)
-        self.sums = np.zeros((CLASSES + 1, lanes), np.uint64)
-        self.hash1, self.hash2, self.step = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64), 0
+        self.base = np.arange(2 * lanes).reshape(2, lanes) * SLOTS
+        self.eight = np.arange(2 * lanes).reshape(2, lanes) * 8
+        # per slot: the place of the id that followed (0 to start with) and its confidence, as place * 8 + confidence
+        self.seen = np.zeros(2 * lanes * SLOTS, np.int32)
+        self.right = np.tile(RIGHT, 2 * lanes)
+        self.hash = np.zeros((2, lanes), np.int64)
+        self.weight = np.zeros((2, lanes), np.int32)
 
     def predict(self):
-        """Shares (of ONE) that orders 2 and 1 give to their ids p2 and p1; the rest is order 0's. Order 2 has the
-        first word, order 1 has its share of what order 2 leaves; equal ids are one."""
-        self.at1 = self.base + (self.hash1 >> 5 & (SLOTS - 1))
-        self.at2 = self.base + (self.hash1 + self.hash2 >> 4 & (SLOTS - 1))
-        self.e2, self.e1 = self.two.take(self.at2), self.one.take(self.at1)
-        self.l2, self.l1 = self.e2 & 7, self.e1 & 7
-        self.c2, self.c1 = self.eight + self.l2, self.eight + self.l1
-        self.p2, self.p1 = self.e2 >> 3, self.e1 >> 3
-        self.r2, self.r1 = self.right2.take(self.c2), self.right1.take(self.c1)
-        s2 = np.minimum(self.r2, ONE - 2048) + 32
-        s1 = ((self.r1 >> 1) * (ONE - 1024 - s2 >> 1) >> 14) + 32
-        same = self.p1 == self.p2
-        s2 = s2 + s1 * same
-        s1 = s1 * ~same
-        if self.step % RENEW == 0:
-            np.cumsum(self.count, axis=0, out=self.sums[1:], dtype=np.uint64)
-        self.step += 1
-        return s2, s1
-
-    def update(self, ids, missed, kind):
-        """Learn the ids; ``missed``: lanes that order 0 coded, with the magnitudes ``kind``."""
-        fresh = ids << 3
-        for table, at, e, level, p, right, c, r in ((self.two, self.at2, self.e2, self.l2, self.p2, self.right2, self.c2, self.r2),
-                                                    (self.one, self.at1, self.e1, self.l1, self.p1, self.right1, self.c1, self.r1)):
-            hit = p == ids
-            right[c] = r + (hit * np.int32(ONE - 1) - r >> 5)
-            # right: one more; wrong without any confidence: replaced; else one less
-            table[at] = np.where(hit, np.minimum(e + 1, e | 7), np.where(level == 0, fresh, e - 1))
-        self.count.reshape(-1)[kind * len(self.lane) + self.lane] += missed * np.int32(24)
-        if self.step % RENEW == 0:
-            full = self.sums[-1] > 3400
-            if full.any():
-                self.count[:, full] = self.count[:, full] + 1 >> 1
-        self.hash2 = self.hash1 * 5 & 0xFFFFFF
-        self.hash1 = ids * np.int64(40503)
-
-
-def _settle(low, span, write):
-    """Put out what can't change any more; ``write(low, done)`` handles the lanes ``done``, which are then shifted."""
-    while True:
-        small = span < EDGE
-        done = (low ^ (low + span)) < EDGE
-        open_ = small & ~done
-        if open_.any():
-            span = np.where(open_, (~low + U(1)) & (EDGE - U(1)), span)
-            done |= open_
-        elif not done.any():
-            return low, span
-        write(low, done)
-        by = done * SHIFT
-        low, span = low << by, span << by
-
-
-def _encode_lanes(ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Code blocks side by side: ids (lanes, block), n ids in each, in falling order of n. Returns 24-bit words and
-    their number per lane."""
-    lanes, steps = ids.shape
-    width = steps + 16
-    out = np.zeros(lanes * width, np.uint32)
-    pos = np.arange(lanes) * width
-    low, span = np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
-    model = _Model(lanes)
-
-    written = 0
-
-    def write(low, done):
-        nonlocal out, pos, width, written
-        written += 1
-        if written > width - 8:  # a block of ids that are all badly predicted may need more room
-            pos += model.lane * width
-            out = np.concatenate([out.reshape(lanes, width), np.zeros((lanes, width), np.uint32)], axis=1).reshape(-1)
-            width *= 2
-        out[pos] = low >> _S40
-        np.add(pos, done, out=pos)
+        """The places that orders 2 and 1 predict and their weights, in rows; and the weight of order 0."""
+        self.slot = (self.hash >> 5 & SLOTS - 1) + self.base
+        self.entry = self.seen.take(self.slot)
+        self.level = self.entry & 7
+        self.cell = self.eight + self.level
+        self.rate = self.right.take(self.cell)
+        w = self.weight
+        np.right_shift(self.rate, 16 - WEIGHT, out=w)
+        rest = (1 << WEIGHT) - w[0]
+        w[1] = w[1] * rest >> WEIGHT
+        self.place = self.entry >> 3
+        return self.place, w, rest - w[1]
+
+    def update(self, x, hit):
+        """Learn the places ``x``; ``hit``: what orders 2 and 1 had right."""
+        self.right[self.cell] = np.minimum(self.rate + ((hit * np.int32(65535)) - self.rate >> 5), MOST_RIGHT)
+        # right: one more; wrong without any confidence: replaced; else one less
+        kind = self.level + (hit * np.int32(8))
+        self.seen[self.slot] = np.where(kind == 0, x << 3, self.entry + DELTA.take(kind))
+        now = x * np.int64(40503)
+        self.hash[0] = now + (self.hash[1] * 5 & 0xFFFFFF)
+        self.hash[1] = now
+
+
+def _place(p, w, rest, below, part, x, hit):
+    """Start and size, of 2**TOTAL, of the places ``x`` within the mixture."""
+    extra = w * (p < x)
+    start = rest * below.take(x) + ((extra[0] + extra[1]).astype(np.int64) << PARTS)
+    extra = w * hit
+    return start, rest * part.take(x) + ((extra[0] + extra[1]).astype(np.int64) << PARTS)
+
 
+def _encode_lanes(x: np.ndarray, n: np.ndarray, table: Table) -> tuple[np.ndarray, np.ndarray]:
+    """Code blocks side by side: places of ids (block, lanes), n of them in each lane, in falling order of n. Returns
+    words (lanes, width) and their number per lane."""
+    steps, lanes = x.shape
+    width = steps // 2 + 96
+    out = np.zeros(lanes * width, U)
+    first = np.arange(lanes)
+    pos = first * width
+    low, span = np.zeros(lanes, U), np.full(lanes, 2**63 - 1, U)
+    model, below, part = _Model(lanes), table.below, table.part
     for t in range(steps):
-        x = ids[:, t]
-        kind = np.frexp(x.astype(np.float32))[1]
-        s2, s1 = model.predict()
-        hit2 = x == model.p2
-        hit1 = (x == model.p1) & ~hit2
-        missed = ~(hit2 | hit1)
-        start = np.where(hit2, 0, np.where(hit1, s2, s2 + s1))
-        size = np.where(hit2, s2, np.where(hit1, s1, ONE - s2 - s1))
+        now = x[t]
+        p, w, rest = model.predict()
+        hit = p == now
+        start, size = _place(p, w, rest, below, part, now, hit)
         if t >= n[-1]:  # blocks that are through code nothing
-            live = t < n
-            size, start, missed = np.where(live, size, ONE), np.where(live, start, 0), missed & live
-        r = span >> _S16
-        low = low + r * start.astype(U)
-        span = r * size.astype(U)
-        at = kind * lanes + model.lane
-        sums = model.sums.reshape(-1)
-        before = sums.take(at)
-        r = span // model.sums[-1]
-        r2 = r * (sums.take(at + lanes) - before) >> _BITS.take(kind)
-        low = np.where(missed, low + r * before + r2 * (x - _FLOOR.take(kind)).astype(U), low)
-        span = np.where(missed, r2, span)
-        low, span = _settle(low, span, write)
-        model.update(x, missed, kind)
-    for _ in range(3):
-        out[pos] = low >> _S40
-        pos += 1
-        low = low << SHIFT
-    return out.reshape(lanes, width), pos - np.arange(lanes) * width
-
-
-def _decode_lanes(words: np.ndarray, n: np.ndarray, steps: int) -> np.ndarray:
+            done = int(np.searchsorted(-n, -t))
+            start[done:], size[done:] = 0, 1 << TOTAL
+        span >>= U(TOTAL)
+        low += span * start.view(U)
+        span *= size.view(U)
+        model.update(now, hit)
+        small = np.flatnonzero(span < EDGE)
+        if len(small):
+            at = pos[small]
+            a = low[small]
+            out[at] = a >> HALF
+            pos[small] = at + 1
+            low[small] = (a & LOW31) << WORD
+            span[small] <<= WORD
+        if t >= steps // 2 and t % 64 == 0 and int((pos - first * width).max()) > width - 80:  # badly predicted ids need more room
+            out = np.concatenate([out.reshape(lanes, width), np.zeros((lanes, width), U)], axis=1).reshape(-1)
+            pos += first * width
+            width *= 2
+    out[pos] = (low + LOW31) >> HALF  # a number within the span that ends in zeros
+    pos += 1
+    words = np.ascontiguousarray(out.reshape(lanes, width).T)
+    used = pos - first * width
+    for i in range(int(used.max()) - 1, 0, -1):
+        words[i - 1] += words[i] >> WORD
+    return words.astype(np.uint32).T, used
+
+
+def _decode_lanes(words: np.ndarray, n: np.ndarray, steps: int, table: Table) -> np.ndarray:
     """The ids (lanes, steps) of blocks coded side by side; lanes in falling order of n."""
     lanes, width = words.shape
-    words = words.reshape(-1)
-    ids = np.zeros((lanes, steps), np.int32)
-    pos = np.arange(lanes) * width + 2
+    out = np.zeros((steps, lanes), np.int32)
+    # the state's 63 bits end one bit before a word does
+    words = words.astype(U)
+    ahead = np.concatenate([words[:, 1:], np.zeros((lanes, 1), U)], axis=1)
+    code = words[:, 0] << HALF | ahead[:, 0] >> U(1)
+    words = ((words & U(1)) << HALF | ahead >> U(1)).reshape(-1)
+    pos = np.arange(lanes) * width + 1
     last = np.arange(1, lanes + 1) * width - 1  # a damaged block may read on
-    code = words.take(pos - 2).astype(U) << _S40 | words.take(pos - 1).astype(U) << _S16 | words.take(pos).astype(U) >> U(8)
-    tail = words.take(pos) & np.uint32(255)  # bits of the last word that don't fit the state yet
-    low, span = np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
-    model = _Model(lanes)
-
-    def read(low, done):
-        nonlocal code, tail
-        np.minimum(pos + done, last, out=pos)
-        now = words.take(pos)
-        code = np.where(done, code << SHIFT | (tail << np.uint32(16) | now >> np.uint32(8)).astype(U), code)
-        tail = np.where(done, now & np.uint32(255), tail)
-
+    span = np.full(lanes, 2**63 - 1, U)
+    model, below, part, at = _Model(lanes), table.below, table.part, table.by_part()
+    most = U((1 << TOTAL) - 1)
     for t in range(steps):
-        s2, s1 = model.predict()
-        r = span >> _S16
-        v = ((code - low) // r).astype(np.int64)
-        hit2 = v < s2
-        missed = v >= s2 + s1
-        hit1 = ~(hit2 | missed)
-        start = np.where(hit2, 0, np.where(hit1, s2, s2 + s1))
-        size = np.where(hit2, s2, np.where(hit1, s1, ONE - s2 - s1))
-        live = None
+        p, w, rest = model.predict()
+        span >>= U(TOTAL)
+        v = np.minimum(code // span, most).view(np.int64)
+        # take the shares put in at the two predicted places out again, the one that stands first before the other
+        swap = p[0] > p[1]
+        extra = w.astype(np.int64) << PARTS
+        head = np.where(swap, extra[1], extra[0])
+        v -= np.minimum(np.maximum(v - rest * below.take(np.where(swap, p[1], p[0])), 0), head)
+        v -= np.minimum(np.maximum(v - rest * below.take(np.where(swap, p[0], p[1])), 0), extra[0] + extra[1] - head)
+        x = at.take((v / rest).astype(np.int64))  # exact: both are whole numbers far under 2**53
+        hit = p == x
+        start, size = _place(p, w, rest, below, part, x, hit)
         if t >= n[-1]:
-            live = t < n
-            size, start, missed = np.where(live, size, ONE), np.where(live, start, 0), missed & live
-        low = low + r * start.astype(U)
-        span = r * size.astype(U)
-        r = span // model.sums[-1]
-        v = (code - low) // r
-        kind = np.zeros(lanes, np.int64)
-        for row in model.sums[1:-1]:  # the magnitude whose share holds the code
-            kind += row <= v
-        at = kind * lanes + model.lane
-        sums = model.sums.reshape(-1)
-        before = sums.take(at)
-        r2 = r * (sums.take(at + lanes) - before) >> _BITS.take(kind)
-        inner = low + r * before
-        m = np.minimum(((code - inner) // np.maximum(r2, U(1))).astype(np.int64) * missed, _SPREAD.take(kind))
-        x = np.where(missed, _FLOOR.take(kind) + m, np.where(hit2, model.p2, model.p1)).astype(np.int32)
-        if live is not None:
-            x = x * live
-        # what the encoder took as magnitude, also where order 0 was not needed
-        kind = np.where(missed, kind, 0)
-        low = np.where(missed, inner + r2 * m.astype(U), low)
-        span = np.where(missed, r2, span)
-        ids[:, t] = x
-        low, span = _settle(low, span, read)
-        model.update(x, missed, kind)
-    return ids
+            done = int(np.searchsorted(-n, -t))
+            start[done:], size[done:] = 0, 1 << TOTAL
+        out[t] = x
+        code -= span * start.view(U)
+        span *= size.view(U)
+        model.update(x, hit)
+        small = np.flatnonzero(span < EDGE)
+        if len(small):
+            here = pos[small]
+            code[small] = code[small] << WORD | words.take(here)
+            span[small] <<= WORD
+            pos[small] = np.minimum(here + 1, last[small])
+    return table.ids.take(out.T)
 
 
 def block_size(n: int) -> int:
@@ -229,6 +225,8 @@ def write_file(doc_ids: list, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     """One file of whole documents: their ids (integers or None), their numbers of token ids, and the token ids."""
     if len(ids) and int(ids.max()) >= MOST:
         raise ValueError(f"ids must be under {MOST}")
+    order0 = Table.of(ids)
+    places, id_table = order0.places(ids), order0.pack()
     table = zlib.compress(np.array([i is None for i in doc_ids], np.uint8).tobytes() + np.array([i or 0 for i in doc_ids], "<i8").tobytes()
                           + np.asarray(lengths, "<i8").tobytes(), 1)
     size = block_size(len(ids))
@@ -238,51 +236,56 @@ def write_file(doc_ids: list, lengths: np.ndarray, ids: np.ndarray) -> bytes:
         b = min(n_blocks, a + LANES)
         n = np.minimum(size, len(ids) - np.arange(a, b) * size)
         block = np.zeros((b - a, size), np.int32)
-        block.reshape(-1)[: int(n.sum())] = ids[a * size:a * size + int(n.sum())]
-        words, used = _encode_lanes(block, n)
+        block.reshape(-1)[: int(n.sum())] = places[a * size:a * size + int(n.sum())]
+        words, used = _encode_lanes(np.ascontiguousarray(block.T), n, order0)
         for i in range(b - a):
-            own = words[i, :used[i]].astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
-            index[a + i] = (n[i], used[i], zlib.crc32(own, zlib.crc32(block[i, :n[i]].astype("<u4").tobytes())))
+            own = words[i, :used[i]].astype("<u4").tobytes()
+            at = (a + i) * size
+            index[a + i] = (n[i], used[i], zlib.crc32(own, zlib.crc32(ids[at:at + n[i]].astype("<u4").tobytes())))
             payload.append(own)
-    head = _HEAD.pack(MAGIC, len(doc_ids), len(ids), size, len(table)) + table + index.tobytes()
+    head = _HEAD.pack(MAGIC, len(doc_ids), len(ids), size, len(table), len(id_table)) + table + id_table + index.tobytes()
     return head + struct.pack("<I", zlib.crc32(head)) + b"".join(payload)
 
 
-def read_file(data: bytes):
-    """(doc ids, lengths, token ids) of a file; raises ValueError if its header or a block fails its checksum."""
-    magic, n_docs, n_ids, size, n_table = _HEAD.unpack_from(data)
+def _head(data: bytes):
+    """Documents, ids, block size, the packed document table, the id table, the blocks' index, where each starts."""
+    magic, n_docs, n_ids, size, n_table, n_id_table = _HEAD.unpack_from(data)
+    at = _HEAD.size + n_table + n_id_table
     n_blocks = -(-n_ids // size)
-    end = _HEAD.size + n_table + n_blocks * _BLOCK.itemsize
-    if magic != MAGIC or struct.unpack_from("<I", data, end)[0] != zlib.crc32(data[:end]):
+    end = at + n_blocks * _BLOCK.itemsize
+    if magic != MAGIC or len(data) < end + 4 or struct.unpack_from("<I", data, end)[0] != zlib.crc32(data[:end]):
         raise ValueError("not a token file, or its header is damaged")
-    table = zlib.decompress(data[_HEAD.size:_HEAD.size + n_table])
-    null = np.frombuffer(table, np.uint8, n_docs)
-    doc_ids, lengths = np.frombuffer(table, "<i8", 2 * n_docs, n_docs).reshape(2, -1)
-    index = np.frombuffer(data, _BLOCK, n_blocks, _HEAD.size + n_table)
-    starts = end + 4 + 3 * np.concatenate([[0], np.cumsum(index["words"], dtype=np.int64)])
-    out = np.zeros(n_blocks * size, np.int32).reshape(n_blocks, size)
-    for a in range(0, n_blocks, LANES):
-        b = min(n_blocks, a + LANES)
-        out[a:b] = _read_blocks(data, index[a:b], starts[a:b], size)
+    index = np.frombuffer(data, _BLOCK, n_blocks, at)
+    starts = end + 4 + 4 * np.concatenate([[0], np.cumsum(index["words"], dtype=np.int64)])
+    return n_docs, n_ids, size, data[_HEAD.size:_HEAD.size + n_table], Table.unpack(data[_HEAD.size + n_table:at]), index, starts
+
+
+def read_file(data: bytes):
+    """(doc ids, lengths, token ids) of a file; raises ValueError if its header or a block fails its checksum."""
+    n_docs, n_ids, size, docs, order0, index, starts = _head(data)
+    docs = zlib.decompress(docs)
+    null = np.frombuffer(docs, np.uint8, n_docs)
+    doc_ids, lengths = np.frombuffer(docs, "<i8", 2 * n_docs, n_docs).reshape(2, -1)
+    out = np.zeros((len(index), size), np.int32)
+    for a in range(0, len(index), LANES):
+        b = min(len(index), a + LANES)
+        out[a:b] = _read_blocks(data, index[a:b], starts[a:b], size, order0)
     return [None if x else int(i) for x, i in zip(null, doc_ids)], lengths, out.reshape(-1)[:n_ids]
 
 
-def _read_blocks(data, index, starts, size):
+def _read_blocks(data, index, starts, size, order0):
     words = np.zeros((len(index), int(index["words"].max()) + 4), "<u4")
-    coded = [data[at:at + 3 * row["words"]] for row, at in zip(index, starts.tolist())]
     for i, (row, at) in enumerate(zip(index, starts.tolist())):
-        words[i, :row["words"]].view(np.uint8).reshape(-1, 4)[:, :3] = np.frombuffer(data, np.uint8, 3 * row["words"], at).reshape(-1, 3)
-    ids = _decode_lanes(words, index["n"].astype(np.int64), size)
+        words[i, :row["words"]] = np.frombuffer(data, "<u4", row["words"], at)
+    ids = _decode_lanes(words, index["n"].astype(np.int64), size, order0)
     for i, row in enumerate(index):
-        if zlib.crc32(coded[i], zlib.crc32(ids[i, :row["n"]].astype("<u4").tobytes())) != row["crc"]:
+        own = ids[i, :row["n"]].astype("<u4").tobytes()
+        if row["crc"] != zlib.crc32(data[starts[i]:starts[i] + 4 * int(row["words"])], zlib.crc32(own)):
             raise ValueError(f"block {i} is damaged")
     return ids
 
 
 def read_block(data: bytes, block: int) -> np.ndarray:
     """The ids of one block, read without the others."""
-    _, _, n_ids, size, n_table = _HEAD.unpack_from(data)
-    n_blocks = -(-n_ids // size)
-    index = np.frombuffer(data, _BLOCK, n_blocks, _HEAD.size + n_table)
-    at = _HEAD.size + n_table + n_blocks * _BLOCK.itemsize + 4 + 3 * int(index["words"][:block].sum(dtype=np.int64))
-    return _read_blocks(data, index[block:block + 1], np.array([at]), size)[0, :index["n"][block]]
+    _, _, size, _, order0, index, starts = _head(data)
+    return _read_blocks(data, index[block:block + 1], starts[block:block + 1], size, order0)[0, :index["n"][block]]
