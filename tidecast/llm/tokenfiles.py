@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import zlib
 
@@ -42,7 +43,7 @@ class ChunkIds(dict):
     def __missing__(self, chunk: str) -> bytes:
         code = self.older.get(chunk)
         if code is None:
-            body = chunk.rstrip(".,")
+            body = chunk.rstrip(string.punctuation)
             word = body.lower()
             if not self.plain(word):
                 code = self._pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
