@@ -1,5 +1,6 @@
 """Token files: exact round trips, checksums, equality with the tokenizers library."""
 
+import string
 import zlib
 
 import numpy as np
@@ -84,3 +85,22 @@ def test_nulls_repeats_clashing_columns(spark):
     assert ids == sorted(r[2] for r in got)
     write_token_files(df.limit(0), path + "e", PATH)
     assert read_digests(spark, path + "e").count() == 0
+
+
+def test_tails_equal_library():
+    for word in ("word", "Dés", "a1", "don't", "İ", "漢", "x" * 63):
+        for a in string.punctuation:
+            for b in ("", a, "...", "'s", ")"):
+                text = word + a + b
+                assert np.frombuffer(CHUNKS.ids(text), "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids, text
+
+
+def test_order0_reaches_entropy():
+    """Ids without any order cost about their plain entropy, though no block knows another."""
+    rng = np.random.default_rng(5)
+    ids = np.minimum(rng.zipf(1.3, 60_000) - 1, 40_000).astype(np.int32)
+    share = np.bincount(ids) / len(ids)
+    entropy = -(share[share > 0] * np.log2(share[share > 0])).sum()
+    bits = 8 * (len(write_file([1], np.array([len(ids)]), ids)) - len(codec.Table.of(ids).pack())) / len(ids)
+    index = 8 * codec._BLOCK.itemsize / codec.block_size(len(ids))  # what each block's entry adds per id
+    assert bits < entropy + index + 0.4
