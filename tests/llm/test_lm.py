@@ -142,3 +142,49 @@ def test_words_of_held_out_texts_only(spark, monkeypatch):
     assert lm.frequent_words(counted, 91, 100) == {b"the": pytest.approx(math.log10(90.5)), b"zq": lm.UNKNOWN}
     monkeypatch.setattr(lm, "HOT", 10)
     assert lm.frequent_words(counted, 91, 100)[b"cat"] == pytest.approx(math.log10(1.5))
+
+
+def test_trie_in_little_memory():
+    """Building a trie takes a bounded number of bytes a leaf, beside the leaves given."""
+    import tracemalloc
+    rng = np.random.default_rng(0)
+    codes = np.unique(rng.integers(0, SYMBOLS**2, 300_000) * SYMBOLS**4 + rng.integers(0, 5000, 300_000))
+    high = [np.full(len(codes), 5, np.int8), codes, np.ones(len(codes), np.int32)]
+    low = [np.full(len(codes), LOW, np.int8), codes % SYMBOLS**3, np.ones(len(codes), np.int32)]
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        trie = Trie(5, low, high)
+        held, most = (x - before for x in tracemalloc.get_traced_memory())
+    finally:
+        tracemalloc.stop()
+    assert held < 90 * len(codes) and most < 125 * len(codes), (held / len(codes), most / len(codes))
+    assert len(trie.levels) == 6
+
+
+def test_batches_in_pieces(monkeypatch):
+    """A batch is counted and scored in slices of bounded size; the results are those of the whole."""
+    import pyarrow as pa
+    trie = build([b"the cat sat on the mat"], 3)
+    monkeypatch.setattr(lm, "_trie", lambda key, sent: (trie, {}))
+    texts = ["the cat", "", "sat " * 30, "é" * 70, "mat", "", "on the"]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(7)), "text": texts, "same": list(range(7))})
+    run = lambda: (list(lm._score_batches([batch, batch.slice(0, 0)], 0, None, 2, 5, 1)), list(lm._add_batches([batch], 0, None, 1, 2)))
+    whole = [pa.Table.from_batches(x).to_pydict() for x in run()]
+    counted = Counter()
+
+    def count():
+        out = Counter()
+        for b in lm._count_batches([batch], 3, 5, 1):
+            for *key, n in zip(*(b[c].to_pylist() for c in ("ord", "code", "word", "n"))):
+                out[tuple(key)] += n
+        return out
+
+    counted = count()
+    monkeypatch.setattr(lm, "PIECE", 40)
+    cut = run()
+    assert all(len(x) > 3 and max(b.num_rows for b in x) < 5 for x in cut)
+    assert [pa.Table.from_batches(x).to_pydict() for x in cut] == whole and len(whole[0]["id"]) == 7
+    assert count() == counted
+    monkeypatch.setattr(lm, "FLUSH", 2)
+    assert count() == counted

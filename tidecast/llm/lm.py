@@ -22,6 +22,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,8 @@ FLUSH = 300_000
 HOT = 1 << 19
 #: So many symbols of a text at a time, which bounds the memory for very long texts.
 STEP = 1 << 18
+#: An Arrow batch is worked through in pieces of about so many bytes of text.
+PIECE = 1 << 22
 
 
 def is_held_out(doc_id, folds: int = 5, fold: int = 1) -> bool:
@@ -48,6 +51,18 @@ def is_held_out(doc_id, folds: int = 5, fold: int = 1) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % folds == fold
 
 
+def _pieces(batches):
+    """The batches in slices of about PIECE bytes of text, or one longer text, so that what is made of them stays small."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        size = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        cuts = [0, *(np.flatnonzero(np.diff((size - 1) // PIECE)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            yield batch.slice(a, b - a)
+        del batch
+
+
 # -- counts ------------------------------------------------------------------------------------------------------
 
 
@@ -98,24 +113,54 @@ def _leaves(texts: list[bytes], order: int):
             yield k, codes[place == k] % SYMBOLS ** (k + 1)
 
 
+def _starts(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    first = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=first[1:])
+    return np.flatnonzero(first)
+
+
+def _add(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(x, starts, dtype=np.int64) if len(starts) else x
+
+
 class _Sums:
-    """Sums by code, kept as sorted pairs and handed on when they grow over ``most``."""
+    """Sums by code, kept as sorted pairs, to be handed on when they grow over ``most``. Codes are first collected, so that
+    many are sorted at once; what they add is merged when it is as much as all before."""
 
     def __init__(self, most: int = 1_000_000):
         self.parts, self.held, self.most = [], 0, most
+        self.raw, self.waiting, self.merged = [], 0, 0
 
     def add(self, codes: np.ndarray) -> None:
-        kept, n = np.unique(codes, return_counts=True)
-        self.parts.append((kept, n))
-        self.held += len(kept)
-        if self.held > self.most:
+        self.raw.append(codes)
+        self.waiting += len(codes)
+        if self.waiting > self.most:
+            self._sort()
+
+    def _sort(self) -> None:
+        codes = np.concatenate(self.raw)
+        self.raw, self.waiting = [], 0
+        codes.sort()
+        new = _starts(codes)
+        self.parts.append((codes[new], np.diff(new, append=len(codes))))
+        self.held += len(new)
+        if self.held > max(2 * self.merged, self.most):
             self.parts = [self.total()]
-            self.held = len(self.parts[0][0])
+            self.merged = self.held = len(self.parts[0][0])
 
     def total(self):
-        codes, n = (np.concatenate(x) for x in zip(*self.parts)) if self.parts else (np.zeros(0, np.int64),) * 2
-        kept, at = np.unique(codes, return_inverse=True)
-        return kept, np.bincount(at, n, len(kept)).astype(np.int64)
+        if self.raw:
+            self._sort()
+        if not self.parts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if len(self.parts) == 1:
+            return self.parts[0]
+        codes, n = (np.concatenate(x) for x in zip(*self.parts))
+        by = np.argsort(codes, kind="stable")  # runs in order, which are merged
+        codes, n = codes[by], n[by]
+        new = _starts(codes)
+        return codes[new], _add(n, new)
 
 
 def _count_batches(batches, order: int, folds: int, fold: int):
@@ -137,7 +182,7 @@ def _count_batches(batches, order: int, folds: int, fold: int):
         sums[k] = _Sums()
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), k, np.int32)), pa.array(codes), pa.nulls(len(codes), pa.binary()), pa.array(n)], names)
 
-    for batch in batches:
+    for batch in _pieces(batches):
         texts = []
         for i, value in zip(batch["id"].to_pylist(), batch["text"].cast(pa.binary())):
             kind, counts = (-2, held) if is_held_out(i, folds, fold) else (-1, words)
@@ -150,7 +195,7 @@ def _count_batches(batches, order: int, folds: int, fold: int):
         ends += len(texts)
         for k, codes in _leaves(texts, order):
             sums[k].add(codes)
-            if sums[k].held > sums[k].most // 2:
+            if sums[k].merged > sums[k].most:
                 yield leaf_rows(k)
     for kind, counts in ((-1, words), (-2, held)):
         if counts:
@@ -158,13 +203,18 @@ def _count_batches(batches, order: int, folds: int, fold: int):
     if ends:  # the end token: a word that no text can hold
         yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.nulls(1, pa.int64()), pa.array([b" "], pa.binary()), pa.array([ends], pa.int64())], names)
     for k in range(order + 1):
-        if sums[k].parts:
+        if sums[k].parts or sums[k].raw:
             yield leaf_rows(k)
 
 
 # -- the model ---------------------------------------------------------------------------------------------------
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Whole numbers as 32 bits, if they fit."""
+    return x.astype(np.int32) if x.max(initial=0) < 1 << 31 else x
+
+
 class _Level:
     """Contexts of one length: leaves, and of each context the sum and number of its symbols, and the sum that these
     symbols have in the context without its first byte."""
@@ -173,17 +223,23 @@ class _Level:
         by = np.argsort(codes, kind="stable")
         codes, counts = codes[by], counts[by]
         del by
-        new = np.flatnonzero(np.diff(codes, prepend=-1))
-        self.codes = codes[new]
-        counts = np.add.reduceat(counts, new) if len(new) else counts
-        new = np.flatnonzero(np.diff(self.codes // SYMBOLS, prepend=-1))
-        self.contexts = self.codes[new] // SYMBOLS
-        add = lambda x: np.add.reduceat(x, new) if len(new) else x
-        self.size = np.diff(np.append(new, len(self.codes)))
-        self.sums, self.kinds = add(counts), self.size.astype(np.float32)
+        new = _starts(codes)
+        self.codes = codes[new] if len(new) < len(codes) else codes
+        self.counts = counts = _narrow(_add(counts, new))
+        del codes, new
+        contexts = self.codes // SYMBOLS
+        new = _starts(contexts)
+        self.contexts = contexts[new]
+        del contexts
+        self.size = np.diff(new, append=len(self.codes)).astype(np.int16)
+        self.sums, self.kinds = _narrow(_add(counts, new)), self.size
         # whatever followed the longer context also followed the shorter one, so that all of these are found
-        self.under = add(shorter.counts[np.searchsorted(shorter.codes, self.codes % SYMBOLS**k)]) if shorter else np.zeros(len(new))
-        self.counts = counts
+        self.under = np.zeros(len(new), np.int32)
+        if shorter:
+            under = np.empty(len(self.codes), shorter.counts.dtype)
+            for a in range(0, len(under), STEP):
+                under[a:a + STEP] = shorter.counts[np.searchsorted(shorter.codes, self.codes[a:a + STEP] % SYMBOLS**k)]
+            self.under = _narrow(_add(under, new))
 
     @staticmethod
     def find(table: np.ndarray, wanted: np.ndarray):
@@ -206,21 +262,31 @@ class Trie:
             codes, counts = [], []
             for longer in range(k, (min(order, LOW) if k <= LOW else order) + 1):  # leaves of longer contexts count here too
                 here = part[0] == longer
-                codes.append(part[1][here] % SYMBOLS ** (k + 1))
+                codes.append(part[1][here])
                 counts.append(part[2][here])
-            shorter = _Level(np.concatenate(codes), np.concatenate(counts).astype(np.float64), shorter, k)
+                if longer > k:
+                    codes[-1] %= SYMBOLS ** (k + 1)
+            codes, counts = np.concatenate(codes), np.concatenate(counts)
+            shorter = _Level(codes, counts, shorter, k)
             self.levels.append(shorter)
-        del part, codes, counts
+        del part, codes, counts, here
         # the longest contexts, where nearly all symbols are found: by a hash of the code, with its bucket's first entry
         top = self.levels[order]
         escapes = np.where(top.kinds < SYMBOLS, top.kinds, 0)
-        cost = np.log10(top.counts) - np.repeat(np.log10(top.sums + escapes), top.size)
+        cost = np.repeat(np.log10(top.sums + escapes), top.size)
+        np.subtract(np.log10(top.counts), cost, out=cost)
+        cost = cost.astype(np.float32)
         self.bits = max(4, len(cost).bit_length())
-        bucket = self._bucket(top.codes)
-        by = np.argsort(bucket, kind="stable")
-        self.keys, self.cost = np.append(top.codes[by], -1), np.append(cost[by], 0).astype(np.float32)
-        self.first = np.searchsorted(bucket[by], np.arange((1 << self.bits) + 1)).astype(np.int32)
-        top.codes, top.counts = np.zeros(0, np.int64), np.zeros(1)  # found by hash, or not there
+        bucket = self._bucket(top.codes).astype(np.int32)
+        by = np.argsort(-top.counts, kind="stable").astype(np.int32)  # within a bucket frequent codes come first
+        by = by[np.argsort(bucket[by], kind="stable")]
+        self.first = np.zeros((1 << self.bits) + 1, np.int32)
+        np.cumsum(np.bincount(bucket, minlength=1 << self.bits), out=self.first[1:])
+        del bucket
+        self.keys, self.cost = np.full(len(by) + 1, -1, np.int64), np.zeros(len(by) + 1, np.float32)
+        np.take(top.codes, by, out=self.keys[:-1])
+        np.take(cost, by, out=self.cost[:-1])
+        top.codes, top.counts = np.zeros(0, np.int64), np.zeros(1, np.int32)  # found by hash, or not there
         for level in self.levels:
             level.size = None
 
@@ -229,18 +295,21 @@ class Trie:
 
     def costs(self, codes: np.ndarray, place: np.ndarray) -> np.ndarray:
         """The cost of each symbol, whose context is as long as ``order`` and its place in the text allow."""
-        out = np.zeros(len(codes))
         bucket = self._bucket(codes)
-        at, end = self.first[bucket], self.first[bucket + 1]
-        left = np.flatnonzero((place >= self.order) & (at < end))
-        at, end = at[left], end[left]
-        known = np.zeros(len(codes), bool)
+        at = self.first.take(bucket)
+        known = self.keys.take(at) == codes  # in an empty bucket's place stands another one's code
+        long = place >= self.order
+        known &= long
+        out = self.cost.take(at).astype(np.float64)
+        left = np.flatnonzero(known != long)
+        at, end = at[left] + 1, self.first.take(bucket[left] + 1)
         while len(left):
-            hit = self.keys[at] == codes[left]
+            go = at < end
+            left, at, end = left[go], at[go], end[go]
+            hit = self.keys.take(at) == codes[left]
             out[left[hit]] = self.cost[at[hit]]
             known[left[hit]] = True
-            go = ~hit & (at + 1 < end)
-            left, at, end = left[go], at[go] + 1, end[go]
+            left, at, end = left[~hit], at[~hit] + 1, end[~hit]
         rest = np.flatnonzero(~known)
         if len(rest):
             out[rest] = self._fall_back(codes[rest], place[rest])
@@ -276,9 +345,13 @@ class Trie:
         total = np.zeros(len(texts))
         for symbols, place, owner, starts, lead in _groups(texts, self.order):
             codes = _codes(symbols, self.order)
-            cost = np.zeros(len(codes))
-            mine = np.flatnonzero((segment_of(codes, place, segments) == segment) & (np.arange(len(codes)) >= lead))
-            cost[mine] = self.costs(codes[mine], place[mine])
+            if segments == 1:
+                cost = self.costs(codes, place)
+                cost[:lead] = 0
+            else:
+                cost = np.zeros(len(codes))
+                mine = np.flatnonzero((segment_of(codes, place, segments) == segment) & (np.arange(len(codes)) >= lead))
+                cost[mine] = self.costs(codes[mine], place[mine])
             total[owner] += np.add.reduceat(cost, starts)
         return total
 
@@ -332,7 +405,7 @@ def _trie(key, sent) -> tuple[Trie, dict]:
 def _score_batches(batches, key, sent, segments: int, folds: int, fold: int):
     trie, hot = _trie(key, sent)
     get = hot.get
-    for batch in batches:
+    for batch in _pieces(batches):
         texts = [v.as_py() for v in batch["text"].cast(pa.binary())]
         rows = []
         for i, text in zip(batch["id"].to_pylist(), texts):
@@ -352,7 +425,7 @@ def _score_batches(batches, key, sent, segments: int, folds: int, fold: int):
 
 def _add_batches(batches, key, sent, segment: int, segments: int):
     trie, _ = _trie(key, sent)
-    for batch in batches:
+    for batch in _pieces(batches):
         texts = [v.as_py() for v in batch["text"].cast(pa.binary())]
         yield pa.RecordBatch.from_arrays([batch["same"], pa.array(trie.score(texts, segment, segments), pa.float64())], ["same", "more"])
 
@@ -395,6 +468,7 @@ def ppm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = pick(docs, id=id_col, text=text_col).withColumn("text", as_text(F.col("text")))
     rows = rows.withColumn("same", F.hash("text").cast("long") * (1 << 32) + F.crc32(F.encode("text", "UTF-8")))
     counted = stored(rows.mapInArrow(lambda it: _count_batches(it, order, folds, fold), "ord int, code long, word binary, n long")
+                     .repartition("ord", "code", "word")  # a partition's rows hardly repeat: summed after the exchange only
                      .groupBy("ord", "code", "word").agg(F.sum("n").alias("n")), "lm-counts")
     words = counted.filter("ord = -1").select("word", F.col("n").alias("c"))
     n_train, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
