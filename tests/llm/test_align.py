@@ -128,3 +128,34 @@ def test_both_libraries_agree_on_every_token_and_every_latin_character():
     for c in map(chr, range(1, 0x370)):
         for text in (f"a{c}b 1{c}2", f" {c} {c}{c}.{c}. a {c}", f"{c}\n{c} x'{c}s {c}'s"):
             assert a.encode(text) == a.slow.encode(text, add_special_tokens=False).ids, repr(c)
+
+
+def test_blocks_are_made_in_pieces(monkeypatch):
+    """No more than a piece of a block is tokenized at once; its links and counts are those of the whole."""
+    import pyarrow as pa
+    import zstandard
+    from types import SimpleNamespace
+    texts = [*ODD, "the cat", "the cat", "", "the the " * 9, "cat 12 é" * 3]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    aligner, asked = align.Aligner(A, B), []
+    plain = aligner.tokens
+    aligner.tokens = lambda texts: asked.append(sum(len(t or "") for t in texts)) or plain(texts)
+    monkeypatch.setattr(align, "_aligner", lambda *paths: aligner)
+    monkeypatch.setattr(align, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+
+    def block():
+        (row,) = (b.to_pylist()[0] for b in align._block_batches([batch.slice(0, 7), batch.slice(7)], A, B, True, 1 << 22))
+        codes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["codes"]), np.uint32)
+        pairs, ends = np.array(row["keys"])[codes], np.cumsum(row["n_links"])
+        docs = {i: (*(row[c][k] for c in ("n_a", "n_b", "n_groups", "sha", "groups")), pairs[ends[k] - row["n_links"][k]:ends[k]].tolist())
+                for k, i in enumerate(row["doc"])}
+        assert row["counts"] == sorted(row["counts"], reverse=True)
+        return docs, dict(zip(row["keys"], row["counts"]))
+
+    whole = block()
+    assert len(whole[0]) == len(texts) and sum(whole[1].values()) == sum(len(x[-1]) for x in whole[0].values())
+    monkeypatch.setattr(align, "PIECE_CHARS", 30)
+    asked.clear()
+    assert block() == whole
+    assert len(asked) > 5 and max(asked) <= 30 + 1400
+    assert sum(n > 100 for n in asked) == 2  # a long text is one piece, with the few before it

@@ -3,9 +3,9 @@
 Both tokenizers' token ends are offsets on one axis of bytes. The shorter list of ends drives an exponential and then
 binary search into the longer one (galloping): what is found exactly is a common end, and common ends slice the tokens into groups;
 the rank of a driver's end less that of its start is the range of tokens it overlaps. Searches run over arrays, for a
-block of documents at a time; the documents' own ends are common ones, so that a block is one long text.
+few documents at a time; the documents' own ends are common ones, so that these are one long text.
 
-Counts of linked id pairs are needed from the whole corpus. A block counts its own pairs first and is stored as one row: pairs,
+Counts of linked id pairs are needed from the whole corpus. A block of many such pieces counts its own pairs first and is stored as one row: pairs,
 counts, and its links as numbers of pairs. The blocks' pairs are summed by Spark, and each block is cogrouped with the sums of its own pairs.
 """
 
@@ -29,6 +29,8 @@ from tidecast.llm.common import pick, stored, table
 
 #: A block is closed when it has so many characters or documents; a longer document makes a longer block.
 BLOCK_CHARS, BLOCK_DOCS = 1 << 22, 20_000
+#: Tokens and links are made for so many characters of a block at a time, or one longer document.
+PIECE_CHARS = 1 << 18
 #: Every so many ends of the driving list are searched first; the others then lie between two known places.
 ANCHOR = 16
 
@@ -172,9 +174,10 @@ class Aligner:
             out.append((a, b) if b"".join(map(self.a.bytes.__getitem__, a)) == raw else ([], []))
         return out
 
-    def block(self, ids: list, texts: list, with_groups: bool) -> dict:
+    def piece(self, ids: list, texts: list, with_groups: bool) -> dict:
+        """Some documents' columns; ``keys``, the id pairs that their links hold, and ``codes``, each link's place among these."""
         both = self.tokens(texts)
-        # documents whose A list drives come first: a block's links then stand in order of documents
+        # documents whose A list drives come first: a piece's links then stand in order of documents
         order = sorted(range(len(ids)), key=lambda i: len(both[i][0]) > len(both[i][1]))
         both = [both[i] for i in order]
         n_a, n_b = (np.array([len(x[side]) for x in both], np.int64) for side in (0, 1))
@@ -194,13 +197,25 @@ class Aligner:
         n_groups = np.searchsorted(a_stop, a_at + n_a, "right") - np.searchsorted(a_stop, a_at, "right")
         digests, groups = self._written(a, b, a_stop, b_stop, a_at + b_at, n_a + n_b, with_groups)
         codes, keys = pd.factorize(a[link_a] << 32 | b[link_b])
-        counts = np.bincount(codes, minlength=len(keys))
+        return {"doc": [ids[i] for i in order], "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": np.diff(bounds), "sha": digests,
+                "groups": groups, "keys": keys, "codes": codes.astype(np.uint32)}
+
+    @staticmethod
+    def block(pieces: list[dict]) -> dict:
+        """The pieces' columns one after another, with numbers of pairs that hold for all, and the pairs' counts."""
+        out = {c: sum((x[c] for x in pieces), []) if isinstance(pieces[0][c], list) else np.concatenate([x[c] for x in pieces])
+               for c in pieces[0] if c not in ("keys", "codes")}
+        own, keys = pd.factorize(np.concatenate([x["keys"] for x in pieces]))
+        counts = np.zeros(len(keys), np.int64)
+        maps = np.split(own, np.cumsum([len(x["keys"]) for x in pieces])[:-1])
+        for x, into in zip(pieces, maps):  # a piece's pairs are distinct
+            counts[into] += np.bincount(x["codes"], minlength=len(into))
         by = np.argsort(-counts, kind="stable")  # frequent pairs get small numbers, which pack well
         number = np.empty(len(keys), np.uint32)
         number[by] = np.arange(len(keys))
-        packed = zstandard.ZstdCompressor(level=1).compress(number[codes].tobytes())
-        return {"doc": [ids[i] for i in order], "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": np.diff(bounds), "sha": digests,
-                "groups": groups, "keys": keys[by], "counts": counts[by], "codes": packed}
+        pack = zstandard.ZstdCompressor(level=1).compressobj(size=4 * sum(len(x["codes"]) for x in pieces))
+        packed = [pack.compress(number[into[x["codes"]]].tobytes()) for x, into in zip(pieces, maps)]
+        return {**out, "keys": keys[by], "counts": counts[by], "codes": b"".join(packed) + pack.flush()}
 
     def _written(self, a, b, a_stop, b_stop, at, n, with_groups: bool):
         """For each document the digest of its groups as text, and the text if wanted."""
@@ -234,11 +249,11 @@ def _aligner(*paths) -> Aligner:
 
 def _block_batches(batches, a_path: str, b_path: str, with_groups: bool, chars: int):
     aligner, seq = _aligner(a_path, b_path), TaskContext.get().partitionId() << 32
-    ids, texts, held = [], [], 0
+    pieces, ids, texts, held, docs, size = [], [], [], 0, 0, 0
     kinds = {"doc": pa.int64(), "sha": pa.string(), "groups": pa.string()}
 
     def row():
-        made = aligner.block(ids, texts, with_groups)
+        made = aligner.block(pieces)
         arrays = [pa.array([seq])]
         for name, value in made.items():
             if name == "codes":
@@ -252,11 +267,17 @@ def _block_batches(batches, a_path: str, b_path: str, with_groups: bool, chars:
         for i, text in zip(batch["id"].to_pylist(), batch["text"]):
             ids.append(i)
             texts.append(text.as_py())
-            held += len(texts[-1] or "")
-            if held >= chars or len(ids) >= BLOCK_DOCS:
+            docs, held, size = docs + 1, held + len(texts[-1] or ""), size + len(texts[-1] or "")
+            full = held >= chars or docs >= BLOCK_DOCS
+            if full or size >= PIECE_CHARS:
+                pieces.append(aligner.piece(ids, texts, with_groups))
+                ids, texts, size = [], [], 0
+            if full:
                 yield row()
-                ids, texts, held, seq = [], [], 0, seq + 1
+                pieces, held, docs, seq = [], 0, 0, seq + 1
     if ids:
+        pieces.append(aligner.piece(ids, texts, with_groups))
+    if pieces:
         yield row()
 
 
@@ -288,9 +309,12 @@ def _finish(block: pa.Table, known: pa.Table, with_groups: bool) -> pa.Table:
     pos = known["pos"].to_numpy()
     count[pos], best[pos] = known["count"].to_numpy(), known["best"].to_numpy()
     codes = np.frombuffer(zstandard.ZstdDecompressor().decompress(block["codes"][0].as_py()), np.uint32)
-    ends = np.cumsum(get("n_links").to_numpy())
-    bounds = np.concatenate([[0], ends])
-    sums = [np.diff(np.concatenate([[0], np.cumsum(x[codes])])[bounds]) for x in (best, count)]
+    n_links = get("n_links").to_numpy()
+    some = np.flatnonzero(n_links)
+    sums = np.zeros((2, len(n_links)), np.int64)
+    if len(some):
+        for x, into in zip((best, count), sums):
+            into[some] = np.add.reduceat(x[codes], (np.cumsum(n_links) - n_links)[some])
     out = {"id": get("doc"), **{c: get(c) for c in ("n_a", "n_b", "n_groups", "n_links")},
            "n_best": sums[0], "count_sum": sums[1], "groups_sha256": get("sha")}
     if with_groups:
