@@ -104,3 +104,17 @@ def test_order0_reaches_entropy():
     bits = 8 * (len(write_file([1], np.array([len(ids)]), ids)) - len(codec.Table.of(ids).pack())) / len(ids)
     index = 8 * codec._BLOCK.itemsize / codec.block_size(len(ids))  # what each block's entry adds per id
     assert bits < entropy + index + 0.4
+
+
+def test_words_go_to_the_model_directly():
+    """A Latin word takes no access to the tokenizer's objects, and has the library's ids, as long lists of ids have."""
+    texts = ["the Cat SAT, thereupon;", "été Ünder ŒUVRE", "zq" * 30 + " " + "Xylo" * 16]
+    odd = ["it's IT'S a1b2 İx ﬁ x́y 日本", "é" * 90, "a" * 300, "1" * 200]
+    want = [np.array(LIBRARY.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts + odd]
+    chunks = ChunkIds(PATH)
+    assert [chunks.ids(t) for t in texts + odd] == want
+    chunks = ChunkIds(PATH)
+    for tail in (",", ";"):
+        chunks.ids(tail)
+    chunks.tokenizer = None
+    assert [chunks.ids(t) for t in texts] == want[:3]

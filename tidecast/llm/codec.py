@@ -29,9 +29,7 @@ TOTAL = PARTS + WEIGHT
 #: How often a prediction was right, in parts of 2**16, to begin with, by confidence; and what it moves to
 #: when a prediction was wrong or right, a 32nd of the way.
 RIGHT = np.array([1500, 9000, 16000, 24000, 32000, 38000, 44000, 52000], np.int32)
-RISE = np.array([0, 61440], np.int32)
-#: Change of an entry's confidence, by confidence + 8 * right.
-DELTA = np.array([0] + [-1] * 7 + [1] * 7 + [0], np.int32)
+RISE = np.int32(61440)
 U = np.uint64
 #: The coder's state has 63 bits, of which 32 are put out as soon as the span is under EDGE; a carry into words that
 #: are already out is kept in their 33rd bit until the end.
@@ -117,17 +115,18 @@ class _Model:
 
     def update(self, x, hit):
         """Learn the places ``x``; ``hit``: what orders 2 and 1 had right."""
-        hit = hit.reshape(-1).view(np.int8)
-        change = RISE.take(hit)
+        hit = hit.reshape(-1).view(np.int8).astype(np.int32)
+        change = hit * RISE
         change -= self.rate
         change >>= 5
         change += self.rate
         self.right[self.cell] = change
-        # right: one more; wrong without any confidence: replaced; else one less
-        kind = self.level + (hit << 3)
-        entry = DELTA.take(kind)
+        # right: one more, up to 7; wrong without any confidence: replaced; else one less
+        fresh = np.flatnonzero((self.level | hit) == 0)
+        hit <<= 1
+        hit -= 1
+        entry = np.minimum(hit, 7 - self.level)
         entry += self.entry
-        fresh = np.flatnonzero(kind == 0)
         entry[fresh] = (x << 3).take(fresh % self.lanes)
         self.seen[self.slot] = entry
         now = x * np.int64(40503)
@@ -140,10 +139,19 @@ class _Model:
 
 def _place(p, w, rest, below, part, x, hit):
     """Start and size, of 2**TOTAL, of the places ``x`` within the mixture."""
-    extra = w * (p < x)
-    start = rest * below.take(x) + ((extra[0] + extra[1]).astype(np.int64) << PARTS)
-    extra = w * hit
-    return start, rest * part.take(x) + ((extra[0] + extra[1]).astype(np.int64) << PARTS)
+    rest = rest.astype(np.int64)
+    return [_add_shares(rest * of.take(x), w, here) for of, here in ((below, p < x), (part, hit))]
+
+
+def _add_shares(out, w, here):
+    """``out`` with the weights where ``here`` is true, in parts of 2**TOTAL."""
+    extra = here.view(np.int8).astype(np.int32)
+    extra *= w
+    extra[0] += extra[1]
+    extra = extra[0].astype(np.int64)
+    extra <<= PARTS
+    out += extra
+    return out
 
 
 def _encode_lanes(x: np.ndarray, n: np.ndarray, table: Table) -> tuple[np.ndarray, np.ndarray]:

@@ -23,6 +23,10 @@ from tidecast.session import shared_path
 FILE_IDS = 1 << 23
 
 
+#: Packers of so many ids.
+_FORMS = [struct.Struct(f"<{n}I").pack for n in range(64)]
+
+
 class ChunkIds(dict):
     """Ids of chunks of text without white space, as bytes; keeps the last ``most`` to twice as many chunks.
 
@@ -37,20 +41,26 @@ class ChunkIds(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         # what the tokenizer's normalizer and pre-tokenizer make of a lower-case Latin word, given to its model at once
+        self.tokenize = self.tokenizer.model.tokenize  # each access to the model makes a new object
         self.letters = {b: c for c, b in byte_letters().items()}
         self.plain = re.compile("[a-zß-öø-ɏ]+").fullmatch
 
     def __missing__(self, chunk: str) -> bytes:
         code = self.older.get(chunk)
         if code is None:
-            body = chunk.rstrip(string.punctuation)
-            word = body.lower()
-            if not self.plain(word):
+            if chunk.isascii() and chunk.isalpha():
+                body, word = chunk, chunk.lower()
+                plain = True
+            else:
+                body = chunk.rstrip(string.punctuation)
+                word = body.lower()
+                plain = self.plain(word)
+            if not plain:
                 code = self._pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
             elif word != chunk:  # letters and other signs never share a word of the tokenizer's
                 code = self[word] + self[chunk[len(body):]] if body != chunk else self[word]
             else:
-                code = self._pack([t.id for t in self.tokenizer.model.tokenize(
+                code = self._pack([t.id for t in self.tokenize(
                     chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.letters))])
         if len(self) >= self.most:
             self.older = dict(self)
@@ -61,7 +71,7 @@ class ChunkIds(dict):
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _FORMS[len(ids)](*ids) if len(ids) < len(_FORMS) else struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
         # four control characters are white space to split(), but not to the tokenizer
