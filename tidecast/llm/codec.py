@@ -66,9 +66,9 @@ class Table:
         return lookup.take(ids)
 
     def by_part(self) -> np.ndarray:
-        """The place of the id that holds each part."""
+        """The place of the id that holds each part, in 16 bits if they hold every place."""
         if self.at is None:
-            self.at = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.part)
+            self.at = np.repeat(np.arange(len(self.ids), dtype=np.uint16 if len(self.ids) <= 1 << 16 else np.int32), self.part)
         return self.at
 
     def pack(self) -> bytes:
@@ -89,22 +89,27 @@ class _Model:
 
     def __init__(self, lanes: int):
         self.lanes = lanes
-        # flat arrays: order 2 of all lanes, then order 1
-        self.base, self.eight = np.arange(2 * lanes) * SLOTS, np.arange(2 * lanes) * 8
-        # per slot: the place of the id that followed (0 to start with) and its confidence, as place * 8 + confidence
-        self.seen = np.zeros(2 * lanes * SLOTS, np.int32)
-        self.right = np.tile(RIGHT, 2 * lanes)
-        self.hash = np.zeros(2 * lanes, np.int64)
+        # flat arrays, in each row order 2 of all lanes, then order 1; what most lanes use most stays close together
+        self.row, self.lane = np.int32(2 * lanes), np.arange(2 * lanes, dtype=np.int32)
+        # a row per slot: the place of the id that followed (0 to start with) and its confidence, as place * 8 + confidence
+        self.seen = np.full(SLOTS * 2 * lanes, 0, np.int32)  # unlike zeros(), at once in memory, in large pages if there are any
+        self.right = np.repeat(RIGHT, 2 * lanes)  # a row per confidence
+        self.hash = np.zeros(2 * lanes, np.int32)  # slots need its low bits, so that it may overflow
         self.weight = np.zeros((2, lanes), np.int32)
 
+    def _flat(self, row):
+        row *= self.row
+        row += self.lane
+        return row.astype(np.intp)
+
     def predict(self):
         """The places that orders 2 and 1 predict and their weights, in rows; and the weight of order 0."""
-        self.slot = self.hash >> 5
-        self.slot &= SLOTS - 1
-        self.slot += self.base
+        slot = self.hash >> 5
+        slot &= SLOTS - 1
+        self.slot = self._flat(slot)
         self.entry = self.seen.take(self.slot)
         self.level = self.entry & 7
-        self.cell = self.eight + self.level
+        self.cell = self._flat(self.level.copy())
         self.rate = self.right.take(self.cell)
         w = self.weight
         np.right_shift(self.rate, 16 - WEIGHT, out=w.reshape(-1))
@@ -115,38 +120,38 @@ class _Model:
 
     def update(self, x, hit):
         """Learn the places ``x``; ``hit``: what orders 2 and 1 had right."""
-        hit = hit.reshape(-1).view(np.int8).astype(np.int32)
+        hit = hit.reshape(-1).astype(np.int32)
         change = hit * RISE
         change -= self.rate
         change >>= 5
         change += self.rate
         self.right[self.cell] = change
         # right: one more, up to 7; wrong without any confidence: replaced; else one less
-        fresh = np.flatnonzero((self.level | hit) == 0)
+        fresh = self.level | hit
+        fresh -= 1
+        fresh >>= 31  # all bits where there was neither, none elsewhere
         hit <<= 1
         hit -= 1
         entry = np.minimum(hit, 7 - self.level)
         entry += self.entry
-        entry[fresh] = (x << 3).take(fresh % self.lanes)
+        other = entry.reshape(2, -1) ^ (x << 3)
+        other &= fresh.reshape(2, -1)
+        entry ^= other.reshape(-1)
         self.seen[self.slot] = entry
-        now = x * np.int64(40503)
         two, one = self.hash[:self.lanes], self.hash[self.lanes:]
         np.multiply(one, 5, out=two)
-        two &= 0xFFFFFF
-        two += now
-        one[:] = now
+        np.multiply(x, np.int32(40503), out=one)
+        two += one
 
 
 def _place(p, w, rest, below, part, x, hit):
     """Start and size, of 2**TOTAL, of the places ``x`` within the mixture."""
-    rest = rest.astype(np.int64)
     return [_add_shares(rest * of.take(x), w, here) for of, here in ((below, p < x), (part, hit))]
 
 
 def _add_shares(out, w, here):
     """``out`` with the weights where ``here`` is true, in parts of 2**TOTAL."""
-    extra = here.view(np.int8).astype(np.int32)
-    extra *= w
+    extra = here * w
     extra[0] += extra[1]
     extra = extra[0].astype(np.int64)
     extra <<= PARTS
@@ -159,16 +164,15 @@ def _encode_lanes(x: np.ndarray, n: np.ndarray, table: Table) -> tuple[np.ndarra
     words (lanes, width) and their number per lane."""
     steps, lanes = x.shape
     width = steps // 2 + 96
-    out = np.zeros(lanes * width, U)
-    first = np.arange(lanes)
-    pos = first * width
+    out = np.zeros(width * lanes, U)  # a row per word, as the lanes move on at much the same pace
+    pos = np.arange(lanes)
     low, span = np.zeros(lanes, U), np.full(lanes, 2**63 - 1, U)
     model, below, part = _Model(lanes), table.below, table.part
     for t in range(steps):
         now = x[t]
         p, w, rest = model.predict()
         hit = p == now
-        start, size = _place(p, w, rest, below, part, now, hit)
+        start, size = _place(p, w, rest.astype(np.int64), below, part, now, hit)
         if t >= n[-1]:  # blocks that are through code nothing
             done = int(np.searchsorted(-n, -t))
             start[done:], size[done:] = 0, 1 << TOTAL
@@ -178,36 +182,33 @@ def _encode_lanes(x: np.ndarray, n: np.ndarray, table: Table) -> tuple[np.ndarra
         model.update(now, hit)
         small = np.flatnonzero(span < EDGE)
         if len(small):
-            at = pos[small]
-            a = low[small]
+            at = pos.take(small)
+            a = low.take(small)
             out[at] = a >> HALF
-            pos[small] = at + 1
+            pos[small] = at + lanes
             low[small] = (a & LOW31) << WORD
-            span[small] <<= WORD
-        if t >= steps // 2 and t % 64 == 0 and int((pos - first * width).max()) > width - 80:  # badly predicted ids need more room
-            out = np.concatenate([out.reshape(lanes, width), np.zeros((lanes, width), U)], axis=1).reshape(-1)
-            pos += first * width
+            span[small] = span.take(small) << WORD
+        if t >= steps // 2 and t % 64 == 0 and int(pos.max()) // lanes > width - 80:  # badly predicted ids need more room
+            out = np.concatenate([out, np.zeros_like(out)])
             width *= 2
     out[pos] = (low + LOW31) >> HALF  # a number within the span that ends in zeros
-    pos += 1
-    words = np.ascontiguousarray(out.reshape(lanes, width).T)
-    used = pos - first * width
-    for i in range(int(used.max()) - 1, 0, -1):
+    used = pos // lanes + 1
+    words = out.reshape(width, lanes)[:int(used.max())]
+    for i in range(len(words) - 1, 0, -1):
         words[i - 1] += words[i] >> WORD
-    return words.astype(np.uint32).T, used
+    return np.ascontiguousarray(words.astype(np.uint32).T), used
 
 
 def _decode_lanes(words: np.ndarray, n: np.ndarray, steps: int, table: Table) -> np.ndarray:
     """The ids (lanes, steps) of blocks coded side by side; lanes in falling order of n."""
-    lanes, width = words.shape
+    lanes = len(words)
     out = np.zeros((steps, lanes), np.int32)
     # the state's 63 bits end one bit before a word does
-    words = words.astype(U)
-    ahead = np.concatenate([words[:, 1:], np.zeros((lanes, 1), U)], axis=1)
-    code = words[:, 0] << HALF | ahead[:, 0] >> U(1)
+    words = words.T.astype(U, order="C")  # a row per word
+    ahead = np.concatenate([words[1:], np.zeros((1, lanes), U)])
+    code = words[0] << HALF | ahead[0] >> U(1)
     words = ((words & U(1)) << HALF | ahead >> U(1)).reshape(-1)
-    pos = np.arange(lanes) * width + 1
-    last = np.arange(1, lanes + 1) * width - 1  # a damaged block may read on
+    pos = np.arange(lanes) + lanes
     span = np.full(lanes, 2**63 - 1, U)
     model, below, part, at = _Model(lanes), table.below, table.part, table.by_part()
     most = U((1 << TOTAL) - 1)
@@ -216,13 +217,19 @@ def _decode_lanes(words: np.ndarray, n: np.ndarray, steps: int, table: Table) ->
         span >>= U(TOTAL)
         v = np.minimum(code // span, most).view(np.int64)
         # take the shares put in at the two predicted places out again, the one that stands first before the other
-        swap = p[0] > p[1]
+        rest = rest.astype(np.int64)
         lower, upper = np.minimum(p[0], p[1]), np.maximum(p[0], p[1])
-        extra = w.astype(np.int64) << PARTS
-        head = np.where(swap, extra[1], extra[0])
-        v -= np.minimum(np.maximum(v - rest * below.take(lower), 0), head)
-        v -= np.minimum(np.maximum(v - rest * below.take(upper), 0), extra[0] + extra[1] - head)
-        x = at.take((v / rest).astype(np.int64))  # exact: both are whole numbers far under 2**53
+        head = w[1] - w[0]
+        head *= p[0] > p[1]
+        head += w[0]
+        for place, extra in ((lower, head), (upper, w[0] + w[1] - head)):
+            over = rest * below.take(place)
+            np.subtract(v, over, out=over)
+            np.maximum(over, 0, out=over)
+            extra = extra.astype(np.int64)
+            extra <<= PARTS
+            v -= np.minimum(over, extra, out=over)
+        x = at.take((v / rest).astype(np.int64)).astype(np.int32)  # exact: both are whole numbers far under 2**53
         hit = p == x
         start, size = _place(p, w, rest, below, part, x, hit)
         if t >= n[-1]:
@@ -234,10 +241,10 @@ def _decode_lanes(words: np.ndarray, n: np.ndarray, steps: int, table: Table) ->
         model.update(x, hit)
         small = np.flatnonzero(span < EDGE)
         if len(small):
-            here = pos[small]
-            code[small] = code[small] << WORD | words.take(here)
-            span[small] <<= WORD
-            pos[small] = np.minimum(here + 1, last[small])
+            here = pos.take(small)
+            code[small] = code.take(small) << WORD | words.take(here, mode="clip")  # a damaged block may read on
+            span[small] = span.take(small) << WORD
+            pos[small] = here + lanes
     return table.ids.take(out.T)
 
 

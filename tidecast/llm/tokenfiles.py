@@ -27,6 +27,13 @@ FILE_IDS = 1 << 23
 _FORMS = [struct.Struct(f"<{n}I").pack for n in range(64)]
 
 
+def _latin1(text: str) -> bool:
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
 class ChunkIds(dict):
     """Ids of chunks of text without white space, as bytes; keeps the last ``most`` to twice as many chunks.
 
@@ -77,6 +84,8 @@ class ChunkIds(dict):
         # four control characters are white space to split(), but not to the tokenizer
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if _latin1(text):  # composed already, and every lower-case letter is one of these too: capitals are no chunks of their own
+            text = text.lower()
         return b"".join(map(self.__getitem__, text.split()))
 
 
