@@ -50,8 +50,8 @@ class Table:
     """Order 0 of a file: its distinct ids, ascending (known by their places from here on), and their shares."""
 
     def __init__(self, ids: np.ndarray, part: np.ndarray):
-        self.ids, self.part = ids.astype(np.int32), part.astype(np.int64)
-        self.below = np.cumsum(self.part) - self.part
+        self.ids, self.part = ids.astype(np.int32), part.astype(np.int32)
+        self.below = np.cumsum(self.part, dtype=np.int32) - self.part
         self.at = None
 
     @classmethod
@@ -145,17 +145,18 @@ class _Model:
 
 
 def _place(p, w, rest, below, part, x, hit):
-    """Start and size, of 2**TOTAL, of the places ``x`` within the mixture."""
+    """Start and size, of 2**TOTAL, of the places ``x`` within the mixture; all of it fits 32 bits."""
     return [_add_shares(rest * of.take(x), w, here) for of, here in ((below, p < x), (part, hit))]
 
 
 def _add_shares(out, w, here):
     """``out`` with the weights where ``here`` is true, in parts of 2**TOTAL."""
-    extra = here * w
-    extra[0] += extra[1]
-    extra = extra[0].astype(np.int64)
-    extra <<= PARTS
-    out += extra
+    extra = here.astype(np.int32)
+    extra *= w
+    two, one = extra
+    two += one
+    two <<= PARTS
+    out += two
     return out
 
 
@@ -172,13 +173,13 @@ def _encode_lanes(x: np.ndarray, n: np.ndarray, table: Table) -> tuple[np.ndarra
         now = x[t]
         p, w, rest = model.predict()
         hit = p == now
-        start, size = _place(p, w, rest.astype(np.int64), below, part, now, hit)
+        start, size = _place(p, w, rest, below, part, now, hit)
         if t >= n[-1]:  # blocks that are through code nothing
             done = int(np.searchsorted(-n, -t))
             start[done:], size[done:] = 0, 1 << TOTAL
         span >>= U(TOTAL)
-        low += span * start.view(U)
-        span *= size.view(U)
+        low += span * start.astype(U)
+        span *= size.astype(U)
         model.update(now, hit)
         small = np.flatnonzero(span < EDGE)
         if len(small):
@@ -215,9 +216,8 @@ def _decode_lanes(words: np.ndarray, n: np.ndarray, steps: int, table: Table) ->
     for t in range(steps):
         p, w, rest = model.predict()
         span >>= U(TOTAL)
-        v = np.minimum(code // span, most).view(np.int64)
+        v = np.minimum(code // span, most).astype(np.int32)
         # take the shares put in at the two predicted places out again, the one that stands first before the other
-        rest = rest.astype(np.int64)
         lower, upper = np.minimum(p[0], p[1]), np.maximum(p[0], p[1])
         head = w[1] - w[0]
         head *= p[0] > p[1]
@@ -226,18 +226,17 @@ def _decode_lanes(words: np.ndarray, n: np.ndarray, steps: int, table: Table) ->
             over = rest * below.take(place)
             np.subtract(v, over, out=over)
             np.maximum(over, 0, out=over)
-            extra = extra.astype(np.int64)
             extra <<= PARTS
             v -= np.minimum(over, extra, out=over)
-        x = at.take((v / rest).astype(np.int64)).astype(np.int32)  # exact: both are whole numbers far under 2**53
+        x = at.take((v / rest).astype(np.int64)).astype(np.int32)  # exact: both are whole numbers under 2**31
         hit = p == x
         start, size = _place(p, w, rest, below, part, x, hit)
         if t >= n[-1]:
             done = int(np.searchsorted(-n, -t))
             start[done:], size[done:] = 0, 1 << TOTAL
         out[t] = x
-        code -= span * start.view(U)
-        span *= size.view(U)
+        code -= span * start.astype(U)
+        span *= size.astype(U)
         model.update(x, hit)
         small = np.flatnonzero(span < EDGE)
         if len(small):
